@@ -34,3 +34,65 @@ def coverage(df: DataFrame, value_col: str) -> DataFrame:
     c = df.agg(F.count(F.lit(1)).alias("total"), F.count(value_col).alias("resolved"))
     return c.select("total", "resolved",
                     percent_1dp(F.col("resolved"), F.col("total")).alias("pct"))
+
+
+def running_total(df: DataFrame, ts: str, unit: str = "day") -> DataFrame:
+    """Count per ``unit`` and its running total.
+
+    Rows are aggregated per period first (partial + final), and the running
+    sum is a window over the small per-period result only.
+    """
+    g = df.groupBy(F.date_trunc(unit, F.col(ts)).alias("period")).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.orderBy("period").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return g.select("period", "n", F.sum("n").over(w).alias("running_total"),
+                    F.row_number().over(Window.orderBy("period")).cast("bigint").alias("ordinal"))
+
+
+def is_expected_error(err: Column) -> Column:
+    """Errors that do not fail a run: skipped items and missing sources."""
+    return err.startswith("skipped") | err.startswith("status 404")
+
+
+def run_summary(records: DataFrame, by: list[str], ts: str = "ts") -> DataFrame:
+    """Per run: stamps, duration, counts and the failure flag.
+
+    ``records``: one row per candidate with ``saved_path`` and ``error``.
+    failed = error and no saved path; real failure = an unexpected error.
+    """
+    fmt = "yyyyMMdd'T'HHmmss'Z'"
+    err = F.col("error")
+    g = records.groupBy(*by).agg(
+        F.min(ts).alias("_start"), F.max(ts).alias("_end"),
+        F.count(F.lit(1)).alias("new_pdfs_count"),
+        F.count_if(F.col("saved_path").isNotNull()).alias("downloaded_count"),
+        F.count_if(err.isNotNull() & F.col("saved_path").isNull()).alias("failed_count"),
+        F.coalesce(F.bool_or(err.isNotNull() & ~is_expected_error(err)), F.lit(False))
+        .alias("has_real_failure"))
+    micros = F.unix_micros(F.col("_end").cast("timestamp")) - F.unix_micros(F.col("_start").cast("timestamp"))
+    return g.select(
+        *by, F.date_format("_start", fmt).alias("started_utc"),
+        F.date_format("_end", fmt).alias("finished_utc"),
+        (F.floor((micros + 50000) / 100000).cast("double") / 10).alias("duration_sec"),
+        "new_pdfs_count", "downloaded_count", "failed_count", "has_real_failure")
+
+
+def column_widths(df: DataFrame, caps: dict[str, int], floor: int = 10, pad: int = 2) -> DataFrame:
+    """Display width per column: ``max(floor, max(min(len(str(v)), cap))) + pad``
+    over the header and every non-null value, in one aggregate pass (D8)."""
+    aggs = [F.max(F.least(F.length(F.col(c).cast("string")), F.lit(cap))).alias(c)
+            for c, cap in caps.items()]
+    m = df.agg(*aggs)
+    rows = [F.struct(F.lit(i + 1).alias("position"), F.lit(c).alias("column"),
+                     (F.greatest(F.lit(floor), F.lit(min(len(c), cap)),
+                                 F.coalesce(F.col(c), F.lit(0))) + pad).alias("width"))
+            for i, (c, cap) in enumerate(caps.items())]
+    return m.select(F.inline(F.array(*rows)))
+
+
+def sorted_report(df: DataFrame, columns: list[tuple[str, str]], order: list[Column]) -> DataFrame:
+    """Report projection with renamed headers, sorted, plus its 1-based rank
+    (A11, B14, F1, F2).  Reports are bounded outputs; the sort itself is a
+    range-partitioned global sort."""
+    w = Window.orderBy(*order)
+    return df.select(*[F.col(src).alias(dst) for src, dst in columns],
+                     F.row_number().over(w).cast("bigint").alias("rank"))
