@@ -59,7 +59,7 @@ def parse_model_deviation(resp) -> Column:
 
 
 def merge_fields(docs: DataFrame, model: DataFrame | None, key: str = "pdf_url",
-                 take_model_date: bool = True) -> DataFrame:
+                 take_model_date: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """Regex fields first, model fields second.
 
     ``docs``: key, agency, filename, text.  ``model``: key, response (JSON
@@ -68,7 +68,7 @@ def merge_fields(docs: DataFrame, model: DataFrame | None, key: str = "pdf_url",
     link.  Rows whose model answer names DoD are dropped.
     """
     d = text_gate(docs, max_chars=None).select(
-        key, "agency", "filename",
+        key, "agency", "filename", *carry,
         fields.effective_date(F.col("text")).alias("rx_date"),
         fields.deviation_number(F.col("text"), F.col("filename")).alias("rx_num"))
     if model is not None:
@@ -88,7 +88,7 @@ def merge_fields(docs: DataFrame, model: DataFrame | None, key: str = "pdf_url",
         fields.deviation_id(F.col("agency"), F.col("rx_num"), F.col("filename")).alias("id"),
         "agency", F.col("rx_num").alias("deviation_number"), title.alias("title"),
         eff.alias("effective_date"), F.col("m.scope").alias("scope"), F.col(key).alias("link"),
-        "filename")
+        "filename", *carry)
 
 
 def json_fields(text, names: list[str]) -> Column:

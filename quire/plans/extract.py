@@ -16,7 +16,10 @@ from .registry import query
 def doc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a dated phrase and a deviation-number phrase appended
     (shapes chosen by doc_id), plus file name and URL."""
-    d = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    return synth_doc_text(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+
+
+def synth_doc_text(d: DataFrame) -> DataFrame:
     i = F.col("doc_id")
     day = F.date_add(F.lit("2025-01-01").cast("date"), (i % 365).cast("int"))
     lng, iso, us = (F.date_format(day, "MMMM d, yyyy"), F.date_format(day, "yyyy-MM-dd"),

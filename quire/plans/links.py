@@ -287,7 +287,19 @@ def manifest_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.profile(d, ["lang"])
 
 
-@query("html_clean_text", None)
+def _clean_sql(x: str) -> str:
+    for p in L.DROP_BLOCKS:
+        x = f"regexp_replace({x}, {S.q(p)}, ' ', 'g')"
+    x = (f"regexp_replace({x}, {S.q(r'(?i)<br\s*/?>|</?(p|div|h[1-6]|li|tr|article|section)\b[^>]*>')}, "
+         f"chr(10), 'g')")
+    x = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    x = S.decode_entities(x)
+    x = f"regexp_replace({x}, '[ \t]+', ' ', 'g')"
+    x = f"regexp_replace({x}, {S.q(' ?' + chr(10) + '[ ' + chr(10) + ']*')}, chr(10), 'g')"
+    return S.strip(x)
+
+
+@query("html_clean_text", f"SELECT page_id, {_clean_sql('html')} AS clean_text FROM pages")
 def html_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages", "page_id", "html")
     return p.select("page_id", L.clean_text(F.col("html")).alias("clean_text"))
