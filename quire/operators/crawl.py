@@ -76,16 +76,19 @@ def frontier_rounds(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
     Output: node, depth (smallest depth at which the node was reached).
     """
     ensure_checkpoint_dir(spark)
-    e = edges.select("src", "dst").distinct().checkpoint()
-    visited = seeds.select(F.col("node"), F.lit(0).alias("depth")).distinct().checkpoint()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # edges hash-partitioned by src once; the checkpoint keeps that
+    # partitioning, so every round's join shuffles only the frontier
+    e = _materialize(edges.select("src", "dst").repartition(n, "src").distinct())
+    visited = _materialize(seeds.select(F.col("node"), F.lit(0).alias("depth")).distinct())
     frontier = visited.select("node")
     for depth in range(1, max_depth + 1):
         nxt = (frontier.join(e, frontier["node"] == e["src"]).select(F.col("dst").alias("node"))
                .distinct().join(visited.select("node"), "node", "left_anti"))
-        visited = visited.unionByName(nxt.withColumn("depth", F.lit(depth))).checkpoint()
+        visited = _materialize(visited.unionByName(nxt.withColumn("depth", F.lit(depth))))
         frontier = visited.where(F.col("depth") == depth).select("node")
         if scored is not None and target is not None:
-            st = (visited.join(scored, "node").where(F.col("keep") & (F.col("score") >= KEEP_THRESHOLD))
+            st = (visited.join(scored, "node").where(gate(F.col("keep"), F.col("score")))
                   .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("score"), F.lit(0.0)).alias("a"))
                   .first())
             if not should_continue(st["n"], target, st["a"]):
@@ -93,3 +96,12 @@ def frontier_rounds(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
         if frontier.isEmpty():
             break
     return visited
+
+
+def _materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint (cuts lineage into the shared checkpoint dir); the
+    persist keeps the checkpoint write from recomputing the data."""
+    df = df.persist()
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out

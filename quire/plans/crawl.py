@@ -84,11 +84,18 @@ def relevance_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_part_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Undirected supplier-part graph of all line items, as directed edges."""
+    """Undirected supplier-part graph of all line items as directed edges over
+    numeric node ids (supplier k -> 2k, part k -> 2k + 1): pairs are
+    deduplicated on two longs before doubling."""
     li = table(spark, sf_dir, "lineitem", "l_suppkey", "l_partkey")
-    s = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
-    p = F.concat(F.lit("p"), F.col("l_partkey").cast("string"))
-    return li.select(s.alias("src"), p.alias("dst")).unionByName(li.select(p.alias("src"), s.alias("dst")))
+    pairs = li.select((F.col("l_suppkey") * 2).alias("s"), (F.col("l_partkey") * 2 + 1).alias("p")).distinct()
+    return pairs.select(F.col("s").alias("src"), F.col("p").alias("dst")).unionByName(
+        pairs.select(F.col("p").alias("src"), F.col("s").alias("dst")))
+
+
+def node_name(node) -> F.Column:
+    return F.concat(F.when(node % 2 == 0, F.lit("s")).otherwise(F.lit("p")),
+                    F.floor(node / 2).cast("bigint").cast("string"))
 
 
 @query("frontier_rounds", """
@@ -104,5 +111,6 @@ WITH RECURSIVE e AS (
 SELECT node, CAST(min(depth) AS INTEGER) AS depth FROM b GROUP BY node
 """)
 def frontier_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seeds = spark.range(1).select(F.lit("s1").alias("node"))
-    return C.frontier_rounds(spark, supplier_part_edges(spark, sf_dir), seeds, max_depth=3)
+    seeds = spark.range(1).select(F.lit(2).cast("bigint").alias("node"))  # supplier 1
+    r = C.frontier_rounds(spark, supplier_part_edges(spark, sf_dir), seeds, max_depth=3)
+    return r.select(node_name(F.col("node")).alias("node"), "depth")

@@ -21,6 +21,7 @@ from .links import DOC_LINK_RE, MANIFEST_SQL
 from .registry import query
 
 ARRIVAL_FILES = 4
+FILES_PER_BATCH = 2
 
 
 def extract_batch(docs: DataFrame) -> DataFrame:
@@ -48,7 +49,8 @@ def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     src, root, ckpt = (INC.scratch(spark, n) for n in ("docs", "deviations", "stream"))
     INC.land_in_files(docs, src, ARRIVAL_FILES, "source")
-    INC.run_available(spark, src, docs.schema, extract_batch, root, ["id"], ["doc_id"], ckpt)
+    INC.run_available(spark, src, docs.schema, extract_batch, root, ["id"], ["doc_id"], ckpt,
+                      files_per_batch=FILES_PER_BATCH)
     return INC.read_state(spark, root).drop("doc_id")
 
 
@@ -74,5 +76,6 @@ def incremental_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, root, ckpt = (INC.scratch(spark, n) for n in ("pages", "manifest", "stream"))
     INC.land_in_files(pages, src, ARRIVAL_FILES, "page_id")
     INC.run_available(spark, src, pages.schema, discover_batch, root,
-                      ["pdf_url", "part_number"], ["page_id", "pos"], ckpt)
+                      ["pdf_url", "part_number"], ["page_id", "pos"], ckpt,
+                      files_per_batch=FILES_PER_BATCH)
     return INC.read_state(spark, root).select(*M.MANIFEST_COLUMNS)

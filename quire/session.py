@@ -56,7 +56,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+SPREAD_MIN_BYTES = 1 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Scan one driver table; listing columns narrows the parquet ReadSchema."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return df.select(*cols) if cols else df
+    """Scan one driver table; listing columns narrows the parquet ReadSchema.
+
+    The scan is spread over the cluster's cores when it would otherwise run
+    in fewer tasks than cores (see :func:`spread`).
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    df = spark.read.parquet(path)
+    df = df.select(*cols) if cols else df
+    return spread(df, path)
+
+
+def spread(df: DataFrame, path: str | None = None, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Round-robin repartition to ``defaultParallelism`` when a scan yields
+    fewer splits than cores and the input is big enough to matter.
+
+    A parquet file with one row group is one split however large it is, so
+    the per-row text work (regex, JSON) after it would run in one task.  On
+    a cluster scan splits outnumber cores and this is a no-op: it never adds
+    a shuffle there.
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if target <= 1:
+        return df
+    if path is not None:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.getContentSummary(p).getLength() < min_bytes:
+            return df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

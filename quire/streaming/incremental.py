@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import store
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, spread
 
 DEFAULT_BUCKETS = 16
 
@@ -60,8 +60,14 @@ def run_available(spark: SparkSession, source_dir: str, schema: StructType,
     seen = []
 
     def each(df: DataFrame, batch_id: int) -> None:
-        rows = process(df)
-        upsert_buckets(rows, root, keys, seq, buckets)
+        # a batch is a handful of files: spread it so the text work uses every
+        # core, and keep its rows for the two uses in the upsert (the bucket
+        # set and the merge) instead of extracting twice
+        rows = process(spread(df)).persist()
+        try:
+            upsert_buckets(rows, root, keys, seq, buckets)
+        finally:
+            rows.unpersist()
         seen.append(batch_id)
 
     q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
