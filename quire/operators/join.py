@@ -25,18 +25,20 @@ def glob_match_join(rows: DataFrame, files: DataFrame, id_col: str = "id",
                     name_col: str = "filename", k: int = BLOCK_CHARS) -> DataFrame:
     """Pairs (row, file) where the file name globs ``*_{agency}*{dev_num}*``.
 
-    Agencies shorter than ``k`` characters cannot be blocked and are matched
-    by the residual alone on their own (small) side of the union.
+    File keys hold the 1- and ``k``-character strings after each ``_`` (and
+    '' for names with any ``_``), so agencies shorter than ``k`` block too.
     """
     r = rows.select("*", split_once(F.col(id_col), "|", 0).alias("_agency"),
                     F.coalesce(split_once(F.col(id_col), "|", 1), F.lit("")).alias("_dev"))
     r = r.withColumn("_pat", F.concat(F.lit("%\\_"), _like_escape(F.col("_agency")), F.lit("%"),
                                       _like_escape(F.col("_dev")), F.lit("%")))
-    keys = F.array_distinct(F.regexp_extract_all(F.col(name_col), F.lit(f"_(?=(.{{{k}}}))"), 1))
+    name = F.col(name_col)
+    keys = F.array_union(
+        F.regexp_extract_all(name, F.lit(f"_(?=(.{{{k}}}))"), 1),
+        F.concat(F.regexp_extract_all(name, F.lit(r"_(?=(.))"), 1),
+                 F.when(name.contains("_"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))))
     f = files.select("*", F.explode(keys).alias("_key"))
-    long_r = r.where(F.length("_agency") >= k).withColumn("_key", F.substring("_agency", 1, k))
-    m = long_r.join(f, "_key").where(F.like(F.col(name_col), F.col("_pat")))
-    short_r = r.where(F.length("_agency") < k)
-    m2 = short_r.join(files, F.like(F.col(name_col), F.col("_pat")))
+    r = r.withColumn("_key", F.substring("_agency", 1, k))
+    m = r.join(f, "_key").where(F.like(name, F.col("_pat")))
     out_cols = rows.columns + [c for c in files.columns if c not in rows.columns]
-    return m.select(*out_cols).unionByName(m2.select(*out_cols)).distinct()
+    return m.select(*out_cols).distinct()
