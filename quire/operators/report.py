@@ -89,10 +89,51 @@ def column_widths(df: DataFrame, caps: dict[str, int], floor: int = 10, pad: int
     return m.select(F.inline(F.array(*rows)))
 
 
+SINGLE_TASK_RANK_BYTES = 64 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Optimizer's size estimate of ``df`` (an upper bound for file scans:
+    file size scaled by the projected columns; filters never raise it)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def global_rank(df: DataFrame, order: list[Column], name: str = "rank",
+                single_task_bytes: int = SINGLE_TASK_RANK_BYTES) -> DataFrame:
+    """1-based position of every row in ``order``.
+
+    Inputs whose estimated size is under ``single_task_bytes`` are ranked
+    with a plain window (one task, bounded by that size check).  Larger ones
+    never go through one task: the data is range-partitioned and sorted,
+    materialised once (checkpoint, so partition ids are stable), and each
+    row's rank is its partition's offset plus its index inside the
+    partition.  The offsets table has one row per partition, a proven bound,
+    so it is broadcast.
+    """
+    from ..session import ensure_checkpoint_dir
+
+    if estimated_bytes(df) <= single_task_bytes:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    s = df.orderBy(*order).select("*", F.spark_partition_id().alias("_pid"),
+                                  F.monotonically_increasing_id().alias("_mid"))
+    s = s.persist()
+    s_ck = s.checkpoint(eager=True)
+    s.unpersist()
+    counts = s_ck.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    j = s_ck.join(F.broadcast(offsets), "_pid")
+    idx = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
+    return j.select(*df.columns, (F.col("_off") + idx + 1).cast("bigint").alias(name))
+
+
 def sorted_report(df: DataFrame, columns: list[tuple[str, str]], order: list[Column]) -> DataFrame:
-    """Report projection with renamed headers, sorted, plus its 1-based rank
-    (A11, B14, F1, F2).  Reports are bounded outputs; the sort itself is a
-    range-partitioned global sort."""
-    w = Window.orderBy(*order)
-    return df.select(*[F.col(src).alias(dst) for src, dst in columns],
-                     F.row_number().over(w).cast("bigint").alias("rank"))
+    """Report projection with renamed headers and its 1-based sort rank
+    (A11, B14, F1, F2); the rank comes from :func:`global_rank`, so large
+    reports never sort in a single task."""
+    ranked = global_rank(df, order)
+    return ranked.select(*[F.col(src).alias(dst) for src, dst in columns], "rank")
+
+

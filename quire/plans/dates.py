@@ -14,9 +14,9 @@ from ..session import table
 from .registry import query
 
 
-def raw_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(o_orderkey, effective_date)`` free text derived from each order."""
-    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+def raw_dates(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """``(o_orderkey, effective_date, *extra)`` free text derived from each order."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", *extra)
     d, k, c = F.col("o_orderdate"), F.col("o_orderkey") % 12, F.col("o_custkey")
     long_ = F.date_format(d, "MMMM d, yyyy")
     raw = (F.when(k == 0, F.date_format(d, "yyyy-MM-dd"))
@@ -35,7 +35,7 @@ def raw_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(k == 10, F.when(c % 2 == 0, F.concat(F.date_format(d, "yyyy"), F.lit("-13-40")))
                  .otherwise(F.concat(F.lit("February 30, "), F.date_format(d, "yyyy"))))
            .otherwise(F.concat(F.lit("  "), F.date_format(d, "yyyy-MM-dd"), F.lit(" "))))
-    return o.select("o_orderkey", raw.alias("effective_date"))
+    return o.select("o_orderkey", raw.alias("effective_date"), *extra)
 
 
 RAW_DATES_SQL = """
@@ -115,8 +115,8 @@ FROM k
 DATE_NORMALIZE_SQL = NORMALIZED_SQL.format(raw=RAW_DATES_SQL)
 
 
-def normalized_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_normalized_date(raw_dates(spark, sf_dir))
+def normalized_orders(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    return with_normalized_date(raw_dates(spark, sf_dir, extra))
 
 
 @query("date_normalize", DATE_NORMALIZE_SQL)

@@ -100,12 +100,11 @@ EXCLUDED_AGENCIES = ("DoD", "DOD", "Department of Defense")
 
 
 def deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = normalized_orders(spark, sf_dir)
-    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority")
+    n = normalized_orders(spark, sf_dir, extra=("o_orderpriority",))
     pr = F.col("o_orderpriority")
     agency = (F.when(pr.startswith("1"), F.lit("DoD")).when(pr.startswith("5"), F.lit(None))
               .otherwise(F.substring(pr, 3, 100)))
-    return n.join(o, "o_orderkey").select(
+    return n.select(
         agency.alias("agency"), F.concat(F.lit("D-"), F.col("o_orderkey").cast("string"))
         .alias("deviation_number"), "effective_date", "effective_date_iso", "effective_date_kind")
 

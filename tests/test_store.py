@@ -71,3 +71,16 @@ def test_merge_fields_model_and_fallback(spark):
     assert out["u1"]["title"] == "T1" and out["u1"]["effective_date"] == "March 3, 2026"
     assert out["u2"]["title"] == "GSA b" and out["u2"]["effective_date"] == "2025-10-15"
     assert out["u1"]["id"] == "GSA|25-01"
+
+
+def test_global_rank_partitioned_path(spark):
+    from pyspark.sql import functions as F
+    from quire.operators.report import global_rank
+
+    df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k"), F.col("id").alias("v"))
+    big = global_rank(df.repartition(7), [F.col("k").desc()], single_task_bytes=0)
+    small = global_rank(df, [F.col("k").desc()])
+    a = sorted((r["k"], r["rank"]) for r in big.collect())
+    b = sorted((r["k"], r["rank"]) for r in small.collect())
+    assert a == b
+    assert [r for _, r in sorted(a, key=lambda x: -x[0])] == list(range(1, 5001))
