@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import like_ordered
 from ..operators import report as R
 from ..operators import sections as SEC
 from ..session import table
@@ -87,7 +88,7 @@ def work_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     d = table(spark, sf_dir, "documents", "doc_id", "source", "text")
     lab = table(spark, sf_dir, "labels", "doc_id")
-    q = d.where(F.col("text").like("%an%the%")).join(lab, "doc_id", "left_anti")
+    q = d.where(like_ordered("text", "%an%the%")).join(lab, "doc_id", "left_anti")
     top = q.orderBy("doc_id").limit(50).select("doc_id", "source")
     return top.withColumn("rank", F.row_number().over(Window.orderBy("doc_id")).cast("bigint"))
 
