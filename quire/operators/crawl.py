@@ -77,9 +77,10 @@ def frontier_rounds(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
     """
     ensure_checkpoint_dir(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # edges hash-partitioned by src once; the checkpoint keeps that
-    # partitioning, so every round's join shuffles only the frontier
-    e = _materialize(edges.select("src", "dst").repartition(n, "src").distinct())
+    # edges hash-partitioned by src once and cached in that layout, so every
+    # round's join shuffles only the frontier; their lineage is one scan and
+    # one dedup, so they are cached rather than checkpointed
+    e = edges.select("src", "dst").repartition(n, "src").distinct().persist()
     visited = _materialize(seeds.select(F.col("node"), F.lit(0).alias("depth")).distinct())
     frontier = visited.select("node")
     for depth in range(1, max_depth + 1):
@@ -95,6 +96,7 @@ def frontier_rounds(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
                 break
         if frontier.isEmpty():
             break
+    e.unpersist()
     return visited
 
 

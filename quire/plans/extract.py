@@ -16,7 +16,8 @@ from .registry import query
 def doc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a dated phrase and a deviation-number phrase appended
     (shapes chosen by doc_id), plus file name and URL."""
-    return synth_doc_text(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+    return synth_doc_text(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source",
+                                heavy=True))
 
 
 def synth_doc_text(d: DataFrame) -> DataFrame:

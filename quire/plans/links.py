@@ -188,9 +188,10 @@ def agency_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     fields.is_dod("filename").alias("is_dod"))
 
 
-def lineitem_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_names(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """File names of every shape the part-number parser handles, per line item."""
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+               heavy=heavy)
     k, ln = F.col("l_orderkey") % 6, F.col("l_linenumber").cast("string")
     pk, sk = F.col("l_partkey"), F.col("l_suppkey")
     name = (F.when(k == 0, F.concat(F.lit("GSA_Class_Deviation_Parts-"), ln, F.lit("-"),
@@ -228,8 +229,8 @@ FROM ({LINEITEM_NAMES_SQL})
 """
 
 
-def lineitem_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = lineitem_names(spark, sf_dir)
+def lineitem_parts(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    n = lineitem_names(spark, sf_dir, heavy)
     return n.select("*", fields.agency_label("filename").alias("agency"),
                     fields.is_dod("filename").alias("is_dod"),
                     fields.parts_from_filename("filename").alias("part_numbers"))
@@ -265,7 +266,7 @@ FROM ({EXPLODED_SQL})
 GROUP BY filename
 """)
 def part_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ex = L.explode_parts(lineitem_parts(spark, sf_dir))
+    ex = L.explode_parts(lineitem_parts(spark, sf_dir, heavy=True))
     return M.part_list(ex, "filename", ["l_orderkey", "l_linenumber"],
                        ["agency", "is_dod"]).withColumnRenamed("l_orderkey", "first_orderkey") \
         .withColumnRenamed("l_linenumber", "first_linenumber")
@@ -301,5 +302,5 @@ def _clean_sql(x: str) -> str:
 
 @query("html_clean_text", f"SELECT page_id, {_clean_sql('html')} AS clean_text FROM pages")
 def html_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages", "page_id", "html")
+    p = table(spark, sf_dir, "pages", "page_id", "html", heavy=True)
     return p.select("page_id", L.clean_text(F.col("html")).alias("clean_text"))

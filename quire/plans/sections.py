@@ -19,7 +19,7 @@ MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT",
 
 
 def clause_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents", "doc_id", "text")
+    d = table(spark, sf_dir, "documents", "doc_id", "text", heavy=True)
     doc = F.col("doc_id")
 
     def line(x, i):

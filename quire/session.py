@@ -59,16 +59,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 SPREAD_MIN_BYTES = 1 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, *cols: str,
+          heavy: bool = False) -> DataFrame:
     """Scan one driver table; listing columns narrows the parquet ReadSchema.
 
-    The scan is spread over the cluster's cores when it would otherwise run
+    ``heavy`` marks scans followed by costly per-row work (regex over whole
+    texts): those are spread over the cluster's cores when the scan would run
     in fewer tasks than cores (see :func:`spread`).
     """
     path = os.path.join(sf_dir, f"{name}.parquet")
     df = spark.read.parquet(path)
     df = df.select(*cols) if cols else df
-    return spread(df, path)
+    return spread(df, path) if heavy else df
 
 
 def spread(df: DataFrame, path: str | None = None, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
@@ -82,7 +84,7 @@ def spread(df: DataFrame, path: str | None = None, min_bytes: int = SPREAD_MIN_B
     """
     spark = df.sparkSession
     target = spark.sparkContext.defaultParallelism
-    if target <= 1:
+    if target <= 1 or spark.conf.get("quire.spread.enabled", "true") == "false":
         return df
     if path is not None:
         jvm = spark.sparkContext._jvm
