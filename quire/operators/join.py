@@ -1,11 +1,13 @@
-"""Pattern (theta) join of rows to files by a glob, with an equi blocking key.
+"""Pattern (theta) join of rows to files by a glob, with an exact equi key.
 
 A row ``id = "<agency>|<dev_num>"`` matches a file whose name globs
 ``*_<agency>*<dev_num>*``.  A bare LIKE join plans as a nested loop over all
-pairs; instead both sides get a blocking key (the first ``k`` characters of
-the agency / the ``k`` characters after every ``_`` of a file name), the join
-is an equi-join on it, and LIKE is the residual.  Every true match shares a
-key, so the result is exact.
+pairs.  Here the file side is exploded into its candidate agencies: for every
+``_`` in the name, each prefix (up to the longest agency on the row side) of
+the text after it.  The join is then an equi-join on the full agency, and the
+LIKE on the deviation number is the residual.  A file is paired only with rows
+of an agency it really contains after an ``_``, so the result is exact and no
+row is compared with files of other agencies.
 """
 from __future__ import annotations
 
@@ -14,31 +16,33 @@ from pyspark.sql import functions as F
 
 from ..functions.text import split_once
 
-BLOCK_CHARS = 2
-
 
 def _like_escape(c):
     return F.regexp_replace(c, r"([\\%_])", r"\\$1")
 
 
-def glob_match_join(rows: DataFrame, files: DataFrame, id_col: str = "id",
-                    name_col: str = "filename", k: int = BLOCK_CHARS) -> DataFrame:
-    """Pairs (row, file) where the file name globs ``*_{agency}*{dev_num}*``.
+def candidate_agencies(name, max_len: int):
+    """Distinct strings that follow some ``_`` in ``name``, of length 0..max_len."""
+    parts = F.split(name, "_")
+    n = F.size(parts)
+    tails = F.transform(F.sequence(F.lit(2), F.greatest(n, F.lit(2))),
+                        lambda i: F.array_join(F.slice(parts, i, 1 << 30), "_"))
+    tails = F.when(n >= 2, tails).otherwise(F.array().cast("array<string>"))
+    prefixes = F.transform(tails, lambda t: F.transform(
+        F.sequence(F.lit(0), F.least(F.length(t), F.lit(max_len))), lambda k: F.substring(t, 1, k)))
+    return F.array_distinct(F.flatten(prefixes))
 
-    File keys hold the 1- and ``k``-character strings after each ``_`` (and
-    '' for names with any ``_``), so agencies shorter than ``k`` block too.
-    """
+
+def glob_match_join(rows: DataFrame, files: DataFrame, id_col: str = "id",
+                    name_col: str = "filename") -> DataFrame:
+    """Pairs (row, file) where the file name globs ``*_{agency}*{dev_num}*``."""
     r = rows.select("*", split_once(F.col(id_col), "|", 0).alias("_agency"),
                     F.coalesce(split_once(F.col(id_col), "|", 1), F.lit("")).alias("_dev"))
     r = r.withColumn("_pat", F.concat(F.lit("%\\_"), _like_escape(F.col("_agency")), F.lit("%"),
                                       _like_escape(F.col("_dev")), F.lit("%")))
-    name = F.col(name_col)
-    keys = F.array_union(
-        F.regexp_extract_all(name, F.lit(f"_(?=(.{{{k}}}))"), 1),
-        F.concat(F.regexp_extract_all(name, F.lit(r"_(?=(.))"), 1),
-                 F.when(name.contains("_"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))))
-    f = files.select("*", F.explode(keys).alias("_key"))
-    r = r.withColumn("_key", F.substring("_agency", 1, k))
-    m = r.join(f, "_key").where(F.like(name, F.col("_pat")))
+    # one scalar: the longest agency bounds the candidate prefixes per file
+    max_len = r.agg(F.max(F.length("_agency"))).first()[0] or 0
+    f = files.select("*", F.explode(candidate_agencies(F.col(name_col), max_len)).alias("_agency"))
+    m = r.join(f, "_agency").where(F.like(F.col(name_col), F.col("_pat")))
     out_cols = rows.columns + [c for c in files.columns if c not in rows.columns]
     return m.select(*out_cols).distinct()

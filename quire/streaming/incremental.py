@@ -42,9 +42,10 @@ def upsert_buckets(batch: DataFrame, root: str, keys: list[str], seq: list[str],
     spark = batch.sparkSession
     new = batch.withColumn("bucket", bucket_of(keys, buckets))
     if _exists(spark, root):
-        cur = spark.read.parquet(root)
-        touched = new.select("bucket").distinct()
-        cur = cur.join(touched, "bucket", "left_semi")
+        # at most ``buckets`` small ints: a bounded list, used as a static
+        # partition filter so only the touched bucket directories are read
+        touched = [r[0] for r in new.select("bucket").distinct().collect()]
+        cur = spark.read.parquet(root).where(F.col("bucket").isin(touched))
         merged = store.upsert(cur, new, keys + ["bucket"], seq)
     else:
         merged = store.last_per_key(new, keys + ["bucket"], seq)

@@ -84,3 +84,19 @@ def test_global_rank_partitioned_path(spark):
     b = sorted((r["k"], r["rank"]) for r in small.collect())
     assert a == b
     assert [r for _, r in sorted(a, key=lambda x: -x[0])] == list(range(1, 5001))
+
+
+def test_glob_match_join_exact(spark):
+    import fnmatch
+
+    from quire.operators.join import glob_match_join
+
+    ids = ["GSA|25-01", "DOD|CD-2025-04", "ED|7", "A|", "|X", "GS|25"]
+    names = ["h_GSA_Class_Deviation_25-01.pdf", "h_DOD_CD-2025-04_memo.pdf", "x_MED_7.pdf",
+             "abc_A_b.pdf", "noscore.pdf", "h_GS_25.pdf", "h_X_GSA_25.pdf", "_X.pdf"]
+    rows = spark.createDataFrame([(i,) for i in ids], "id string")
+    files = spark.createDataFrame([(n,) for n in names], "filename string")
+    got = sorted((r["id"], r["filename"]) for r in glob_match_join(rows, files).collect())
+    want = sorted((i, n) for i in ids for n in names
+                  if fnmatch.fnmatchcase(n, "*_" + i.split("|", 1)[0] + "*" + i.split("|", 1)[1] + "*"))
+    assert got == want
