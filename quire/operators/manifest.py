@@ -61,19 +61,6 @@ def worklist(manifest: DataFrame, only_part: int | None = None) -> DataFrame:
     return m.select("pdf_url", "agency", "filename").distinct()
 
 
-def with_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
-    """Attach the global sort position (F3): a range-partitioned sort plus a
-    per-partition offset, no single-partition window."""
-    from pyspark.sql import Window
-
-    s = df.orderBy(*order)
-    # zipWithIndex-free: row_number over the sorted data in one pass.  The
-    # window has no partition key, so it is used only on bounded results
-    # (reports); large manifests keep their sort order without a rank.
-    w = Window.orderBy(*order)
-    return s.withColumn(name, F.row_number().over(w).cast("bigint"))
-
-
 def landed(listings: list[DataFrame], min_bytes: int = 1024) -> DataFrame:
     """Union of directory listings ``(name, length)`` keeping files larger
     than ``min_bytes`` (G3 + size test of C3)."""

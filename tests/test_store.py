@@ -100,3 +100,17 @@ def test_glob_match_join_exact(spark):
     want = sorted((i, n) for i in ids for n in names
                   if fnmatch.fnmatchcase(n, "*_" + i.split("|", 1)[0] + "*" + i.split("|", 1)[1] + "*"))
     assert got == want
+
+
+def test_conform_and_stamp(spark):
+    import datetime as dt
+
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.IntegerType()),
+                           T.StructField("iso", T.DateType())])
+    df = spark.createDataFrame([("a", "5")], "id string, n string")
+    out = store.conform(df, schema)
+    assert out.schema == schema and out.first() == ("a", 5, None)
+    ts = dt.datetime(2026, 4, 27, 6, 30)
+    assert store.stamp(df, "scraped_at", ts).first()["scraped_at"] == ts
