@@ -1,7 +1,8 @@
 """Free-text effective-date normaliser as one column expression.
 
-``normalize_date(raw)`` returns ``struct<iso: date, kind: string>``; rules are
-tried in order and the first that applies wins:
+``with_normalized_date(df, raw_col)`` adds ``effective_date_iso`` (date) and
+``effective_date_kind``; rules are tried in order and the first that applies
+wins:
 
 1. NULL or blank                                -> (NULL, 'empty')
 2. ``YYYY-MM-DD``, ``YYYY.MM.DD``, ``M/D/YYYY`` (whole string, padded by
@@ -19,11 +20,8 @@ to 0001-9999.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import _c, strip
-
 # Fixed values that must equal the reference's rules.
 MONTHS = ("january", "february", "march", "april", "may", "june", "july",
           "august", "september", "october", "november", "december")
@@ -40,13 +38,32 @@ DELTA_PHRASES = ("days from", "days after")
 KINDS = ("empty", "iso", "long", "immediate", "issuance", "delta", "unparsed")
 
 
-def _parse(s: Column, pattern: str, fmt: str, year: Column) -> Column:
-    """``s`` parsed with ``fmt`` when it matches ``pattern``; NULL if no such day."""
-    return F.when(s.rlike(pattern) & (year.try_cast("int") >= 1), F.try_to_date(s, fmt))
+def _lit(v: str) -> str:
+    """Spark SQL string literal (backslashes and quotes escaped)."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _any(fn: str, col: str, phrases) -> str:
+    return "(" + " OR ".join(f"{fn}({col}, {_lit(p)})" for p in phrases) + ")"
 
 
-def _rx(s: Column, pattern: str, g: int) -> Column:
-    return F.regexp_extract(s, pattern, g)
+_MONTHS_SQL = "array(" + ", ".join(_lit(m) for m in MONTHS) + ")"
+_STAGE2 = {
+    "_low": "lower(_s)",
+    "_iso": (
+        f"coalesce("
+        f"CASE WHEN _s RLIKE {_lit(ISO_RE)} AND try_cast(substr(_s, 1, 4) AS INT) >= 1 "
+        f"THEN try_to_date(_s, 'yyyy-MM-dd') END, "
+        f"CASE WHEN _s RLIKE {_lit(DOTTED_RE)} AND try_cast(substr(_s, 1, 4) AS INT) >= 1 "
+        f"THEN try_to_date(_s, 'yyyy.MM.dd') END, "
+        f"CASE WHEN _s RLIKE {_lit(US_SLASH_RE)} AND try_cast(substring_index(_s, '/', -1) AS INT) >= 1 "
+        f"THEN try_to_date(_s, 'M/d/yyyy') END)"),
+    "_mon": f"array_position({_MONTHS_SQL}, lower(regexp_extract(_s, {_lit(LONG_RE)}, 1)))",
+    "_ly": f"regexp_extract(_s, {_lit(LONG_RE)}, 3)",
+    "_ld": f"regexp_extract(_s, {_lit(LONG_RE)}, 2)",
+}
+_LONG = ("CASE WHEN _mon > 0 AND try_cast(_ly AS INT) >= 1 "
+         "THEN try_to_date(concat_ws('-', _ly, CAST(_mon AS STRING), _ld), 'yyyy-M-d') END")
 
 
 def with_normalized_date(df, raw_col: str = "effective_date",
@@ -56,41 +73,21 @@ def with_normalized_date(df, raw_col: str = "effective_date",
 
     Built as staged projections: each intermediate is computed once per row
     (Catalyst keeps non-trivial shared subexpressions in their own Project
-    instead of inlining them into every branch of the CASE chain).
+    instead of inlining them into every branch of the CASE chain).  Each
+    stage is handed to the JVM as SQL expressions in one call.
     """
-    raw = F.col(raw_col)
-    df = df.withColumn("_s", strip(raw))
-    s = F.col("_s")
-    month_no = F.array_position(F.array(*[F.lit(m) for m in MONTHS]),
-                                F.lower(_rx(s, LONG_RE, 1)))
-    long_txt = F.concat_ws("-", _rx(s, LONG_RE, 3), month_no.cast("string"), _rx(s, LONG_RE, 2))
-    df = df.withColumns({
-        "_low": F.lower(s),
-        "_iso": F.coalesce(
-            _parse(s, ISO_RE, "yyyy-MM-dd", F.substring(s, 1, 4)),
-            _parse(s, DOTTED_RE, "yyyy.MM.dd", F.substring(s, 1, 4)),
-            _parse(s, US_SLASH_RE, "M/d/yyyy", F.substring_index(s, "/", -1))),
-        "_long": F.when(month_no > 0, _parse(long_txt, r"^\d{4}-", "yyyy-M-d",
-                                             _rx(s, LONG_RE, 3))),
-    })
-    low = F.col("_low")
-
-    def any_of(phrases, fn) -> Column:
-        out = F.lit(False)
-        for p in phrases:
-            out = out | fn(p)
-        return out
-
-    kind = (F.when(raw.isNull() | (s == ""), F.lit("empty"))
-            .when(F.col("_iso").isNotNull(), F.lit("iso"))
-            .when(F.col("_long").isNotNull(), F.lit("long"))
-            .when(any_of(IMMEDIATE_PREFIXES, lambda p: low.startswith(p)), F.lit("immediate"))
-            .when(any_of(ISSUANCE_PHRASES, lambda p: low.contains(p)), F.lit("issuance"))
-            .when(any_of(DELTA_PHRASES, lambda p: low.contains(p)), F.lit("delta"))
-            .otherwise(F.lit("unparsed")))
-    df = df.withColumn(kind_col, kind)
-    k = F.col(kind_col)
-    iso = (F.when(k == "iso", F.col("_iso")).when(k == "long", F.col("_long"))
-           .otherwise(F.lit(None).cast("date")))
-    out_cols = [c for c in df.columns if c not in ("_s", "_low", "_iso", "_long", kind_col)]
-    return df.select(*out_cols, iso.alias(iso_col), k)
+    raw = f"`{raw_col}`"
+    keep = [c for c in df.columns if c not in (iso_col, kind_col)]
+    df = df.withColumn("_s", F.expr(f"regexp_replace({raw}, {_lit(r'(?U)^\s+|\s+$')}, '')"))
+    df = df.withColumns({k: F.expr(v) for k, v in _STAGE2.items()})
+    df = df.withColumn("_long", F.expr(_LONG))
+    kind = (f"CASE WHEN {raw} IS NULL OR _s = '' THEN 'empty' "
+            f"WHEN _iso IS NOT NULL THEN 'iso' WHEN _long IS NOT NULL THEN 'long' "
+            f"WHEN {_any('startswith', '_low', IMMEDIATE_PREFIXES)} THEN 'immediate' "
+            f"WHEN {_any('contains', '_low', ISSUANCE_PHRASES)} THEN 'issuance' "
+            f"WHEN {_any('contains', '_low', DELTA_PHRASES)} THEN 'delta' "
+            f"ELSE 'unparsed' END")
+    df = df.withColumn(kind_col, F.expr(kind))
+    iso = (f"CASE `{kind_col}` WHEN 'iso' THEN _iso WHEN 'long' THEN _long "
+           f"ELSE CAST(NULL AS DATE) END")
+    return df.select(*keep, F.expr(iso).alias(iso_col), kind_col)

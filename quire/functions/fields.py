@@ -102,11 +102,28 @@ def _norm_name(fname) -> Column:
     return F.translate(F.upper(_c(fname)), "- ", "__")
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _agency_sql(mapping) -> str:
+    whens = " ".join(f"WHEN contains(__NAME__, {_sql_str(k)}) THEN {_sql_str(v)}" for k, v in mapping)
+    return f"CASE {whens} ELSE {_sql_str(UNKNOWN_AGENCY)} END"
+
+
+_AGENCY_SQL = _agency_sql(AGENCY_MAP)
+_DOD_SQL = "(" + " OR ".join(f"contains(__NAME__, {_sql_str(t)})" for t in DOD_TOKENS) + ")"
+
+
 def agency_label(fname, mapping=AGENCY_MAP) -> Column:
     """Label of the first key contained in the normalised name, else 'Unknown'.
 
-    The ordered map compiles to one CASE chain (no join, no UDF).
+    The ordered map compiles to one CASE chain (no join, no UDF).  For a named
+    column the chain is handed to the JVM as one SQL expression instead of
+    ~160 separate Column calls.
     """
+    if isinstance(fname, str) and mapping is AGENCY_MAP:
+        return F.expr(_AGENCY_SQL.replace("__NAME__", _norm_sql(fname)))
     up = _norm_name(fname)
     out = None
     for key, label in mapping:
@@ -115,8 +132,14 @@ def agency_label(fname, mapping=AGENCY_MAP) -> Column:
     return out.otherwise(F.lit(UNKNOWN_AGENCY))
 
 
+def _norm_sql(name: str) -> str:
+    return f"translate(upper(`{name}`), '- ', '__')"
+
+
 def is_dod(fname) -> Column:
     """DoD flag, independent of the label (any DoD token in the normalised name)."""
+    if isinstance(fname, str):
+        return F.expr(_DOD_SQL.replace("__NAME__", _norm_sql(fname)))
     up = _norm_name(fname)
     out = F.lit(False)
     for tok in DOD_TOKENS:

@@ -68,11 +68,26 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str,
     in fewer tasks than cores (see :func:`spread`).
     """
     path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
+    df = _scan(spark, path)
     df = df.select(*cols) if cols else df
     return spread(df, path) if heavy else df
 
 
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet(path)``, reused within a session while the file is
+    unchanged (the footer/schema read is a driver round trip per call)."""
+    cache = spark.__dict__.setdefault("_quire_scans", {})
+    try:
+        st = os.stat(path)
+        key = (path, st.st_mtime_ns, st.st_size)
+    except OSError:  # not a local path (cluster storage): no reuse
+        return spark.read.parquet(path)
+    df = cache.get(key)
+    if df is None:
+        df = cache[key] = spark.read.parquet(path)
+    return df
+
+
 def spread(df: DataFrame, path: str | None = None, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     """Round-robin repartition to ``defaultParallelism`` when a scan yields
     fewer splits than cores and the input is big enough to matter.
