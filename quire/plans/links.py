@@ -92,7 +92,7 @@ def guide_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page turned into a guide page: an h3 heading holding a Part link
     (number from the page id), the page title as anchor text and dated status
     lines, followed by the page's own HTML."""
-    p = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    p = table(spark, sf_dir, "pages", "page_id", "url", "html", heavy=True)
     title = F.regexp_extract("html", r"(?is)<h1[^>]*>(.*?)</h1>", 1)
     issued = F.date_format(F.date_add(F.lit("2025-01-01").cast("date"),
                                       (F.col("page_id") % 365).cast("int")), "MMMM d, yyyy")

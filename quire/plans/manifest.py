@@ -238,7 +238,8 @@ RUN_SCHEMA = T.StructType([
 
 def run_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run-manifest JSON document per event (two records each)."""
-    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value",
+              heavy=True)
     i = F.col("event_id").cast("string")
 
     def rec(suffix: str, saved) -> F.Column:
