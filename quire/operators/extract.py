@@ -113,7 +113,12 @@ def validate(df: DataFrame, resp: str, required: dict[str, str],
     for n in required:
         ok = ok & cols[n].isNotNull()
     keep = [c for c in df.columns if c != resp]
-    return df.where(ok).select(*keep, *[c.alias(n) for n, c in cols.items()])
+    checked = df.select(*keep, *[c.alias(n) for n, c in cols.items()], ok.alias("_ok"))
+    # accepted / rejected counters of the run (D10), read back with
+    # ``Observation`` by callers that report them
+    checked = checked.observe("validate_counters", F.count_if("_ok").alias("accepted"),
+                              F.count_if(~F.col("_ok")).alias("rejected"))
+    return checked.where("_ok").drop("_ok")
 
 
 def cache_resolve(fresh: DataFrame, cache: DataFrame, use_cache: bool) -> DataFrame:
