@@ -122,3 +122,18 @@ def rebuild(listing: DataFrame, existing: DataFrame, db_meta: DataFrame) -> Data
         F.coalesce(first_truthy("e_source_url", "d_source_url"), F.lit("")).alias("source_url"),
         F.col("length").cast("string").alias("pdf_size_bytes"),
     )
+
+
+def download_plan(records: DataFrame, order: list[str], cap: int | None) -> DataFrame:
+    """What one run attempts (F4, B1, B10): the first ``cap`` records in
+    discovery order are taken; DoD records among them are skipped (and use up
+    the cap), the rest are downloads.  Records past the cap are 'deferred'.
+    ``records`` needs ``is_dod`` and the ``order`` columns."""
+    from ..operators.report import global_rank
+
+    r = global_rank(records, [F.col(c) for c in order], "ordinal")
+    taken = F.lit(True) if cap is None else F.col("ordinal") <= cap
+    action = (F.when(~taken, F.lit("deferred"))
+              .when(F.col("is_dod"), F.lit("skipped: DoD"))
+              .otherwise(F.lit("download")))
+    return r.withColumn("action", action)

@@ -137,3 +137,21 @@ def sorted_report(df: DataFrame, columns: list[tuple[str, str]], order: list[Col
     return ranked.select(*[F.col(src).alias(dst) for src, dst in columns], "rank")
 
 
+
+
+def preview(df: DataFrame, group: str, name: str, n: int = 5) -> DataFrame:
+    """Per group: its size, the first ``n`` names in sorted order and how many
+    more there are ("... and N more", F4).
+
+    Only the first ``n`` names per group are kept (row_number limit, applied
+    per map partition before the shuffle), so a large group never gathers in
+    one task; the size comes from a separate partial + final count.
+    """
+    w = Window.partitionBy(group).orderBy(name)
+    first = (df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
+             .groupBy(group).agg(F.array_sort(F.collect_list(F.struct("_rn", name))).alias("_f")))
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    j = sizes.join(first, group)
+    return j.select(group, "n",
+                    F.array_join(F.transform("_f", lambda x: x[name]), ", ").alias("first_names"),
+                    F.greatest(F.col("n") - n, F.lit(0)).alias("more"))

@@ -297,3 +297,49 @@ def incremental_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cand.join(files, "saved_path", "left_semi").select(
         "event_id", "pdf_url", "filename", "agency", "saved_path")
 
+
+
+@query("sync_preview", f"""
+WITH m AS (
+  SELECT DISTINCT {S.safe_filename('pdf_url')} AS k FROM ({DOC_MANIFEST_SQL}) WHERE lang IN ('en', 'fr')
+), d AS (
+  SELECT DISTINCT name AS k FROM (SELECT * FROM ({LISTING_A}) UNION ALL SELECT * FROM ({LISTING_B}))
+), r AS (
+  SELECT coalesce(m.k, d.k) AS on_disk_filename,
+    CASE WHEN m.k IS NOT NULL AND d.k IS NOT NULL THEN 'kept' WHEN m.k IS NOT NULL THEN 'removed'
+         ELSE 'missing' END AS status
+  FROM m FULL OUTER JOIN d ON m.k = d.k
+)
+SELECT status, count(*) AS n,
+  array_to_string(list(on_disk_filename ORDER BY on_disk_filename)[1:5], ', ') AS first_names,
+  greatest(count(*) - 5, 0) AS more
+FROM r GROUP BY status
+""")
+def sync_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reconcile summary: per status its count, five names and "and N more"."""
+    from ..operators.report import preview
+
+    return preview(sync_report(spark, sf_dir), "status", "on_disk_filename", 5)
+
+
+DOWNLOAD_CAP = 20
+
+
+@query("download_plan", f"""
+WITH n AS (
+  SELECT m.doc_id, m.pdf_url, m.filename, m.is_dod FROM ({DOC_MANIFEST_SQL}) m
+  WHERE NOT EXISTS (
+    SELECT 1 FROM (SELECT * FROM ({LISTING_A}) UNION ALL SELECT * FROM ({LISTING_B})) f
+    WHERE f.length > 1024 AND f.name = {S.safe_filename('m.pdf_url')})
+), r AS (SELECT *, row_number() OVER (ORDER BY doc_id) AS ordinal FROM n)
+SELECT pdf_url, filename, is_dod, ordinal,
+  CASE WHEN ordinal > {DOWNLOAD_CAP} THEN 'deferred' WHEN is_dod THEN 'skipped: DoD' ELSE 'download' END AS action
+FROM r
+""")
+def download_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New (not yet landed) documents in discovery order with a per-run cap;
+    DoD rows use up the cap without being fetched."""
+    m = doc_manifest(spark, sf_dir)
+    new = M.not_yet_landed(m, listings(spark, sf_dir)).select("doc_id", "pdf_url", "filename", "is_dod")
+    plan = M.download_plan(new, ["doc_id"], DOWNLOAD_CAP)
+    return plan.select("pdf_url", "filename", "is_dod", "ordinal", "action")
