@@ -59,13 +59,17 @@ def parse_model_deviation(resp) -> Column:
 
 
 def merge_fields(docs: DataFrame, model: DataFrame | None, key: str = "pdf_url",
-                 take_model_date: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+                 take_model_date: bool = True, carry: tuple[str, ...] = (),
+                 title_fallback_when_blank: bool = False) -> DataFrame:
     """Regex fields first, model fields second.
 
     ``docs``: key, agency, filename, text.  ``model``: key, response (JSON
     text) or None when no model ran (the fallback title is then used).
     Output rows: id, agency, deviation_number, title, effective_date, scope,
-    link.  Rows whose model answer names DoD are dropped.
+    link.  Rows whose model answer names DoD are dropped.  The full run takes
+    the model's date when the regexes found none (``take_model_date``); the
+    incremental run does not, and falls back to the file-name title for any
+    blank model title (``title_fallback_when_blank``).
     """
     d = text_gate(docs, max_chars=None).select(
         key, "agency", "filename", *carry,
@@ -82,7 +86,13 @@ def merge_fields(docs: DataFrame, model: DataFrame | None, key: str = "pdf_url",
     eff = F.col("rx_date")
     if take_model_date:
         eff = F.when(first_truthy(eff).isNull() & has_model, F.col("m.effective_date")).otherwise(eff)
-    title = F.when(has_model, F.col("m.title")).otherwise(fields.title_from_filename(F.col("filename")))
+    fallback = fields.title_from_filename(F.col("filename"))
+    if title_fallback_when_blank:
+        # incremental path: any falsy model title falls back to the file name
+        title = F.coalesce(first_truthy(F.col("m.title")), fallback)
+    else:
+        # full run: the file-name title only when the model gave no row
+        title = F.when(has_model, F.col("m.title")).otherwise(fallback)
     out = d.where(~(has_model & fields.is_dod_agency(F.col("m.agency"))))
     return out.select(
         fields.deviation_id(F.col("agency"), F.col("rx_num"), F.col("filename")).alias("id"),

@@ -114,8 +114,10 @@ def rebuild(listing: DataFrame, existing: DataFrame, db_meta: DataFrame) -> Data
     rest = F.coalesce(F.get(F.split(name, "_", 2), 1), name)
     return j.select(
         name.alias("on_disk_filename"),
-        first_truthy("e_url_hash", "d_url_hash", prefix).alias("url_hash"),
-        first_truthy("e_original_filename", "d_original_filename", rest).alias("original_filename"),
+        # the name-derived value is the last resort even when it is ''
+        F.coalesce(first_truthy("e_url_hash", "d_url_hash"), prefix).alias("url_hash"),
+        F.coalesce(first_truthy("e_original_filename", "d_original_filename"), rest)
+        .alias("original_filename"),
         F.coalesce(first_truthy("e_agency", "d_agency"), F.lit("")).alias("agency"),
         F.coalesce(first_truthy("e_part_number", "d_part_numbers"), F.lit("")).alias("part_number"),
         F.coalesce(first_truthy("e_is_dod", "d_is_dod"), F.lit("0")).alias("is_dod"),

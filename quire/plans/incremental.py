@@ -29,7 +29,7 @@ def extract_batch(docs: DataFrame) -> DataFrame:
     fields, file-name title, row id and the normalised date (J2 + J3)."""
     d = synth_doc_text(docs).withColumn("agency", fields.agency_label("filename"))
     m = X.merge_fields(d.select("pdf_url", "agency", "filename", "text", "doc_id"), None,
-                       take_model_date=False, carry=("doc_id",))
+                       take_model_date=False, carry=("doc_id",), title_fallback_when_blank=True)
     return with_normalized_date(m.drop("scope", "filename"))
 
 

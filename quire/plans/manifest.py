@@ -168,9 +168,9 @@ GROUP BY 1, 2
 WITH l AS (SELECT * FROM ({LISTING_A}) UNION ALL SELECT * FROM ({LISTING_B})),
 e AS ({EXISTING_SQL}), d AS ({DB_META_SQL})
 SELECT l.name AS on_disk_filename,
-  coalesce(nullif(e.url_hash, ''), nullif(d.url_hash, ''), nullif(split_part(l.name, '_', 1), '')) AS url_hash,
+  coalesce(nullif(e.url_hash, ''), nullif(d.url_hash, ''), split_part(l.name, '_', 1)) AS url_hash,
   coalesce(nullif(e.original_filename, ''), nullif(d.original_filename, ''),
-           nullif(CASE WHEN contains(l.name, '_') THEN substr(l.name, strpos(l.name, '_') + 1) ELSE l.name END, '')) AS original_filename,
+           CASE WHEN contains(l.name, '_') THEN substr(l.name, strpos(l.name, '_') + 1) ELSE l.name END) AS original_filename,
   coalesce(nullif(e.agency, ''), nullif(d.agency, ''), '') AS agency,
   coalesce(nullif(e.part_number, ''), nullif(d.part_numbers, ''), '') AS part_number,
   coalesce(nullif(e.is_dod, ''), nullif(d.is_dod, ''), '0') AS is_dod,

@@ -62,3 +62,13 @@ def test_sync_report(spark):
     disk = spark.createDataFrame([("b",), ("c",)], "name string")
     got = dict(M.sync_report(man, disk).collect())
     assert got == {"a": "removed", "b": "kept", "c": "missing"}
+
+
+def test_rebuild_blank_derived_values_stay_blank(spark):
+    listing = spark.createDataFrame([("_lead.pdf", 5), ("tail_", 5)], "name string, length long")
+    empty = spark.createDataFrame([], FS.MANIFEST_SCHEMA)
+    db = spark.createDataFrame([], "on_disk_filename string, url_hash string, original_filename string, "
+                                   "agency string, part_numbers string, is_dod string, source_url string")
+    out = {r["on_disk_filename"]: r for r in M.rebuild(listing, empty, db).collect()}
+    assert out["_lead.pdf"]["url_hash"] == "" and out["_lead.pdf"]["original_filename"] == "lead.pdf"
+    assert out["tail_"]["url_hash"] == "tail" and out["tail_"]["original_filename"] == ""
