@@ -63,7 +63,7 @@ def should_continue(collected: int, target: int, avg_relevance: float) -> bool:
 
 def frontier_rounds(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
                     max_depth: int, scored: DataFrame | None = None,
-                    target: int | None = None) -> DataFrame:
+                    target: int | None = None, salt: int = 8) -> DataFrame:
     """Level-by-level expansion of a frontier over a link-edge table.
 
     ``edges``: (src, dst) node ids; ``seeds``: (node).  Each round joins the
@@ -73,18 +73,27 @@ def frontier_rounds(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
     and a lost executor recomputes at most one round.  With ``scored``
     (node, keep, score) and ``target`` the stop test of B16 runs on one
     aggregate row per round.
+
+    Hub nodes: edges are keyed by ``(src, salt)`` with the salt taken from the
+    destination, and each frontier node is repeated once per salt value, so
+    the out-edges of a node holding a large share of all edges are joined by
+    ``salt`` tasks instead of one.
     Output: node, depth (smallest depth at which the node was reached).
     """
     ensure_checkpoint_dir(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # edges hash-partitioned by src once and cached in that layout, so every
-    # round's join shuffles only the frontier; their lineage is one scan and
-    # one dedup, so they are cached rather than checkpointed
-    e = edges.select("src", "dst").repartition(n, "src").distinct().persist()
+    # edges partitioned by (src, salt) once and cached in that layout, so each
+    # round's join shuffles only the (salted) frontier; their lineage is one
+    # scan and one dedup, so they are cached rather than checkpointed
+    e = (edges.select("src", "dst")
+         .withColumn("_salt", F.pmod(F.xxhash64("dst"), F.lit(salt)).cast("int"))
+         .repartition(n, "src", "_salt").distinct().persist())
+    salts = F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
     visited = _materialize(seeds.select(F.col("node"), F.lit(0).alias("depth")).distinct())
     frontier = visited.select("node")
     for depth in range(1, max_depth + 1):
-        nxt = (frontier.join(e, frontier["node"] == e["src"]).select(F.col("dst").alias("node"))
+        fs = frontier.select(F.col("node").alias("src"), salts.alias("_salt"))
+        nxt = (fs.join(e, ["src", "_salt"]).select(F.col("dst").alias("node"))
                .distinct().join(visited.select("node"), "node", "left_anti"))
         visited = _materialize(visited.unionByName(nxt.withColumn("depth", F.lit(depth))))
         frontier = visited.where(F.col("depth") == depth).select("node")
