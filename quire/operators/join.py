@@ -1,13 +1,20 @@
-"""Pattern (theta) join of rows to files by a glob, with an exact equi key.
+"""Pattern (theta) join of rows to files by a glob, with exact equi keys.
 
 A row ``id = "<agency>|<dev_num>"`` matches a file whose name globs
 ``*_<agency>*<dev_num>*``.  A bare LIKE join plans as a nested loop over all
-pairs.  Here the file side is exploded into its candidate agencies: for every
-``_`` in the name, each prefix (up to the longest agency on the row side) of
-the text after it.  The join is then an equi-join on the full agency, and the
-LIKE on the deviation number is the residual.  A file is paired only with rows
-of an agency it really contains after an ``_``, so the result is exact and no
-row is compared with files of other agencies.
+pairs.  Instead every row gets one equi key that any matching file must
+contain, and the full LIKE is the residual on the few candidates:
+
+* rows with a deviation number: every ``k``-character piece (gram) of the
+  number occurs in a matching file name, so the row is keyed by its *rarest*
+  gram among all file names (gram frequencies come from one partial + final
+  count).  A file is paired only with rows whose rarest gram it contains,
+  not with every row of its agency.
+* rows without one (``*_<agency>*``): keyed by the agency, matched against
+  the prefixes of the text after each ``_`` of the file name; every such
+  pair is a true match, so the candidates are exactly the output.
+
+The result equals brute-force glob matching (tested).
 """
 from __future__ import annotations
 
@@ -16,11 +23,32 @@ from pyspark.sql import functions as F
 
 from ..functions.text import split_once
 
+GRAM = 4
+
 
 def _like_escape(c):
     return F.regexp_replace(c, r"([\\%_])", r"\\$1")
 
 
+def substrings(col, lengths: int):
+    """Distinct substrings of ``col`` of length 1..``lengths`` (all positions)."""
+    n = F.length(col)
+    per_len = F.transform(
+        F.sequence(F.lit(1), F.lit(lengths)),
+        lambda ln: F.transform(F.sequence(F.lit(1), F.greatest(n - ln + 1, F.lit(1))),
+                               lambda i: F.substring(col, i, ln)))
+    grams = F.filter(F.flatten(per_len), lambda g: F.length(g) > 0)
+    return F.array_distinct(grams)
+
+
+def grams_of(col, k: int):
+    """Substrings of length ``min(k, len)`` at every position (the row side)."""
+    n = F.length(col)
+    ln = F.least(n, F.lit(k))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - ln + 1, F.lit(1))),
+                                        lambda i: F.substring(col, i, ln)))
+
+
 def candidate_agencies(name, max_len: int):
     """Distinct strings that follow some ``_`` in ``name``, of length 0..max_len."""
     parts = F.split(name, "_")
@@ -34,15 +62,38 @@ def candidate_agencies(name, max_len: int):
 
 
 def glob_match_join(rows: DataFrame, files: DataFrame, id_col: str = "id",
-                    name_col: str = "filename") -> DataFrame:
+                    name_col: str = "filename", k: int = GRAM) -> DataFrame:
     """Pairs (row, file) where the file name globs ``*_{agency}*{dev_num}*``."""
     r = rows.select("*", split_once(F.col(id_col), "|", 0).alias("_agency"),
                     F.coalesce(split_once(F.col(id_col), "|", 1), F.lit("")).alias("_dev"))
     r = r.withColumn("_pat", F.concat(F.lit("%\\_"), _like_escape(F.col("_agency")), F.lit("%"),
                                       _like_escape(F.col("_dev")), F.lit("%")))
-    # one scalar: the longest agency bounds the candidate prefixes per file
-    max_len = r.agg(F.max(F.length("_agency"))).first()[0] or 0
-    f = files.select("*", F.explode(candidate_agencies(F.col(name_col), max_len)).alias("_agency"))
-    m = r.join(f, "_agency").where(F.like(F.col(name_col), F.col("_pat")))
+    name = F.col(name_col)
     out_cols = rows.columns + [c for c in files.columns if c not in rows.columns]
-    return m.select(*out_cols).distinct()
+
+    # rows with a deviation number: key = rarest gram of the number
+    fg = files.select("*", F.explode(substrings(name, k)).alias("_gram"))
+    freq = fg.groupBy("_gram").agg(F.count(F.lit(1)).alias("_freq"))
+    with_dev = r.where(F.col("_dev") != "")
+    # the key depends only on the id, so it is chosen once per distinct id
+    rg = with_dev.select(id_col, "_dev").distinct().select(
+        id_col, F.explode(grams_of(F.col("_dev"), k)).alias("_gram"))
+    # a gram that no file contains rules the row out (inner join drops it)
+    best = (rg.join(freq, "_gram").groupBy(id_col)
+            .agg(F.min(F.struct("_freq", "_gram")).alias("_b"))
+            .select(id_col, F.col("_b._gram").alias("_gram")))
+    keyed = with_dev.join(best, id_col)
+    m1 = keyed.join(fg, "_gram").where(F.like(name, F.col("_pat")))
+
+    # rows without one: key = agency, candidates are exact matches
+    no_dev = r.where(F.col("_dev") == "")
+    max_len = no_dev.agg(F.max(F.length("_agency"))).first()[0]
+    parts = [m1.select(*out_cols)]
+    if max_len is not None:
+        fa = files.select("*", F.explode(candidate_agencies(name, max_len)).alias("_agency"))
+        m2 = no_dev.join(fa, "_agency").where(F.like(name, F.col("_pat")))
+        parts.append(m2.select(*out_cols))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.distinct()

@@ -114,3 +114,25 @@ def test_conform_and_stamp(spark):
     assert out.schema == schema and out.first() == ("a", 5, None)
     ts = dt.datetime(2026, 4, 27, 6, 30)
     assert store.stamp(df, "scraped_at", ts).first()["scraped_at"] == ts
+
+
+def test_glob_match_join_random_vs_brute_force(spark):
+    import fnmatch
+    import random
+
+    from quire.operators.join import glob_match_join
+
+    rnd = random.Random(7)
+    alpha = "AB_1-"
+
+    def word(lo, hi):
+        return "".join(rnd.choice(alpha) for _ in range(rnd.randint(lo, hi)))
+
+    ids = sorted({word(0, 3) + "|" + word(0, 5) for _ in range(60)})
+    names = sorted({word(1, 12) for _ in range(120)})
+    rows = spark.createDataFrame([(i,) for i in ids], "id string")
+    files = spark.createDataFrame([(n,) for n in names], "filename string")
+    got = sorted((r["id"], r["filename"]) for r in glob_match_join(rows, files).collect())
+    want = sorted((i, n) for i in ids for n in names
+                  if fnmatch.fnmatchcase(n, "*_" + i.split("|", 1)[0] + "*" + i.split("|", 1)[1] + "*"))
+    assert got == want
