@@ -42,7 +42,9 @@ def running_total(df: DataFrame, ts: str, unit: str = "day") -> DataFrame:
     Rows are aggregated per period first (partial + final), and the running
     sum is a window over the small per-period result only.
     """
-    g = df.groupBy(F.date_trunc(unit, F.col(ts)).alias("period")).agg(F.count(F.lit(1)).alias("n"))
+    # a day is a DATE (no session time zone involved); other units truncate
+    period = F.to_date(F.col(ts)) if unit == "day" else F.date_trunc(unit, F.col(ts))
+    g = df.groupBy(period.alias("period")).agg(F.count(F.lit(1)).alias("n"))
     w = Window.orderBy("period").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return g.select("period", "n", F.sum("n").over(w).alias("running_total"),
                     F.row_number().over(Window.orderBy("period")).cast("bigint").alias("ordinal"))
@@ -68,7 +70,7 @@ def run_summary(records: DataFrame, by: list[str], ts: str = "ts") -> DataFrame:
         F.count_if(err.isNotNull() & F.col("saved_path").isNull()).alias("failed_count"),
         F.coalesce(F.bool_or(err.isNotNull() & ~is_expected_error(err)), F.lit(False))
         .alias("has_real_failure"))
-    micros = F.unix_micros(F.col("_end").cast("timestamp")) - F.unix_micros(F.col("_start").cast("timestamp"))
+    micros = F.expr("timestampdiff(MICROSECOND, _start, _end)")
     return g.select(
         *by, F.date_format("_start", fmt).alias("started_utc"),
         F.date_format("_end", fmt).alias("finished_utc"),
