@@ -86,7 +86,7 @@ def column_widths(df: DataFrame, caps: dict[str, int], floor: int = 10, pad: int
     m = df.agg(*aggs)
     rows = [F.struct(F.lit(i + 1).alias("position"), F.lit(c).alias("column"),
                      (F.greatest(F.lit(floor), F.lit(min(len(c), cap)),
-                                 F.coalesce(F.col(c), F.lit(0))) + pad).alias("width"))
+                                 F.coalesce(F.col(c), F.lit(0))) + pad).cast("bigint").alias("width"))
             for i, (c, cap) in enumerate(caps.items())]
     return m.select(F.inline(F.array(*rows)))
 

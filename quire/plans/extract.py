@@ -100,7 +100,8 @@ FROM documents WHERE length(text) >= 200
 """)
 def text_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = X.text_gate(table(spark, sf_dir, "documents", "doc_id", "text"))
-    return d.select("doc_id", F.length("text").alias("chars"), F.md5("text").alias("text_md5"))
+    return d.select("doc_id", F.length("text").cast("bigint").alias("chars"),
+                    F.md5("text").alias("text_md5"))
 
 
 @query("assemble_text", """

@@ -16,7 +16,7 @@ from .sections import _fields_sql, _sections_sql, clause_docs
 
 @query("running_total", """
 WITH g AS (SELECT CAST(ts AS DATE) AS period, count(*) AS n FROM events GROUP BY 1)
-SELECT period, n, sum(n) OVER (ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_total,
+SELECT period, n, CAST(sum(n) OVER (ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_total,
        row_number() OVER (ORDER BY period) AS ordinal
 FROM g
 """)

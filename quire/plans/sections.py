@@ -102,7 +102,7 @@ FROM y
 def section_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = SEC.segment(clause_docs(spark, sf_dir), keep=("doc_id",))
     return s.select("doc_id", "pos", "number", "title",
-                    F.length("section").alias("section_chars"))
+                    F.length("section").cast("bigint").alias("section_chars"))
 
 
 @query("dedup_keep_first", f"SELECT doc_id, pos, number FROM ({_sections_sql(True)})")

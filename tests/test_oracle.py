@@ -21,10 +21,18 @@ def con():
     return c
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double",
+                 "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz",
+                 "INTEGER[]": "array<int>", "VARCHAR[]": "array<string>"}
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
+    rel = con.sql(entry.oracle_sql()[name])
+    types = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert types == dict(df.dtypes)
     res = con.execute(entry.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
