@@ -57,14 +57,10 @@ def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def discover_batch(pages: DataFrame) -> DataFrame:
     """Document links of one batch of landed pages as manifest rows."""
     links = L.extract_links(pages, keep=("url",))
-    m = L.explode_parts(L.link_manifest(links, _root(), pattern=DOC_LINK_RE))
+    m = L.explode_parts(L.link_manifest(links, site_root(F.col("url")), pattern=DOC_LINK_RE))
     return m.select(*M.MANIFEST_COLUMNS, "page_id", "pos")
 
 
-def _root():
-    return site_root(F.col("url"))
-
-
 @query("incremental_discover", f"""
 SELECT DISTINCT pdf_url, agency, filename,
        unnest(CASE WHEN len(part_numbers) > 0 THEN part_numbers ELSE [-1] END) AS part_number,
