@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.urls import registered_domain
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 # Domains the hit merge always drops.
 SKIP_DOMAINS = ("facebook.com", "twitter.com", "x.com", "pinterest.com", "instagram.com")
@@ -89,13 +89,13 @@ def frontier_rounds(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
          .withColumn("_salt", F.pmod(F.xxhash64("dst"), F.lit(salt)).cast("int"))
          .repartition(n, "src", "_salt").distinct().persist())
     salts = F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
-    visited = _materialize(seeds.select(F.col("node"), F.lit(0).alias("depth")).distinct())
+    visited = materialize(seeds.select(F.col("node"), F.lit(0).alias("depth")).distinct())
     frontier = visited.select("node")
     for depth in range(1, max_depth + 1):
         fs = frontier.select(F.col("node").alias("src"), salts.alias("_salt"))
         nxt = (fs.join(e, ["src", "_salt"]).select(F.col("dst").alias("node"))
                .distinct().join(visited.select("node"), "node", "left_anti"))
-        visited = _materialize(visited.unionByName(nxt.withColumn("depth", F.lit(depth))))
+        visited = materialize(visited.unionByName(nxt.withColumn("depth", F.lit(depth))))
         frontier = visited.where(F.col("depth") == depth).select("node")
         if scored is not None and target is not None:
             st = (visited.join(scored, "node").where(gate(F.col("keep"), F.col("score")))
@@ -107,12 +107,3 @@ def frontier_rounds(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
             break
     e.unpersist()
     return visited
-
-
-def _materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (cuts lineage into the shared checkpoint dir); the
-    persist keeps the checkpoint write from recomputing the data."""
-    df = df.persist()
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out

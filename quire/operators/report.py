@@ -112,17 +112,13 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rank",
     partition.  The offsets table has one row per partition, a proven bound,
     so it is broadcast.
     """
-    from ..session import ensure_checkpoint_dir
+    from ..session import materialize
 
     if estimated_bytes(df) <= single_task_bytes:
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     s = df.orderBy(*order).select("*", F.spark_partition_id().alias("_pid"),
                                   F.monotonically_increasing_id().alias("_mid"))
-    s = s.persist()
-    s_ck = s.checkpoint(eager=True)
-    s.unpersist()
+    s_ck = materialize(s)
     counts = s_ck.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

@@ -318,8 +318,11 @@ FROM r GROUP BY status
 def sync_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reconcile summary: per status its count, five names and "and N more"."""
     from ..operators.report import preview
+    from ..session import materialize
 
-    return preview(sync_report(spark, sf_dir), "status", "on_disk_filename", 5)
+    # the reconcile result feeds both the counts and the name lists: written
+    # once to the checkpoint directory instead of being computed twice
+    return preview(materialize(sync_report(spark, sf_dir)), "status", "on_disk_filename", 5)
 
 
 DOWNLOAD_CAP = 20

@@ -110,3 +110,16 @@ def spread(df: DataFrame, path: str | None = None, min_bytes: int = SPREAD_MIN_B
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the session's checkpoint directory.
+
+    Cuts lineage for results read more than once (or iterated on); the
+    persist keeps the checkpoint write from recomputing the data.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.persist()
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
