@@ -112,9 +112,12 @@ def json_fields(text, names: list[str]) -> Column:
 
 
 def validate(df: DataFrame, resp: str, required: dict[str, str],
-             optional: dict[str, str] | None = None) -> DataFrame:
+             optional: dict[str, str] | None = None, observation=None) -> DataFrame:
     """Rows whose response is a JSON object carrying every required field with
-    a value of the declared type; invalid responses yield no row (H19)."""
+    a value of the declared type; invalid responses yield no row (H19).
+
+    The accepted / rejected counts of the run (D10) are observed on the way;
+    pass a ``pyspark.sql.Observation`` to read them after an action."""
     v = F.try_parse_json(F.col(resp))
     cols = {n: F.try_variant_get(v, f"$.{n}", t) for n, t in required.items()}
     for n, t in (optional or {}).items():
@@ -124,9 +127,10 @@ def validate(df: DataFrame, resp: str, required: dict[str, str],
         ok = ok & cols[n].isNotNull()
     keep = [c for c in df.columns if c != resp]
     checked = df.select(*keep, *[c.alias(n) for n, c in cols.items()], ok.alias("_ok"))
-    # accepted / rejected counters of the run (D10), read back with
-    # ``Observation`` by callers that report them
-    checked = checked.observe("validate_counters", F.count_if("_ok").alias("accepted"),
+    import uuid
+
+    obs = observation if observation is not None else f"validate_counters_{uuid.uuid4().hex[:8]}"
+    checked = checked.observe(obs, F.count_if("_ok").alias("accepted"),
                               F.count_if(~F.col("_ok")).alias("rejected"))
     return checked.where("_ok").drop("_ok")
 

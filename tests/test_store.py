@@ -136,3 +136,13 @@ def test_glob_match_join_random_vs_brute_force(spark):
     want = sorted((i, n) for i in ids for n in names
                   if fnmatch.fnmatchcase(n, "*_" + i.split("|", 1)[0] + "*" + i.split("|", 1)[1] + "*"))
     assert got == want
+
+
+def test_validate_counts_observed(spark):
+    from pyspark.sql import Observation
+
+    df = spark.createDataFrame([(1, '{"k": 1}'), (2, "nope"), (3, '{"j": 2}')], "id int, r string")
+    obs = Observation("v")
+    out = X.validate(df, "r", {"k": "int"}, observation=obs)
+    assert [r["id"] for r in out.collect()] == [1]
+    assert obs.get == {"accepted": 1, "rejected": 2}
