@@ -101,14 +101,16 @@ def spread(df: DataFrame, path: str | None = None, min_bytes: int = SPREAD_MIN_B
     target = spark.sparkContext.defaultParallelism
     if target <= 1 or spark.conf.get("quire.spread.enabled", "true") == "false":
         return df
+    # split count first: on a cluster it settles the question without a
+    # (possibly large) file-system size query
+    if df.rdd.getNumPartitions() >= target:
+        return df
     if path is not None:
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         if fs.getContentSummary(p).getLength() < min_bytes:
             return df
-    if df.rdd.getNumPartitions() >= target:
-        return df
     return df.repartition(target)
 
 
