@@ -139,3 +139,13 @@ def download_plan(records: DataFrame, order: list[str], cap: int | None) -> Data
               .when(F.col("is_dod"), F.lit("skipped: DoD"))
               .otherwise(F.lit("download")))
     return r.withColumn("action", action)
+
+
+def attach_outcomes(work: DataFrame, outcomes: DataFrame, key: str = "pdf_url") -> DataFrame:
+    """Work rows with their download outcome (C2): a left join on the URL; a
+    row without an outcome, or whose outcome has no saved path, is failed.
+    ``outcomes``: key, saved_path, error (at most one row per key)."""
+    o = outcomes.select(key, "saved_path", "error", F.lit(True).alias("_has"))
+    j = work.join(o, key, "left")
+    failed = F.col("_has").isNull() | F.col("saved_path").isNull()
+    return j.withColumn("failed", failed).drop("_has")

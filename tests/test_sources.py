@@ -72,3 +72,11 @@ def test_rebuild_blank_derived_values_stay_blank(spark):
     out = {r["on_disk_filename"]: r for r in M.rebuild(listing, empty, db).collect()}
     assert out["_lead.pdf"]["url_hash"] == "" and out["_lead.pdf"]["original_filename"] == "lead.pdf"
     assert out["tail_"]["url_hash"] == "tail" and out["tail_"]["original_filename"] == ""
+
+
+def test_attach_outcomes(spark):
+    work = spark.createDataFrame([("u1", "a"), ("u2", "b"), ("u3", "c")], "pdf_url string, filename string")
+    outc = spark.createDataFrame([("u1", "/p/a", None), ("u2", None, "status 404")],
+                                 "pdf_url string, saved_path string, error string")
+    got = {r["pdf_url"]: r["failed"] for r in M.attach_outcomes(work, outc).collect()}
+    assert got == {"u1": False, "u2": True, "u3": True}
