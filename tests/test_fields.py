@@ -58,7 +58,7 @@ def test_deviation_number(spark):
 
 
 def test_safe_filename(spark):
-    url = "https://www.acquisition.gov/sites/default/files/page_file_uploads/GSA%20Dev (1).pdf"
+    url = "https://www.example.gov/sites/default/files/page_file_uploads/GSA%20Dev (1).pdf"
     df = spark.createDataFrame([(url,), (url,)], "url string")
     a, b = [r[0] for r in df.select(urls.safe_filename("url")).collect()]
     assert a == b
@@ -69,9 +69,9 @@ def test_safe_filename(spark):
 
 
 @pytest.mark.parametrize("href,base,want", [
-    ("/a/b.pdf", "https://www.acquisition.gov", "https://www.acquisition.gov/a/b.pdf"),
-    ("https://x.org/y.pdf", "https://www.acquisition.gov/g", "https://x.org/y.pdf"),
-    ("//cdn.org/z.pdf", "https://www.acquisition.gov/g", "https://cdn.org/z.pdf"),
+    ("/a/b.pdf", "https://www.example.gov", "https://www.example.gov/a/b.pdf"),
+    ("https://x.org/y.pdf", "https://www.example.gov/g", "https://x.org/y.pdf"),
+    ("//cdn.org/z.pdf", "https://www.example.gov/g", "https://cdn.org/z.pdf"),
     ("c.pdf", "https://h.org/dir/page", "https://h.org/dir/c.pdf"),
 ])
 def test_resolve(spark, href, base, want):
