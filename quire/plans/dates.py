@@ -14,30 +14,34 @@ from ..session import table
 from .registry import query
 
 
+# The raw text per order as one Spark SQL expression (handed to the JVM in a
+# single call); the same formula as RAW_DATES_SQL below.
+_RAW_DATE_EXPR = """
+CASE o_orderkey % 12
+  WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd')
+  WHEN 1 THEN date_format(o_orderdate, 'yyyy.MM.dd')
+  WHEN 2 THEN date_format(o_orderdate, 'M/d/yyyy')
+  WHEN 3 THEN CASE WHEN o_custkey % 3 = 0 THEN upper(date_format(o_orderdate, 'MMMM d, yyyy'))
+                   ELSE date_format(o_orderdate, 'MMMM d, yyyy') END
+  WHEN 4 THEN concat(date_format(o_orderdate, 'MMMM d, yyyy'), ' (Effective immediately)')
+  WHEN 5 THEN CASE WHEN o_custkey % 2 = 0 THEN 'Immediately' ELSE 'Effective upon issuance' END
+  WHEN 6 THEN concat('Date of issuance of the FY', date_format(o_orderdate, 'yy'), ' model language')
+  WHEN 7 THEN concat(CAST(o_custkey % 60 AS STRING), ' days from signature')
+  WHEN 8 THEN CASE WHEN o_custkey % 2 = 0 THEN NULL ELSE '   ' END
+  WHEN 9 THEN CASE WHEN o_custkey % 2 = 0 THEN 'TBD' ELSE date_format(o_orderdate, 'MMMM d yyyy') END
+  WHEN 10 THEN CASE WHEN o_custkey % 2 = 0 THEN concat(date_format(o_orderdate, 'yyyy'), '-13-40')
+                    ELSE concat('February 30, ', date_format(o_orderdate, 'yyyy')) END
+  ELSE concat('  ', date_format(o_orderdate, 'yyyy-MM-dd'), ' ')
+END
+"""
+
+
 def raw_dates(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = (),
               heavy: bool = True) -> DataFrame:
     """``(o_orderkey, effective_date, *extra)`` free text derived from each order."""
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", *extra,
               heavy=heavy)
-    d, k, c = F.col("o_orderdate"), F.col("o_orderkey") % 12, F.col("o_custkey")
-    long_ = F.date_format(d, "MMMM d, yyyy")
-    raw = (F.when(k == 0, F.date_format(d, "yyyy-MM-dd"))
-           .when(k == 1, F.date_format(d, "yyyy.MM.dd"))
-           .when(k == 2, F.date_format(d, "M/d/yyyy"))
-           .when(k == 3, F.when(c % 3 == 0, F.upper(long_)).otherwise(long_))
-           .when(k == 4, F.concat(long_, F.lit(" (Effective immediately)")))
-           .when(k == 5, F.when(c % 2 == 0, F.lit("Immediately"))
-                 .otherwise(F.lit("Effective upon issuance")))
-           .when(k == 6, F.concat(F.lit("Date of issuance of the FY"),
-                                  F.date_format(d, "yy"), F.lit(" model language")))
-           .when(k == 7, F.concat((c % 60).cast("string"), F.lit(" days from signature")))
-           .when(k == 8, F.when(c % 2 == 0, F.lit(None)).otherwise(F.lit("   ")))
-           .when(k == 9, F.when(c % 2 == 0, F.lit("TBD"))
-                 .otherwise(F.date_format(d, "MMMM d yyyy")))
-           .when(k == 10, F.when(c % 2 == 0, F.concat(F.date_format(d, "yyyy"), F.lit("-13-40")))
-                 .otherwise(F.concat(F.lit("February 30, "), F.date_format(d, "yyyy"))))
-           .otherwise(F.concat(F.lit("  "), F.date_format(d, "yyyy-MM-dd"), F.lit(" "))))
-    return o.select("o_orderkey", raw.alias("effective_date"), *extra)
+    return o.select("o_orderkey", F.expr(_RAW_DATE_EXPR).alias("effective_date"), *extra)
 
 
 RAW_DATES_SQL = """

@@ -20,31 +20,37 @@ def doc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 heavy=True))
 
 
+# Phrase shapes and names per document as Spark SQL expressions (each handed
+# to the JVM in one call); the same formulas as DOC_TEXT_SQL below.
+_DAY = "date_add(DATE'2025-01-01', CAST(doc_id % 365 AS INT))"
+_DOC_TEXT_EXPR = f"""
+concat_ws(' ', text,
+  CASE doc_id % 6
+    WHEN 0 THEN concat('Effective Date: ', date_format({_DAY}, 'MMMM d, yyyy'))
+    WHEN 1 THEN concat('This deviation is effective on ', date_format({_DAY}, 'MMMM d, yyyy'), '.')
+    WHEN 2 THEN concat('effective ', date_format({_DAY}, 'yyyy-MM-dd'))
+    WHEN 3 THEN concat('effective: ', date_format({_DAY}, 'M/d/yyyy'))
+    WHEN 4 THEN ''
+    ELSE concat('effective ', date_format({_DAY}, 'yyyy-MM-dd'), ' and effective date: ',
+                date_format({_DAY}, 'MMMM d, yyyy'))
+  END,
+  CASE doc_id % 5
+    WHEN 0 THEN concat('Class Deviation CD-', CAST(2020 + doc_id % 6 AS STRING), '-0',
+                       CAST(doc_id % 9 AS STRING), ' is issued')
+    WHEN 1 THEN concat('Class Deviation ', CAST(doc_id % 90 + 10 AS STRING), '-0',
+                       CAST(doc_id % 7 AS STRING), ' supersedes')
+    WHEN 2 THEN 'this deviation notice'
+    WHEN 3 THEN concat('Class Deviation (Number ', CAST(2000 + doc_id % 30 AS STRING), '-',
+                       CAST(doc_id % 13 AS STRING), ')')
+    ELSE ''
+  END)
+"""
+_FILENAME_EXPR = "concat(source, '_', lang, '_doc_', CAST(doc_id AS STRING), '.pdf')"
+
+
 def synth_doc_text(d: DataFrame) -> DataFrame:
-    i = F.col("doc_id")
-    day = F.date_add(F.lit("2025-01-01").cast("date"), (i % 365).cast("int"))
-    lng, iso, us = (F.date_format(day, "MMMM d, yyyy"), F.date_format(day, "yyyy-MM-dd"),
-                    F.date_format(day, "M/d/yyyy"))
-    k = i % 6
-    eff = (F.when(k == 0, F.concat(F.lit("Effective Date: "), lng))
-           .when(k == 1, F.concat(F.lit("This deviation is effective on "), lng, F.lit(".")))
-           .when(k == 2, F.concat(F.lit("effective "), iso))
-           .when(k == 3, F.concat(F.lit("effective: "), us))
-           .when(k == 4, F.lit(""))
-           .otherwise(F.concat(F.lit("effective "), iso, F.lit(" and effective date: "), lng)))
-    j = i % 5
-    dev = (F.when(j == 0, F.concat(F.lit("Class Deviation CD-"), (2020 + i % 6).cast("string"),
-                                   F.lit("-0"), (i % 9).cast("string"), F.lit(" is issued")))
-           .when(j == 1, F.concat(F.lit("Class Deviation "), (i % 90 + 10).cast("string"), F.lit("-0"),
-                                  (i % 7).cast("string"), F.lit(" supersedes")))
-           .when(j == 2, F.lit("this deviation notice"))
-           .when(j == 3, F.concat(F.lit("Class Deviation (Number "), (2000 + i % 30).cast("string"),
-                                  F.lit("-"), (i % 13).cast("string"), F.lit(")")))
-           .otherwise(F.lit("")))
-    fname = F.concat(F.col("source"), F.lit("_"), F.col("lang"), F.lit("_doc_"), i.cast("string"),
-                     F.lit(".pdf"))
-    return d.select("doc_id", "lang", "source",
-                    F.concat_ws(" ", F.col("text"), eff, dev).alias("text"),
+    fname = F.expr(_FILENAME_EXPR)
+    return d.select("doc_id", "lang", "source", F.expr(_DOC_TEXT_EXPR).alias("text"),
                     fname.alias("filename"),
                     F.concat(F.lit("https://docs.example.org/"), F.col("source"), F.lit("/"), fname)
                     .alias("pdf_url"))
