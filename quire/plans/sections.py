@@ -18,27 +18,25 @@ from .registry import query
 MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
 
 
+_MONTHS_ARRAY = "array(" + ", ".join(f"'{m}'" for m in MONTHS) + ")"
+# every line rewritten by its 0-based index i (one Spark SQL expression)
+_CLAUSE_TEXT_EXPR = f"""
+array_join(transform(split(text, '\\n', -1), (x, i) ->
+  CASE i % 4
+    WHEN 0 THEN concat('52.', CAST(doc_id % 50 AS STRING), '-', CAST(i % 7 AS STRING), ' ', x)
+    WHEN 1 THEN concat('As prescribed in ', CAST(i AS STRING), ', insert the following ',
+                       CASE WHEN doc_id % 2 = 0 THEN 'provision' ELSE 'clause' END, ': ', x,
+                       ' (', element_at({_MONTHS_ARRAY}, i % 12 + 1), ' ', CAST(2000 + i % 27 AS STRING), ')')
+    WHEN 2 THEN x
+    ELSE concat(x, ' (End of ', CASE i % 3 WHEN 0 THEN 'clause' WHEN 1 THEN 'provision'
+                                   ELSE 'Solicitation Provision' END, ')')
+  END), '\\n')
+"""
+
+
 def clause_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents", "doc_id", "text", heavy=True)
-    doc = F.col("doc_id")
-
-    def line(x, i):
-        k = i % 4
-        kind = F.when(doc % 2 == 0, F.lit("provision")).otherwise(F.lit("clause"))
-        month = F.element_at(F.array(*[F.lit(m) for m in MONTHS]), (i % 12 + 1).cast("int"))
-        end = (F.when(i % 3 == 0, F.lit("clause")).when(i % 3 == 1, F.lit("provision"))
-               .otherwise(F.lit("Solicitation Provision")))
-        return (F.when(k == 0, F.concat(F.lit("52."), (doc % 50).cast("string"), F.lit("-"),
-                                        (i % 7).cast("string"), F.lit(" "), x))
-                .when(k == 1, F.concat(F.lit("As prescribed in "), i.cast("string"),
-                                       F.lit(", insert the following "), kind, F.lit(": "), x,
-                                       F.lit(" ("), month, F.lit(" "), (2000 + i % 27).cast("string"),
-                                       F.lit(")")))
-                .when(k == 2, x)
-                .otherwise(F.concat(x, F.lit(" (End of "), end, F.lit(")"))))
-
-    txt = F.array_join(F.transform(F.split(F.col("text"), "\n"), line), "\n")
-    return d.select("doc_id", txt.alias("text"))
+    return d.select("doc_id", F.expr(_CLAUSE_TEXT_EXPR).alias("text"))
 
 
 _MON = "[" + ", ".join(S.q(m) for m in MONTHS) + "]"
