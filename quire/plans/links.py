@@ -188,24 +188,27 @@ def agency_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     fields.is_dod("filename").alias("is_dod"))
 
 
+# one file-name shape per line item (Spark SQL; same formula as below)
+_LINEITEM_NAME_EXPR = """
+CASE l_orderkey % 6
+  WHEN 0 THEN concat('GSA_Class_Deviation_Parts-', CAST(l_linenumber AS STRING), '-',
+                     CAST(l_partkey % 53 AS STRING), '.pdf')
+  WHEN 1 THEN concat('USAID_RFO_Deviation_Parts-', CAST(l_linenumber AS STRING), '-',
+                     CAST(l_suppkey % 53 AS STRING), '-and-', CAST(l_partkey % 11 AS STRING), '.PDF')
+  WHEN 2 THEN concat('DOD_Deviation_Part-', CAST(l_partkey % 53 AS STRING), '.pdf')
+  WHEN 3 THEN concat('GSA_Parts-', CAST(l_linenumber AS STRING), '-', CAST(l_partkey % 7 AS STRING),
+                     '_v2.pdf')
+  WHEN 4 THEN concat('DEFENSE_Part_', CAST(l_linenumber AS STRING), '_memo.pdf')
+  ELSE concat('mystery_', CAST(l_linenumber AS STRING), '.pdf')
+END
+"""
+
+
 def lineitem_names(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """File names of every shape the part-number parser handles, per line item."""
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                heavy=heavy)
-    k, ln = F.col("l_orderkey") % 6, F.col("l_linenumber").cast("string")
-    pk, sk = F.col("l_partkey"), F.col("l_suppkey")
-    name = (F.when(k == 0, F.concat(F.lit("GSA_Class_Deviation_Parts-"), ln, F.lit("-"),
-                                    (pk % 53).cast("string"), F.lit(".pdf")))
-            .when(k == 1, F.concat(F.lit("USAID_RFO_Deviation_Parts-"), ln, F.lit("-"),
-                                   (sk % 53).cast("string"), F.lit("-and-"),
-                                   (pk % 11).cast("string"), F.lit(".PDF")))
-            .when(k == 2, F.concat(F.lit("DOD_Deviation_Part-"), (pk % 53).cast("string"),
-                                   F.lit(".pdf")))
-            .when(k == 3, F.concat(F.lit("GSA_Parts-"), ln, F.lit("-"), (pk % 7).cast("string"),
-                                   F.lit("_v2.pdf")))
-            .when(k == 4, F.concat(F.lit("DEFENSE_Part_"), ln, F.lit("_memo.pdf")))
-            .otherwise(F.concat(F.lit("mystery_"), ln, F.lit(".pdf"))))
-    return li.select("l_orderkey", "l_linenumber", name.alias("filename"))
+    return li.select("l_orderkey", "l_linenumber", F.expr(_LINEITEM_NAME_EXPR).alias("filename"))
 
 
 LINEITEM_NAMES_SQL = """
