@@ -149,6 +149,16 @@ def is_dod(fname) -> Column:
 
 def parts_from_filename(fname) -> Column:
     """array<int> of part numbers named in a file name (ranges not expanded)."""
+    if isinstance(fname, str):
+        c = f"`{fname}`"
+        lst, single = _sql_str(PARTS_LIST_RE), _sql_str(PART_SINGLE_RE)
+        return F.expr(
+            f"CASE WHEN {c} RLIKE {lst} "
+            f"THEN transform(regexp_extract_all(regexp_extract({c}, {lst}, 1), '(\\\\d+)', 1), "
+            f"x -> try_cast(x AS INT)) "
+            f"WHEN regexp_extract({c}, {single}, 1) != '' "
+            f"THEN array(try_cast(regexp_extract({c}, {single}, 1) AS INT)) "
+            f"ELSE CAST(array() AS ARRAY<INT>) END")
     f = _c(fname)
     lst = F.regexp_extract(f, PARTS_LIST_RE, 1)
     single = F.regexp_extract(f, PART_SINGLE_RE, 1)
