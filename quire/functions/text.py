@@ -34,11 +34,6 @@ def first_truthy(*cols) -> Column:
     return F.coalesce(*[blank_to_null(c) for c in cols])
 
 
-def extract_or_null(x, pattern: str, group: int = 1) -> Column:
-    """First match group of ``pattern`` or NULL (regexp_extract gives '')."""
-    return blank_to_null(F.regexp_extract(_c(x), pattern, group))
-
-
 def truncate(x, n: int) -> Column:
     """``text[:n]`` in code points."""
     return F.substring(_c(x), 1, n)

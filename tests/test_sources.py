@@ -80,3 +80,17 @@ def test_attach_outcomes(spark):
                                  "pdf_url string, saved_path string, error string")
     got = {r["pdf_url"]: r["failed"] for r in M.attach_outcomes(work, outc).collect()}
     assert got == {"u1": False, "u2": True, "u3": True}
+
+
+def test_landed_pages_and_page_text(spark, scratch):
+    from quire.operators import extract as X
+
+    pages = spark.createDataFrame([("u1", "<html>x</html>", None), ("u2", None, "status 404")],
+                                  FS.LANDED_PAGE_SCHEMA)
+    pages.write.parquet(scratch + "/landed")
+    got = {r["url"]: (r["html"], r["error"]) for r in FS.read_landed_pages(spark, scratch + "/landed").collect()}
+    assert got == {"u1": ("<html>x</html>", None), "u2": (None, "status 404")}
+    text = spark.createDataFrame([("d", 2, "two"), ("d", 1, "one")], FS.PAGE_TEXT_SCHEMA)
+    text.write.parquet(scratch + "/text")
+    t = FS.read_page_text(spark, scratch + "/text")
+    assert X.assemble_text(t, "doc", "page_no", "page_text").first()["page_text"] == "one\ntwo"
