@@ -24,13 +24,21 @@ ARRIVAL_FILES = 4
 FILES_PER_BATCH = 2
 
 
-def extract_batch(docs: DataFrame) -> DataFrame:
-    """Regex-only extraction of one batch of documents (model unavailable):
-    fields, file-name title, row id and the normalised date (J2 + J3)."""
+def extract_batch(docs: DataFrame, model: DataFrame | None = None) -> DataFrame:
+    """Extraction of one batch of documents (J2 + J3): regex fields, model
+    title/scope when a model answer table is given (left join on the URL;
+    without one it degrades to regex-only with the file-name title), row id
+    and the normalised date."""
     d = synth_doc_text(docs).withColumn("agency", fields.agency_label("filename"))
-    m = X.merge_fields(d.select("pdf_url", "agency", "filename", "text", "doc_id"), None,
+    m = X.merge_fields(d.select("pdf_url", "agency", "filename", "text", "doc_id"), model,
                        take_model_date=False, carry=("doc_id",), title_fallback_when_blank=True)
-    return with_normalized_date(m.drop("scope", "filename"))
+    out = m.drop("filename") if model is not None else m.drop("scope", "filename")
+    return with_normalized_date(out)
+
+
+def extract_batch_with(model: DataFrame | None):
+    """``extract_batch`` bound to an (optional) model answer table."""
+    return lambda docs: extract_batch(docs, model)
 
 
 @query("incremental_extract", NORMALIZED_SQL.format(raw=f"""

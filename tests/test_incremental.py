@@ -38,3 +38,21 @@ def test_new_file_only_adds_its_rows(spark):
     INC.run_available(spark, src + "/part=a", docs.schema, P.extract_batch, root, ["id"], ["doc_id"], ckpt)
     n1 = INC.read_state(spark, root).count()
     assert n1 > 0
+
+
+def test_stream_with_model_answers(spark):
+    """Model answers are an optional left-joined table: titles come from the
+    model where it answered (blank titles fall back to the file name)."""
+    docs = table(spark, SF_SMALL, "documents", "doc_id", "text", "lang", "source")
+    from quire.plans.extract import model_answers, synth_doc_text
+
+    model = model_answers(spark, SF_SMALL, synth_doc_text(docs))
+    src, root, ckpt = (INC.scratch(spark, n) for n in ("t3-docs", "t3-state", "t3-ckpt"))
+    INC.land_in_files(docs, src, 2, "source")
+    INC.run_available(spark, src, docs.schema, P.extract_batch_with(model), root, ["id"], ["doc_id"], ckpt)
+    state = INC.read_state(spark, root)
+    assert "scope" in state.columns
+    titles = [r["title"] for r in state.collect()]
+    assert any(t.startswith("Deviation ") for t in titles)      # model titles
+    assert any(t.startswith("src") for t in titles)             # file-name fallback
+    assert all(t for t in titles)
