@@ -82,6 +82,14 @@ PART_SINGLE_RE = r"(?i)Part[-_](\d+)"
 
 def first_match(text, patterns, fallback=None) -> Column:
     """Group 1 of the first pattern (in list order) that matches anywhere, stripped."""
+    if isinstance(text, str) and (fallback is None or isinstance(fallback, str)):
+        # one SQL expression for a named column: a single JVM call
+        strip_re = _sql_str(r"(?U)^\s+|\s+$")
+        hits = [f"nullif(regexp_replace(regexp_extract(`{text}`, {_sql_str(p)}, 1), {strip_re}, ''), '')"
+                for p in patterns]
+        if fallback is not None:
+            hits.append(f"`{fallback}`")
+        return F.expr("coalesce(" + ", ".join(hits) + ")")
     t = _c(text)
     hits = [blank_to_null(strip(F.regexp_extract(t, p, 1))) for p in patterns]
     if fallback is not None:
@@ -94,6 +102,8 @@ def effective_date(text) -> Column:
 
 
 def deviation_number(text, fallback_filename=None) -> Column:
+    if isinstance(text, str) and (fallback_filename is None or isinstance(fallback_filename, str)):
+        return first_match(text, DEVIATION_NUM_PATTERNS, fallback_filename)
     fb = fallback_filename if fallback_filename is not None else F.lit(None).cast("string")
     return first_match(text, DEVIATION_NUM_PATTERNS, fb)
 

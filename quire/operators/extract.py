@@ -73,8 +73,8 @@ def merge_fields(docs: DataFrame, model: DataFrame | None, key: str = "pdf_url",
     """
     d = text_gate(docs, max_chars=None).select(
         key, "agency", "filename", *carry,
-        fields.effective_date(F.col("text")).alias("rx_date"),
-        fields.deviation_number(F.col("text"), F.col("filename")).alias("rx_num"))
+        fields.effective_date("text").alias("rx_date"),
+        fields.deviation_number("text", "filename").alias("rx_num"))
     if model is not None:
         m = model.select(key, parse_model_deviation(F.col("response")).alias("m"))
         d = d.join(m, key, "left")

@@ -87,7 +87,7 @@ FROM ({DOC_TEXT_SQL})
 """)
 def effective_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = doc_text(spark, sf_dir)
-    return d.select("doc_id", fields.effective_date(F.col("text")).alias("effective_date"))
+    return d.select("doc_id", fields.effective_date("text").alias("effective_date"))
 
 
 @query("deviation_number", f"""
@@ -96,7 +96,7 @@ FROM ({DOC_TEXT_SQL})
 """)
 def deviation_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = doc_text(spark, sf_dir)
-    return d.select("doc_id", fields.deviation_number(F.col("text"), F.col("filename"))
+    return d.select("doc_id", fields.deviation_number("text", "filename")
                     .alias("deviation_number"))
 
 
