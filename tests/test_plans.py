@@ -52,3 +52,24 @@ def test_repartitioned_input_same_result(spark, name):
     finally:
         S.spread = orig
     assert base == again
+
+
+@pytest.mark.parametrize("name", ["pdf_manifest", "assemble_text", "heading_dates"])
+def test_first_per_key_limits_before_shuffle(spark, name):
+    """First-n-per-key windows keep at most n rows per key in every map task."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(entry.queries()[name](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("WindowGroupLimit") >= 2  # partial (map side) + final
+
+
+@pytest.mark.parametrize("name", ["upsert_last_wins", "frontier_union", "part_list"])
+def test_keyed_picks_are_partial_aggregates(spark, name):
+    plan = plan_of(entry.queries()[name](spark, SF_SMALL))
+    import re
+
+    assert "Window" not in plan.replace("WindowGroupLimit", "")
+    # partial (map-side) + final aggregate; struct buffers plan as SortAggregate
+    assert len(re.findall(r"(HashAggregate|SortAggregate|ObjectHashAggregate)", plan)) >= 2
