@@ -19,7 +19,7 @@ from ..functions.text import _c
 def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Row with the greatest ``order`` tuple per key (E3, "insert or replace").
 
-    ``max(struct(order..., payload...))`` is a partial + final hash aggregate:
+    ``max(struct(order..., payload...))`` is a partial + final (map-side combined) aggregate:
     each map task keeps one row per key before the shuffle, so a key that holds
     a third of all rows costs one row per partition, not a one-task sort.
     """
