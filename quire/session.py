@@ -41,9 +41,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory the cluster names.
 
-    On a cluster ``spark.checkpoint.dir`` is set to a shared, fault-tolerant
-    folder and is used as is.  Only when it is unset (local tests) a scratch
-    folder is created for this process.
+    On a cluster ``spark.checkpoint.dir`` must name a shared, fault-tolerant
+    folder; it is used as is and its absence is an error, because a machine-local
+    folder would be invisible to the other machines.  Only a ``local[...]``
+    session (tests, the bench) gets a scratch folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every machine shares")
         conf_dir = tempfile.mkdtemp(prefix="quire-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -117,11 +120,8 @@ def spread(df: DataFrame, path: str | None = None, min_bytes: int = SPREAD_MIN_B
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the session's checkpoint directory.
 
-    Cuts lineage for results read more than once (or iterated on); the
-    persist keeps the checkpoint write from recomputing the data.
+    Cuts lineage for results read more than once (or iterated on).  The rows are
+    computed once, by the job that writes them.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    df = df.persist()
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
+    return df.checkpoint(eager=True)
