@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import bpe, packing, simhash, token_counts
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +22,31 @@ def query(fn):
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), capacity=1024)
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(read(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), fold_space=True)
+    return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = _tokenizer("byte_bpe_50k.tiktoken")
+    ids = bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    both = ids.select("doc_id", "ids", bpe.decode(F.col("ids"), ranks).alias("bytes"))
+    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
