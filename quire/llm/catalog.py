@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, simhash, token_counts
-from .common import read
+from . import bpe, packing, repetition, simhash, token_counts
+from .common import inputs, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +50,33 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = ids.select("doc_id", "ids", bpe.decode(F.col("ids"), ranks).alias("bytes"))
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+@query
+def op3_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = inputs(read(spark, sf_dir, "documents")).select("doc_id", repetition.repetition(F.col("text")).alias("r"))
+    return judged.select("doc_id", "r.n_words", "r.word_chars", "r.n_symbols", "r.n_dup_lines", "r.n_repeat_words",
+                         "r.base_failed", "r.kept", "r.covered")
+
+
+# Windows of five words that occur twice cover the same words as repeated substrings of five words or
+# more, and a repeat is longer than 50 words when some window of 51 words occurs twice.
+ORACLES["op3_repetition_rules"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d),
+p AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+five AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i:i + 4]) > 1 AS again FROM p WHERE i + 4 <= len(words)),
+f AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat FROM five, range(5) r(j) WHERE again GROUP BY doc_id),
+o AS (SELECT DISTINCT doc_id FROM (SELECT doc_id FROM p WHERE i + 50 <= len(words)
+      GROUP BY doc_id, words[i:i + 50] HAVING count(*) > 1)),
+l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup FROM
+      (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+a AS (SELECT w.doc_id, len(words) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+      length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+      coalesce(n_dup, 0) AS n_dup_lines, coalesce(n_repeat, 0) AS n_repeat_words, coalesce(n_repeat, 0) AS covered,
+      o.doc_id IS NOT NULL AS over_longest FROM w
+      LEFT JOIN f USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN o USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND covered <= 0.2 * n_words AND NOT over_longest AS kept, covered FROM b
+"""
