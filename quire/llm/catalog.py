@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, repetition, simhash, token_counts
+from . import bpe, packing, repetition, simhash, token_counts, weak_labels
 from .common import inputs, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,10 @@ b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND covered <= 0.2 * n_words AND NOT over_longest AS kept, covered FROM b
 """
+
+
+@query
+def op8_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scorer, _ = weak_labels.quality(docs)
+    return docs.select("doc_id", scorer.alias("q")).select("doc_id", "q.score", "q.kept")
