@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, repetition, simhash, token_counts, weak_labels
+from . import bpe, packing, repetition, sanitise, simhash, token_counts, weak_labels
 from .common import inputs, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,13 @@ def op8_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     scorer, _ = weak_labels.quality(docs)
     return docs.select("doc_id", scorer.alias("q")).select("doc_id", "q.score", "q.kept")
+
+
+@query
+def op2_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise.find(read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["kind"].isin(*sanitise.KINDS))
+    kinds = F.transform("spans", lambda x: x["kind"])
+    count = [(F.size("spans") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in sanitise.KINDS]
+    return found.select("doc_id", *count, F.sha2(sanitise.joined(base), 256).alias("base_sha256"),
+                        sanitise.joined(F.col("spans")).alias("spans"))
