@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, repetition, sanitise, simhash, token_counts, weak_labels
+from . import bpe, packing, repetition, sanitise, simhash, token_counts, url_filter, weak_labels
 from .common import inputs, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,12 @@ def op2_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = [(F.size("spans") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in sanitise.KINDS]
     return found.select("doc_id", *count, F.sha2(sanitise.joined(base), 256).alias("base_sha256"),
                         sanitise.joined(F.col("spans")).alias("spans"))
+
+
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
