@@ -21,13 +21,6 @@ from . import tokens
 from .common import inputs, slices
 
 
-def byte_characters() -> dict[int, str]:
-    """The printable character of each byte: itself where Latin-1 prints it, else from U+0100 on."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in own]
-    return {b: chr(b) for b in own} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes and rank of each line of a rank file."""
     with open(path, "rb") as file:
@@ -39,7 +32,7 @@ def encoder(path: str, pattern: str) -> tokens.Encoder:
     """The encoder of a rank file, built once in a Python worker."""
     from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-    ranks, shown = read_ranks(path), byte_characters()
+    ranks, shown = read_ranks(path), tokens.byte_characters()
     name = lambda token: "".join(shown[b] for b in token)
     merges = [(rank, name(token[:i]), name(token[i:])) for token, rank in ranks.items()
               for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks]

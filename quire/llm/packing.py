@@ -63,7 +63,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, open_windows: in
          with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece of a document: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    ``tokenizer`` is the path of a ``tokenizers`` file.  A document is its ids and then id 0, so an
+    ``tokenizer`` is the path of a byte-level BPE file of ``tokenizers``.  A document is its ids and then id 0, so an
     empty or null text has one token.  Full sequences are cut off its front; the rest, shorter than
     ``capacity``, is one piece.  ``with_ids`` adds the ids of each piece (binary, little-endian
     unsigned 32-bit).  Repeated rows are documents of their own; a null id stays null.  An empty
@@ -73,7 +73,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, open_windows: in
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, windows, part = tokens.from_file(tokenizer), Windows(capacity, open_windows), TaskContext.get().partitionId()
+        encoder, windows, part = tokens.byte_level(tokenizer), Windows(capacity, open_windows), TaskContext.get().partitionId()
         held: dict[int, list[tuple]] = {}  # pieces of the open windows
         done: list[tuple] = []
 

@@ -8,8 +8,10 @@ token are encoded whole.
 """
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from collections.abc import Iterable
 from functools import lru_cache
 
@@ -78,3 +80,48 @@ def from_file(path: str) -> Encoder:
 
     tokenizer = Tokenizer.from_file(path)
     return Encoder(tokenizer, [x.content for x in tokenizer.get_added_tokens_decoder().values()])
+
+
+def byte_characters() -> dict[int, str]:
+    """The printable character of each byte: itself where Latin-1 prints it, else from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
+#: How byte-level pre-tokenizers split text (fixed by the file format).
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+class ByteLevel:
+    """The ids of a byte-level BPE file of ``tokenizers``, merged by ``tiktoken``.
+
+    In such a file the ids rank the merges, so both libraries give the same ids (tested on every
+    code point and on the corpus); this one takes a quarter of the time.  Texts that hold the string
+    of a special token go to ``tokenizers``.
+    """
+
+    def __init__(self, path: str):
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as file:
+            described = json.load(file)
+        if described["normalizer"] or described["pre_tokenizer"]["type"] != "ByteLevel" or described["pre_tokenizer"]["add_prefix_space"]:
+            raise ValueError(f"{path} is not plain byte-level BPE")
+        byte_of = {c: b for b, c in byte_characters().items()}
+        added = {x["content"] for x in described["added_tokens"]}
+        ranks = {bytes(map(byte_of.__getitem__, k)): v for k, v in described["model"]["vocab"].items() if k not in added}
+        self._own = tiktoken.Encoding(path, pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+        self._specials, self._tokenizer = tuple(added), Tokenizer.from_file(path)
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        return [array("I", self._tokenizer.encode(t, add_special_tokens=False).ids
+                      if any(x in t for x in self._specials) else self._own.encode_ordinary(t)).tobytes() for t in texts]
+
+
+@lru_cache(maxsize=2)
+def byte_level(path: str) -> ByteLevel:
+    """The encoder of a byte-level BPE file, kept by the Python worker."""
+    return ByteLevel(path)

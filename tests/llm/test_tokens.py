@@ -48,7 +48,7 @@ def test_pieces_equal_whole_texts(path, texts):
     assert tokens.from_file(path).ids(texts) == whole(path, texts)
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=100, deadline=None)
 @given(TEXT)
 def test_pieces_equal_whole_texts_at_random(text):
     for path in (JSON, WORDS):
@@ -60,7 +60,20 @@ def test_ranks_equal_the_other_library(ranks, texts):
     assert got == [np.array(ranks.encode_ordinary(t), "<u4").tobytes() for t in texts]
 
 
-@settings(max_examples=300, deadline=None)
+def test_byte_level_equals_the_tokenizers_library(texts):
+    assert tokens.byte_level(JSON).ids(texts) == whole(JSON, texts)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    points = [f"a{c}b {c}1{c} {c}" for c in points[::37]]
+    assert tokens.byte_level(JSON).ids(points) == whole(JSON, points)
+
+
+@settings(max_examples=100, deadline=None)
+@given(TEXT)
+def test_byte_level_at_random(text):
+    assert tokens.byte_level(JSON).ids([text]) == whole(JSON, [text])
+
+
+@settings(max_examples=100, deadline=None)
 @given(TEXT)
 def test_round_trip_at_random(text):
     ids = bpe.encoder(RANKS, public_tokenizers.PATTERN).ids([text])[0]
