@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, repetition, sanitise, simhash, token_counts, url_filter, weak_labels
+from . import bpe, language, packing, repetition, sanitise, simhash, token_counts, url_filter, weak_labels
 from .common import inputs, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,12 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    net = language.train(docs)
+    named = docs.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"),
+                        language.predict(F.col("text"), net).alias("p"))
+    return named.select("doc_id", "held_out", "p.lang_pred", "p.score")
