@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, packing, repetition, sanitise, simhash, token_counts, url_filter, weak_labels
+from . import bpe, fingerprint, language, packing, repetition, sanitise, simhash, token_counts, url_filter, weak_labels
 from .common import inputs, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,36 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = docs.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"),
                         language.predict(F.col("text"), net).alias("p"))
     return named.select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
+@query
+def op1_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edited(read(spark, sf_dir, "documents"))
+
+
+_SQL_TREE = r"""list_transform(string_split({0}, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)),
+    lambda p: list_transform(regexp_extract_all(p, '[^.!?]{{1,120}}[.!?]* ?|[.!?]+ ?'), lambda l: md5(l))))"""
+_SQL_ROOT = """md5(list_aggregate(list_transform({0}, lambda s: md5(list_aggregate(list_transform(s,
+    lambda p: md5(coalesce(list_aggregate(p, 'string_agg', ''), ''))), 'string_agg', ''))), 'string_agg', ''))"""
+_SQL_SHOWN = _SQL_ROOT + """ || ':' || list_aggregate(list_transform({0}, lambda s: list_aggregate(list_transform(s,
+    lambda p: coalesce(list_aggregate(list_transform(p, lambda h: h[1:8]), 'string_agg', '.'), '')), 'string_agg', ',')), 'string_agg', ';')"""
+_SQL_LEAVES = "list_transform(flatten(flatten({0})), lambda h: h[1:8])"
+_SQL_LIKE = """CASE WHEN {a}_root = {b}_root THEN 1.0::DOUBLE WHEN len({a}_set) + len({b}_set) = 0 THEN 0.0::DOUBLE
+    ELSE 2.0::DOUBLE * len(list_intersect({a}_set, {b}_set)) / (len({a}_set) + len({b}_set)) END"""
+
+ORACLES["op1_merkle_fingerprints"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+o AS (SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next,
+             length(text) AS n FROM d WINDOW w AS (ORDER BY doc_id DESC)),
+e AS (SELECT *, text[1:n - n // 3] || next[1:n // 3] AS edited FROM o),
+t AS (SELECT *, {_SQL_TREE.format('text')} AS a, {_SQL_TREE.format('edited')} AS b, {_SQL_TREE.format('next')} AS c FROM e),
+r AS (SELECT *, {_SQL_SHOWN.format('a')} AS fa, {_SQL_SHOWN.format('b')} AS fb, {_SQL_ROOT.format('a')} AS a_root,
+      {_SQL_ROOT.format('b')} AS b_root, {_SQL_ROOT.format('c')} AS c_root, {_SQL_LEAVES.format('a')} AS a_all,
+      {_SQL_LEAVES.format('b')} AS b_all, list_distinct({_SQL_LEAVES.format('a')}) AS a_set,
+      list_distinct({_SQL_LEAVES.format('b')}) AS b_set, list_distinct({_SQL_LEAVES.format('c')}) AS c_set FROM t)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, fa AS fingerprint, fb AS edited_fingerprint,
+       {_SQL_LIKE.format(a='a', b='b')} AS near_edited, {_SQL_LIKE.format(a='a', b='c')} AS near_next,
+       coalesce(list_min(list_filter(range(1, greatest(len(a_all), len(b_all)) + 1), lambda i: a_all[i] IS DISTINCT FROM b_all[i])) - 1,
+                len(a_all)) AS n_same_leaves
+FROM r
+"""
