@@ -58,9 +58,9 @@ _STAGE2 = {
         f"THEN try_to_date(_s, 'yyyy.MM.dd') END, "
         f"CASE WHEN _s RLIKE {_lit(US_SLASH_RE)} AND try_cast(substring_index(_s, '/', -1) AS INT) >= 1 "
         f"THEN try_to_date(_s, 'M/d/yyyy') END)"),
-    "_mon": f"array_position({_MONTHS_SQL}, lower(regexp_extract(_s, {_lit(LONG_RE)}, 1)))",
-    "_ly": f"regexp_extract(_s, {_lit(LONG_RE)}, 3)",
-    "_ld": f"regexp_extract(_s, {_lit(LONG_RE)}, 2)",
+    "_mon": f"array_position({_MONTHS_SQL}, lower(regexp_extract(_s, {_lit("(?U)" + LONG_RE)}, 1)))",
+    "_ly": f"regexp_extract(_s, {_lit("(?U)" + LONG_RE)}, 3)",
+    "_ld": f"regexp_extract(_s, {_lit("(?U)" + LONG_RE)}, 2)",
 }
 _LONG = ("CASE WHEN _mon > 0 AND try_cast(_ly AS INT) >= 1 "
          "THEN try_to_date(concat_ws('-', _ly, CAST(_mon AS STRING), _ld), 'yyyy-M-d') END")

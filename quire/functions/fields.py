@@ -81,17 +81,19 @@ PART_SINGLE_RE = r"(?i)Part[-_](\d+)"
 
 
 def first_match(text, patterns, fallback=None) -> Column:
-    """Group 1 of the first pattern (in list order) that matches anywhere, stripped."""
+    """Group 1 of the first pattern (in list order) that matches anywhere, stripped.
+
+    White space, digits and word characters are Unicode's: a no-break space counts."""
     if isinstance(text, str) and (fallback is None or isinstance(fallback, str)):
         # one SQL expression for a named column: a single JVM call
         strip_re = _sql_str(r"(?U)^\s+|\s+$")
-        hits = [f"nullif(regexp_replace(regexp_extract(`{text}`, {_sql_str(p)}, 1), {strip_re}, ''), '')"
+        hits = [f"nullif(regexp_replace(regexp_extract(`{text}`, {_sql_str("(?U)" + p)}, 1), {strip_re}, ''), '')"
                 for p in patterns]
         if fallback is not None:
             hits.append(f"`{fallback}`")
         return F.expr("coalesce(" + ", ".join(hits) + ")")
     t = _c(text)
-    hits = [blank_to_null(strip(F.regexp_extract(t, p, 1))) for p in patterns]
+    hits = [blank_to_null(strip(F.regexp_extract(t, "(?U)" + p, 1))) for p in patterns]
     if fallback is not None:
         hits.append(_c(fallback))
     return F.coalesce(*hits)

@@ -48,34 +48,3 @@ def _quote(s: str) -> str:
     import re
 
     return re.escape(s)
-
-
-def like_ordered(x, pattern: str) -> Column:
-    """``x LIKE pattern`` for patterns whose only wildcard is ``%``, as a chain
-    of substring searches (``startswith`` / ``locate`` / ``endswith``).
-
-    Multi-``%`` LIKE patterns otherwise run as a backtracking regex over the
-    whole text; the chain scans each text once.  Other patterns fall back to
-    ``like``.
-    """
-    c = _c(x)
-    if "_" in pattern or "\\" in pattern or "%" not in pattern:
-        return c.like(pattern)
-    parts = pattern.split("%")
-    head, middle, tail = parts[0], [p for p in parts[1:-1] if p], parts[-1]
-    cond = c.startswith(head) if head else F.lit(True)
-    nxt = F.lit(len(head) + 1)
-    for m in middle:
-        pos = _locate_from(m, c, nxt)
-        cond = cond & (pos > 0)
-        nxt = pos + len(m)
-    if tail:
-        cond = cond & c.endswith(tail) & (F.length(c) - len(tail) + 1 >= nxt)
-    return cond & c.isNotNull()
-
-
-def _locate_from(sub: str, c: Column, start: Column) -> Column:
-    """1-based position of ``sub`` in ``c`` at or after ``start`` (0 if none)."""
-    rest = c.substr(start, F.lit(1 << 30))
-    p = F.instr(rest, sub)
-    return F.when(p > 0, p + start - 1).otherwise(F.lit(0))

@@ -6,6 +6,8 @@ scored pages ``(url, keep, score)`` and a link-edge table ``(src, dst)``.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,48 +64,44 @@ def should_continue(collected: int, target: int, avg_relevance: float) -> bool:
 
 
 def frontier_rounds(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
-                    max_depth: int, scored: DataFrame | None = None,
-                    target: int | None = None, salt: int = 8) -> DataFrame:
+                    max_depth: int | None = None, scored: DataFrame | None = None,
+                    target: int | None = None) -> DataFrame:
     """Level-by-level expansion of a frontier over a link-edge table.
 
     ``edges``: (src, dst) node ids; ``seeds``: (node).  Each round joins the
-    frontier to the edges, removes nodes already visited (left-anti join) and
-    appends the rest with their depth.  The visited set is checkpointed to the
-    session's checkpoint directory each round so lineage stays one round deep
-    and a lost executor recomputes at most one round.  With ``scored``
-    (node, keep, score) and ``target`` the stop test of B16 runs on one
-    aggregate row per round.
-
-    Hub nodes: edges are keyed by ``(src, salt)`` with the salt taken from the
-    destination, and each frontier node is repeated once per salt value, so
-    the out-edges of a node holding a large share of all edges are joined by
-    ``salt`` tasks instead of one.
+    newest level to the edges, removes nodes of all earlier levels (left-anti join)
+    and writes the rest, the new level, to the session's checkpoint directory:
+    what a round writes follows what it finds, and a lost executor recomputes at
+    most one round.  It ends when a level is empty, or after ``max_depth`` levels.
+    With ``scored`` (node, keep, score) only nodes that pass the relevance gate
+    are expanded, and with ``target`` the stop test of B16 runs on one aggregate
+    row per round.  Hub nodes are left to adaptive skew-join handling.
     Output: node, depth (smallest depth at which the node was reached).
     """
     ensure_checkpoint_dir(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # edges partitioned by (src, salt) once and cached in that layout, so each
-    # round's join shuffles only the (salted) frontier; their lineage is one
-    # scan and one dedup, so they are cached rather than checkpointed
-    e = (edges.select("src", "dst")
-         .withColumn("_salt", F.pmod(F.xxhash64("dst"), F.lit(salt)).cast("int"))
-         .repartition(n, "src", "_salt").distinct().persist())
-    salts = F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
-    visited = materialize(seeds.select(F.col("node"), F.lit(0).alias("depth")).distinct())
-    frontier = visited.select("node")
-    for depth in range(1, max_depth + 1):
-        fs = frontier.select(F.col("node").alias("src"), salts.alias("_salt"))
-        nxt = (fs.join(e, ["src", "_salt"]).select(F.col("dst").alias("node"))
-               .distinct().join(visited.select("node"), "node", "left_anti"))
-        visited = materialize(visited.unionByName(nxt.withColumn("depth", F.lit(depth))))
-        frontier = visited.where(F.col("depth") == depth).select("node")
-        if scored is not None and target is not None:
-            st = (visited.join(scored, "node").where(gate(F.col("keep"), F.col("score")))
-                  .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("score"), F.lit(0.0)).alias("a"))
-                  .first())
+    links = materialize(edges.select("src", "dst").distinct())
+    levels = [materialize(seeds.select("node", F.lit(0).alias("depth")).distinct())]
+    passed = scored.where(gate(F.col("keep"), F.col("score"))) if scored is not None else None
+    while max_depth is None or len(levels) <= max_depth:
+        visited = reduce(DataFrame.unionByName, levels)
+        if passed is not None and target is not None:
+            st = (visited.join(passed, "node")
+                  .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("score"), F.lit(0.0)).alias("a")).first())
             if not should_continue(st["n"], target, st["a"]):
                 break
-        if frontier.isEmpty():
+        newest = levels[-1].select("node")
+        if passed is not None:
+            newest = newest.join(passed, "node", "left_semi")
+        found = (newest.join(links, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
+                 .join(visited.select("node"), "node", "left_anti")
+                 .select("node", F.lit(len(levels)).alias("depth")))
+        level = materialize(found)
+        if level.isEmpty():
             break
-    e.unpersist()
-    return visited
+        levels.append(level)
+    return reduce(DataFrame.unionByName, levels)
+
+
+def first_links(links: DataFrame, n: int = 5) -> DataFrame:
+    """Edges (src, dst) that a crawl follows: the first ``n`` links of each page by position."""
+    return links.where(F.col("pos") < n).select("src", "dst")

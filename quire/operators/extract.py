@@ -13,24 +13,27 @@ from ..functions import fields
 from ..functions.text import _c, first_truthy, truncate
 
 MIN_TEXT_CHARS = 200
+MIN_PAGE_CHARS = 500
 MODEL_INPUT_CHARS = 20000
 
 
-def text_gate(df: DataFrame, text: str = "text", min_chars: int = MIN_TEXT_CHARS,
-              max_chars: int | None = MODEL_INPUT_CHARS) -> DataFrame:
-    """Drop texts shorter than ``min_chars``; cut the rest to ``max_chars``
-    code points (the model's input cap)."""
-    out = df.where(F.length(text) >= min_chars)
-    if max_chars is not None:
-        out = out.withColumn(text, truncate(F.col(text), max_chars))
-    return out
+def text_gate(df: DataFrame, text: str = "text", min_chars: int = MIN_TEXT_CHARS) -> DataFrame:
+    """Drop texts shorter than ``min_chars`` (200 for a PDF's text, ``MIN_PAGE_CHARS``
+    for the clean text of a web page, B4)."""
+    return df.where(F.length(text) >= min_chars)
+
+
+def model_input(text: Column, max_chars: int = MODEL_INPUT_CHARS) -> Column:
+    """What a model gets of a text (B11): its first ``max_chars`` code points."""
+    return truncate(text, max_chars)
 
 
 def assemble_text(pages: DataFrame, doc: str, page_no: str, text: str,
-                  max_pages: int | None = 60, sep: str = "\n") -> DataFrame:
+                  max_pages: int | None = None, sep: str = "\n") -> DataFrame:
     """One text per document from its pages in page order.
 
-    With ``max_pages`` the first pages are chosen by a row_number window whose
+    A document's text is one value, so its pages meet in one row.  With
+    ``max_pages`` the first pages are chosen by a row_number window whose
     limit Spark applies per map partition before the shuffle, so a document
     with very many pages sends at most ``max_pages`` rows per partition.
     Unreadable pages (NULL text) are skipped like the reference skips them.
@@ -45,33 +48,54 @@ def assemble_text(pages: DataFrame, doc: str, page_no: str, text: str,
                     F.array_join(F.transform("_pg", lambda x: x[text]), sep).alias(text))
 
 
+# Fields that every element of a model's answer must have as strings; one that
+# lacks any makes the whole answer invalid.
+REQUIRED_FIELDS = ("agency", "deviation_number", "title")
+OPTIONAL_FIELDS = ("effective_date", "scope", "link")
+
+
 def parse_model_deviation(resp) -> Column:
-    """First deviation of a model response (JSON text) as a struct, NULL when
-    the response is not valid JSON or lists none (E7, H19)."""
+    """First deviation of a model response (JSON text) as a struct, NULL when the
+    response is not valid JSON, lists none, or any listed element is invalid: lacks
+    a required string or has an optional field that is neither a string nor null
+    (E7, H19, C8)."""
     v = F.try_parse_json(_c(resp))
+    listed = F.try_variant_get(v, "$.deviations", "array<variant>")
+
+    def kind(x, name):
+        return F.schema_of_variant(F.try_variant_get(x, f"$.{name}", "variant"))
 
-    def g(name):
-        return F.try_variant_get(v, f"$.deviations[0].{name}", "string").alias(name)
+    def valid(x):
+        ok = F.schema_of_variant(x).startswith("OBJECT")
+        for name in REQUIRED_FIELDS:
+            ok = ok & (kind(x, name) == "STRING")
+        for name in OPTIONAL_FIELDS:
+            ok = ok & F.coalesce(kind(x, name).isin("STRING", "VOID"), F.lit(True))
+        return F.coalesce(ok, F.lit(False))
 
-    has = F.try_variant_get(v, "$.deviations[0]", "string").isNotNull()
-    return F.when(has, F.struct(g("agency"), g("deviation_number"), g("title"),
-                                g("effective_date"), g("scope"), g("link")))
+    first = F.get(listed, 0)
+    fields_ = [F.try_variant_get(first, f"$.{n}", "string").alias(n)
+               for n in ("agency", "deviation_number", "title", "effective_date", "scope", "link")]
+    return F.when((F.size(listed) > 0) & F.forall(listed, valid), F.struct(*fields_))
 
 
 def merge_fields(docs: DataFrame, model: DataFrame | None, key: str = "pdf_url",
                  take_model_date: bool = True, carry: tuple[str, ...] = (),
-                 title_fallback_when_blank: bool = False) -> DataFrame:
+                 title_fallback_when_blank: bool = False, drop_dod: bool = True,
+                 take_model_number: bool = False) -> DataFrame:
     """Regex fields first, model fields second.
 
     ``docs``: key, agency, filename, text.  ``model``: key, response (JSON
     text) or None when no model ran (the fallback title is then used).
     Output rows: id, agency, deviation_number, title, effective_date, scope,
-    link.  Rows whose model answer names DoD are dropped.  The full run takes
-    the model's date when the regexes found none (``take_model_date``); the
-    incremental run does not, and falls back to the file-name title for any
-    blank model title (``title_fallback_when_blank``).
+    link.  The full run drops rows whose model answer names DoD (``drop_dod``)
+    and takes the model's date when the regexes found none
+    (``take_model_date``); the incremental run does neither, and falls back to
+    the file-name title for any blank model title
+    (``title_fallback_when_blank``).  The retry run also takes the model's number
+    where the regexes and the file name gave none (``take_model_number``).
     """
-    d = text_gate(docs, max_chars=None).select(
+    d = text_gate(docs).select(
         key, "agency", "filename", *carry,
         fields.effective_date("text").alias("rx_date"),
         fields.deviation_number("text", "filename").alias("rx_num"))
@@ -93,10 +117,13 @@ def merge_fields(docs: DataFrame, model: DataFrame | None, key: str = "pdf_url",
     else:
         # full run: the file-name title only when the model gave no row
         title = F.when(has_model, F.col("m.title")).otherwise(fallback)
-    out = d.where(~(has_model & fields.is_dod_agency(F.col("m.agency"))))
+    number = F.col("rx_num")
+    if take_model_number:
+        number = F.coalesce(first_truthy(number, F.col("m.deviation_number")), number)
+    out = d.where(~(has_model & fields.is_dod_agency(F.col("m.agency")))) if drop_dod else d
     return out.select(
-        fields.deviation_id(F.col("agency"), F.col("rx_num"), F.col("filename")).alias("id"),
-        "agency", F.col("rx_num").alias("deviation_number"), title.alias("title"),
+        fields.deviation_id(F.col("agency"), number, F.col("filename")).alias("id"),
+        "agency", number.alias("deviation_number"), title.alias("title"),
         eff.alias("effective_date"), F.col("m.scope").alias("scope"), F.col(key).alias("link"),
         "filename", *carry)
 
@@ -116,8 +143,8 @@ def validate(df: DataFrame, resp: str, required: dict[str, str],
     """Rows whose response is a JSON object carrying every required field with
     a value of the declared type; invalid responses yield no row (H19).
 
-    The accepted / rejected counts of the run (D10) are observed on the way;
-    pass a ``pyspark.sql.Observation`` to read them after an action."""
+    With a ``pyspark.sql.Observation`` the accepted / rejected counts of the run
+    (D10) can be read from it after an action."""
     v = F.try_parse_json(F.col(resp))
     cols = {n: F.try_variant_get(v, f"$.{n}", t) for n, t in required.items()}
     for n, t in (optional or {}).items():
@@ -127,11 +154,9 @@ def validate(df: DataFrame, resp: str, required: dict[str, str],
         ok = ok & cols[n].isNotNull()
     keep = [c for c in df.columns if c != resp]
     checked = df.select(*keep, *[c.alias(n) for n, c in cols.items()], ok.alias("_ok"))
-    import uuid
-
-    obs = observation if observation is not None else f"validate_counters_{uuid.uuid4().hex[:8]}"
-    checked = checked.observe(obs, F.count_if("_ok").alias("accepted"),
-                              F.count_if(~F.col("_ok")).alias("rejected"))
+    if observation is not None:
+        checked = checked.observe(observation, F.count_if("_ok").alias("accepted"),
+                                  F.count_if(~F.col("_ok")).alias("rejected"))
     return checked.where("_ok").drop("_ok")
 
 

@@ -2,17 +2,12 @@
 
 A row ``id = "<agency>|<dev_num>"`` matches a file whose name globs
 ``*_<agency>*<dev_num>*``.  A bare LIKE join plans as a nested loop over all
-pairs.  Instead every row gets one equi key that any matching file must
-contain, and the full LIKE is the residual on the few candidates:
-
-* rows with a deviation number: every ``k``-character piece (gram) of the
-  number occurs in a matching file name, so the row is keyed by its *rarest*
-  gram among all file names (gram frequencies come from one partial + final
-  count).  A file is paired only with rows whose rarest gram it contains,
-  not with every row of its agency.
-* rows without one (``*_<agency>*``): keyed by the agency, matched against
-  the prefixes of the text after each ``_`` of the file name; every such
-  pair is a true match, so the candidates are exactly the output.
+pairs.  Instead every row gets one equi key that any matching file must have,
+and the full LIKE is the residual on the few candidates: the agency (its first
+``AGENCY_KEY`` characters), which must follow some ``_`` of the name, and the
+rarest ``k``-character piece (gram) of the number among the names of that
+agency; an empty number has the empty gram.  Gram frequencies come from one
+partial + final count.
 
 The result equals brute-force glob matching (tested).
 """
@@ -24,6 +19,8 @@ from pyspark.sql import functions as F
 from ..functions.text import split_once
 
 GRAM = 4
+#: Characters of an agency in the key; longer agencies are told apart by the LIKE.
+AGENCY_KEY = 16
 
 
 def _like_escape(c):
@@ -63,37 +60,33 @@ def candidate_agencies(name, max_len: int):
 
 def glob_match_join(rows: DataFrame, files: DataFrame, id_col: str = "id",
                     name_col: str = "filename", k: int = GRAM) -> DataFrame:
-    """Pairs (row, file) where the file name globs ``*_{agency}*{dev_num}*``."""
-    r = rows.select("*", split_once(F.col(id_col), "|", 0).alias("_agency"),
-                    F.coalesce(split_once(F.col(id_col), "|", 1), F.lit("")).alias("_dev"))
+    """Pairs (row, file) where the file name globs ``*_{agency}*{dev_num}*``.
+
+    An id without a pipe matches nothing.  Files travel to the grams as (name, gram)
+    only; their other columns are joined to the matches.
+    """
+    has_dev = F.col(id_col).contains("|")
+    r = rows.where(has_dev).select("*", split_once(F.col(id_col), "|", 0).alias("_agency"),
+                                   split_once(F.col(id_col), "|", 1).alias("_dev"))
     r = r.withColumn("_pat", F.concat(F.lit("%\\_"), _like_escape(F.col("_agency")), F.lit("%"),
                                       _like_escape(F.col("_dev")), F.lit("%")))
     name = F.col(name_col)
     out_cols = rows.columns + [c for c in files.columns if c not in rows.columns]
 
-    # rows with a deviation number: key = rarest gram of the number
-    fg = files.select("*", F.explode(substrings(name, k)).alias("_gram"))
-    freq = fg.groupBy("_gram").agg(F.count(F.lit(1)).alias("_freq"))
-    with_dev = r.where(F.col("_dev") != "")
-    # the key depends only on the id, so it is chosen once per distinct id
-    rg = with_dev.select(id_col, "_dev").distinct().select(
-        id_col, F.explode(grams_of(F.col("_dev"), k)).alias("_gram"))
-    # a gram that no file contains rules the row out (inner join drops it)
-    best = (rg.join(freq, "_gram").groupBy(id_col)
+    # names with the (begin of the) agency of some row after a "_"
+    r = r.withColumn("_akey", F.substring("_agency", 1, AGENCY_KEY))
+    fa = (files.select(name_col).distinct()
+          .select(name_col, F.explode(candidate_agencies(name, AGENCY_KEY)).alias("_akey"))
+          .join(r.select("_akey").distinct(), "_akey", "left_semi"))
+    # key: (agency, rarest gram of the number among the files of that agency); '' without a number
+    fg = fa.select("_akey", name_col, F.explode(F.concat(F.array(F.lit("")), substrings(name, k))).alias("_gram"))
+    freq = fg.groupBy("_akey", "_gram").agg(F.count(F.lit(1)).alias("_freq"))
+    rg = r.select("_akey", "_dev").distinct().select("_akey", "_dev", F.explode(
+        F.when(F.col("_dev") == "", F.array(F.lit(""))).otherwise(grams_of(F.col("_dev"), k))).alias("_gram"))
+    # a gram that no file of the agency contains rules the row out (inner join drops it)
+    best = (rg.join(freq, ["_akey", "_gram"]).groupBy("_akey", "_dev")
             .agg(F.min(F.struct("_freq", "_gram")).alias("_b"))
-            .select(id_col, F.col("_b._gram").alias("_gram")))
-    keyed = with_dev.join(best, id_col)
-    m1 = keyed.join(fg, "_gram").where(F.like(name, F.col("_pat")))
-
-    # rows without one: key = agency, candidates are exact matches
-    no_dev = r.where(F.col("_dev") == "")
-    max_len = no_dev.agg(F.max(F.length("_agency"))).first()[0]
-    parts = [m1.select(*out_cols)]
-    if max_len is not None:
-        fa = files.select("*", F.explode(candidate_agencies(name, max_len)).alias("_agency"))
-        m2 = no_dev.join(fa, "_agency").where(F.like(name, F.col("_pat")))
-        parts.append(m2.select(*out_cols))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
+            .select("_akey", "_dev", F.col("_b._gram").alias("_gram")))
+    found = (r.join(best, ["_akey", "_dev"]).join(fg, ["_akey", "_gram"])
+             .where(F.like(name, F.col("_pat"))).select(*rows.columns, name_col).distinct())
+    return found.join(files, name_col).select(*out_cols).distinct()

@@ -18,10 +18,17 @@ PDF_LINK_RE = r"(?i)/sites/default/files/page_file_uploads/.*\.pdf$"
 ISSUANCE_RE = r"(?i)Issuance Date:\s*([A-Z][a-z]+\s+\d{1,2},?\s*\d{4})"
 UPDATE_RE = r"(?i)UPDATE:\s*([A-Z][a-z]+\s+\d{1,2},?\s*\d{4})"
 
-ANCHOR_RE = r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
-# a heading block (h2-h4) or a bare anchor, whichever comes first in the page
-HEADING_OR_ANCHOR_RE = (r'(?is)(<h2\b[^>]*>.*?</h2>|<h3\b[^>]*>.*?</h3>|<h4\b[^>]*>.*?</h4>'
-                        r'|<a\s[^>]*href="[^"]*"[^>]*>.*?</a>)')
+# an anchor's start tag, and its href value: double-quoted, single-quoted or bare
+ANCHOR_TAG_RE = r"(?i)(<a\s[^>]*>)"
+HREF_RE = r'(?is)^<a(?:\s[^>]*?)?\shref\s*=\s*(?:"([^"]*)"|\'([^\']*)\'|([^\s"\'>]+))'
+AFTER_ANCHOR_RE = r"(?is)</a\s*>.*"
+# comments and scripts hold no links
+HIDDEN_RE = r"(?is)<!--.*?-->|<script\b.*?</script>"
+# a heading block (h2-h4) or a bare anchor with its text, whichever comes first in the
+# page; the text of a bare anchor may hold up to 50 other tags
+HEADING_OR_ANCHOR_RE = (r"(?is)(<h2\b[^>]*>.*?</h2>|<h3\b[^>]*>.*?</h3>|<h4\b[^>]*>.*?</h4>"
+                        r"|<a\s[^>]*>[^<]*(?:<(?:[^a/]|a[^\s]|/[^a]|/a[a-z])[^<]*){0,50})")
+SENTINEL = "\u0001"
 
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
             ("&#39;", "'"), ("&amp;", "&"))
@@ -42,14 +49,33 @@ def tag_text(fragment) -> Column:
     return strip(F.regexp_replace(t, r"\s+", " "))
 
 
+def visible(html) -> Column:
+    """HTML without comments and scripts."""
+    return F.regexp_replace(_c(html), HIDDEN_RE, "")
+
+
+def href_of(anchor) -> Column:
+    """The href of an anchor's start tag, entities decoded; NULL without one.  An
+    attribute written without quotes or in single quotes counts like any other."""
+    groups = [F.regexp_extract(anchor, HREF_RE, i) for i in (1, 2, 3)]
+    return F.when(_c(anchor).rlike(HREF_RE), decode_entities(F.concat(*groups)))
+
+
+def anchors(html) -> Column:
+    """array<string> of the anchors with an href in document order: start tag and
+    content.  The page is marked once before every start tag and cut there, so an anchor
+    without an end tag ends where the next one starts."""
+    marked = F.regexp_replace(F.translate(_c(html), SENTINEL, ""), ANCHOR_TAG_RE, SENTINEL + "$1")
+    pieces = F.slice(F.split(marked, SENTINEL), 2, 1 << 30)
+    return F.transform(F.filter(pieces, lambda a: a.rlike(HREF_RE)),
+                       lambda a: F.regexp_replace(a, AFTER_ANCHOR_RE, ""))
+
+
 def extract_links(pages: DataFrame, key: str = "page_id", html: str = "html",
                   keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per ``<a href>`` in document order: key, pos, href, anchor_text."""
-    z = F.arrays_zip(F.regexp_extract_all(F.col(html), F.lit(ANCHOR_RE), 1).alias("href"),
-                     F.regexp_extract_all(F.col(html), F.lit(ANCHOR_RE), 2).alias("inner"))
-    out = pages.select(key, *keep, F.posexplode(z).alias("pos", "a"))
-    return out.select(key, *keep, "pos", F.col("a.href").alias("href"),
-                      tag_text(F.col("a.inner")).alias("anchor_text"))
+    out = pages.select(key, *keep, F.posexplode(anchors(visible(html))).alias("pos", "a"))
+    return out.select(key, *keep, "pos", href_of("a").alias("href"), tag_text("a").alias("anchor_text"))
 
 
 def first_per(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -70,23 +96,20 @@ def part_headings(guide: DataFrame, key: str = "page_id", html: str = "html",
     first link per (key, part_number) in document order wins.
     """
     blocks = guide.select(key, base_col, F.posexplode(
-        F.regexp_extract_all(F.col(html), F.lit(HEADING_OR_ANCHOR_RE), 1)).alias("bpos", "blk"))
+        F.regexp_extract_all(visible(html), F.lit(HEADING_OR_ANCHOR_RE), 1)).alias("bpos", "blk"))
     is_heading = F.col("blk").rlike(r"(?i)^<h[2-4]")
     heading_txt = F.when(is_heading, tag_text("blk"))
-    links = blocks.select(
-        key, base_col, "bpos", heading_txt.alias("htxt"),
-        F.posexplode(F.arrays_zip(
-            F.regexp_extract_all("blk", F.lit(ANCHOR_RE), 1).alias("href"),
-            F.regexp_extract_all("blk", F.lit(ANCHOR_RE), 2).alias("inner"))).alias("lpos", "a"))
-    href = urls.strip_query_fragment(F.col("a.href"))
+    links = blocks.select(key, base_col, "bpos", heading_txt.alias("htxt"),
+                          F.posexplode(anchors("blk")).alias("lpos", "a"))
+    href = urls.strip_query_fragment(href_of("a"))
     num = F.regexp_extract(href, PART_LINK_RE, 1)
     parts = links.where(href.rlike(PART_LINK_RE)).select(
         key, "bpos", "lpos",
         num.try_cast("int").alias("part_number"),
         urls.resolve(href, F.col(base_col)).alias("overview_url"),
-        blank_to_null(F.regexp_extract("htxt", ISSUANCE_RE, 1)).alias("issued"),
-        blank_to_null(F.regexp_extract("htxt", UPDATE_RE, 1)).alias("updated"),
-        tag_text(F.col("a.inner")).alias("title_hint"))
+        blank_to_null(F.regexp_extract("htxt", "(?U)" + ISSUANCE_RE, 1)).alias("issued"),
+        blank_to_null(F.regexp_extract("htxt", "(?U)" + UPDATE_RE, 1)).alias("updated"),
+        tag_text("a").alias("title_hint"))
     parts = parts.where(F.col("part_number").isNotNull())
     return first_per(parts, [key, "part_number"], ["bpos", "lpos"]).drop("bpos", "lpos")
 

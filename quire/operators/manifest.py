@@ -32,12 +32,14 @@ def part_list(exploded: DataFrame, key: str, order: list[str], meta: list[str],
     """Per ``key``: the first row's ``order`` + ``meta`` columns and the distinct
     sorted part numbers >= 0 joined by ';' (D4).
 
-    ``min`` over a struct keeps this a partial + final aggregate, so a key that
-    holds a large share of the rows is pre-combined in every map task.
+    Rows are first reduced to one per (key, part) in the map tasks (``min`` over a
+    struct is a partial + final aggregate), then to one per key: what the second
+    aggregate collects are a key's distinct part numbers.
     """
     first = F.min(F.struct(*[F.col(c) for c in order + meta])).alias("_first")
-    parts = F.collect_set(F.when(F.col(part_col) >= 0, F.col(part_col))).alias("_parts")
-    g = exploded.groupBy(key).agg(first, parts)
+    pairs = exploded.groupBy(key, part_col).agg(first)
+    parts = F.collect_list(F.when(F.col(part_col) >= 0, F.col(part_col))).alias("_parts")
+    g = pairs.groupBy(key).agg(F.min("_first").alias("_first"), parts)
     return g.select(key, *[F.col(f"_first.{c}").alias(c) for c in order + meta],
                     F.array_join(F.array_sort("_parts"), ";").alias(part_col))
 
@@ -97,14 +99,33 @@ def sync_report(manifest: DataFrame, listing: DataFrame, key: str = "on_disk_fil
     return j.select(F.col("_k").alias(key), status.alias("status"))
 
 
+def last_rows(existing: DataFrame) -> DataFrame:
+    """Manifest CSV rows, the last per file name by ``line`` where there is one."""
+    order = "line" if "line" in existing.columns else F.struct(*CSV_HEADER[1:])
+    row = F.struct(*CSV_HEADER[1:])
+    last = existing.groupBy("on_disk_filename").agg(F.max_by(row, order).alias("r"))
+    return last.select("on_disk_filename", "r.*")
+
+
+def kept_rows(existing: DataFrame, listing: DataFrame, name: str = "name") -> DataFrame:
+    """The manifest rows that a sync writes back (C6): those whose file is on disk,
+    all columns, one row per file name."""
+    on_disk = listing.select(F.col(name).alias("on_disk_filename")).distinct()
+    return last_rows(existing).join(on_disk, "on_disk_filename", "left_semi")
+
+
 def rebuild(listing: DataFrame, existing: DataFrame, db_meta: DataFrame) -> DataFrame:
     """Manifest rows for every listed file with per-column precedence
     existing CSV row > DB metadata > derived from the name > default (C7).
 
-    ``listing``: name, length.  ``existing``: CSV_HEADER columns (strings).
+    ``listing``: name, length; a name listed twice counts once (the larger size).
+    ``existing``: CSV_HEADER columns (strings) and optionally ``line``, the place
+    of the row in the file: of rows with one name the last counts.
     ``db_meta``: on_disk_filename, url_hash, original_filename, agency,
     part_numbers (';'-joined string), is_dod ('0'/'1'), source_url.
     """
+    listing = listing.groupBy("name").agg(F.max("length").alias("length"))
+    existing = last_rows(existing)
     e = existing.select(*[F.col(c).alias(f"e_{c}") for c in CSV_HEADER])
     d = db_meta.select(*[F.col(c).alias(f"d_{c}") for c in db_meta.columns])
     j = (listing.join(e, listing["name"] == e["e_on_disk_filename"], "left")
@@ -130,10 +151,10 @@ def download_plan(records: DataFrame, order: list[str], cap: int | None) -> Data
     """What one run attempts (F4, B1, B10): the first ``cap`` records in
     discovery order are taken; DoD records among them are skipped (and use up
     the cap), the rest are downloads.  Records past the cap are 'deferred'.
-    ``records`` needs ``is_dod`` and the ``order`` columns."""
+    ``records`` needs ``is_dod`` and the ``order`` columns, which identify a record."""
     from ..operators.report import global_rank
 
-    r = global_rank(records, [F.col(c) for c in order], "ordinal")
+    r = global_rank(records, [F.col(c) for c in order], order, "ordinal")
     taken = F.lit(True) if cap is None else F.col("ordinal") <= cap
     action = (F.when(~taken, F.lit("deferred"))
               .when(F.col("is_dod"), F.lit("skipped: DoD"))
@@ -141,6 +162,19 @@ def download_plan(records: DataFrame, order: list[str], cap: int | None) -> Data
     return r.withColumn("action", action)
 
 
+def attach_results(work: DataFrame, results: DataFrame, key: str = "pdf_url",
+                   folder: str = "pdfs/") -> DataFrame:
+    """Work rows with the error of their download, and the path of the saved file
+    where there is none (J1, B10).  ``results``: key, status, size, exception."""
+    from .report import download_outcome
+
+    j = work.join(results, key, "left")
+    error = download_outcome(F.col("is_dod"), F.col("status"), F.col("size"), F.col("exception"))
+    return (j.withColumn("error", error).drop("status", "size", "exception")
+            .withColumn("saved_path", F.when(F.col("error").isNull(),
+                                             F.concat(F.lit(folder), urls.safe_filename(F.col(key))))))
+
+
 def attach_outcomes(work: DataFrame, outcomes: DataFrame, key: str = "pdf_url") -> DataFrame:
     """Work rows with their download outcome (C2): a left join on the URL; a
     row without an outcome, or whose outcome has no saved path, is failed.

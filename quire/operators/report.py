@@ -55,6 +55,25 @@ def is_expected_error(err: Column) -> Column:
     return err.startswith("skipped") | err.startswith("status 404")
 
 
+def download_outcome(is_dod: Column, status: Column, size: Column, exception: Column,
+                     min_bytes: int = 1024) -> Column:
+    """Error of one download, NULL when the file was saved (B10): DoD rows are
+    skipped, then an exception (``Type: message``), a status other than 200 and
+    a body under ``min_bytes`` count as errors, in that order."""
+    return (F.when(is_dod, F.lit("skipped: DoD"))
+            .when(exception.isNotNull(), exception)
+            .when(status != 200, F.concat(F.lit("status "), status.cast("string")))
+            .when(size < min_bytes, F.concat(F.lit("too small ("), size.cast("string"), F.lit(" bytes)"))))
+
+
+def fetch_outcome(status: Column, content_type: Column, exception: Column) -> Column:
+    """Error of one page fetch, NULL for an HTML page with status 200."""
+    return (F.when(exception.isNotNull(), exception)
+            .when(status != 200, F.concat(F.lit("HTTP "), status.cast("string")))
+            .when(~F.coalesce(content_type, F.lit("")).contains("text/html"),
+                  F.concat(F.lit("not html: "), F.coalesce(content_type, F.lit("")))))
+
+
 def run_summary(records: DataFrame, by: list[str], ts: str = "ts") -> DataFrame:
     """Per run: stamps, duration, counts and the failure flag.
 
@@ -91,52 +110,36 @@ def column_widths(df: DataFrame, caps: dict[str, int], floor: int = 10, pad: int
     return m.select(F.inline(F.array(*rows)))
 
 
-SINGLE_TASK_RANK_BYTES = 64 << 20
-
+def global_rank(df: DataFrame, order: list[Column], key: list[str], name: str = "rank") -> DataFrame:
+    """1-based position of every row in ``order``; ``key`` columns identify a row.
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer's size estimate of ``df`` (an upper bound for file scans:
-    file size scaled by the projected columns; filters never raise it)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def global_rank(df: DataFrame, order: list[Column], name: str = "rank",
-                single_task_bytes: int = SINGLE_TASK_RANK_BYTES) -> DataFrame:
-    """1-based position of every row in ``order``.
-
-    Inputs whose estimated size is under ``single_task_bytes`` are ranked
-    with a plain window (one task, bounded by that size check).  Larger ones
-    never go through one task: the data is range-partitioned and sorted,
-    materialised once (checkpoint, so partition ids are stable), and each
-    row's rank is its partition's offset plus its index inside the
-    partition.  The offsets table has one row per partition, a proven bound,
-    so it is broadcast.
+    Only the keys and the ordering columns are sorted: they are range-partitioned,
+    sorted and written once (so partition numbers are stable), and a row's rank is
+    its partition's offset plus its place in the partition.  The offsets are
+    one row per partition, so their running sum is small and they are broadcast.
+    The ranks are then joined back to the rows by key.
     """
     from ..session import materialize
 
-    if estimated_bytes(df) <= single_task_bytes:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    s = df.orderBy(*order).select("*", F.spark_partition_id().alias("_pid"),
-                                  F.monotonically_increasing_id().alias("_mid"))
-    s_ck = materialize(s)
-    counts = s_ck.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    keys = materialize(df.orderBy(*order).select(*key, F.spark_partition_id().alias("_pid"),
+                                                 F.monotonically_increasing_id().alias("_mid")))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    j = s_ck.join(F.broadcast(offsets), "_pid")
-    idx = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    return j.select(*df.columns, (F.col("_off") + idx + 1).cast("bigint").alias(name))
+    offsets = keys.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    place = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
+    ranks = keys.join(F.broadcast(offsets), "_pid").select(
+        *key, (F.col("_off") + place + 1).cast("bigint").alias(name))
+    return df.join(ranks, key).select(*df.columns, name)
 
 
-def sorted_report(df: DataFrame, columns: list[tuple[str, str]], order: list[Column]) -> DataFrame:
+def sorted_report(df: DataFrame, columns: list[tuple[str, str]], order: list[Column],
+                  key: list[str]) -> DataFrame:
     """Report projection with renamed headers and its 1-based sort rank
-    (A11, B14, F1, F2); the rank comes from :func:`global_rank`, so large
-    reports never sort in a single task."""
-    ranked = global_rank(df, order)
+    (A11, B14, F1, F2)."""
+    ranked = global_rank(df, order, key)
     return ranked.select(*[F.col(src).alias(dst) for src, dst in columns], "rank")
 
 
-
-
 def preview(df: DataFrame, group: str, name: str, n: int = 5) -> DataFrame:
     """Per group: its size, the first ``n`` names in sorted order and how many
     more there are ("... and N more", F4).

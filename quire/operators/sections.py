@@ -12,7 +12,7 @@ Everything is per-row column work; documents are never grouped.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import _c, blank_to_null, capitalize, strip
@@ -29,8 +29,12 @@ SENTINEL = "\u0001"
 
 
 def split_sections(text) -> Column:
-    """array<string> of sections (text before the first heading removed)."""
-    marked = F.regexp_replace(_c(text), "(?md)" + SECTION_RE, SENTINEL + "$0")
+    """array<string> of sections (text before the first heading removed).
+
+    The sentinel character itself is removed from the text first, so it can
+    only stand before headings."""
+    clean = F.translate(_c(text), SENTINEL, "")
+    marked = F.regexp_replace(clean, "(?md)" + SECTION_RE, SENTINEL + "$0")
     parts = F.split(marked, SENTINEL)
     return F.slice(parts, 2, 1 << 30)
 
@@ -41,16 +45,22 @@ def segment(df: DataFrame, text: str = "text", keep: tuple[str, ...] = (),
     title, section.
 
     ``first_only`` keeps the first section per number within each document
-    (E1).  Sections of one document live in one row, so this dedup runs
-    inside the row on the section array (no shuffle, no window).
+    (E1).  Sections of one document live in one row: sorted by (number, pos),
+    the first of each run of a number stays (no shuffle, no window).
     """
     df = df.select(*keep, split_sections(F.col(text)).alias("_secs"))
-    secs = F.col("_secs")
-    nums = F.transform(secs, lambda x: F.regexp_extract(x, r"^(52\.\d+-\d+)", 1))
-    items = F.transform(secs, lambda x, i: F.struct(i.alias("pos"), x.alias("section")))
     if first_only:
-        items = F.filter(items, lambda z: F.array_position(nums, F.element_at(nums, z["pos"] + 1))
-                         == z["pos"] + 1)
+        numbered = F.transform("_secs", lambda x, i: F.struct(
+            F.regexp_extract(x, r"^(52\.\d+-\d+)", 1).alias("number"), i.alias("pos")))
+        # sorted once, as a column of its own: the filter below reads it by place
+        df = df.select(*keep, "_secs", F.explode(F.array(F.array_sort(numbered))).alias("_nums"))
+        before = F.concat(F.array(F.lit(None).cast("struct<number:string,pos:int>")), F.col("_nums"))
+        runs = F.filter(F.arrays_zip(F.col("_nums").alias("cur"), before.alias("prev")),
+                        lambda z: z["cur"].isNotNull() & (z["prev"].isNull() | (z["prev"]["number"] != z["cur"]["number"])))
+        items = F.transform(runs, lambda z: F.struct(
+            z["cur"]["pos"].alias("pos"), F.element_at("_secs", z["cur"]["pos"] + 1).alias("section")))
+    else:
+        items = F.transform("_secs", lambda x, i: F.struct(i.alias("pos"), x.alias("section")))
     out = df.select(*keep, F.explode(items).alias("z"))
     head = F.col("z.section")
     return out.select(
@@ -60,32 +70,22 @@ def segment(df: DataFrame, text: str = "text", keep: tuple[str, ...] = (),
         head.alias("section"))
 
 
-def clause_fields(sections: DataFrame) -> DataFrame:
-    """Adds kind, effective_date and full_text (body cut after the end marker)."""
+def clause_fields(sections: DataFrame, kind_window: int = KIND_WINDOW,
+                  date_window: int = DATE_WINDOW) -> DataFrame:
+    """Adds kind, effective_date and full_text (body cut after the end marker).
+
+    The prescribing phrase counts within a section's first ``kind_window``
+    characters and the revision date within its first ``date_window``."""
     s = F.col("section")
     body_to_marker = F.regexp_extract(s, r"(?s)^.*?" + END_MARKER_RE.replace("(?i)", "(?i:") + ")", 0)
     end_word = F.regexp_extract(s, END_MARKER_RE, 1)
-    kind_word = F.regexp_extract(F.substring(s, 1, KIND_WINDOW), KIND_RE, 1)
+    kind_word = F.regexp_extract(F.substring(s, 1, kind_window), KIND_RE, 1)
     kind = (F.when(kind_word != "", capitalize(kind_word))
             .when(end_word == "solicitation provision", F.lit("Provision"))
             .when(end_word != "", capitalize(end_word))
             .otherwise(F.lit("Unknown")))
     full = strip(F.when(body_to_marker != "", body_to_marker).otherwise(s))
-    eff = blank_to_null(F.regexp_extract(F.substring(s, 1, DATE_WINDOW), DATE_RE, 1))
+    eff = blank_to_null(F.regexp_extract(F.substring(s, 1, date_window), DATE_RE, 1))
     return sections.select(*[c for c in sections.columns if c != "section"],
                            kind.alias("kind"), eff.alias("effective_date"),
                            full.alias("full_text"))
-
-
-def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """First row per key in document order.
-
-    ``min(struct(order..., payload...))`` is a partial + final aggregate, so a
-    key holding a large share of rows is combined map-side instead of being
-    sorted in one window partition.
-    """
-    payload = [c for c in df.columns if c not in keys]
-    first = F.min(F.struct(*[F.col(c) for c in order],
-                           *[F.col(c).alias(f"_p_{c}") for c in payload])).alias("_f")
-    g = df.groupBy(*keys).agg(first)
-    return g.select(*keys, *[F.col(f"_f._p_{c}").alias(c) for c in payload])

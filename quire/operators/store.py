@@ -1,19 +1,15 @@
 """Keyed writes on plain parquet: upsert (last wins), insert-if-absent, keyed
-column update, append, schema evolution and versioned snapshots
-(A8, A12-A18, E3, J6).
+column update, append and schema evolution (A12-A18, E3, J6).
 
-Plain parquet has no MERGE, so every write produces a DataFrame of the new
-table state; :func:`write_version` commits it as a new version directory and
-readers take the newest committed one (a snapshot that a running writer
-never changes).
+Plain parquet has no MERGE, so every operator produces a DataFrame of the new
+table state; which folder or table format keeps it is the caller's choice.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.text import _c
 
 
 def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -78,50 +74,7 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 def stamp(df: DataFrame, col: str, as_of) -> DataFrame:
     """Column default ``now()`` made repeatable: the caller passes the time."""
-    return df.withColumn(col, F.lit(as_of).cast("timestamp"))
-
-
-# ---------------------------------------------------------------------------
-# Versioned snapshots (A8): <root>/v=<n>/ ... committed when _SUCCESS exists.
-# ---------------------------------------------------------------------------
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and name[2:].isdigit():
-            ok = fs.exists(st.getPath().suffix("/_SUCCESS"))
-            if ok:
-                out.append(int(name[2:]))
-    return sorted(out)
-
-
-def read_latest(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame | None:
-    """Newest committed version, or None (or an empty frame of ``schema``)."""
-    vs = committed_versions(spark, root)
-    if not vs:
-        return spark.createDataFrame([], schema) if schema is not None else None
-    return spark.read.parquet(f"{root}/v={vs[-1]:08d}")
-
-
-def write_version(df: DataFrame, root: str, version: int | None = None) -> int:
-    """Commit ``df`` as the next version (or as ``version``, e.g. a streaming
-    batch id, so a replayed batch rewrites the same directory)."""
-    spark = df.sparkSession
-    if version is None:
-        vs = committed_versions(spark, root)
-        version = (vs[-1] + 1) if vs else 1
-    df.write.mode("overwrite").parquet(f"{root}/v={version:08d}")
-    return version
+    return df.withColumn(col, F.lit(as_of).cast("timestamp_ntz"))
 
 
 def status_machine(fetch_error: Column, extracted: Column, keep: Column, score: Column,

@@ -2,7 +2,7 @@
 supplier-part graph of ``lineitem``."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import crawl as C
@@ -106,11 +106,59 @@ WITH RECURSIVE e AS (
 ), b(node, depth) AS (
   SELECT 's1', 0
   UNION
-  SELECT e.dst, b.depth + 1 FROM b JOIN e ON e.src = b.node WHERE b.depth < 3
+  SELECT e.dst, b.depth + 1 FROM b JOIN e ON e.src = b.node WHERE b.depth < 12
 )
 SELECT node, CAST(min(depth) AS INTEGER) AS depth FROM b GROUP BY node
 """)
 def frontier_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes that supplier 1 reaches (the oracle's depth bound is far beyond the graph's)."""
     seeds = spark.range(1).select(F.lit(2).cast("bigint").alias("node"))  # supplier 1
-    r = C.frontier_rounds(spark, supplier_part_edges(spark, sf_dir), seeds, max_depth=3)
+    r = C.frontier_rounds(spark, supplier_part_edges(spark, sf_dir), seeds)
+    return r.select(node_name(F.col("node")).alias("node"), "depth")
+
+
+SCORED_SQL = """
+SELECT 's' || CAST(s_suppkey AS VARCHAR) AS node, s_acctbal > 0 AS keep, (s_suppkey % 100) / 100.0 AS score FROM supplier
+UNION ALL
+SELECT 'p' || CAST(p_partkey AS VARCHAR), p_size > 10, (p_partkey % 100) / 100.0 FROM part
+"""
+
+
+@query("gated_rounds", f"""
+WITH RECURSIVE l AS (
+  SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem
+), d AS (
+  SELECT 's' || CAST(s AS VARCHAR) AS src, 'p' || CAST(p AS VARCHAR) AS dst,
+         row_number() OVER (PARTITION BY s ORDER BY p) - 1 AS pos FROM l
+  UNION ALL
+  SELECT 'p' || CAST(p AS VARCHAR), 's' || CAST(s AS VARCHAR),
+         row_number() OVER (PARTITION BY p ORDER BY s) - 1 FROM l
+), e AS (SELECT src, dst FROM d WHERE pos < 5),
+g AS (SELECT node FROM ({SCORED_SQL}) WHERE keep AND score >= 0.4),
+b(node, depth) AS (
+  SELECT 's' || CAST(s_suppkey AS VARCHAR), 0 FROM supplier WHERE s_suppkey % 10 = 1
+  UNION
+  SELECT e.dst, b.depth + 1 FROM b JOIN g ON g.node = b.node JOIN e ON e.src = b.node WHERE b.depth < 2
+)
+SELECT node, CAST(min(depth) AS INTEGER) AS depth FROM b GROUP BY node
+""")
+def gated_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rounds from every tenth supplier: only nodes past the relevance gate are
+    expanded, along the first five links of each."""
+    li = table(spark, sf_dir, "lineitem", "l_suppkey", "l_partkey").distinct()
+    out = [(("l_suppkey", 0), ("l_partkey", 1)), (("l_partkey", 1), ("l_suppkey", 0))]
+    links = None
+    for (a, odd_a), (b, odd_b) in out:
+        place = F.row_number().over(Window.partitionBy(a).orderBy(b)) - 1
+        side = li.select(a, b, place.alias("pos")).where(F.col("pos") < 5).select(
+            (F.col(a) * 2 + odd_a).alias("src"), (F.col(b) * 2 + odd_b).alias("dst"), "pos")
+        links = side if links is None else links.unionByName(side)
+    s = table(spark, sf_dir, "supplier", "s_suppkey", "s_acctbal")
+    p = table(spark, sf_dir, "part", "p_partkey", "p_size")
+    scored = s.select((F.col("s_suppkey") * 2).alias("node"), (F.col("s_acctbal") > 0).alias("keep"),
+                      (F.col("s_suppkey") % 100 / 100).alias("score")).unionByName(
+        p.select((F.col("p_partkey") * 2 + 1).alias("node"), (F.col("p_size") > 10).alias("keep"),
+                 (F.col("p_partkey") % 100 / 100).alias("score")))
+    seeds = s.where(F.col("s_suppkey") % 10 == 1).select((F.col("s_suppkey") * 2).alias("node"))
+    r = C.frontier_rounds(spark, C.first_links(links), seeds, max_depth=2, scored=scored)
     return r.select(node_name(F.col("node")).alias("node"), "depth")

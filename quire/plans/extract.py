@@ -16,8 +16,7 @@ from .registry import query
 def doc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a dated phrase and a deviation-number phrase appended
     (shapes chosen by doc_id), plus file name and URL."""
-    return synth_doc_text(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source",
-                                heavy=True))
+    return synth_doc_text(table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
 
 
 # Phrase shapes and names per document as Spark SQL expressions (each handed
@@ -48,12 +47,13 @@ concat_ws(' ', text,
 _FILENAME_EXPR = "concat(source, '_', lang, '_doc_', CAST(doc_id AS STRING), '.pdf')"
 
 
+def pdf_url() -> F.Column:
+    return F.concat(F.lit("https://docs.example.org/"), F.col("source"), F.lit("/"), F.expr(_FILENAME_EXPR)).alias("pdf_url")
+
+
 def synth_doc_text(d: DataFrame) -> DataFrame:
-    fname = F.expr(_FILENAME_EXPR)
     return d.select("doc_id", "lang", "source", F.expr(_DOC_TEXT_EXPR).alias("text"),
-                    fname.alias("filename"),
-                    F.concat(F.lit("https://docs.example.org/"), F.col("source"), F.lit("/"), fname)
-                    .alias("pdf_url"))
+                    F.expr(_FILENAME_EXPR).alias("filename"), pdf_url())
 
 
 DOC_TEXT_SQL = """
@@ -101,40 +101,55 @@ def deviation_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("text_gate", """
-SELECT doc_id, length(left(text, 20000)) AS chars, md5(left(text, 20000)) AS text_md5
+SELECT doc_id, length(text) AS chars, md5(text) AS text_md5, md5(left(text, 20000)) AS model_input_md5
 FROM documents WHERE length(text) >= 200
 """)
 def text_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = X.text_gate(table(spark, sf_dir, "documents", "doc_id", "text"))
-    return d.select("doc_id", F.length("text").cast("bigint").alias("chars"),
-                    F.md5("text").alias("text_md5"))
+    return d.select("doc_id", F.length("text").cast("bigint").alias("chars"), F.md5("text").alias("text_md5"),
+                    F.md5(X.model_input(F.col("text"))).alias("model_input_md5"))
 
 
 @query("assemble_text", """
+SELECT conv_id, count(*) AS n_pages, string_agg(text, chr(10) ORDER BY turn) AS text
+FROM conversations WHERE text IS NOT NULL GROUP BY conv_id
+""")
+def assemble_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole text of every document."""
+    c = table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    return X.assemble_text(c, "conv_id", "turn", "text")
+
+
+@query("assemble_text_60", """
 WITH r AS (
   SELECT conv_id, turn, text FROM conversations WHERE text IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) <= 3
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) <= 60
 )
 SELECT conv_id, count(*) AS n_pages, string_agg(text, chr(10) ORDER BY turn) AS text
 FROM r GROUP BY conv_id
 """)
-def assemble_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def assemble_text_60(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full run reads the first 60 pages of a PDF."""
     c = table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
-    return X.assemble_text(c, "conv_id", "turn", "text", max_pages=3)
+    return X.assemble_text(c, "conv_id", "turn", "text", max_pages=60)
 
 
 def model_answers(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
-    """A JSON model answer per labelled document (valid, empty, DoD, broken)."""
+    """A JSON model answer per labelled document: valid, empty, DoD, broken, without the
+    required number, or with an invalid second element."""
     lab = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     j = lab.join(docs.select("doc_id", "lang", "source", "pdf_url"), "doc_id")
     q, t, i = F.col("quality"), F.col("toxic"), F.col("doc_id").cast("string")
+    number = F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(
+        F.concat(F.lit('"deviation_number": "M-'), i, F.lit('", ')))
+    second = F.when(F.col("doc_id") % 7 == 0, F.lit(', {"agency": "X"}')).otherwise(F.lit(""))
     resp = (F.when((t == 1) & (q == 0), F.lit('{"deviations": []}'))
-            .when(t == 1, F.concat(F.lit('{"deviations": [{"agency": "Department of Defense", '
-                                         '"title": "T'), i, F.lit('", "scope": "s"}]}')))
-            .when(q == 1, F.concat(F.lit('{"deviations": [{"agency": "'), F.col("lang"),
+            .when(t == 1, F.concat(F.lit('{"deviations": [{'), number, F.lit('"agency": "Department of Defense", "title": "T'),
+                                   i, F.lit('", "scope": "s"}]}')))
+            .when(q == 1, F.concat(F.lit('{"deviations": [{'), number, F.lit('"agency": "'), F.col("lang"),
                                    F.lit('", "title": "Deviation '), i,
                                    F.lit('", "scope": "Scope of '), F.col("source"),
-                                   F.lit('", "effective_date": "March 3, 2026"}]}')))
+                                   F.lit('", "effective_date": "March 3, 2026"}'), second, F.lit("]}")))
             .otherwise(F.lit("not json {")))
     return j.select("pdf_url", resp.alias("response"))
 
@@ -142,52 +157,85 @@ def model_answers(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFram
 MODEL_SQL = f"""
 SELECT d.pdf_url,
   CASE WHEN l.toxic = 1 AND l.quality = 0 THEN '{{"deviations": []}}'
-       WHEN l.toxic = 1 THEN '{{"deviations": [{{"agency": "Department of Defense", "title": "T' || CAST(l.doc_id AS VARCHAR) || '", "scope": "s"}}]}}'
-       WHEN l.quality = 1 THEN '{{"deviations": [{{"agency": "' || d.lang || '", "title": "Deviation ' || CAST(l.doc_id AS VARCHAR)
-            || '", "scope": "Scope of ' || d.source || '", "effective_date": "March 3, 2026"}}]}}'
+       WHEN l.toxic = 1 THEN '{{"deviations": [{{' || num || '"agency": "Department of Defense", "title": "T' || CAST(l.doc_id AS VARCHAR) || '", "scope": "s"}}]}}'
+       WHEN l.quality = 1 THEN '{{"deviations": [{{' || num || '"agency": "' || d.lang || '", "title": "Deviation ' || CAST(l.doc_id AS VARCHAR)
+            || '", "scope": "Scope of ' || d.source || '", "effective_date": "March 3, 2026"}}'
+            || CASE WHEN l.doc_id % 7 = 0 THEN ', {{"agency": "X"}}' ELSE '' END || ']}}'
        ELSE 'not json {{' END AS response
-FROM labels l JOIN ({DOC_TEXT_SQL}) d USING (doc_id)
+FROM (SELECT *, CASE WHEN doc_id % 3 = 0 THEN '' ELSE '"deviation_number": "M-' || CAST(doc_id AS VARCHAR) || '", ' END AS num FROM labels) l
+JOIN ({DOC_TEXT_SQL}) d USING (doc_id)
 """
 
+_VALID = " AND ".join(
+    [f"coalesce(json_type(x, '$.{n}'), '') = 'VARCHAR'" for n in ("agency", "deviation_number", "title")]
+    + [f"coalesce(json_type(x, '$.{n}'), 'NULL') IN ('VARCHAR', 'NULL')" for n in ("effective_date", "scope", "link")])
+
 
-@query("field_merge", f"""
+def merge_sql(docs: str, take_date: bool, drop_dod: bool, blank_title: bool, take_number: bool) -> str:
+    """Regex fields first, model fields second, one row per id."""
+    title = "replace(replace(filename, '.pdf', ''), '_', ' ')"
+    title = f"coalesce(nullif(m_title, ''), {title})" if blank_title else f"CASE WHEN has_model THEN m_title ELSE {title} END"
+    date = "CASE WHEN nullif(rx_date, '') IS NULL AND has_model THEN m_date ELSE rx_date END" if take_date else "rx_date"
+    number = "coalesce(nullif(rx_num, ''), nullif(m_num, ''), rx_num)" if take_number else "rx_num"
+    keep = "NOT (has_model AND coalesce(upper(m_agency) IN ('DOD', 'DEPARTMENT OF DEFENSE'), false))" if drop_dod else "true"
+    return f"""
 WITH d AS (
   SELECT pdf_url, filename, {S.agency_label('filename')} AS agency,
          {S.first_match('text', fields.EFFECTIVE_PATTERNS)} AS rx_date,
          {S.first_match('text', fields.DEVIATION_NUM_PATTERNS, 'filename')} AS rx_num
-  FROM ({DOC_TEXT_SQL}) WHERE length(text) >= 200
+  FROM ({docs}) WHERE length(text) >= 200
 ), m AS (
-  SELECT pdf_url, CASE WHEN json_valid(response) THEN json_extract(response, '$.deviations[0]') END AS dv
+  SELECT pdf_url, CASE WHEN json_valid(response) AND json_type(response, '$.deviations') = 'ARRAY'
+      AND json_array_length(response, '$.deviations') > 0
+      AND len(list_filter(json_extract(response, '$.deviations[*]'), lambda x: NOT ({_VALID}))) = 0
+    THEN json_extract(response, '$.deviations[0]') END AS dv
   FROM ({MODEL_SQL})
 ), j AS (
-  SELECT d.*, m.dv IS NOT NULL AS has_model,
+  SELECT d.*, m.dv IS NOT NULL AS has_model, json_extract_string(m.dv, '$.deviation_number') AS m_num,
     json_extract_string(m.dv, '$.agency') AS m_agency, json_extract_string(m.dv, '$.title') AS m_title,
     json_extract_string(m.dv, '$.scope') AS m_scope, json_extract_string(m.dv, '$.effective_date') AS m_date
   FROM d LEFT JOIN m USING (pdf_url)
-), k AS (
-  SELECT coalesce(agency, 'None') || '|' || coalesce(nullif(rx_num, ''), nullif(filename, ''), 'None') AS id,
-    agency, rx_num AS deviation_number,
-    CASE WHEN has_model THEN m_title ELSE replace(replace(filename, '.pdf', ''), '_', ' ') END AS title,
-    CASE WHEN nullif(rx_date, '') IS NULL AND has_model THEN m_date ELSE rx_date END AS effective_date,
+), n AS (SELECT *, {number} AS num FROM j), k AS (
+  SELECT coalesce(agency, 'None') || '|' || coalesce(nullif(num, ''), nullif(filename, ''), 'None') AS id,
+    agency, num AS deviation_number, {title} AS title, {date} AS effective_date,
     m_scope AS scope, pdf_url AS link, filename
-  FROM j WHERE NOT (has_model AND coalesce(upper(m_agency) IN ('DOD', 'DEPARTMENT OF DEFENSE'), false))
+  FROM n WHERE {keep}
 )
 SELECT id, agency, deviation_number, title, effective_date, scope, link FROM k
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY agency DESC, filename DESC, link DESC) = 1
-""")
+"""
+
+
+def merged(spark: SparkSession, sf_dir: str, docs: DataFrame, all_docs: DataFrame, **options) -> DataFrame:
+    """Fields of ``docs`` and their model answers, the last row per id."""
+    with_agency = docs.withColumn("agency", fields.agency_label("filename"))
+    rows = X.merge_fields(with_agency.select("pdf_url", "agency", "filename", "text"),
+                          model_answers(spark, sf_dir, all_docs), **options)
+    return store.last_per_key(rows, ["id"], ["agency", "filename", "link"]).drop("filename")
+
+
+def document_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids, names and URLs of the documents, without their texts."""
+    d = table(spark, sf_dir, "documents", "doc_id", "lang", "source")
+    return d.select("doc_id", "lang", "source", pdf_url())
+
+
+@query("incremental_merge", merge_sql(DOC_TEXT_SQL, take_date=False, drop_dod=False, blank_title=True, take_number=False))
+def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental rules: a model answer that names DoD drops nothing."""
+    return merged(spark, sf_dir, doc_text(spark, sf_dir), document_names(spark, sf_dir), take_model_date=False,
+                  title_fallback_when_blank=True, drop_dod=False)
+
+
+@query("field_merge", merge_sql(DOC_TEXT_SQL, take_date=True, drop_dod=True, blank_title=False, take_number=False))
 def field_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = doc_text(spark, sf_dir)
-    docs = docs.withColumn("agency", fields.agency_label("filename"))
-    merged = X.merge_fields(docs.select("pdf_url", "agency", "filename", "text"),
-                            model_answers(spark, sf_dir, docs))
-    latest = store.last_per_key(merged, ["id"], ["agency", "filename", "link"])
-    return latest.drop("filename")
+    return merged(spark, sf_dir, doc_text(spark, sf_dir), document_names(spark, sf_dir))
 
 
-def model_texts(spark: SparkSession, sf_dir: str, heavy: bool = True) -> DataFrame:
+def model_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Free-text model replies per event: bare JSON, JSON in prose, truncated,
     wrong key, extra field."""
-    e = table(spark, sf_dir, "events", "event_id", "event_type", "props", heavy=heavy)
+    e = table(spark, sf_dir, "events", "event_id", "event_type", "props")
     t, p = F.col("event_type"), F.col("props")
     txt = (F.when(t == "view", p)
            .when(t == "click", F.concat(F.lit("Here is the result: "), p, F.lit(" hope it helps")))

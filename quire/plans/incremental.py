@@ -1,13 +1,13 @@
-"""Incremental (streaming) queries: the driver tables are landed as several
-files, a file-source stream processes them one file per micro-batch, and the
-resulting keyed table must equal the one-shot batch result."""
+"""Incremental (streaming) queries: a file-source stream over the landed files of a
+table writes the change rows of each micro-batch, and the state that they add up to
+must equal the one-shot batch result."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fields
-from ..functions.urls import site_root
+from ..functions.urls import safe_filename, site_root
 from ..functions.dates import with_normalized_date
 from ..operators import extract as X
 from ..operators import links as L
@@ -20,9 +20,6 @@ from .extract import DOC_TEXT_SQL, synth_doc_text
 from .links import DOC_LINK_RE, MANIFEST_SQL
 from .registry import query
 
-ARRIVAL_FILES = 4
-FILES_PER_BATCH = 2
-
 
 def extract_batch(docs: DataFrame, model: DataFrame | None = None) -> DataFrame:
     """Extraction of one batch of documents (J2 + J3): regex fields, model
@@ -31,7 +28,8 @@ def extract_batch(docs: DataFrame, model: DataFrame | None = None) -> DataFrame:
     and the normalised date."""
     d = synth_doc_text(docs).withColumn("agency", fields.agency_label("filename"))
     m = X.merge_fields(d.select("pdf_url", "agency", "filename", "text", "doc_id"), model,
-                       take_model_date=False, carry=("doc_id",), title_fallback_when_blank=True)
+                       take_model_date=False, carry=("doc_id",), title_fallback_when_blank=True,
+                       drop_dod=False)
     out = m.drop("filename") if model is not None else m.drop("scope", "filename")
     return with_normalized_date(out)
 
@@ -55,31 +53,53 @@ SELECT id, agency, deviation_number, title, effective_date, link FROM (
 """))
 def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
-    src, root, ckpt = (INC.scratch(spark, n) for n in ("docs", "deviations", "stream"))
-    INC.land_in_files(docs, src, ARRIVAL_FILES, "source")
-    INC.run_available(spark, src, docs.schema, extract_batch, root, ["id"], ["doc_id"], ckpt,
-                      files_per_batch=FILES_PER_BATCH)
-    return INC.read_state(spark, root).drop("doc_id")
+    root, ckpt = INC.scratch(spark, "deviations"), INC.scratch(spark, "stream")
+    # a glob, because a table may be one file or a folder of files
+    INC.run_available(spark, f"{sf_dir}/documents.parque[t]", docs.schema, extract_batch, root, ckpt)
+    return INC.read_state(spark, root, ["id"], ["doc_id"]).drop("doc_id")
 
 
-def discover_batch(pages: DataFrame) -> DataFrame:
-    """Document links of one batch of landed pages as manifest rows."""
+def page_documents(pages: DataFrame) -> DataFrame:
     links = L.extract_links(pages, keep=("url",))
-    m = L.explode_parts(L.link_manifest(links, site_root(F.col("url")), pattern=DOC_LINK_RE))
-    return m.select(*M.MANIFEST_COLUMNS, "page_id", "pos")
+    return L.link_manifest(links, site_root(F.col("url")), pattern=DOC_LINK_RE)
+
+
+def discover_batch(pages: DataFrame) -> DataFrame:
+    """Document links of one batch of landed pages."""
+    return page_documents(pages).select("pdf_url", "agency", "filename", "is_dod", "part_numbers", "page_id", "pos")
+
+
+def _download_results(urls_: DataFrame) -> DataFrame:
+    """Stand-in for the fetches of one run: status, size and exception by the URL's length."""
+    n = F.length("pdf_url")
+    return urls_.select(
+        "pdf_url", F.when(n % 5 == 0, F.lit(404)).otherwise(F.lit(200)).alias("status"),
+        F.when(n % 7 == 0, F.lit(100)).otherwise(F.lit(5000)).alias("size"),
+        F.when(n % 11 == 0, F.lit("ConnectError: reset")).alias("exception"))
 
 
 @query("incremental_discover", f"""
-SELECT DISTINCT pdf_url, agency, filename,
-       unnest(CASE WHEN len(part_numbers) > 0 THEN part_numbers ELSE [-1] END) AS part_number,
-       is_dod
-FROM ({MANIFEST_SQL})
+WITH m AS (SELECT DISTINCT pdf_url, agency, filename, is_dod, part_numbers FROM ({MANIFEST_SQL})),
+landed AS (
+  SELECT DISTINCT {S.safe_filename('pdf_url')} AS name FROM ({MANIFEST_SQL}) WHERE page_id % 3 = 0
+), o AS (
+  SELECT *, CASE WHEN is_dod THEN 'skipped: DoD' WHEN length(pdf_url) % 11 = 0 THEN 'ConnectError: reset'
+                 WHEN length(pdf_url) % 5 = 0 THEN 'status 404' WHEN length(pdf_url) % 7 = 0 THEN 'too small (100 bytes)' END AS error
+  FROM m WHERE {S.safe_filename('pdf_url')} NOT IN (SELECT name FROM landed)
+)
+SELECT pdf_url, agency, filename, is_dod, part_numbers, error,
+       CASE WHEN error IS NULL THEN 'pdfs/' || {S.safe_filename('pdf_url')} END AS saved_path
+FROM o
 """)
 def incremental_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run's records (J1): links of the pages whose file has not landed yet, with
+    the outcome of their download (files linked from every third page have landed)."""
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
-    src, root, ckpt = (INC.scratch(spark, n) for n in ("pages", "manifest", "stream"))
-    INC.land_in_files(pages, src, ARRIVAL_FILES, "page_id")
-    INC.run_available(spark, src, pages.schema, discover_batch, root,
-                      ["pdf_url", "part_number"], ["page_id", "pos"], ckpt,
-                      files_per_batch=FILES_PER_BATCH)
-    return INC.read_state(spark, root).select(*M.MANIFEST_COLUMNS)
+    root, ckpt = INC.scratch(spark, "manifest"), INC.scratch(spark, "stream")
+    INC.run_available(spark, f"{sf_dir}/pages.parque[t]", pages.schema, discover_batch, root, ckpt)
+    state = INC.read_state(spark, root, ["pdf_url"], ["page_id", "pos"])
+    landed = (page_documents(pages.where(F.col("page_id") % 3 == 0))
+              .select(safe_filename(F.col("pdf_url")).alias("name"), F.lit(5000).alias("length")))
+    new = M.not_yet_landed(state, [landed])
+    tried = M.attach_results(new, _download_results(new.select("pdf_url")))
+    return tried.select("pdf_url", "agency", "filename", "is_dod", "part_numbers", "error", "saved_path")

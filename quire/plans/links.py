@@ -12,9 +12,6 @@ from ..session import table
 from . import sqlfrag as S
 from .registry import query
 
-A_RE = S.q(L.ANCHOR_RE)
-
-
 def page_links(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
     return L.extract_links(pages, keep=keep)
@@ -22,15 +19,12 @@ def page_links(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
 
 LINKS_SQL = f"""
 WITH a AS (
-  SELECT page_id, url,
-         regexp_extract_all(html, {A_RE}, 1) AS hrefs,
-         regexp_extract_all(html, {A_RE}, 2) AS inners
-  FROM pages
+  SELECT page_id, url, {S.anchors(S.visible('html'))} AS anchors FROM pages
 ), e AS (
-  SELECT page_id, url, hrefs, inners, unnest(generate_series(1, len(hrefs))) AS i FROM a
+  SELECT page_id, url, anchors, unnest(generate_series(1, len(anchors))) AS i FROM a
 )
-SELECT page_id, url, CAST(i - 1 AS INTEGER) AS pos, hrefs[i] AS href,
-       {S.tag_text('inners[i]')} AS anchor_text
+SELECT page_id, url, CAST(i - 1 AS INTEGER) AS pos, {S.href_of('anchors[i]')} AS href,
+       {S.tag_text('anchors[i]')} AS anchor_text
 FROM e
 """
 
@@ -92,7 +86,7 @@ def guide_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page turned into a guide page: an h3 heading holding a Part link
     (number from the page id), the page title as anchor text and dated status
     lines, followed by the page's own HTML."""
-    p = table(spark, sf_dir, "pages", "page_id", "url", "html", heavy=True)
+    p = table(spark, sf_dir, "pages", "page_id", "url", "html")
     title = F.regexp_extract("html", r"(?is)<h1[^>]*>(.*?)</h1>", 1)
     issued = F.date_format(F.date_add(F.lit("2025-01-01").cast("date"),
                                       (F.col("page_id") % 365).cast("int")), "MMMM d, yyyy")
@@ -121,19 +115,19 @@ FROM pages
 @query("heading_dates", f"""
 WITH g AS ({GUIDE_SQL}),
 b AS (
-  SELECT page_id, base, regexp_extract_all(html, {S.q(L.HEADING_OR_ANCHOR_RE)}, 1) AS blks FROM g
+  SELECT page_id, base, regexp_extract_all({S.visible('html')}, {S.q(L.HEADING_OR_ANCHOR_RE)}, 1) AS blks FROM g
 ), be AS (
   SELECT page_id, base, i AS bpos, blks[i] AS blk FROM (
     SELECT *, unnest(generate_series(1, len(blks))) AS i FROM b)
 ), bl AS (
   SELECT page_id, base, bpos,
     CASE WHEN regexp_matches(blk, '(?i)^<h[2-4]') THEN {S.tag_text('blk')} END AS htxt,
-    regexp_extract_all(blk, {A_RE}, 1) AS hrefs, regexp_extract_all(blk, {A_RE}, 2) AS inners
+    {S.anchors('blk')} AS anchors
   FROM be
 ), le AS (
   SELECT page_id, base, bpos, htxt, j AS lpos,
-         split_part(split_part(hrefs[j], '?', 1), '#', 1) AS href, inners[j] AS inn
-  FROM (SELECT *, unnest(generate_series(1, len(hrefs))) AS j FROM bl)
+         split_part(split_part({S.href_of('anchors[j]')}, '?', 1), '#', 1) AS href, anchors[j] AS inn
+  FROM (SELECT *, unnest(generate_series(1, len(anchors))) AS j FROM bl)
 ), p AS (
   SELECT page_id, bpos, lpos,
     TRY_CAST(regexp_extract(href, {S.q(L.PART_LINK_RE)}, 1) AS INTEGER) AS part_number,
@@ -164,16 +158,16 @@ def safe_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_filenames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file name per document from its source and the start of its text."""
+    """A file name per document from its source and its text."""
     d = table(spark, sf_dir, "documents", "doc_id", "source", "lang", "text")
     name = F.concat(F.col("source"), F.lit("_"),
-                    F.regexp_replace(F.substring("text", 1, 60), r"[^A-Za-z0-9]+", "_"), F.lit(".pdf"))
+                    F.regexp_replace("text", r"[^A-Za-z0-9]+", "_"), F.lit(".pdf"))
     return d.select("doc_id", "lang", name.alias("filename"))
 
 
 DOC_NAMES_SQL = """
 SELECT doc_id, lang,
-  source || '_' || regexp_replace(left(text, 60), '[^A-Za-z0-9]+', '_', 'g') || '.pdf' AS filename
+  source || '_' || regexp_replace(text, '[^A-Za-z0-9]+', '_', 'g') || '.pdf' AS filename
 FROM documents
 """
 
@@ -204,10 +198,9 @@ END
 """
 
 
-def lineitem_names(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+def lineitem_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File names of every shape the part-number parser handles, per line item."""
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-               heavy=heavy)
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return li.select("l_orderkey", "l_linenumber", F.expr(_LINEITEM_NAME_EXPR).alias("filename"))
 
 
@@ -232,8 +225,8 @@ FROM ({LINEITEM_NAMES_SQL})
 """
 
 
-def lineitem_parts(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
-    n = lineitem_names(spark, sf_dir, heavy)
+def lineitem_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = lineitem_names(spark, sf_dir)
     return n.select("*", fields.agency_label("filename").alias("agency"),
                     fields.is_dod("filename").alias("is_dod"),
                     fields.parts_from_filename("filename").alias("part_numbers"))
@@ -269,7 +262,7 @@ FROM ({EXPLODED_SQL})
 GROUP BY filename
 """)
 def part_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ex = L.explode_parts(lineitem_parts(spark, sf_dir, heavy=True))
+    ex = L.explode_parts(lineitem_parts(spark, sf_dir))
     return M.part_list(ex, "filename", ["l_orderkey", "l_linenumber"],
                        ["agency", "is_dod"]).withColumnRenamed("l_orderkey", "first_orderkey") \
         .withColumnRenamed("l_linenumber", "first_linenumber")
@@ -305,5 +298,5 @@ def _clean_sql(x: str) -> str:
 
 @query("html_clean_text", f"SELECT page_id, {_clean_sql('html')} AS clean_text FROM pages")
 def html_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages", "page_id", "html", heavy=True)
+    p = table(spark, sf_dir, "pages", "page_id", "html")
     return p.select("page_id", L.clean_text(F.col("html")).alias("clean_text"))

@@ -11,6 +11,7 @@ from ..functions import urls
 from ..operators import manifest as M
 from ..session import table
 from . import sqlfrag as S
+from .extract import DOC_TEXT_SQL, doc_text, document_names, merge_sql, merged
 from .registry import query
 
 
@@ -91,6 +92,21 @@ def retry_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.missing_originals(w, a.unionByName(b))
 
 
+RETRY_SQL = f"""
+SELECT pdf_url FROM ({DOC_MANIFEST_SQL}) WHERE NOT is_dod AND filename NOT IN (
+  SELECT regexp_extract(name, '^[0-9a-f]{{16}}_(.+)$', 1)
+  FROM (SELECT * FROM ({LISTING_A}) UNION ALL SELECT * FROM ({LISTING_B})))
+"""
+
+
+@query("retry_extract", merge_sql(f"SELECT * FROM ({DOC_TEXT_SQL}) WHERE pdf_url IN ({RETRY_SQL})", take_date=True,
+                                    drop_dod=True, blank_title=False, take_number=True))
+def retry_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The retry run re-drives extraction for the missing files."""
+    docs = doc_text(spark, sf_dir).join(retry_missing(spark, sf_dir).select("pdf_url"), "pdf_url", "left_semi")
+    return merged(spark, sf_dir, docs, document_names(spark, sf_dir), take_model_number=True)
+
+
 @query("sync_report", f"""
 WITH m AS (
   SELECT DISTINCT {S.safe_filename('pdf_url')} AS k FROM ({DOC_MANIFEST_SQL}) WHERE lang IN ('en', 'fr')
@@ -165,7 +181,7 @@ GROUP BY 1, 2
 
 
 @query("manifest_rebuild", f"""
-WITH l AS (SELECT * FROM ({LISTING_A}) UNION ALL SELECT * FROM ({LISTING_B})),
+WITH l AS (SELECT name, max(length) AS length FROM (SELECT * FROM ({LISTING_A}) UNION ALL SELECT * FROM ({LISTING_B})) GROUP BY name),
 e AS ({EXISTING_SQL}), d AS ({DB_META_SQL})
 SELECT l.name AS on_disk_filename,
   coalesce(nullif(e.url_hash, ''), nullif(d.url_hash, ''), split_part(l.name, '_', 1)) AS url_hash,
@@ -183,6 +199,61 @@ def manifest_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.rebuild(a.unionByName(b), _existing_csv(spark, sf_dir), _db_meta(spark, sf_dir))
 
 
+@query("sync_kept", f"""
+SELECT * FROM ({EXISTING_SQL}) WHERE on_disk_filename IN (
+  SELECT name FROM (SELECT * FROM ({LISTING_A}) UNION ALL SELECT * FROM ({LISTING_B})))
+""")
+def sync_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest rows that a sync writes back."""
+    a, b = listings(spark, sf_dir)
+    return M.kept_rows(_existing_csv(spark, sf_dir), a.unionByName(b))
+
+
+@query("part_worklist", f"""
+SELECT DISTINCT pdf_url, agency, filename FROM ({DOC_MANIFEST_SQL}) WHERE NOT is_dod AND part_number = 12
+""")
+def part_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The worklist of one part."""
+    return M.worklist(doc_manifest(spark, sf_dir), only_part=12)
+
+
+@query("manifest_csv", f"""
+SELECT on_disk_filename, coalesce(url_hash, '') AS url_hash,
+  coalesce(original_filename, '') || ' "v1, final"' || chr(10) || 'x' AS original_filename, coalesce(agency, '') AS agency,
+  coalesce(part_number, '') AS part_number, is_dod, source_url, pdf_size_bytes FROM ({EXISTING_SQL})
+""")
+def manifest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest written as CSV and read again (A5, A9), with quotes, commas and line
+    breaks in a field; missing and empty fields are both empty in a CSV."""
+    from ..sources import files
+    from ..streaming.incremental import scratch
+
+    name = F.concat(F.coalesce("original_filename", F.lit("")), F.lit(' "v1, final"\nx'))
+    path = scratch(spark, "manifest-csv")
+    files.write_manifest_csv(_existing_csv(spark, sf_dir).withColumn("original_filename", name), path)
+    return files.read_manifest_csv(spark, path)
+
+
+@query("download_outcomes", f"""
+WITH w AS (SELECT DISTINCT pdf_url, agency, filename FROM ({DOC_MANIFEST_SQL}) WHERE NOT is_dod),
+o AS (
+  SELECT m.pdf_url, CASE WHEN l.toxic = 0 THEN 'pdfs/' || m.filename END AS saved_path,
+         CASE WHEN l.toxic = 1 THEN 'status 404' END AS error
+  FROM ({DOC_MANIFEST_SQL}) m JOIN labels l USING (doc_id)
+)
+SELECT w.pdf_url, w.filename, o.saved_path, o.error, o.saved_path IS NULL AS failed
+FROM w LEFT JOIN o USING (pdf_url)
+""")
+def download_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Work rows with what became of their download (C2); labelled documents have an outcome."""
+    m = doc_manifest(spark, sf_dir)
+    lab = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    outcomes = m.join(lab, "doc_id").select(
+        "pdf_url", F.when(F.col("toxic") == 0, F.concat(F.lit("pdfs/"), F.col("filename"))).alias("saved_path"),
+        F.when(F.col("toxic") == 1, F.lit("status 404")).alias("error"))
+    return M.attach_outcomes(M.worklist(m), outcomes).select("pdf_url", "filename", "saved_path", "error", "failed")
+
+
 def _pattern_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region", "r_regionkey", "r_name")
@@ -238,8 +309,7 @@ RUN_SCHEMA = T.StructType([
 
 def run_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run-manifest JSON document per event (two records each)."""
-    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value",
-              heavy=True)
+    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
     i = F.col("event_id").cast("string")
 
     def rec(suffix: str, saved) -> F.Column:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import like_ordered
 from ..operators import report as R
 from ..operators import sections as SEC
 from ..session import table
@@ -88,15 +87,17 @@ def work_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     d = table(spark, sf_dir, "documents", "doc_id", "source", "text")
     lab = table(spark, sf_dir, "labels", "doc_id")
-    q = d.where(like_ordered("text", "%an%the%")).join(lab, "doc_id", "left_anti")
+    q = d.where(F.like("text", F.lit("%an%the%"))).join(lab, "doc_id", "left_anti")
     top = q.orderBy("doc_id").limit(50).select("doc_id", "source")
     return top.withColumn("rank", F.row_number().over(Window.orderBy("doc_id")).cast("bigint"))
 
 
-DEV_COLUMNS = [("agency", "Agency"), ("deviation_number", "Deviation #"),
+SCRAPED_AT = "2026-01-31 06:30:00"
+DEV_COLUMNS = [("agency", "Agency"), ("deviation_number", "Deviation #"), ("title", "Title"),
                ("effective_date", "Effective Date (raw)"),
                ("effective_date_iso", "Effective Date (ISO)"),
-               ("effective_date_kind", "Date Kind")]
+               ("effective_date_kind", "Date Kind"), ("scope", "Scope"), ("link", "Link"),
+               ("scraped_at", "Scraped At")]
 EXCLUDED_AGENCIES = ("DoD", "DOD", "Department of Defense")
 
 
@@ -107,7 +108,11 @@ def deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
               .otherwise(F.substring(pr, 3, 100)))
     return n.select(
         agency.alias("agency"), F.concat(F.lit("D-"), F.col("o_orderkey").cast("string"))
-        .alias("deviation_number"), "effective_date", "effective_date_iso", "effective_date_kind")
+        .alias("deviation_number"), F.concat(F.lit("Deviation "), F.col("o_orderkey").cast("string")).alias("title"),
+        "effective_date", "effective_date_iso", "effective_date_kind",
+        F.when(F.col("o_orderkey") % 2 == 0, pr).alias("scope"),
+        F.concat(F.lit("https://docs.example.org/"), F.col("o_orderkey").cast("string"), F.lit(".pdf")).alias("link"),
+        F.lit(SCRAPED_AT).cast("timestamp_ntz").alias("scraped_at"))
 
 
 @query("export_deviations", f"""
@@ -116,31 +121,39 @@ d AS (
   SELECT CASE WHEN starts_with(o.o_orderpriority, '1') THEN 'DoD' WHEN starts_with(o.o_orderpriority, '5') THEN NULL
               ELSE substr(o.o_orderpriority, 3, 100) END AS agency,
          'D-' || CAST(n.o_orderkey AS VARCHAR) AS deviation_number,
-         n.effective_date, n.effective_date_iso, n.effective_date_kind
+         'Deviation ' || CAST(n.o_orderkey AS VARCHAR) AS title,
+         n.effective_date, n.effective_date_iso, n.effective_date_kind,
+         CASE WHEN n.o_orderkey % 2 = 0 THEN o.o_orderpriority END AS scope,
+         'https://docs.example.org/' || CAST(n.o_orderkey AS VARCHAR) || '.pdf' AS link
   FROM n JOIN orders o USING (o_orderkey)
 )
-SELECT agency AS "Agency", deviation_number AS "Deviation #", effective_date AS "Effective Date (raw)",
+SELECT agency AS "Agency", deviation_number AS "Deviation #", title AS "Title", effective_date AS "Effective Date (raw)",
        effective_date_iso AS "Effective Date (ISO)", effective_date_kind AS "Date Kind",
+       scope AS "Scope", link AS "Link", TIMESTAMP '{SCRAPED_AT}' AS "Scraped At",
        row_number() OVER (ORDER BY effective_date_iso DESC NULLS LAST, agency, deviation_number) AS rank
 FROM d WHERE agency NOT IN ('DoD', 'DOD', 'Department of Defense')
 """)
 def export_deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = deviations(spark, sf_dir).where(~F.col("agency").isin(*EXCLUDED_AGENCIES))
     return R.sorted_report(d, DEV_COLUMNS, [F.col("effective_date_iso").desc_nulls_last(),
-                                            F.col("agency"), F.col("deviation_number")])
+                                            F.col("agency"), F.col("deviation_number")],
+                           ["deviation_number"])
 
 
 CLAUSE_COLUMNS = [("number", "Number"), ("title", "Title"), ("kind", "Type"),
                   ("effective_date", "Effective Date"), ("full_text", "Full Text"),
-                  ("doc_id", "Source")]
+                  ("doc_id", "Source"), ("source_url", "Source URL"), ("scraped_at", "Scraped At")]
 
 
 @query("export_clauses", f"""
 SELECT number AS "Number", title AS "Title", kind AS "Type", effective_date AS "Effective Date",
        full_text AS "Full Text", doc_id AS "Source",
+       'https://docs.example.org/' || CAST(doc_id AS VARCHAR) AS "Source URL", TIMESTAMP '{SCRAPED_AT}' AS "Scraped At",
        row_number() OVER (ORDER BY number, doc_id) AS rank
 FROM ({_fields_sql(_sections_sql(True))})
 """)
 def export_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = SEC.clause_fields(SEC.segment(clause_docs(spark, sf_dir), keep=("doc_id",), first_only=True))
-    return R.sorted_report(c, CLAUSE_COLUMNS, [F.col("number"), F.col("doc_id")])
+    c = c.withColumns({"source_url": F.concat(F.lit("https://docs.example.org/"), F.col("doc_id").cast("string")),
+                       "scraped_at": F.lit(SCRAPED_AT).cast("timestamp_ntz")})
+    return R.sorted_report(c, CLAUSE_COLUMNS, [F.col("number"), F.col("doc_id")], ["number", "doc_id"])

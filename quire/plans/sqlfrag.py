@@ -93,3 +93,19 @@ def first_match(x: str, patterns, fallback: str | None = None) -> str:
 def percent_1dp(part: str, total: str) -> str:
     return (f"CASE WHEN {total} = 0 THEN 0.0 ELSE "
             f"CAST(({part} * 2000 + {total}) // (2 * {total}) AS DOUBLE) / 10 END")
+
+
+def visible(x: str) -> str:
+    return f"regexp_replace({x}, {q(L.HIDDEN_RE)}, '', 'g')"
+
+
+def anchors(x: str) -> str:
+    """List of anchors with an href: marked before each start tag, cut there, ended at the end tag."""
+    marked = f"regexp_replace(replace({x}, chr(1), ''), {q(L.ANCHOR_TAG_RE)}, chr(1) || '\\1', 'g')"
+    pieces = f"list_slice(string_split({marked}, chr(1)), 2, 2147483647)"
+    return (f"list_transform(list_filter({pieces}, lambda a: regexp_matches(a, {q(L.HREF_RE)})), "
+            f"lambda a: regexp_replace(a, {q(L.AFTER_ANCHOR_RE)}, ''))")
+
+
+def href_of(x: str) -> str:
+    return decode_entities(" || ".join(f"regexp_extract({x}, {q(L.HREF_RE)}, {i})" for i in (1, 2, 3)))

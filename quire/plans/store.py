@@ -75,3 +75,25 @@ def status_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     upd = o.select("url", err.alias("error"), store.status_machine(
         err, F.col("html").contains("<h1"), F.col("url").contains("/en/"), score).alias("status"))
     return store.keyed_update(urls, upd, ["url"], ["status", "error"])
+
+
+STAMP = "2026-01-31 06:30:00"
+
+
+@query("schema_evolution", f"""
+WITH u AS (
+  SELECT event_id, user_id, event_type, CAST(NULL AS DOUBLE) AS value, 0 AS seq FROM events WHERE event_id % 2 = 0
+  UNION ALL
+  SELECT event_id, user_id, event_type, value, 1 FROM events WHERE event_id % 3 = 0
+)
+SELECT event_id, user_id, event_type, value, TIMESTAMP '{STAMP}' AS scraped_at FROM u
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY seq DESC) = 1
+""")
+def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table without ``value`` takes rows that have it (A17); all rows get the stamp of
+    the write (A18)."""
+    e = table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value")
+    old = e.where(F.col("event_id") % 2 == 0).drop("value").withColumn("seq", F.lit(0))
+    new = e.where(F.col("event_id") % 3 == 0).withColumn("seq", F.lit(1))
+    state = store.upsert(store.conform(old, new.schema), new, ["event_id"], ["seq"])
+    return store.stamp(state.drop("seq"), "scraped_at", STAMP)

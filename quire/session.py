@@ -29,6 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.files.maxPartitionBytes", "16m")
         .config("spark.sql.session.timeZone", os.environ.get("QUIRE_SESSION_TZ", "UTC"))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -59,62 +60,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, *cols: str,
-          heavy: bool = False) -> DataFrame:
-    """Scan one driver table; listing columns narrows the parquet ReadSchema.
-
-    ``heavy`` marks scans followed by costly per-row work (regex over whole
-    texts): those are spread over the cluster's cores when the scan would run
-    in fewer tasks than cores (see :func:`spread`).
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = _scan(spark, path)
-    df = df.select(*cols) if cols else df
-    return spread(df, path) if heavy else df
-
-
-def _scan(spark: SparkSession, path: str) -> DataFrame:
-    """``spark.read.parquet(path)``, reused within a session while the file is
-    unchanged (the footer/schema read is a driver round trip per call)."""
-    cache = spark.__dict__.setdefault("_quire_scans", {})
-    try:
-        st = os.stat(path)
-        key = (path, st.st_mtime_ns, st.st_size)
-    except OSError:  # not a local path (cluster storage): no reuse
-        return spark.read.parquet(path)
-    df = cache.get(key)
-    if df is None:
-        df = cache[key] = spark.read.parquet(path)
-    return df
-
-
-def spread(df: DataFrame, path: str | None = None, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Round-robin repartition to ``defaultParallelism`` when a scan yields
-    fewer splits than cores and the input is big enough to matter.
-
-    A parquet file with one row group is one split however large it is, so
-    the per-row text work (regex, JSON) after it would run in one task.  On
-    a cluster scan splits outnumber cores and this is a no-op: it never adds
-    a shuffle there.
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if target <= 1 or spark.conf.get("quire.spread.enabled", "true") == "false":
-        return df
-    # split count first: on a cluster it settles the question without a
-    # (possibly large) file-system size query
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    if path is not None:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if fs.getContentSummary(p).getLength() < min_bytes:
-            return df
-    return df.repartition(target)
+def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """Scan one driver table; listing columns narrows the parquet ReadSchema."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return df.select(*cols) if cols else df
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -49,15 +49,22 @@ def list_files(spark: SparkSession, directory: str, glob: str = "*.pdf") -> Data
     return df.select(F.substring_index("path", "/", -1).alias("name"), "length", "path")
 
 
+# quotes inside a quoted field are doubled, and a field may hold line breaks
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+               "ignoreTrailingWhiteSpace": False}
+
+
 def read_manifest_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Corpus manifest CSV, header row, every column a string (A5)."""
-    return spark.read.schema(MANIFEST_SCHEMA).option("header", True).csv(path)
+    """Corpus manifest CSV, header row, every column a string (A5); an empty field
+    is the empty string."""
+    rows = spark.read.schema(MANIFEST_SCHEMA).options(**CSV_OPTIONS, multiLine=True).csv(path)
+    return rows.select(*[F.coalesce(c, F.lit("")).alias(c) for c in CSV_HEADER])
 
 
 def write_manifest_csv(df: DataFrame, path: str) -> None:
     """Manifest CSV with the fixed header order, sorted by file name."""
     (df.select(*CSV_HEADER).orderBy("on_disk_filename")
-     .write.mode("overwrite").option("header", True).csv(path))
+     .write.mode("overwrite").options(**CSV_OPTIONS).csv(path))
 
 
 def read_run_manifests(spark: SparkSession, path: str) -> DataFrame:
@@ -65,6 +72,12 @@ def read_run_manifests(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_MANIFEST_SCHEMA).option("multiLine", True).json(path)
 
 
+def latest_run(manifests: DataFrame) -> DataFrame:
+    """The newest run that has new PDFs (the stable "latest" pointer, A10)."""
+    return (manifests.where(F.col("new_pdfs_count") > 0)
+            .orderBy(F.col("started_utc").desc()).limit(1))
+
+
 def run_records(manifests: DataFrame) -> DataFrame:
     """One row per new-PDF record of the run manifests (I4)."""
     return manifests.select("started_utc", F.inline("new_pdfs"))

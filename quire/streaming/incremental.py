@@ -1,93 +1,59 @@
 """Incremental refresh with Structured Streaming.
 
 New landed files (pages, document text) are picked up by a file-source
-stream; each micro-batch runs the same batch operators and upserts its rows
-into a keyed parquet table.  The stream checkpoint records which files were
-processed, so a rerun only sees new files and a replayed batch rewrites the
-same rows (upsert by key with a data-derived order is idempotent).
-
-State layout: ``<root>/bucket=<b>/`` with ``b = pmod(xxhash64(key), N)``.
-A batch reads only the buckets its keys fall in (the semi-join on the
-partition column is pruned at runtime) and overwrites just those buckets
-(dynamic partition overwrite), so the cost per batch follows the batch, not
-the table.
+stream.  Each micro-batch runs the batch operators on its files and writes its
+rows to a folder of its own, ``<root>/batch=<id>``.  A replayed batch overwrites
+only that folder, with the same rows; what earlier batches wrote is never
+read or replaced by a running one, so a failed commit loses nothing and readers
+see no gaps.  The current state is the last row per key over all batches
+(:func:`read_state`); :func:`compact` writes it to a new folder from time to time.
 """
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import store
-from ..session import ensure_checkpoint_dir, spread
+from ..session import ensure_checkpoint_dir
 
-DEFAULT_BUCKETS = 16
 
-
-def bucket_of(keys: list[str], n: int) -> F.Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = store._fs(spark, path)
-    return fs.exists(p)
-
-
-def upsert_buckets(batch: DataFrame, root: str, keys: list[str], seq: list[str],
-                   buckets: int = DEFAULT_BUCKETS) -> None:
-    """Upsert ``batch`` into the bucketed table at ``root`` touching only the
-    buckets that receive rows."""
-    spark = batch.sparkSession
-    new = batch.withColumn("bucket", bucket_of(keys, buckets))
-    if _exists(spark, root):
-        # at most ``buckets`` small ints: a bounded list, used as a static
-        # partition filter so only the touched bucket directories are read
-        touched = [r[0] for r in new.select("bucket").distinct().collect()]
-        cur = spark.read.parquet(root).where(F.col("bucket").isin(touched))
-        merged = store.upsert(cur, new, keys + ["bucket"], seq)
-    else:
-        merged = store.last_per_key(new, keys + ["bucket"], seq)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bucket").parquet(root))
+def write_batch(rows: DataFrame, root: str, batch_id: int) -> None:
+    """The change rows of one batch; writing it again replaces them."""
+    rows.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
 
 def run_available(spark: SparkSession, source_dir: str, schema: StructType,
-                  process, root: str, keys: list[str], seq: list[str], checkpoint: str,
-                  files_per_batch: int = 1, buckets: int = DEFAULT_BUCKETS) -> int:
+                  process, root: str, checkpoint: str, files_per_batch: int | None = None) -> int:
     """Process every file not yet seen under ``source_dir`` and stop
     (``availableNow``); returns the number of micro-batches run."""
     seen = []
 
     def each(df: DataFrame, batch_id: int) -> None:
-        # a batch is a handful of files: spread it so the text work uses every
-        # core, and keep its rows for the two uses in the upsert (the bucket
-        # set and the merge) instead of extracting twice
-        rows = process(spread(df)).persist()
-        try:
-            upsert_buckets(rows, root, keys, seq, buckets)
-        finally:
-            rows.unpersist()
+        write_batch(process(df), root, batch_id)
         seen.append(batch_id)
 
-    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-         .parquet(source_dir).writeStream.foreachBatch(each)
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    q = (reader.parquet(source_dir).writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return len(seen)
 
 
-def read_state(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(root).drop("bucket")
+def read_state(spark: SparkSession, root: str, keys: list[str], seq: list[str]) -> DataFrame:
+    """The last row per key, by ``seq``, over all batches written so far."""
+    return store.last_per_key(spark.read.parquet(root).drop("batch"), keys, seq)
+
+
+def compact(spark: SparkSession, root: str, target: str, keys: list[str], seq: list[str]) -> None:
+    """The state as one batch in a new folder, from which later batches can go on."""
+    write_batch(read_state(spark, root, keys, seq), target, 0)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/quire-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def land_in_files(df: DataFrame, path: str, files: int, by: str) -> None:
-    """Write ``df`` as ``files`` parquet files (arrival units for a stream)."""
-    df.repartition(files, by).write.mode("overwrite").parquet(path)

@@ -44,3 +44,9 @@ def test_normalize(normalized, i):
     r = normalized[i]
     assert r["effective_date_kind"] == kind, raw
     assert r["effective_date_iso"] == iso, raw
+
+
+def test_no_break_spaces(spark):
+    df = spark.createDataFrame([("October\u00a015,\u00a02025",), ("\u00a02025-01-02\u00a0",)], "effective_date string")
+    got = [(str(r.effective_date_iso), r.effective_date_kind) for r in with_normalized_date(df).collect()]
+    assert got == [("2025-10-15", "long"), ("2025-01-02", "iso")]

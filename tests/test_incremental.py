@@ -1,8 +1,11 @@
 """Batch equals incremental: the stream over k landed files ends in the same
 keyed table as one batch run, and a rerun with no new files changes nothing."""
+import pytest
 from pyspark.sql import functions as F
 
+from quire.operators.store import last_per_key
 from quire.plans import incremental as P
+from quire.plans.extract import document_names, model_answers
 from quire.session import table
 from quire.streaming import incremental as INC
 
@@ -13,44 +16,67 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+def land(df, path, files):
+    """Write ``df`` as so many files, the arrival units of a stream."""
+    df.repartition(files, "doc_id").write.parquet(path)
+
+
+def folders(spark, *names):
+    return [INC.scratch(spark, n) for n in names]
+
+
 def test_stream_equals_batch_and_rerun_is_noop(spark):
     docs = table(spark, SF_SMALL, "documents", "doc_id", "text", "lang", "source")
-    from quire.operators.store import last_per_key
     batch = last_per_key(P.extract_batch(docs), ["id"], ["doc_id"])
+    src, root, ckpt = folders(spark, "t-docs", "t-state", "t-ckpt")
+    land(docs, src, 3)
+    assert INC.run_available(spark, src, docs.schema, P.extract_batch, root, ckpt, files_per_batch=1) >= 2
+    assert rows(INC.read_state(spark, root, ["id"], ["doc_id"]).select(*batch.columns)) == rows(batch)
+    assert INC.run_available(spark, src, docs.schema, P.extract_batch, root, ckpt) == 0
+    assert rows(INC.read_state(spark, root, ["id"], ["doc_id"]).select(*batch.columns)) == rows(batch)
 
-    src, root, ckpt = (INC.scratch(spark, n) for n in ("t-docs", "t-state", "t-ckpt"))
-    INC.land_in_files(docs, src, 3, "source")
-    n = INC.run_available(spark, src, docs.schema, P.extract_batch, root, ["id"], ["doc_id"], ckpt)
-    assert n >= 2
-    state = INC.read_state(spark, root).select(*batch.columns)
-    assert rows(state) == rows(batch)
 
-    again = INC.run_available(spark, src, docs.schema, P.extract_batch, root, ["id"], ["doc_id"], ckpt)
-    assert again == 0
-    assert rows(INC.read_state(spark, root).select(*batch.columns)) == rows(batch)
+def test_new_files_add_their_rows(spark):
+    docs = table(spark, SF_SMALL, "documents", "doc_id", "text", "lang", "source")
+    src, root, ckpt = folders(spark, "t2-docs", "t2-state", "t2-ckpt")
+    docs.where("doc_id < 100").repartition(1).write.parquet(src)
+    assert INC.run_available(spark, src, docs.schema, P.extract_batch, root, ckpt) == 1
+    before = INC.read_state(spark, root, ["id"], ["doc_id"]).count()
+    docs.where("doc_id >= 100").repartition(1).write.mode("append").parquet(src)
+    assert INC.run_available(spark, src, docs.schema, P.extract_batch, root, ckpt) == 1
+    whole = last_per_key(P.extract_batch(docs), ["id"], ["doc_id"])
+    state = INC.read_state(spark, root, ["id"], ["doc_id"]).select(*whole.columns)
+    assert 0 < before < state.count() and rows(state) == rows(whole)
+    target = INC.scratch(spark, "t2-compact")
+    INC.compact(spark, root, target, ["id"], ["doc_id"])
+    assert rows(INC.read_state(spark, target, ["id"], ["doc_id"]).select(*whole.columns)) == rows(whole)
 
 
-def test_new_file_only_adds_its_rows(spark):
-    docs = table(spark, SF_SMALL, "documents", "doc_id", "text", "lang", "source")
-    src, root, ckpt = (INC.scratch(spark, n) for n in ("t2-docs", "t2-state", "t2-ckpt"))
-    first = docs.where(F.col("doc_id") < 100)
-    first.repartition(1).write.parquet(src + "/part=a")
-    INC.run_available(spark, src + "/part=a", docs.schema, P.extract_batch, root, ["id"], ["doc_id"], ckpt)
-    n1 = INC.read_state(spark, root).count()
-    assert n1 > 0
+def test_a_write_that_fails_loses_nothing(spark):
+    """A batch that dies while it writes: all earlier rows are there, and its replay adds its own."""
+    (root,) = folders(spark, "t4-state")
+    one = spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], "id string, seq int, v string")
+    two = spark.createDataFrame([("b", 2, "new"), ("c", 2, "z")], "id string, seq int, v string")
+    INC.write_batch(one, root, 0)
+    dying = two.withColumn("v", F.when(F.col("id") == "c", F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):
+        INC.write_batch(dying, root, 1)
+    state = spark.read.parquet(f"{root}/batch=0")
+    assert rows(state) == [("a", 1, "x"), ("b", 1, "y")]
+    for _ in range(2):  # written again, the same
+        INC.write_batch(two, root, 1)
+        assert rows(INC.read_state(spark, root, ["id"], ["seq"])) == [("a", 1, "x"), ("b", 2, "new"), ("c", 2, "z")]
 
 
 def test_stream_with_model_answers(spark):
     """Model answers are an optional left-joined table: titles come from the
     model where it answered (blank titles fall back to the file name)."""
     docs = table(spark, SF_SMALL, "documents", "doc_id", "text", "lang", "source")
-    from quire.plans.extract import model_answers, synth_doc_text
-
-    model = model_answers(spark, SF_SMALL, synth_doc_text(docs))
-    src, root, ckpt = (INC.scratch(spark, n) for n in ("t3-docs", "t3-state", "t3-ckpt"))
-    INC.land_in_files(docs, src, 2, "source")
-    INC.run_available(spark, src, docs.schema, P.extract_batch_with(model), root, ["id"], ["doc_id"], ckpt)
-    state = INC.read_state(spark, root)
+    model = model_answers(spark, SF_SMALL, document_names(spark, SF_SMALL))
+    src, root, ckpt = folders(spark, "t3-docs", "t3-state", "t3-ckpt")
+    land(docs, src, 2)
+    INC.run_available(spark, src, docs.schema, P.extract_batch_with(model), root, ckpt)
+    state = INC.read_state(spark, root, ["id"], ["doc_id"])
     assert "scope" in state.columns
     titles = [r["title"] for r in state.collect()]
     assert any(t.startswith("Deviation ") for t in titles)      # model titles

@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from quire.plans.registry import ORACLES
 from quire.session import TABLES
 
 from conftest import SF_SMALL
@@ -26,7 +27,7 @@ DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOU
                  "INTEGER[]": "array<int>", "VARCHAR[]": "array<string>"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]

@@ -3,6 +3,7 @@ pruned scans, and results independent of the input partitioning."""
 import pytest
 
 import __spark_entry__ as entry
+from quire.plans.registry import QUERIES
 from quire.plans import manifest as PM
 from quire.session import table
 
@@ -11,14 +12,14 @@ from conftest import SF_SMALL
 FORBIDDEN = ("CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
              "MapInPandas", "BroadcastNestedLoopJoin")
 # queries that land files / run streams are checked by their own tests
-SKIP = {"incremental_extract", "incremental_discover", "frontier_rounds"}
+SKIP = {"incremental_extract", "incremental_discover", "frontier_rounds", "gated_rounds"}
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SKIP))
 def test_no_forbidden_nodes(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF_SMALL))
     for node in FORBIDDEN:
@@ -39,22 +40,30 @@ def test_worklist_filter_reaches_scan(spark):
 
 
 @pytest.mark.parametrize("name", ["date_kind_distribution", "part_list", "field_merge", "clause_fields"])
-def test_repartitioned_input_same_result(spark, name):
+def test_repartitioned_input_same_result(spark, name, scratch):
     """Results must not depend on the physical split of the input."""
-    import quire.session as S
-
     base = sorted(map(tuple, entry.queries()[name](spark, SF_SMALL).collect()))
-    orig = S.spread
+    for t in ("documents", "labels", "orders", "lineitem"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").repartition(5).write.parquet(f"{scratch}/{t}.parquet")
+    again = sorted(map(tuple, entry.queries()[name](spark, scratch).collect()))
+    assert base == again
+
+
+@pytest.mark.parametrize("name", ["export_deviations", "export_clauses"])
+def test_reports_never_sort_in_one_task(spark, name):
+    """The only single-partition exchange is that of the partition offsets."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        S.spread = lambda df, path=None, min_bytes=0: df.repartition(5)
-        import quire.plans.dates, quire.plans.links, quire.plans.extract, quire.plans.sections  # noqa
-        again = sorted(map(tuple, entry.queries()[name](spark, SF_SMALL).collect()))
+        plan = plan_of(entry.queries()[name](spark, SF_SMALL))
     finally:
-        S.spread = orig
-    assert base == again
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for line in plan.splitlines():
+        if "SinglePartition" in line:
+            assert plan.index("_pid") and "row_number" not in line
+    assert "row_number" not in plan
 
 
-@pytest.mark.parametrize("name", ["pdf_manifest", "assemble_text", "heading_dates"])
+@pytest.mark.parametrize("name", ["pdf_manifest", "assemble_text_60", "heading_dates"])
 def test_first_per_key_limits_before_shuffle(spark, name):
     """First-n-per-key windows keep at most n rows per key in every map task."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")

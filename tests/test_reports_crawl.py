@@ -83,3 +83,25 @@ def test_kind_distribution_and_widths(spark):
     w = spark.createDataFrame([("x" * 70, 1), (None, 123456789012)], "Title string, n long")
     widths = {r["column"]: r["width"] for r in R.column_widths(w, {"Title": 60, "n": 16}).collect()}
     assert widths == {"Title": 62, "n": 14}
+
+
+def test_download_and_fetch_outcomes(spark):
+    rows = [(False, 200, 5000, None), (True, None, None, None), (False, 404, 5000, None), (False, 200, 10, None),
+            (False, None, None, "ConnectError: x"), (False, 200, 1024, None)]
+    df = spark.createDataFrame(rows, "dod boolean, status int, size int, exc string")
+    got = [r[0] for r in df.select(R.download_outcome(*map(F.col, ("dod", "status", "size", "exc")))).collect()]
+    assert got == [None, "skipped: DoD", "status 404", "too small (10 bytes)", "ConnectError: x", None]
+    pages = spark.createDataFrame([(200, "text/html; x", None), (500, "text/html", None), (200, "application/pdf", None),
+                                   (None, None, "Timeout: y")], "status int, kind string, exc string")
+    got = [r[0] for r in pages.select(R.fetch_outcome(*map(F.col, ("status", "kind", "exc")))).collect()]
+    assert got == [None, "HTTP 500", "not html: application/pdf", "Timeout: y"]
+
+
+def test_rounds_to_exhaustion_and_gate(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 12)] + [(12, 1)], "src long, dst long")
+    seeds = spark.createDataFrame([(1,)], "node long")
+    got = dict((r["node"], r["depth"]) for r in C.frontier_rounds(spark, edges, seeds).collect())
+    assert got == {i: i - 1 for i in range(1, 13)}
+    scored = spark.createDataFrame([(1, True, 0.5), (2, True, 0.4), (3, False, 0.9)], "node long, keep boolean, score double")
+    got = sorted(r["node"] for r in C.frontier_rounds(spark, edges, seeds, scored=scored).collect())
+    assert got == [1, 2, 3]  # 3 is reached but not expanded

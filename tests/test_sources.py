@@ -1,3 +1,5 @@
+import csv
+import glob
 import json
 import os
 
@@ -14,15 +16,45 @@ def test_listing_reads_metadata_only(spark, scratch):
     assert "content" not in df.columns
 
 
+ROWS = [("f2.pdf", "h2", 'a "quoted", name.pdf', "", "1;6", "0", "u2", "10"), ("f3.pdf", "", "two\nlines", " x ", "", "", "", "0"),
+        ("f1.pdf", "h1", "back\\slash", "GSA", "", "1", "u1", "20")]
+
+
 def test_manifest_csv_round_trip(spark, scratch):
-    rows = [("f2.pdf", "h2", "o2", "", "1;6", "0", "u2", "10"),
-            ("f1.pdf", "h1", "o1", "GSA", "", "1", "u1", "20")]
-    df = spark.createDataFrame(rows, FS.MANIFEST_SCHEMA)
+    df = spark.createDataFrame(ROWS, FS.MANIFEST_SCHEMA)
     FS.write_manifest_csv(df, scratch + "/m")
     back = FS.read_manifest_csv(spark, scratch + "/m")
     assert back.columns == list(M.CSV_HEADER)
-    assert sorted(tuple(r) for r in back.collect()) == sorted(
-        tuple(None if v == "" else v for v in r) for r in rows)
+    assert sorted(map(tuple, back.collect())) == sorted(ROWS)
+
+
+def test_manifest_csv_as_other_programs_write_it(spark, scratch):
+    with open(scratch + "/theirs.csv", "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(M.CSV_HEADER)
+        w.writerows(ROWS)
+    assert sorted(map(tuple, FS.read_manifest_csv(spark, scratch + "/theirs.csv").collect())) == sorted(ROWS)
+    FS.write_manifest_csv(spark.createDataFrame(ROWS, FS.MANIFEST_SCHEMA), scratch + "/ours")
+    (ours,) = glob.glob(scratch + "/ours/part-*.csv")
+    with open(ours, newline="") as f:
+        assert sorted(map(tuple, list(csv.reader(f))[1:])) == sorted(ROWS)
+
+
+def test_rebuild_has_one_row_for_a_name(spark):
+    listing = spark.createDataFrame([("h_a.pdf", 5), ("h_a.pdf", 5), ("h_b.pdf", 7)], "name string, length long")
+    old = [("h_a.pdf", "h", "first.pdf", "", "", "", "", "1", 0), ("h_a.pdf", "h", "last.pdf", "", "", "", "", "1", 1)]
+    existing = spark.createDataFrame(old, ", ".join(f"{c} string" for c in M.CSV_HEADER) + ", line int")
+    none = spark.createDataFrame([], "on_disk_filename string, url_hash string, original_filename string, agency string, "
+                                     "part_numbers string, is_dod string, source_url string")
+    got = {r.on_disk_filename: r.original_filename for r in M.rebuild(listing, existing, none).collect()}
+    assert got == {"h_a.pdf": "last.pdf", "h_b.pdf": "b.pdf"}
+    kept = M.kept_rows(existing, listing).collect()
+    assert [(r.on_disk_filename, r.original_filename) for r in kept] == [("h_a.pdf", "last.pdf")]
+
+
+def test_latest_run(spark):
+    runs = spark.createDataFrame([("2026-01-01", 2), ("2026-01-03", 0), ("2026-01-02", 1)], "started_utc string, new_pdfs_count int")
+    assert [r.started_utc for r in FS.latest_run(runs).collect()] == ["2026-01-02"]
 
 
 def test_run_manifest_read(spark, scratch):
