@@ -140,8 +140,9 @@ def term_counts(rows: DataFrame) -> DataFrame:
             for part in slices(batch.column(0)):
                 for text in part:
                     words = set(text.split())
-                    for w in words - known.keys():
-                        known[w] = term(w)
+                    for w in words:
+                        if w not in known:
+                            known[w] = term(w)
                     counts.update(set(map(known.__getitem__, words)))
                 if len(known) > COUNTED:
                     known.clear()
