@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import packing, repetition, sanitise, simhash, weak_labels
-from quire.llm.common import read
+from quire.llm.common import read, workers_find_package
 from quire.session import ensure_checkpoint_dir
 
 
@@ -55,6 +55,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``; what lies between them is written to the checkpoint folder."""
+    workers_find_package(spark)
     docs = read(spark, sf_dir, "documents")
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:

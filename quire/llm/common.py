@@ -1,7 +1,9 @@
 """What several of the text operators share: inputs, bounded memos, written intermediates."""
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,14 @@ from pyspark.sql import functions as F
 SLICE_ROWS = 512
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers on machines that share this folder import the package from it, whatever their
+    working directory; elsewhere it has to be installed or shipped, as any library."""
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in (paths := known.get("PYTHONPATH", "").split(os.pathsep)):
+        known["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A table of the corpus, by any path that Spark's readers open."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
