@@ -300,3 +300,32 @@ def _clean_sql(x: str) -> str:
 def html_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages", "page_id", "html")
     return p.select("page_id", L.clean_text(F.col("html")).alias("clean_text"))
+
+
+@query("page_gate", f"""
+SELECT page_id, length(clean) AS chars FROM (SELECT page_id, {_clean_sql('html')} AS clean FROM pages)
+WHERE length(clean) >= 500
+""")
+def page_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with enough clean text for extraction."""
+    from ..operators import extract as X
+
+    clean = html_clean_text(spark, sf_dir)
+    return X.text_gate(clean, "clean_text", X.MIN_PAGE_CHARS).select(
+        "page_id", F.length("clean_text").cast("bigint").alias("chars"))
+
+
+@query("fetch_outcomes", """
+SELECT page_id, CASE WHEN page_id % 13 = 0 THEN 'Timeout: read' WHEN page_id % 5 = 0 THEN 'HTTP 404'
+  WHEN NOT contains(html, '<html') THEN 'not html: text/plain' END AS error FROM pages
+""")
+def fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error class of every page fetch (B10); status and exception go by the page id."""
+    from ..operators.report import fetch_outcome
+
+    p = table(spark, sf_dir, "pages", "page_id", "html")
+    i = F.col("page_id")
+    return p.select("page_id", fetch_outcome(
+        F.when(i % 5 == 0, F.lit(404)).otherwise(F.lit(200)),
+        F.when(F.col("html").contains("<html"), F.lit("text/html; charset=utf-8")).otherwise(F.lit("text/plain")),
+        F.when(i % 13 == 0, F.lit("Timeout: read"))).alias("error"))

@@ -24,7 +24,7 @@ def running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.running_total(e, "ts")
 
 
-def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_records(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """Download outcomes per event: saved, failed (404 / real error) or skipped."""
     e = table(spark, sf_dir, "events", "event_id", "ts", "event_type", "value")
     t = F.col("event_type")
@@ -33,7 +33,7 @@ def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     err = (F.when(t == "error", F.when(F.col("value") > 50, F.lit("ConnectError: timeout"))
                   .otherwise(F.lit("status 404")))
            .when(t == "signup", F.lit("skipped: DoD")))
-    return e.select(F.to_date("ts").alias("run_day"), "ts", saved.alias("saved_path"), err.alias("error"))
+    return e.select(*keep, F.to_date("ts").alias("run_day"), "ts", saved.alias("saved_path"), err.alias("error"))
 
 
 @query("run_summary", """
@@ -62,6 +62,31 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.withColumn("run_id", F.concat(F.lit("run-"), F.date_format("run_day", "yyyyMMdd")))
 
 
+@query("run_manifest_files", """
+SELECT 'run-' || strftime(CAST(ts AS DATE), '%Y%m%d') AS started_utc, 'u' || CAST(event_id AS VARCHAR) AS pdf_url,
+  CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 'pdfs/' || CAST(event_id AS VARCHAR) END AS saved_path,
+  CASE WHEN event_type = 'error' THEN CASE WHEN value > 50 THEN 'ConnectError: timeout' ELSE 'status 404' END
+       WHEN event_type = 'signup' THEN 'skipped: DoD' END AS error
+FROM events
+""")
+def run_manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run manifests written as JSON, one document per run with its records nested, and the
+    records read back (A6, A10, I4)."""
+    from ..sources import files
+    from ..streaming.incremental import scratch
+
+    run = F.concat(F.lit("run-"), F.date_format("run_day", "yyyyMMdd"))
+    r = run_records(spark, sf_dir, "event_id").withColumn("run_id", run)
+    records = r.select("run_id", F.concat(F.lit("u"), F.col("event_id").cast("string")).alias("pdf_url"),
+                       F.lit("f").alias("filename"), F.lit("a").alias("agency"), F.lit(False).alias("is_dod"),
+                       F.array(F.lit(1)).alias("part_numbers"), "saved_path", "error")
+    summary = records.groupBy("run_id").agg(F.count("*").cast("int").alias("new_pdfs_count")).withColumn("started_utc", F.col("run_id"))
+    path = scratch(spark, "run-manifests")
+    files.write_run_manifest(summary, records, path)
+    back = spark.read.schema(files.RUN_MANIFEST_SCHEMA).json(path)
+    return files.run_records(back).select("started_utc", "pdf_url", "saved_path", "error")
+
+
 WIDTH_CAPS = {"c_custkey": 16, "c_name": 60, "c_nationkey": 12, "c_mktsegment": 18}
 
 
