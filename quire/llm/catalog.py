@@ -114,6 +114,57 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def _sql_rules() -> str:
+    """Rule and verdict of host and path, the longest first."""
+    out = []
+    for verdict, rule in sorted(URL_RULES, key=lambda r: -len(r[1])):
+        host, _, path = rule.partition("/")
+        out.append(f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}') THEN '{verdict} {rule}'")
+    return f"CASE {' '.join(out)} END"
+
+
+def _sql_smooth(n: str, t: str, total: str) -> str:
+    """Witten-Bell interpolation of the five orders, the coarsest innermost."""
+    p = "(1 / 256.0::DOUBLE)"
+    for k in range(1, 6):
+        p = f"(CASE WHEN k{k}.{total} > 0 THEN (k{k}.{n} + k{k}.{t} * {p}) / (k{k}.{total} + k{k}.{t})::DOUBLE ELSE {p} END)"
+    return p
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLES["op4_url_filter"] = f"""
+WITH u AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT *, {_LOWER.format("regexp_extract(rest, '^[^/?#]*', 0)")} AS host,
+      regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*', 0)) + 1), '^[^?#]*', 0) AS path,
+      {_LOWER.format("CASE WHEN contains(url, '://') THEN rest ELSE coalesce(url, '') END")} AS text FROM u),
+j AS (SELECT *, {_sql_rules()} AS judged FROM h),
+t0 AS (SELECT text, count(*) FILTER (judged LIKE 'allow%') AS allow, count(*) FILTER (judged LIKE 'block%') AS block FROM j GROUP BY text),
+t AS (SELECT *, substr(md5(text), 1, 1) IN ('0', '1', '2') AS held FROM t0),
+p AS (SELECT text, CASE WHEN held THEN 0 ELSE allow END AS a, CASE WHEN held THEN 0 ELSE block END AS r,
+      unnest(list_transform(range(2, length(text) + 3), lambda i: substr(chr(2) || text || chr(3), greatest(1, i - 4), least(5, i)))) AS gram FROM t),
+f AS (SELECT gram, sum(a) AS a, sum(r) AS r FROM p GROUP BY gram),
+s AS (SELECT a, r, unnest(list_transform(range(1, length(gram) + 1), lambda k: right(gram, k))) AS sub FROM f),
+n AS (SELECT sub, sum(a) AS a, sum(r) AS r, left(sub, length(sub) - 1) AS ctx FROM s GROUP BY sub),
+c AS (SELECT ctx, sum(a) AS na, sum(r) AS nr, count(*) FILTER (a > 0) AS ta, count(*) FILTER (r > 0) AS tr FROM n GROUP BY ctx),
+k AS (SELECT n.sub, n.a, n.r, c.* FROM n JOIN c USING (ctx)),
+d AS (SELECT f.gram, ln({_sql_smooth('a', 'ta', 'na')}) - ln({_sql_smooth('r', 'tr', 'nr')}) AS d FROM f
+      JOIN k k1 ON k1.sub = right(gram, 1) {' '.join(f"LEFT JOIN k k{i} ON length(gram) >= {i} AND k{i}.sub = right(gram, {i})" for i in range(2, 6))}),
+z AS (SELECT text, sum(d::DECIMAL(24, 12))::DOUBLE / count(*) AS score FROM p JOIN d USING (gram) GROUP BY text),
+b AS (SELECT floor(least(greatest(score, -10), 10) / 0.01::DOUBLE)::BIGINT AS bin, sum(allow) AS a, sum(block) AS r
+      FROM t JOIN z USING (text) WHERE held AND allow + block > 0 GROUP BY 1),
+e AS (SELECT bin + 1 AS edge, sum(a) OVER w / sum(a) OVER () + 1 - sum(r) OVER w / sum(r) OVER () AS error, row_number() OVER w AS i
+      FROM b WINDOW w AS (ORDER BY bin)
+      UNION ALL SELECT min(bin), 1.0, 0 FROM b),
+m AS (SELECT min(i) AS lo, max(i) AS hi FROM e WHERE error <= (SELECT min(error) FROM e) + 1e-12),
+x AS (SELECT max(edge) FILTER (i = lo) AS one, max(edge) FILTER (i = least(hi + 1, (SELECT max(i) FROM e))) - 1 AS two FROM e, m),
+y AS (SELECT CASE WHEN (SELECT coalesce(sum(a), 0) * coalesce(sum(r), 0) FROM b) = 0 THEN 0.0::DOUBLE
+             ELSE 0.01::DOUBLE * floor((one + greatest(one, two)) / 2) END AS threshold FROM x)
+SELECT page_id, host, path, substr(judged, 7) AS rule,
+       coalesce(left(judged, 5), CASE WHEN score >= threshold THEN 'allow' ELSE 'block' END) AS verdict
+FROM j JOIN z USING (text), y
+"""
+
+
 @query
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-#: Longest context in characters; share of labelled URLs kept for calibration (one in FOLDS).
-ORDER, FOLDS = 4, 5
+#: Longest context in characters; first hexadecimal digits of the hashes of the labelled URLs that
+#: are kept for calibration.
+ORDER, HELD = 4, "012"
 #: Calibration: scores are compared at steps of this size up to this distance from 0.
 STEP, REACH = 0.01, 10.0
 BEGIN, END = "\x02", "\x03"
@@ -132,8 +133,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], order: int = ORDER,
     """(page_id, url, host, path, rule, verdict, score) for every row of ``pages``.
 
     ``verdict``: allow or block, the rule's or else the model's: allow from the threshold up.  The
-    models learn from all URLs that rules judge, but one in FOLDS by a hash, which calibrate the
-    threshold.  ``score`` is the model's, also where a rule decides.  A null url is the empty
+    models learn from all URLs that rules judge, but three in sixteen by a hash, which
+    calibrate the threshold.  ``score`` is the model's, also where a rule decides.  A null url is the empty
     text to the model.  Repeated rows stay; an empty table gives an empty result.
     """
     url = F.col("url")
@@ -146,7 +147,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], order: int = ORDER,
             .withColumn("key", F.unhex(F.md5("text"))))
     texts = (rows.groupBy("key", "text").agg(F.count_if(F.col("judged.verdict") == "allow").alias("allow"),
                                              F.count_if(F.col("judged.verdict") == "block").alias("block")))
-    learns = F.pmod(F.crc32("text"), F.lit(FOLDS)) != 0
+    learns = ~F.substring(F.md5("text"), 1, 1).isin(*HELD)
     texts = materialize(texts.withColumns({"a": F.when(learns, F.col("allow")).otherwise(0),
                                            "r": F.when(learns, F.col("block")).otherwise(0)}))
     scored = materialize(scores(texts.select("key", "text", "a", "r"), order))

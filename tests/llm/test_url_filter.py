@@ -1,6 +1,6 @@
+import hashlib
 import math
 import re
-import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -30,7 +30,7 @@ def plain_scores(urls, order=url_filter.ORDER):
     counts = {"allow": Counter(), "block": Counter()}
     for u in urls:
         verdict = plain_rule(u)[3]
-        if verdict and zlib.crc32(text_of[u].encode()) % 5:
+        if verdict and hashlib.md5(text_of[u].encode()).hexdigest()[0] > "2":
             s = "\x02" + text_of[u] + "\x03"
             for i in range(1, len(s)):
                 for k in range(min(order, i) + 1):
