@@ -70,11 +70,13 @@ def op3_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op3_repetition_rules"] = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d),
-p AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w),
-five AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i:i + 4]) > 1 AS again FROM p WHERE i + 4 <= len(words)),
-f AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat FROM five, range(5) r(j) WHERE again GROUP BY doc_id),
-o AS (SELECT DISTINCT doc_id FROM (SELECT doc_id FROM p WHERE i + 50 <= len(words)
-      GROUP BY doc_id, words[i:i + 50] HAVING count(*) > 1)),
+p AS (SELECT doc_id, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w),
+g AS (SELECT doc_id, n, i,
+      string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS five,
+      md5(string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 50 FOLLOWING)) AS more FROM p),
+again AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) > 1 AS again FROM g WHERE i + 4 <= n),
+f AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat FROM again, range(5) r(j) WHERE again GROUP BY doc_id),
+o AS (SELECT DISTINCT doc_id FROM (SELECT doc_id FROM g WHERE i + 50 <= n GROUP BY doc_id, more HAVING count(*) > 1)),
 l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup FROM
       (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 a AS (SELECT w.doc_id, len(words) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
