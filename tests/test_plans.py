@@ -57,9 +57,9 @@ def test_reports_never_sort_in_one_task(spark, name):
         plan = plan_of(entry.queries()[name](spark, SF_SMALL))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    for line in plan.splitlines():
-        if "SinglePartition" in line:
-            assert plan.index("_pid") and "row_number" not in line
+    lines = plan.splitlines()
+    single = [i for i, line in enumerate(lines) if "SinglePartition" in line]
+    assert len(single) == 1 and "HashAggregate(keys=[_pid" in "".join(lines[single[0]:single[0] + 3])
     assert "row_number" not in plan
 
 
