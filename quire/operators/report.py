@@ -97,6 +97,17 @@ def run_summary(records: DataFrame, by: list[str], ts: str = "ts") -> DataFrame:
         "new_pdfs_count", "downloaded_count", "failed_count", "has_real_failure")
 
 
+def discovery_counts(found: DataFrame) -> DataFrame:
+    """One row of counts over the links of a run (D5): ``found`` has one row per link
+    with ``new`` (NULL if its file had landed before), ``saved_path`` and ``error``."""
+    err = F.col("error")
+    return found.agg(
+        F.count(F.lit(1)).alias("total_pdfs_on_guide"), F.count("new").alias("new_pdfs_count"),
+        F.count("saved_path").alias("downloaded_count"),
+        F.count_if(err.isNotNull() & F.col("saved_path").isNull()).alias("failed_count"),
+        F.coalesce(F.bool_or(err.isNotNull() & ~is_expected_error(err)), F.lit(False)).alias("has_real_failure"))
+
+
 def column_widths(df: DataFrame, caps: dict[str, int], floor: int = 10, pad: int = 2) -> DataFrame:
     """Display width per column: ``max(floor, max(min(len(str(v)), cap))) + pad``
     over the header and every non-null value, in one aggregate pass (D8)."""

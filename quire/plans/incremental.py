@@ -12,6 +12,7 @@ from ..functions.dates import with_normalized_date
 from ..operators import extract as X
 from ..operators import links as L
 from ..operators import manifest as M
+from ..operators import report as R
 from ..session import table
 from ..streaming import incremental as INC
 from . import sqlfrag as S
@@ -78,7 +79,7 @@ def _download_results(urls_: DataFrame) -> DataFrame:
         F.when(n % 11 == 0, F.lit("ConnectError: reset")).alias("exception"))
 
 
-@query("incremental_discover", f"""
+DISCOVER_SQL = f"""
 WITH m AS (SELECT DISTINCT pdf_url, agency, filename, is_dod, part_numbers FROM ({MANIFEST_SQL})),
 landed AS (
   SELECT DISTINCT {S.safe_filename('pdf_url')} AS name FROM ({MANIFEST_SQL}) WHERE page_id % 3 = 0
@@ -90,7 +91,10 @@ landed AS (
 SELECT pdf_url, agency, filename, is_dod, part_numbers, error,
        CASE WHEN error IS NULL THEN 'pdfs/' || {S.safe_filename('pdf_url')} END AS saved_path
 FROM o
-""")
+"""
+
+
+@query("incremental_discover", DISCOVER_SQL)
 def incremental_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The run's records (J1): links of the pages whose file has not landed yet, with
     the outcome of their download (files linked from every third page have landed)."""
@@ -103,3 +107,18 @@ def incremental_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = M.not_yet_landed(state, [landed])
     tried = M.attach_results(new, _download_results(new.select("pdf_url")))
     return tried.select("pdf_url", "agency", "filename", "is_dod", "part_numbers", "error", "saved_path")
+
+
+@query("discover_summary", f"""
+WITH a AS (SELECT DISTINCT pdf_url FROM ({MANIFEST_SQL})), r AS ({DISCOVER_SQL})
+SELECT count(*) AS total_pdfs_on_guide, count(r.pdf_url) AS new_pdfs_count, count(saved_path) AS downloaded_count,
+  count(*) FILTER (WHERE error IS NOT NULL AND saved_path IS NULL) AS failed_count,
+  coalesce(bool_or(error IS NOT NULL AND NOT (starts_with(error, 'skipped') OR starts_with(error, 'status 404'))), false) AS has_real_failure
+FROM a LEFT JOIN r ON a.pdf_url = r.pdf_url
+""")
+def discover_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of one run's manifest (D5): links found, new ones, saved, failed."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    found = page_documents(pages).select("pdf_url").distinct()
+    records = incremental_discover(spark, sf_dir).select("pdf_url", "saved_path", "error", F.lit(True).alias("new"))
+    return R.discovery_counts(found.join(records, "pdf_url", "left"))
