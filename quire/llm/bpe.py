@@ -70,30 +70,38 @@ def offsets(ids: bytes, table: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray
     return character[np.concatenate(([0], ends[:-1]))], character[ends - 1] + 1
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str, with_offsets: bool = False,
+def encode(docs: DataFrame, ranks: str, pattern: str, with_offsets: bool = False, with_bytes: bool = False,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids) for every row of ``docs``; ids are binary, little-endian unsigned 32-bit.
 
     ``ranks``: path of a rank file; ``pattern`` splits the text, and each match is merged alone.
     Without special tokens: their strings are ordinary text.  ``with_offsets`` adds ``starts``
-    and ``ends``, each token's code points.  A null text counts as empty and has no ids.
-    Repeated rows stay; null ids of documents stay null.
+    and ``ends``, each token's code points; ``with_bytes`` adds ``bytes``, decoded from the ids
+    by the same worker.  A null text counts as empty and has no ids.  Repeated rows stay; null
+    ids of documents stay null.
     """
     rows = inputs(docs, id_col, text_col)
+    more = {"starts": pa.list_(pa.int64()), "ends": pa.list_(pa.int64())} if with_offsets else {}
+    more |= {"bytes": pa.binary()} if with_bytes else {}
 
-    @arrow_udf("struct<ids:binary,starts:array<long>,ends:array<long>>")
+    @arrow_udf("struct<ids:binary" + ",starts:array<long>,ends:array<long>" * with_offsets + ",bytes:binary" * with_bytes + ">")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode_texts, table = encoder(ranks, pattern).ids, byte_table(ranks)
         for batch in batches:
-            ids = [x for part in slices(batch) for x in encode_texts(part)]
-            spans = [offsets(x, table) for x in ids] if with_offsets else [(None, None)] * len(ids)
-            yield pa.StructArray.from_arrays(
-                [pa.array(ids, pa.binary()), *(pa.array(x, pa.list_(pa.int64())) for x in zip(*spans))]
-                if ids else [pa.array([], pa.binary()), *[pa.array([], pa.list_(pa.int64()))] * 2],
-                ["ids", "starts", "ends"])
+            parts = []
+            for part in slices(batch):  # into Arrow by and by, which is smaller than Python's objects
+                ids = encode_texts(part)
+                columns = {"ids": pa.array(ids, pa.binary())}
+                if with_offsets:
+                    spans = [offsets(x, table) for x in ids]
+                    columns |= {"starts": pa.array([s for s, _ in spans], more["starts"]), "ends": pa.array([e for _, e in spans], more["ends"])}
+                if with_bytes:
+                    columns["bytes"] = pa.array([decoded(x, table) for x in ids], pa.binary())
+                parts.append(pa.StructArray.from_arrays(list(columns.values()), list(columns)))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct({"ids": pa.binary()} | more))
 
     out = rows.select("doc_id", of.asNondeterministic()("text").alias("t"))
-    return out.select("doc_id", *["t.ids", "t.starts", "t.ends"][:3 if with_offsets else 1])
+    return out.select("doc_id", *[f"t.{c}" for c in ("ids", *more)])
 
 
 def decode(ids: Column, ranks: str) -> Column:

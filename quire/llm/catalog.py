@@ -52,8 +52,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = _tokenizer("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    both = ids.select("doc_id", "ids", bpe.decode(F.col("ids"), ranks).alias("bytes"))
+    both = bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, with_bytes=True)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 

@@ -15,64 +15,73 @@ from array import array
 from collections.abc import Iterable
 from functools import lru_cache
 
-import numpy as np
-
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
 
 _ODD_SPACE = re.compile(r"\s\s|^\s|\s$")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Pieces a task remembers before it starts afresh, and the longest of them in characters.
-MEMO_PIECES, MEMO_CHARS = 300_000, 80
+#: Pieces a Python worker remembers before it starts afresh, and the longest of them in characters.
+MEMO_PIECES, MEMO_CHARS = 250_000, 80
+#: Pieces encoded in one call.
+AT_ONCE = 4096
 
 
-class Encoder:
-    """Whole texts to their ids, little-endian unsigned 32-bit, by a ``tokenizers`` tokenizer."""
+class Memo:
+    """What a tokenizer makes of texts, put together from what it makes of their pieces.
 
-    def __init__(self, tokenizer, specials: Iterable[str] = ()):
+    ``value`` of an encoding, and ``total`` of the values of a text's pieces; ``nothing`` is the
+    total of none.
+    """
+
+    def __init__(self, tokenizer, specials: Iterable[str], value, total, nothing):
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        self._tokenizer = tokenizer
-        self._specials = tuple(specials)
-        self._first: dict[str, bytes] = {}
-        self._after_space: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _learn(self, memo: dict[str, bytes], pieces: set[str], before: str) -> None:
-        if new := [x for x in pieces if x not in memo]:
-            memo.update(zip(new, self._encode([before + x for x in new])))
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        for memo in (self._first, self._after_space):
-            if len(memo) > MEMO_PIECES:
-                memo.clear()
-        cut: list[list[str] | None] = []
-        first, rest, whole = set(), set(), []
+        self._tokenizer, self._specials = tokenizer, tuple(specials)
+        self._value, self._total, self._nothing = value, total, nothing
+        self._first, self._after_space = {}, {"": nothing}
+
+    def _learn(self, memo: dict, new: set[str], before: str) -> list[str]:
+        """Adds pieces to a memo; gives those that are too long to be kept."""
+        pieces = list(new)
+        for at in range(0, len(pieces), AT_ONCE):  # the library's results are large
+            part = pieces[at:at + AT_ONCE]
+            found = self._tokenizer.encode_batch_fast([before + x for x in part], add_special_tokens=False)
+            memo.update(zip(part, map(self._value, found)))
+        return [x for x in pieces if len(x) > MEMO_CHARS]
+
+    def of(self, texts: list[str]) -> list:
+        """The total of each text."""
+        if len(self._first) > MEMO_PIECES:
+            self._first = {}
+        if len(self._after_space) > MEMO_PIECES:
+            self._after_space = {"": self._nothing}
+        heads, cut = [], []
         for text in texts:
-            if any(x in text for x in self._specials):
-                cut.append(None)
-                whole.append(text)
-                continue
-            pieces = _CUT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
+            if any(x in text for x in self._specials):  # encoded whole, as a first piece
+                pieces = [text]
+            else:
+                pieces = _CUT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
+            heads.append(pieces[0])
+            pieces[0] = ""  # counts as nothing: no other piece is empty
             cut.append(pieces)
-            first.add(pieces[0])
-            rest.update(pieces[1:])
-        self._learn(self._first, first, "")
-        self._learn(self._after_space, rest, " ")
-        entire, after, out = iter(self._encode(whole) if whole else ()), self._after_space, []
-        for pieces in cut:
-            out.append(next(entire) if pieces is None else
-                       self._first[pieces[0]] + b"".join([after[x] for x in pieces[1:]]))
-        for memo, used in ((self._first, first), (after, rest)):
-            for x in used:
-                if len(x) > MEMO_CHARS:
-                    del memo[x]
+        long = [(m, x) for m, new, before in (
+            (self._first, set(heads).difference(self._first), ""),
+            (self._after_space, set().union(*cut).difference(self._after_space), " ")) for x in self._learn(m, new, before)]
+        after, first, total = self._after_space.__getitem__, self._first, self._total
+        out = [first[head] + total(map(after, pieces)) for head, pieces in zip(heads, cut)]
+        for memo, x in long:
+            del memo[x]
         return out
 
 
+class Encoder:
+    """Whole texts to their ids (little-endian unsigned 32-bit), or to how many they are."""
+
+    def __init__(self, tokenizer, specials: Iterable[str] = ()):
+        specials = list(specials)
+        self.ids = Memo(tokenizer, specials, lambda x: array("I", x.ids).tobytes(), b"".join, b"").of
+        self.counts = Memo(tokenizer, specials, len, sum, 0).of
+
+
 @lru_cache(maxsize=4)
 def from_file(path: str) -> Encoder:
     """The encoder of a tokenizer file, kept by the Python worker; special strings as its default."""

@@ -45,7 +45,8 @@ def texts(spark):
 
 @pytest.mark.parametrize("path", [JSON, WORDS])
 def test_pieces_equal_whole_texts(path, texts):
-    assert tokens.from_file(path).ids(texts) == whole(path, texts)
+    want = whole(path, texts)
+    assert tokens.from_file(path).ids(texts) == want and tokens.from_file(path).counts(texts) == [len(x) // 4 for x in want]
 
 
 @settings(max_examples=100, deadline=None)
