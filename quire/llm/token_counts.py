@@ -70,9 +70,9 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, fold
 
     @arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = tokens.from_file(tokenizer)
+        counts = tokens.from_file(tokenizer).counts
         for batch in batches:
-            yield pa.array([len(x) // 4 for part in slices(batch) for x in encoder.ids(part)], pa.int64())
+            yield pa.array([n for part in slices(batch) for n in counts(part)], pa.int64())
 
     # the texts travel once, dealt by document id: one document of each missing digest
     encoded = (rows.withColumn("digest", digest)
@@ -80,4 +80,6 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, fold
                      F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("digest") == F.col("wanted")), "left_semi")
                .select("digest", F.lit(version).alias("version"), count.asNondeterministic()("text").alias("n_tokens")))
     encoded.write.mode("append").parquet(cache)
-    return keyed.join(stored(spark, cache, version), "digest").select("doc_id", "n_bytes", "n_tokens")
+    # written, so that the join reads them as they are and a digest with very many rows can be split
+    counts = materialize(stored(spark, cache, version))
+    return keyed.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens")
