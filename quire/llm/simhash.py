@@ -182,7 +182,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
     best = named.groupBy("root").agg(F.min("least").alias("best"))
     linked = named.join(best, "root").select(F.col("node").alias("fp"), "best")
     label = nodes.join(linked, "fp", "left").select("fp", F.coalesce("best", "least").alias("component_id"))
-    return rows.join(label, "fp").select("doc_id", "fp", "component_id")
+    # written, so that the join reads it as it is and a fingerprint with very many rows can be split
+    return rows.join(materialize(label), "fp").select("doc_id", "fp", "component_id")
 
 
 def unique(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
