@@ -36,7 +36,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and the terms that disclose it are replaced in the texts; n_chars follows."""
-    clean = sanitise.sanitise(docs)
+    clean = sanitise.sanitise(docs, everywhere=True)
     kind = docs.schema["n_chars"].dataType
     return clean.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), "n_chars"))
 

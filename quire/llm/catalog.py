@@ -98,7 +98,7 @@ def op8_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = sanitise.find(read(spark, sf_dir, "documents"))
+    found = sanitise.find(read(spark, sf_dir, "documents"), everywhere=True)
     base = F.filter("spans", lambda x: x["kind"].isin(*sanitise.KINDS))
     kinds = F.transform("spans", lambda x: x["kind"])
     count = [(F.size("spans") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in sanitise.KINDS]

@@ -1,22 +1,23 @@
 """Information-theoretic sanitisation of personal data.
 
 Patterns find the protected entities: e-mail and IP addresses, card and phone numbers.  The corpus
-then tells which ordinary words give them away.  For a term t in the words around an entity e,
+then tells which ordinary words give them away.  For a term t in the documents of an entity e,
 document counts estimate the pointwise mutual information PMI(t, e) = log(p(t, e) / (p(t) p(e)))
 and the entity's information IC(e) = -log p(e).  Their ratio is the share of the entity that the
 term discloses: 1 if t occurs only beside e, about 0 for a common word.  Terms whose disclosure
 reaches a threshold are generalised to a placeholder, and removed from a second threshold on.
 
-All counts cover all documents.  Only words near entities, aggregated counts and rows of spans
-travel between machines; an entity or term that a third of the documents share is pre-aggregated.
+All counts cover all documents.  Only the distinct terms of documents with entities, aggregated counts
+and rows of spans travel between machines; an entity or term that a third of the documents share is
+pre-aggregated.
 """
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,10 +28,12 @@ from .common import inputs, slices
 
 #: Kinds of protected entities, in the order in which spans of one start are listed, and of terms.
 KINDS, TERMS = ("email", "ip", "card", "phone"), ("generalise", "remove")
-#: Words on each side of an entity that count as near; texts that must show a pair; thresholds.
-NEAR, TEXTS, GENERALISE, REMOVE = 6, 3, 0.8, 0.95
+#: Texts that must show a pair; thresholds.
+TEXTS, GENERALISE, REMOVE = 3, 0.8, 0.95
 #: Distinct terms that a task counts before it passes the counts on.
 COUNTED = 500_000
+#: Bits of the filter that tasks look words up in: 2 MB, however many terms are disclosing.
+FILTER_BITS = 1 << 24
 
 # patterns that must match exactly
 _AFTER_AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -84,36 +87,31 @@ def term(word: str) -> str:
     return bare if any(map(str.isalpha, bare)) else ""
 
 
-def near_terms(text: str, found: list[tuple[str, int, int, str]], near: int) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the ``near`` words on each side of each entity, outside all entities."""
-    if not found:
-        return []
-    words = [m.span() for m in _WORD.finditer(text)]
-    starts, ends = np.array([a for a, _ in words]), np.array([b for _, b in words])
-    free = np.ones(len(words), bool)
+def free_terms(text: str, found: list[tuple[str, int, int, str]]) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) of every word outside all entities, in order; ``found``: entities by start."""
+    covered = []  # entities, those that overlap as one
     for _, a, b, _ in found:
-        free[np.searchsorted(ends, a, "right"):np.searchsorted(starts, b, "left")] = False
-    out = []
-    for kind, a, b, value in found:
-        first, last = np.searchsorted(ends, a, "right"), np.searchsorted(starts, b, "left")
-        for i in [*range(max(0, first - near), first), *range(last, min(len(words), last + near))]:
-            if free[i] and (t := term(text[words[i][0]:words[i][1]])):
-                bare = text[words[i][0]:words[i][1]]
-                at = words[i][0] + len(bare) - len(bare.lstrip(_EDGE))
-                out.append((f"{kind}:{value}", t, at, words[i][1] - (len(bare) - len(bare.rstrip(_EDGE)))))
-    return out
+        if covered and a < covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], b)
+        else:
+            covered.append([a, b])
+    at = 0
+    for m in _WORD.finditer(text):
+        while at < len(covered) and covered[at][1] <= m.start():
+            at += 1
+        if (at == len(covered) or covered[at][0] >= m.end()) and (t := term(m[0])):
+            yield t, m.end() - len(m[0].lstrip(_EDGE)), m.start() + len(m[0].rstrip(_EDGE))
 
 
 _FOUND = pa.struct([
     ("base", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())]))),
-    ("near", pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))])
+    ("terms", pa.list_(pa.string()))])
 
 
-def detect(text: Column, near: int = NEAR) -> Column:
-    """Struct of the entities of a text (``base``) and the words around them (``near``)."""
+def detect(text: Column) -> Column:
+    """Struct of the entities of a text (``base``) and, if it has any, the distinct terms outside them (``terms``)."""
 
-    @arrow_udf("struct<base:array<struct<kind:string,start:long,end:long,value:string>>,"
-               "near:array<struct<entity:string,term:string,start:long,end:long>>>")
+    @arrow_udf("struct<base:array<struct<kind:string,start:long,end:long,value:string>>,terms:array<string>>")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             out = []
@@ -121,7 +119,7 @@ def detect(text: Column, near: int = NEAR) -> Column:
                 for x in part:
                     found = entities(x or "")
                     out.append({"base": [dict(zip(("kind", "start", "end", "value"), f)) for f in found],
-                                "near": [dict(zip(("entity", "term", "start", "end"), n)) for n in near_terms(x or "", found, near)]})
+                                "terms": sorted({t for t, _, _ in free_terms(x, found)}) if found else []})
             yield pa.array(out, _FOUND)
 
     return of.asNondeterministic()(text)
@@ -156,46 +154,99 @@ def term_counts(rows: DataFrame) -> DataFrame:
             .groupBy("term").agg(F.sum("n").alias("n_t")))
 
 
+def _entities(base: str = "base") -> Column:
+    """The distinct entities of a document, as kind:value."""
+    return F.array_distinct(F.transform(base, lambda x: F.concat(x["kind"], F.lit(":"), x["value"])))
+
+
 def disclosing(found: DataFrame, counts: DataFrame, n_docs: int, texts: int = TEXTS,
                threshold: float = GENERALISE) -> DataFrame:
     """(entity, term, disclosure) of the pairs that reach the threshold.
 
-    ``found``: row key ``key``, ``base`` and ``near`` of every document; ``counts``: term_counts.
+    ``found``: key of the text ``key``, ``base`` and ``terms`` of every document; ``counts``: term_counts.
     A pair must be seen in at least ``texts`` different texts, so copies alone prove nothing.
     """
-    together = (found.select("key", F.explode("near").alias("x")).select("key", "x.entity", "x.term")
-                .groupBy("entity", "term", "key").agg(F.count("*").alias("again"))
-                .groupBy("entity", "term").agg(F.count("*").alias("n_texts"))
-                .filter(F.col("n_texts") >= texts))
-    # documents, copies included, in which the pair and the entity occur
-    pairs = (found.select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"], x["term"])))).alias("x"))
-             .select("x.entity", "x.term").groupBy("entity", "term").agg(F.count("*").alias("n_te")))
-    alone = (found.select(F.explode(F.array_distinct(F.transform("base", lambda x: F.concat(x["kind"], F.lit(":"), x["value"])))).alias("entity"))
-             .groupBy("entity").agg(F.count("*").alias("n_e")))
+    holds = found.filter(F.size("base") > 0)
+    seen = (holds.select("key", F.explode(_entities()).alias("entity"))
+            .groupBy("entity", "key").agg(F.count("*").alias("copies")))
+    # an entity of fewer texts has no pair that is seen in enough
+    alone = (seen.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count("*").alias("n_texts"))
+             .filter(F.col("n_texts") >= texts).select("entity", "n_e"))
+    known = (seen.join(alone, "entity").groupBy("key")
+             .agg(F.first("copies").alias("copies"), F.collect_list(F.struct("entity", "n_e")).alias("entities")))
+    # one row a text; documents, copies included, in which the pair and the entity occur
+    pairs = (holds.groupBy("key").agg(F.first("terms").alias("terms")).join(known, "key")
+             .select("copies", "terms", F.explode("entities").alias("x")).select("copies", "x.*", F.explode("terms").alias("term"))
+             .groupBy("entity", "n_e", "term").agg(F.sum("copies").alias("n_te"), F.count("*").alias("n_texts"))
+             .filter(F.col("n_texts") >= texts))
     ratio = F.when(F.col("n_e") < n_docs,
                    F.log(F.col("n_te") * F.lit(float(n_docs)) / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n_docs)) / F.col("n_e")))
-    return (together.join(pairs, ["entity", "term"]).join(alone, "entity").join(counts, "term")
+    return (pairs.join(counts, "term")
             .select("entity", "term", F.least(ratio, F.lit(1.0)).alias("disclosure")).filter(F.col("disclosure") >= threshold))
 
 
-def find(docs: DataFrame, near: int = NEAR, texts: int = TEXTS, generalise: float = GENERALISE,
-         remove: float = REMOVE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def term_filter(pairs: DataFrame) -> bytes:
+    """A bit for the hash of each term of ``pairs``; FILTER_BITS in all, so its size is fixed."""
+    place = F.crc32("term") % FILTER_BITS + 1
+    rows = (pairs.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect())
+    out = bytearray(FILTER_BITS // 8)
+    for r in rows:
+        out[(r.bucket - 1) * len(r.bits):r.bucket * len(r.bits)] = r.bits
+    return bytes(out)
+
+
+def occurrences(rows: DataFrame, bits: bytes) -> DataFrame:
+    """(key, term, start, end) of every word outside entities whose term the filter may hold; ``rows``: key and text."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = {}
+        for batch in batches:
+            for keys, texts in zip(slices(batch.column(0)), slices(batch.column(1))):
+                out = [], [], [], []
+                for key, text in zip(keys, texts):
+                    words = set(text.split())
+                    for w in words:
+                        if w not in known:
+                            t = term(w)
+                            at = zlib.crc32(t.encode()) % FILTER_BITS
+                            known[w] = bool(t) and bits[at >> 3] >> (at & 7) & 1
+                    if any(map(known.__getitem__, words)):
+                        hit = {term(w) for w in words if known[w]}
+                        for t, start, end in free_terms(text, entities(text)):
+                            if t in hit:
+                                for column, value in zip(out, (key, t, start, end)):
+                                    column.append(value)
+                if len(known) > COUNTED:
+                    known.clear()
+                if out[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, (pa.string(), pa.string(), pa.int64(), pa.int64()))],
+                                                     ["key", "term", "start", "end"])
+
+    return rows.select("key", "text").mapInArrow(look, "key string, term string, start long, end long")
+
+
+def find(docs: DataFrame, texts: int = TEXTS, generalise: float = GENERALISE, remove: float = REMOVE,
+         everywhere: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, key, spans) for every row of ``docs``.
 
     ``spans``: structs of start, order, kind and end in code points (end exclusive), by start and kind:
-    all entities, and the disclosing terms, of kind ``generalise`` or ``remove``.  ``key`` tells
+    all entities, and every occurrence of the disclosing terms, of kind ``generalise`` or ``remove``:
+    in the documents that hold the entity, or ``everywhere``, in all documents.  ``key`` tells
     rows apart whose id or text differs; rows that repeat both have the same spans and all stay.
     A null text counts as empty and has no spans.  A null id is an id like any other.
     """
     rows = inputs(docs, id_col, text_col)
     found = materialize(rows.select("doc_id", row_key("doc_id", "text").alias("key"), F.xxhash64("text").alias("text_key"),
-                                    detect(F.col("text"), near).alias("d"))
-                        .select("doc_id", "key", "text_key", "d.base", "d.near"))
-    pairs = disclosing(found.select(F.col("text_key").alias("key"), "base", "near"), term_counts(rows),
-                       found.count(), texts, generalise)
+                                    detect(F.col("text")).alias("d"))
+                        .select("doc_id", "key", "text_key", "d.base", "d.terms"))
+    pairs = materialize(disclosing(found.select(F.col("text_key").alias("key"), "base", "terms"), term_counts(rows),
+                                   found.count(), texts, generalise))
     kind = F.when(F.col("disclosure") >= remove, TERMS[1]).otherwise(TERMS[0])
-    terms = (found.select("key", F.explode("near").alias("x")).select("key", "x.*").distinct()
-             .join(pairs, ["entity", "term"])
+    by = ["term"] if everywhere else ["key", "term"]
+    told = pairs if everywhere else found.select("key", F.explode(_entities()).alias("entity")).join(pairs, "entity")
+    terms = (occurrences(rows.select(row_key("doc_id", "text").alias("key"), "text"), term_filter(pairs))
+             .join(told.groupBy(by).agg(F.max("disclosure").alias("disclosure")), by)
              .groupBy("key", "start", "end").agg(F.max("disclosure").alias("disclosure"))
              .groupBy("key").agg(F.collect_list(_span(F.col("start"), kind, F.col("end"))).alias("terms")))
     base = F.transform("base", lambda x: _span(x["start"], x["kind"], x["end"]))

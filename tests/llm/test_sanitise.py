@@ -110,3 +110,47 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("spans,want", [([(0, 3, "email"), (2, 5, "card")], "[EMAIL]fg"), ([(1, 2, "remove"), (3, 4, "generalise")], "ac[TERM]efg"), ([], "abcdefg")])
 def test_replacing(spans, want):
     assert sanitise.sanitised("abcdefg", spans) == want
+
+
+def test_terms_far_from_the_entity_and_without_it(spark):
+    """The name stands in the greeting and the number in the footer; the name also stands alone."""
+    gap = " ".join(f"the end of line {i} today" for i in range(20))
+    rows = [(i, f"Dear (Quillan), {gap} note {i} Quillan +1 (505) 555-1941") for i in range(4)]
+    rows += [(10 + i, f"{gap} dear note {i % 7} number {i}") for i in range(250)] + [(900, "QUILLAN! alone, twice: quillan"), (901, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    n, n_te, n_t, n_e = len(rows), 4, 5, 4
+    disclosure = math.log(n_te * n / (n_t * n_e)) / math.log(n / n_e)
+    assert sanitise.GENERALISE <= disclosure < sanitise.REMOVE
+    texts = {i: t or "" for i, t in rows}
+    held = {i: [m.span() for m in re.finditer("quillan", texts[i], re.I)] for i in (0, 1, 2, 3, 900)}
+    for everywhere, ids in ((False, {0, 1, 2, 3}), (True, {0, 1, 2, 3, 900})):
+        out = sanitise.find(docs, everywhere=everywhere).collect()
+        assert len(out) == len(rows)
+        got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "generalise"] for r in out}
+        assert {i: x for i, x in got.items() if x} == {i: held[i] for i in ids}
+        assert not any(s.kind == "remove" for r in out for s in r.spans)
+    clean = {r.doc_id: r.text for r in sanitise.sanitise(docs, everywhere=True).collect()}
+    assert clean[900] == "[TERM]! alone, twice: [TERM]" and clean[901] is None
+    assert clean[2] == f"Dear ([TERM]), {gap} note 2 [TERM] [PHONE]"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab@.-+ 019()\n"), max_size=40))
+def test_free_terms_equal_brute_force(text):
+    found = sanitise.entities(text)
+    want = []
+    for m in re.finditer(r"\S+", text):
+        inside = any(a < m.end() and m.start() < b for _, a, b, _ in found)
+        if not inside and (t := sanitise.term(m[0])):
+            want.append((t, m.start() + m[0].lower().index(t)))
+    got = list(sanitise.free_terms(text, found))
+    assert [(t, a) for t, a, _ in got] == want and all(text[a:b].lower() == t for t, a, b in got)
+
+
+def test_filter_holds_every_term(spark):
+    import zlib
+    terms = [f"term{i}é" for i in range(5000)]
+    bits = sanitise.term_filter(spark.createDataFrame([(t,) for t in terms], "term string"))
+    places = {zlib.crc32(t.encode()) % sanitise.FILTER_BITS for t in terms}
+    assert len(bits) * 8 == sanitise.FILTER_BITS
+    assert {i * 8 + j for i, b in enumerate(bits) if b for j in range(8) if b >> j & 1} == places
