@@ -22,7 +22,7 @@ from .common import inputs, slices
 #: Units each way; documents of each language and words of each document that teach; languages at most.
 UNITS, DOCS, WORDS, LANGUAGES = 16, 150, 80, 200
 EPOCHS, BATCH, RATE, SEED = 8, 128, 0.02, 7
-#: Longer words are labelled in pieces of so many bytes; distinct words that a task remembers.
+#: Longer words are learned and labelled in pieces of at most so many bytes; distinct words that a task remembers.
 PIECE, REMEMBERED = 24, 300_000
 EDGE = b"0123456789.,;:!?\"'()[]{}<>|#*$%&=+-_/\\`~@^"
 UNDETERMINED = "und"
@@ -154,6 +154,18 @@ def fit(words: list[bytes], labels: list[str], epochs: int = EPOCHS, seed: int =
     return net
 
 
+def pieces(core: bytes) -> list[bytes]:
+    """The word in pieces of at most PIECE bytes that begin and end between characters."""
+    out, at = [], 0
+    while at < len(core):
+        end = min(at + PIECE, len(core))
+        while end < len(core) and core[end] & 0xC0 == 0x80:
+            end -= 1
+        out.append(core[at:end])
+        at = end
+    return out
+
+
 class Labelled:
     """Sums of log probabilities over the positions of distinct words, remembered in a task."""
 
@@ -167,20 +179,20 @@ class Labelled:
         self.used = 1
 
     def learn(self, raw: list[bytes]) -> None:
-        cores, pieces, owner = [], [], []
+        cores, parts, owner = [], [], []
         for w in raw:
             core = w.strip(EDGE)
             self.known[w] = 0
             if core and any(map(str.isalpha, core.decode())):
                 cores.append(w)
-                for i in range(0, len(core), PIECE):
-                    pieces.append(core[i:i + PIECE])
+                for piece in pieces(core):
+                    parts.append(piece)
                     owner.append(len(cores) - 1)
         sums = np.zeros((len(cores), len(self.net.labels) + 1))
-        order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
+        order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
         for at in range(0, len(order), 2048):
             part = order[at:at + 2048]
-            logs, lengths = log_probabilities(self.net, [pieces[i] for i in part])
+            logs, lengths = log_probabilities(self.net, [parts[i] for i in part])
             inside = np.arange(len(logs))[:, None] < lengths[None, :]
             found = np.column_stack([np.einsum("twl,tw->wl", logs, inside.astype(logs.dtype)), lengths])
             np.add.at(sums, [owner[i] for i in part], found)
@@ -219,7 +231,8 @@ def train(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_
     """The network learned from documents with text and language that aren't held out.
 
     At most ``n_docs`` documents of each of the LANGUAGES most frequent languages, the first by a hash
-    of the id, and ``n_words`` words spread over each: the driver gets no more than these.
+    of the id, and ``n_words`` words spread over each: the driver gets no more than these.  A word of
+    more than PIECE bytes counts as several, its pieces, any of which may teach.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -234,7 +247,7 @@ def train(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_
             out = []
             for part in slices(batch):
                 for text in part:
-                    words = [w[:PIECE] for w in (x.strip(EDGE) for x in text.encode().split()) if any(b > 64 for b in w)]
+                    words = [p for w in (x.strip(EDGE) for x in text.encode().split()) if any(b > 64 for b in w) for p in pieces(w)]
                     out.append(words[::max(1, -(-len(words) // n_words))])
             yield pa.array(out, pa.list_(pa.binary()))
 

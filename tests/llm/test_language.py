@@ -95,3 +95,14 @@ def test_odd_rows(spark):
         else:
             assert r.r.lang_pred == "und" and r.r.score == 0
     assert {r.r.lang_pred for r in out if r.doc_id in (1, 3, 103)} == {"en"}
+
+
+def test_every_piece_of_a_long_word_can_teach(spark, monkeypatch):
+    """Scripts without spaces: a word is a whole line."""
+    line = "".join(chr(0x4E00 + i) for i in range(200))
+    assert b"".join(language.pieces(line.encode())).decode() == line
+    assert all(len(p.decode().encode()) <= language.PIECE for p in language.pieces(("a" + line).encode()))
+    monkeypatch.setattr(language, "fit", lambda words, labels: words)
+    held = [i for i in range(20) if zlib.crc32(str(i).encode()) % 4 != 2][0]
+    words = language.train(spark.createDataFrame([(held, line, "zh")], "doc_id long, text string, lang string"))
+    assert "".join(w.decode() for w in words) == line
