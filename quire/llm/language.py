@@ -17,10 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import inputs, slices
+from .common import slices
 
-#: Units each way; documents of each language and words of each document that teach; languages at most.
-UNITS, DOCS, WORDS, LANGUAGES = 16, 150, 80, 200
+#: Units each way; documents of each language and words of each document that teach.
+UNITS, DOCS, WORDS = 16, 150, 80
 EPOCHS, BATCH, RATE, SEED = 8, 128, 0.02, 7
 #: Longer words are learned and labelled in pieces of at most so many bytes; distinct words that a task remembers.
 PIECE, REMEMBERED = 24, 300_000
@@ -230,16 +230,14 @@ def train(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_
           n_docs: int = DOCS, n_words: int = WORDS) -> Network:
     """The network learned from documents with text and language that aren't held out.
 
-    At most ``n_docs`` documents of each of the LANGUAGES most frequent languages, the first by a hash
-    of the id, and ``n_words`` words spread over each: the driver gets no more than these.  A word of
+    At most ``n_docs`` documents of each language, the first by a hash of the id, and ``n_words`` words spread over each: the driver gets no more than these.  A word of
     more than PIECE bytes counts as several, its pieces, any of which may teach.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"))
-    rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = (rows.filter(F.col("lang").isin(known)).withColumn("place", place).filter(F.col("place") <= n_docs)
-              .select("doc_id", F.col("lang").alias("taught")))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = (rows.select("doc_id", "lang").withColumn("place", F.row_number().over(by_hash)).filter(F.col("place") <= n_docs)
+              .select("doc_id", "lang").distinct())
 
     @arrow_udf("array<binary>")
     def spread(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -251,11 +249,12 @@ def train(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_
                     out.append(words[::max(1, -(-len(words) // n_words))])
             yield pa.array(out, pa.list_(pa.binary()))
 
-    # bounded: n_docs rows of each language
-    taught = (inputs(docs, id_col, text_col, empty=False).filter("text is not null").join(F.broadcast(chosen), "doc_id")
-              .select("doc_id", "taught", spread("text").alias("words"))
-              .orderBy("taught", "doc_id", "words").limit(n_docs * LANGUAGES).collect())
-    pairs = [(bytes(w), r.taught) for r in taught for w in r.words]
+    # bounded: n_docs rows of each language, even if ids repeat
+    again = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "words")
+    taught = (rows.join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "lang", spread("text").alias("words"))
+              .withColumn("place", F.row_number().over(again)).filter(F.col("place") <= n_docs)
+              .orderBy("lang", "doc_id", "words").collect())
+    pairs = [(bytes(w), r.lang) for r in taught for w in r.words]
     return fit([w for w, _ in pairs], [x for _, x in pairs])
 
 

@@ -106,3 +106,19 @@ def test_every_piece_of_a_long_word_can_teach(spark, monkeypatch):
     held = [i for i in range(20) if zlib.crc32(str(i).encode()) % 4 != 2][0]
     words = language.train(spark.createDataFrame([(held, line, "zh")], "doc_id long, text string, lang string"))
     assert "".join(w.decode() for w in words) == line
+
+
+def test_all_languages_with_text_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "fit", lambda words, labels: sorted(set(labels)))
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(ids[i], "some words", f"l{i:03}") for i in range(230)]
+    rows += [(ids[300 + i], "more words" if i == 30 else None, "nulls") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.train(docs, n_docs=1) == [f"l{i:03}" for i in range(230)] + ["nulls"]
+
+
+def test_repeated_ids_teach_no_more_than_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(language, "fit", lambda words, labels: labels)
+    free = next(i for i in range(20) if zlib.crc32(str(i).encode()) % 4 != 2)
+    docs = spark.createDataFrame([(free, f"word{i}", "en") for i in range(40)] + [(free, "wort", "de")], "doc_id long, text string, lang string")
+    assert language.train(docs, n_docs=5) == ["de"] + ["en"] * 5
