@@ -19,14 +19,13 @@ from quire.session import ensure_checkpoint_dir
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that repeat themselves too much, or have under ten words, go."""
-    judged = docs.withColumn("_judged", repetition.repetition(F.col("text")))
-    return judged.filter("_judged.kept").select(docs.columns)
+    return docs.filter(repetition.repetition(F.col("text"))["kept"])
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the scorer trained on weak labels rejects go."""
     scorer, _ = weak_labels.quality(docs)
-    return docs.withColumn("_judged", scorer).filter("_judged.kept").select(docs.columns)
+    return docs.filter(scorer["kept"])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
