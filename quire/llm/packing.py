@@ -67,7 +67,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, open_windows: in
     empty or null text has one token.  Full sequences are cut off its front; the rest, shorter than
     ``capacity``, is one piece.  ``with_ids`` adds the ids of each piece (binary, little-endian
     unsigned 32-bit).  Repeated rows are documents of their own; a null id stays null.  An empty
-    table gives no piece.
+    table gives no piece.  A text may be of any length, one run of white space included.
     """
     rows = inputs(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()

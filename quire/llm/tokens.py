@@ -98,6 +98,16 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
 
 
+#: White space in a row from which on a text goes to ``tokenizers``: the pattern looks ahead after
+#: white space, and ``tiktoken`` keeps a step on its stack for every character of it (700,000 still pass).
+LONG_SPACE = 100_000
+
+
+def has_long_space(text: str) -> bool:
+    """Whether a text has LONG_SPACE white-space characters in a row; linear in the text."""
+    return len(text) >= LONG_SPACE and any(m.end() - m.start() >= LONG_SPACE for m in re.finditer(r"\s+", text))
+
+
 #: How byte-level pre-tokenizers split text (fixed by the file format).
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -107,7 +117,7 @@ class ByteLevel:
 
     In such a file the ids rank the merges, so both libraries give the same ids (tested on every
     code point and on the corpus); this one takes a quarter of the time.  Texts that hold the string
-    of a special token go to ``tokenizers``.
+    of a special token, or very much white space in a row, go to ``tokenizers``.
     """
 
     def __init__(self, path: str):
@@ -127,7 +137,7 @@ class ByteLevel:
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         return [array("I", self._tokenizer.encode(t, add_special_tokens=False).ids
-                      if any(x in t for x in self._specials) else self._own.encode_ordinary(t)).tobytes() for t in texts]
+                      if any(x in t for x in self._specials) or has_long_space(t) else self._own.encode_ordinary(t)).tobytes() for t in texts]
 
 
 @lru_cache(maxsize=2)

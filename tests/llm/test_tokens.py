@@ -215,3 +215,16 @@ def test_merged_leftovers_fill_sequences(spark):
     assert len(by_group) == 5 and sum(used.values()) == sum(100 + i % 300 for i in range(400)) and max(used.values()) <= 1024
     for n in by_group.values():
         assert sum(sorted(n)[:2]) > 1024  # no two of a group would fit into one
+
+
+def test_long_white_space(spark):
+    """A run of white space longer than one library can look ahead over."""
+    texts = ["a few words" + " " * 1_000_000, "\t" * 1_000_000 + "x", "a" + "\n" * 1_000_000 + "b", (" " * 99_999 + "x") * 3]
+    want = whole(JSON, texts)
+    assert tokens.byte_level(JSON).ids(texts) == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pieces = packing.pack(docs, JSON).collect()
+    check_packing(pieces, [(i, x + b"\0\0\0\0") for i, x in enumerate(want)])
+    encoded = {r.doc_id: bytes(r.ids) for r in bpe.encode(docs, RANKS, public_tokenizers.PATTERN).collect()}
+    assert {i: len(x) for i, x in encoded.items()} == {i: len(x) for i, x in enumerate(want)}
+    assert token_counts.token_counts(docs, WORDS, fold_space=True).count() == 4
