@@ -37,6 +37,14 @@ def inputs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        (F.coalesce(text, F.lit("")) if empty else text).alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as no column of ``df`` has (upper or lower case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def slices(values: pa.Array, rows: int = SLICE_ROWS) -> Iterator[list]:
     """The values of an Arrow array as Python lists of at most ``rows``."""
     for at in range(0, len(values), rows):

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..session import materialize
-from .common import inputs, slices
+from .common import inputs, slices, unused
 
 BITS = 64
 #: Most distinct fingerprints that one task compares with each other.
@@ -193,10 +193,10 @@ def unique(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
     The smallest (id, hash of the text) of a group stays, null ids first; of rows that repeat
     both, one stays.
     """
-    own = F.struct(F.col(id_col), F.xxhash64(text_col).alias("hash"))
-    keyed = docs.withColumn("_row", own)
-    keep = (near_duplicates(keyed, shingle, max_bits, "_row", text_col)
-            .filter("doc_id = component_id").select(F.col("doc_id").alias("_row")).distinct())
-    again = Window.partitionBy("_row").orderBy(F.xxhash64(*docs.columns))
-    return (keyed.join(keep, "_row").withColumn("_again", F.row_number().over(again))
-            .filter("_again = 1").drop("_row", "_again"))
+    row, again = unused(docs, "row"), unused(docs, "again")
+    keyed = docs.withColumn(row, F.struct(F.col(id_col), F.xxhash64(text_col).alias("hash")))
+    keep = (near_duplicates(keyed, shingle, max_bits, row, text_col)
+            .filter("doc_id = component_id").select(F.col("doc_id").alias(row)).distinct())
+    first = Window.partitionBy(row).orderBy(F.xxhash64(*docs.columns))
+    return (keyed.join(keep, row).withColumn(again, F.row_number().over(first))
+            .filter(F.col(again) == 1).select(docs.columns))

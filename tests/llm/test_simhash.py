@@ -117,3 +117,9 @@ def test_fingerprint_lengths(n):
         h = [xxhash.xxh64_intdigest(" ".join(words[i:i + 3]), 42) for i in range(n - 2)]
         want = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
         assert simhash.simhash(text, 3) & (1 << 64) - 1 == want
+
+
+def test_unique_keeps_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a b c", 5, "x", 9), (2, "a b c", 6, "y", 8)], "doc_id long, text string, _row long, Again string, row long")
+    got = simhash.unique(docs)
+    assert got.columns == docs.columns and [tuple(r) for r in got.collect()] == [(1, "a b c", 5, "x", 9)]
