@@ -5,7 +5,9 @@ then tells which ordinary words give them away.  For a term t in the documents o
 document counts estimate the pointwise mutual information PMI(t, e) = log(p(t, e) / (p(t) p(e)))
 and the entity's information IC(e) = -log p(e).  Their ratio is the share of the entity that the
 term discloses: 1 if t occurs only beside e, about 0 for a common word.  Terms whose disclosure
-reaches a threshold are generalised to a placeholder, and removed from a second threshold on.
+reaches a threshold are generalised to a placeholder, and removed from a second threshold on, if the
+co-occurrence is significant: t in k of the n different texts of e must be too rare by chance, given how many
+documents hold t, even among as many pairs as were looked at.
 
 All counts cover all documents.  Only the distinct terms of documents with entities, aggregated counts
 and rows of spans travel between machines; an entity or term that a third of the documents share is
@@ -13,6 +15,7 @@ pre-aggregated.
 """
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -24,12 +27,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..session import materialize
-from .common import inputs, slices
+from .common import inputs, slices, unused
 
 #: Kinds of protected entities, in the order in which spans of one start are listed, and of terms.
 KINDS, TERMS = ("email", "ip", "card", "phone"), ("generalise", "remove")
-#: Texts that must show a pair; thresholds.
-TEXTS, GENERALISE, REMOVE = 3, 0.8, 0.95
+#: Thresholds of disclosure; least different texts that must show a pair (one text shows nothing).
+TEXTS, GENERALISE, REMOVE = 2, 0.8, 0.95
+#: Pairs that chance may bring, all pairs taken together.
+CHANCE = 0.01
+#: Share of a term's documents that must hold the entity for the term to be marked where the entity is not.
+POINTS = 0.5
 #: Distinct terms that a task counts before it passes the counts on.
 COUNTED = 500_000
 #: Bits of the filter that tasks look words up in: 2 MB, however many terms are disclosing.
@@ -159,36 +166,55 @@ def _entities(base: str = "base") -> Column:
     return F.array_distinct(F.transform(base, lambda x: F.concat(x["kind"], F.lit(":"), x["value"])))
 
 
-def disclosing(found: DataFrame, counts: DataFrame, n_docs: int, texts: int = TEXTS,
-               threshold: float = GENERALISE) -> DataFrame:
-    """(entity, term, disclosure) of the pairs that reach the threshold.
+def _alike() -> list[Column]:
+    """Aggregates that tell sets of different ``key`` apart: their size and 128 bits."""
+    return [F.count("*").alias("n_texts"), *[F.bit_xor(F.xxhash64("key", F.lit(i))).alias(f"set{i}") for i in (1, 2)]]
+
+
+def _classes(members: DataFrame, name: str, *also: Column) -> DataFrame:
+    """``members`` (``name``, ``key``) of at least TEXTS texts, with ``cls``: equal for those in the same texts."""
+    found = members.groupBy(name).agg(*_alike(), *also).filter(F.col("n_texts") >= TEXTS)
+    return found.withColumn("cls", F.struct("n_texts", "set1", "set2"))
+
+
+def disclosing(found: DataFrame, counts: DataFrame, n_docs: int, threshold: float = GENERALISE) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs (e, t, disclosure, points), and which entities (entity, e) and terms (term, t) they stand for.
 
     ``found``: key of the text ``key``, ``base`` and ``terms`` of every document; ``counts``: term_counts.
-    A pair must be seen in at least ``texts`` different texts, so copies alone prove nothing.
+    Copies of a text show a pair once.  Entities of the same texts are one ``e`` and terms of the same texts and
+    count one ``t``, so a text with many addresses and many rare words, all its own, makes one pair of them.
+    ``points``: the share of the term's documents that hold the entity.
     """
     holds = found.filter(F.size("base") > 0)
-    seen = (holds.select("key", F.explode(_entities()).alias("entity"))
-            .groupBy("entity", "key").agg(F.count("*").alias("copies")))
-    # an entity of fewer texts has no pair that is seen in enough
-    alone = (seen.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count("*").alias("n_texts"))
-             .filter(F.col("n_texts") >= texts).select("entity", "n_e"))
-    known = (seen.join(alone, "entity").groupBy("key")
-             .agg(F.first("copies").alias("copies"), F.collect_list(F.struct("entity", "n_e")).alias("entities")))
-    # one row a text; documents, copies included, in which the pair and the entity occur
-    pairs = (holds.groupBy("key").agg(F.first("terms").alias("terms")).join(known, "key")
-             .select("copies", "terms", F.explode("entities").alias("x")).select("copies", "x.*", F.explode("terms").alias("term"))
-             .groupBy("entity", "n_e", "term").agg(F.sum("copies").alias("n_te"), F.count("*").alias("n_texts"))
-             .filter(F.col("n_texts") >= texts))
-    ratio = F.when(F.col("n_e") < n_docs,
-                   F.log(F.col("n_te") * F.lit(float(n_docs)) / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n_docs)) / F.col("n_e")))
-    return (pairs.join(counts, "term")
-            .select("entity", "term", F.least(ratio, F.lit(1.0)).alias("disclosure")).filter(F.col("disclosure") >= threshold))
-
-
-def term_filter(pairs: DataFrame) -> bytes:
-    """A bit for the hash of each term of ``pairs``; FILTER_BITS in all, so its size is fixed."""
+    texts = materialize(holds.groupBy("key").agg(F.count("*").alias("copies"), F.first(_entities()).alias("entities"),
+                                                 F.first("terms").alias("terms")))
+    seen = texts.select("key", "copies", F.explode("entities").alias("entity"))
+    entities_ = materialize(_classes(seen, "entity", F.sum("copies").alias("n_e")).select("entity", "cls", "n_e"))
+    most = entities_.agg(F.max("n_e")).first()[0] or 0
+    # n_te is at most n_e, so a term of more documents than this cannot reach the threshold
+    rare = counts.filter(F.col("n_t") <= 1.001 * n_docs ** (1 - threshold) * most ** threshold)
+    told = texts.select("key", F.explode("terms").alias("term"))
+    terms = materialize(_classes(told, "term").join(rare, "term").select("term", F.struct("cls", "n_t").alias("cls")))
+    e_in = seen.join(entities_, "entity").groupBy(F.col("cls").alias("e"), "n_e", "key").agg(F.first("copies").alias("copies"))
+    t_in = told.join(terms, "term").select(F.col("cls").alias("t"), "key").distinct()
+    pairs = materialize(e_in.join(t_in, "key").groupBy("e", "n_e", "t").agg(F.sum("copies").alias("n_te"), F.count("*").alias("k"))
+                        .filter(F.col("k") >= TEXTS))
+    n, n_t, n_e = F.lit(float(n_docs)), F.col("t.n_t"), F.col("n_e")
+    ratio = F.when(n_e < n, F.log(F.col("n_te") * n / (n_t * n_e)) / F.log(n / n_e))
+    # k of the entity's texts hold the term: at most exp(-bits) likely, if each did with probability p
+    m, p = F.col("e.n_texts"), n_t / n
+    bits = F.col("k") * F.log(F.col("k") / (m * p)) + F.when(F.col("k") < m, (m - F.col("k")) * F.log((1 - F.col("k") / m) / (1 - p))).otherwise(0.0)
+    kept = (pairs.select("e", "t", F.least(ratio, F.lit(1.0)).alias("disclosure"), bits.alias("bits"),
+                         (F.col("k") > m * p).alias("more"), (F.col("n_te") / n_t).alias("points"))
+            .filter((F.col("disclosure") >= threshold) & F.col("more") & (F.col("bits") >= math.log(max(pairs.count(), 1) / CHANCE)))
+            .select("e", "t", "disclosure", "points"))
+    return materialize(kept), entities_.select("entity", F.col("cls").alias("e")), terms.select("term", F.col("cls").alias("t"))
+
+
+def term_filter(terms: DataFrame) -> bytes:
+    """A bit for the hash of each ``term`` of a table; FILTER_BITS in all, so its size is fixed."""
     place = F.crc32("term") % FILTER_BITS + 1
-    rows = (pairs.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
+    rows = (terms.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect())
     out = bytearray(FILTER_BITS // 8)
     for r in rows:
@@ -226,13 +252,14 @@ def occurrences(rows: DataFrame, bits: bytes) -> DataFrame:
     return rows.select("key", "text").mapInArrow(look, "key string, term string, start long, end long")
 
 
-def find(docs: DataFrame, texts: int = TEXTS, generalise: float = GENERALISE, remove: float = REMOVE,
+def find(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE,
          everywhere: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, key, spans) for every row of ``docs``.
 
     ``spans``: structs of start, order, kind and end in code points (end exclusive), by start and kind:
-    all entities, and every occurrence of the disclosing terms, of kind ``generalise`` or ``remove``:
-    in the documents that hold the entity, or ``everywhere``, in all documents.  ``key`` tells
+    all entities, and every occurrence of the disclosing terms, of kind ``generalise`` or ``remove``,
+    in the documents that hold the entity; ``everywhere``: also in all other documents, if at least
+    POINTS of the term's documents hold the entity.  ``key`` tells
     rows apart whose id or text differs; rows that repeat both have the same spans and all stay.
     A null text counts as empty and has no spans.  A null id is an id like any other.
     """
@@ -240,13 +267,18 @@ def find(docs: DataFrame, texts: int = TEXTS, generalise: float = GENERALISE, re
     found = materialize(rows.select("doc_id", row_key("doc_id", "text").alias("key"), F.xxhash64("text").alias("text_key"),
                                     detect(F.col("text")).alias("d"))
                         .select("doc_id", "key", "text_key", "d.base", "d.terms"))
-    pairs = materialize(disclosing(found.select(F.col("text_key").alias("key"), "base", "terms"), term_counts(rows),
-                                   found.count(), texts, generalise))
+    pairs, entity_of, term_of = disclosing(found.select(F.col("text_key").alias("key"), "base", "terms"), term_counts(rows),
+                                           found.count(), generalise)
+    held = found.select("key", F.explode(_entities()).alias("entity")).join(entity_of, "entity").select("key", "e").distinct()
+    own = (held.join(pairs, "e").groupBy("key", "t").agg(F.max("disclosure").alias("own")).join(term_of, "t")
+           .select("key", "term", "own"))
+    told = pairs.filter(F.lit(everywhere) & (F.col("points") >= POINTS)).groupBy("t").agg(F.max("disclosure").alias("any"))
+    told = materialize(told.join(term_of, "t").select("term", "any"))
     kind = F.when(F.col("disclosure") >= remove, TERMS[1]).otherwise(TERMS[0])
-    by = ["term"] if everywhere else ["key", "term"]
-    told = pairs if everywhere else found.select("key", F.explode(_entities()).alias("entity")).join(pairs, "entity")
-    terms = (occurrences(rows.select(row_key("doc_id", "text").alias("key"), "text"), term_filter(pairs))
-             .join(told.groupBy(by).agg(F.max("disclosure").alias("disclosure")), by)
+    words = materialize(pairs.select("t").distinct().join(term_of, "t").select("term"))
+    terms = (occurrences(rows.select(row_key("doc_id", "text").alias("key"), "text"), term_filter(words))
+             .join(told, "term", "left").join(own, ["key", "term"], "left")
+             .select("key", "start", "end", F.greatest("own", "any").alias("disclosure")).filter("disclosure is not null")
              .groupBy("key", "start", "end").agg(F.max("disclosure").alias("disclosure"))
              .groupBy("key").agg(F.collect_list(_span(F.col("start"), kind, F.col("end"))).alias("terms")))
     base = F.transform("base", lambda x: _span(x["start"], x["kind"], x["end"]))
@@ -288,8 +320,9 @@ def sanitised(text: str, spans: list[tuple[int, int, str]]) -> str:
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with the text sanitised, all columns and rows kept; a null text stays null."""
     found = find(docs, id_col=id_col, text_col=text_col, **options)
+    key, marked = unused(docs, "key"), unused(docs, "spans")
     # one row for each key; the rows of a key have equal spans
-    spans = (found.filter(F.size("spans") > 0).groupBy(F.col("key").alias("_key")).agg(F.max("spans").alias("_spans")))
+    spans = found.filter(F.size("spans") > 0).groupBy(F.col("key").alias(key)).agg(F.max("spans").alias(marked))
 
     @arrow_udf("string")
     def replace(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -297,6 +330,5 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
             yield pa.array([t if t is None or not s else sanitised(t, [(x["start"], x["end"], x["kind"]) for x in s])
                             for t, s in zip(text.to_pylist(), found_.to_pylist())], pa.string())
 
-    keyed = docs.withColumn("_key", row_key(id_col, text_col))
-    return (keyed.join(spans, "_key", "left").withColumn(text_col, replace(text_col, "_spans")).drop("_key", "_spans")
-            .select(docs.columns))
+    return (docs.withColumn(key, row_key(id_col, text_col)).join(spans, key, "left")
+            .withColumn(text_col, replace(text_col, marked)).select(docs.columns))

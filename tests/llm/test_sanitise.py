@@ -154,3 +154,87 @@ def test_filter_holds_every_term(spark):
     places = {zlib.crc32(t.encode()) % sanitise.FILTER_BITS for t in terms}
     assert len(bits) * 8 == sanitise.FILTER_BITS
     assert {i * 8 + j for i, b in enumerate(bits) if b for j in range(8) if b >> j & 1} == places
+
+
+def brute_spans(rows, everywhere):
+    """Every pair of entity and term, counted one by one."""
+    n, texts = len(rows), {i: t or "" for i, t in rows}
+    found = {i: sanitise.entities(t) for i, t in texts.items()}
+    words = {i: {x for x, _, _ in sanitise.free_terms(t, found[i])} for i, t in texts.items()}
+    n_t = {}
+    for t in texts.values():
+        for w in {sanitise.term(x) for x in t.split()} - {""}:
+            n_t[w] = n_t.get(w, 0) + 1
+    holders = {}
+    for i, f in found.items():
+        for kind, _, _, value in f:
+            holders.setdefault((kind, value), set()).add(i)
+    told, tested = [], set()
+    for e, ids in holders.items():
+        m = len({texts[i] for i in ids})
+        for w in set().union(*(words[i] for i in ids)):
+            inside = {i for i in ids if w in words[i]}
+            k = len({texts[i] for i in inside})
+            if k < 2 or n_t[w] > 1.001 * n ** 0.2 * max(map(len, holders.values())) ** 0.8:
+                continue
+            tested.add((frozenset(texts[i] for i in ids), frozenset(texts[j] for j in texts if found[j] and w in words[j]), n_t[w]))
+            told.append((e, w, len(inside), k, m, len(ids)))
+    kept = []
+    for e, w, n_te, k, m, n_e in told:
+        p = n_t[w] / n
+        tail = sum(math.comb(m, j) * p ** j * (1 - p) ** (m - j) for j in range(k, m + 1))
+        bound = (k / (m * p)) ** -k * (1 if k == m else ((1 - k / m) / (1 - p)) ** (k - m))
+        assert tail <= bound * (1 + 1e-9) or k <= m * p
+        if n_e < n and k > m * p and bound <= sanitise.CHANCE / len(tested):
+            d = min(1, math.log(n_te * n / (n_t[w] * n_e)) / math.log(n / n_e))
+            if d >= sanitise.GENERALISE:
+                kept.append((e, w, d, n_te / n_t[w]))
+    out = {}
+    for i, t in texts.items():
+        own = {(k, v) for k, _, _, v in found[i]}
+        best = {}
+        for e, w, d, points in kept:
+            if e in own or everywhere and points >= sanitise.POINTS:
+                best[w] = max(best.get(w, 0), d)
+        out[i] = sorted([(a, k, b) for k, a, b, _ in found[i]] + [
+            (a, "remove" if best[w] >= sanitise.REMOVE else "generalise", b) for w, a, b in sanitise.free_terms(t, found[i]) if w in best])
+    return out
+
+
+@pytest.mark.parametrize("everywhere", [False, True])
+def test_whole_table_equals_brute_force(spark, everywhere):
+    import random
+    rng = random.Random(5)
+    common = [f"word{chr(97 + i)}" for i in range(26)]
+    rows = []
+    for i in range(600):
+        text = " ".join(rng.choices(common, k=12))
+        if i % 10 == 0:  # ten people, each with an address, two pet words and a shared one
+            who = i // 10 % 10
+            text += f" p{who}@home.example pet{who}x " + (f"pal{who}x " if i % 3 else "") + f"shared{who % 3}x"
+        elif i % 17 == 0:
+            text += f" pet{i % 10}x shared{i % 3}x"
+        rows.append((i, text))
+    rows += [(700, rows[0][1]), (701, None), (702, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: sorted((s.start, s.kind, s.end) for s in r.spans) for r in sanitise.find(docs, everywhere=everywhere).collect()}
+    want = brute_spans(rows, everywhere)
+    assert got == want
+    assert sum(k in sanitise.TERMS for x in want.values() for _, k, _ in x) > 50
+
+
+def test_pair_of_two_texts_and_one(spark):
+    """Two different texts can show a pair; two copies of one text cannot."""
+    rows = [(i, f"note {i} of many common words about a thing {chr(97 + i % 26)}x") for i in range(3000)]
+    rows += [(5000, "first Zorro letter z@home.example"), (5001, "second Zorro mail z@home.example")]
+    rows += [(5002, "only Tango here y@home.example"), (5003, "only Tango here y@home.example")]
+    out = sanitise.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    marked = {r.doc_id for r in out if any(s.kind in sanitise.TERMS for s in r.spans)}
+    assert marked == {5000, 5001}
+
+
+def test_clashing_names(spark):
+    rows = [(1, "a b me@home.example", 7, "s", "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key long, SPANS string, key string")
+    got = sanitise.sanitise(docs)
+    assert got.columns == docs.columns and tuple(got.first()) == (1, "a b [EMAIL]", 7, "s", "k")
