@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, language, packing, repetition, sanitise, simhash, token_counts, url_filter, weak_labels
+from . import bpe, filter_audit, fingerprint, language, packing, repetition, sanitise, simhash, token_counts, url_filter, weak_labels
 from .common import inputs, read, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -206,3 +206,36 @@ SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, fa AS fingerprint,
                 len(a_all)) AS n_same_leaves
 FROM r
 """
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+_SQL_PARTS = " UNION ALL ".join(f"SELECT '{f}' AS f, {i} AS bit" for i, f in enumerate(filter_audit.FILTERS))
+ORACLES["op13_filter_audit"] = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, [
+        len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+        100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text), regexp_matches(text, '[#$%&*|]'),
+        coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails FROM d LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+f AS ({_SQL_PARTS}),
+o AS (SELECT concat(a.f, b.f, c.f, d.f, e.f) AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+      FROM f a, f b, f c, f d, f e WHERE len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+s AS (SELECT filter_order, bits, unnest([1, 2, 3, 4, 5]) AS step FROM o),
+r AS (SELECT part, filter_order, bits, n, good, toxic, fails, list_position(list_transform(bits, lambda b: fails[b + 1]), true) AS gone FROM c, o),
+a AS (SELECT part, filter_order, step, s.bits[step] AS bit,
+      coalesce(sum(n) FILTER (gone IS NULL OR gone > step), 0) AS kept, coalesce(sum(n) FILTER (gone = step), 0) AS removed,
+      coalesce(sum(n) FILTER (gone < step AND fails[s.bits[step] + 1]), 0) AS redundant,
+      coalesce(sum(n) FILTER (fails[s.bits[step] + 1] AND len(list_filter(fails, lambda x: x)) = 1), 0) AS unique_fails,
+      coalesce(sum(good) FILTER (gone = step), 0) AS good_lost, coalesce(sum(toxic) FILTER (gone = step), 0) AS toxic_lost
+      FROM r JOIN s USING (filter_order) GROUP BY part, filter_order, step, s.bits[step])
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM a
+"""

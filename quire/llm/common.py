@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -9,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 #: Rows that one Python step holds at a time; an Arrow batch is worked off in slices of it.
 SLICE_ROWS = 512
 
@@ -49,3 +52,28 @@ def slices(values: pa.Array, rows: int = SLICE_ROWS) -> Iterator[list]:
     """The values of an Arrow array as Python lists of at most ``rows``."""
     for at in range(0, len(values), rows):
         yield values.slice(at, rows).to_pylist()
+
+
+#: Keys that hold more than this share of all rows count as hot; there are at most HOT_KEYS of them.
+HOT_KEYS = 10_000
+
+
+def lookup(rows: DataFrame, values: DataFrame, key: str, n: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``values`` by ``key``, which is unique in ``values``; ``how``: inner or left.
+
+    Column ``n`` of ``values`` (not in the result) tells how many rows have the key.  Keys of more than one in HOT_KEYS
+    of the rows are at most HOT_KEYS, whatever the input, so these are broadcast and their rows stay where
+    they are; only the other rows are shuffled.  Both arguments should be written tables: they are read twice.
+    """
+    limit = max(rows.count() // HOT_KEYS, 1)
+    hot = F.broadcast(values.filter(F.col(n) > limit).drop(n))
+    rest = rows.join(hot.select(key), key, "left_anti").join(values.filter(F.col(n) <= limit).drop(n), key, how)
+    return rows.join(hot, key).select(rest.columns).unionAll(rest)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table below the checkpoint folder: read again by column, and by other tasks after a loss."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
