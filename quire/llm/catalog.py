@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, filter_audit, fingerprint, language, packing, repetition, sanitise, simhash, token_counts, url_filter, weak_labels
+from . import bpe, circulant, filter_audit, fingerprint, language, packing, repetition, sanitise, simhash, spelling, token_counts, url_filter, weak_labels
 from .common import inputs, read, workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -239,3 +239,48 @@ SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed:
        (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
 FROM a
 """
+
+
+@query
+def op12_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
+# Near words by leaving out one code point: equal with the same place left out, or equal to the shorter word.
+_SQL_CRC_TABLE = """list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+ORACLES["op11_spelling_variants"] = rf"""
+WITH RECURSIVE r AS (SELECT doc_id, {_LOWER.format("unnest(regexp_extract_all(text, '[A-Za-z' || chr(192) || '-' || chr(255) || ']{7,}'))")} AS run FROM documents),
+d AS (SELECT doc_id, run, count(*) AS n, coalesce(doc_id::VARCHAR, '') || ':' || run AS named FROM r GROUP BY doc_id, run),
+t AS (SELECT {_SQL_CRC_TABLE} AS crcs),
+h AS (SELECT run, n, xor(list_reduce(list_concat([4294967295::BIGINT],
+      list_transform(range(octet_length(encode(named))), lambda i: ('0x' || substr(hex(encode(named)), (2 * i + 1)::BIGINT, 2))::BIGINT)),
+      lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM d, t),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h)
+      WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+o AS (SELECT word, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM w)),
+p AS (SELECT x.word AS a, y.word AS b FROM o x JOIN o y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+      UNION SELECT o.word, w.word FROM o JOIN w ON o.rest = w.word UNION SELECT w.word, o.word FROM o JOIN w ON o.rest = w.word),
+b AS (SELECT a AS word, count(*) AS n_near, arg_min(b, (-m.n, b)) AS best, max(m.n) AS best_n FROM p JOIN w m ON m.word = p.b GROUP BY a),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * w.n THEN best END AS form,
+      CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n FROM w LEFT JOIN b USING (word)),
+c AS (SELECT word, word AS at, form AS next FROM f UNION ALL SELECT c.word, f.word, f.form FROM c JOIN f ON f.word = c.next)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM f JOIN c ON c.word = f.word AND c.next IS NULL
+"""
+
+ORACLES["op12_circulant_minhash"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 2, least(len(w), 1) + 1)), lambda i: array_to_string(w[i:i + 3], ' ')))) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+k AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT k.a, e.b FROM k JOIN e ON e.a = k.b)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(k.b) AS component_id, d.doc_id = min(k.b) AS kept
+FROM d JOIN k ON k.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""
