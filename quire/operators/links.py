@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fields, urls
 from ..functions.text import _c, blank_to_null, strip
+from . import markup
 
 # Fixed values that must equal the reference's patterns.
 PART_LINK_RE = r"/far-overhaul/far-part-deviation-guide/far-overhaul-part-(\d+)$"
@@ -24,10 +25,6 @@ HREF_RE = r'(?is)^<a(?:\s[^>]*?)?\shref\s*=\s*(?:"([^"]*)"|\'([^\']*)\'|([^\s"\'
 AFTER_ANCHOR_RE = r"(?is)</a\s*>.*"
 # comments and scripts hold no links
 HIDDEN_RE = r"(?is)<!--.*?-->|<script\b.*?</script>"
-# a heading block (h2-h4) or a bare anchor with its text, whichever comes first in the
-# page; the text of a bare anchor may hold up to 50 other tags
-HEADING_OR_ANCHOR_RE = (r"(?is)(<h2\b[^>]*>.*?</h2>|<h3\b[^>]*>.*?</h3>|<h4\b[^>]*>.*?</h4>"
-                        r"|<a\s[^>]*>[^<]*(?:<(?:[^a/]|a[^\s]|/[^a]|/a[a-z])[^<]*){0,50})")
 SENTINEL = "\u0001"
 
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
@@ -90,28 +87,25 @@ def first_per(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def part_headings(guide: DataFrame, key: str = "page_id", html: str = "html",
                   base_col: str = "base") -> DataFrame:
-    """Part overview links with the dates of their enclosing h2/h3/h4 heading.
+    """Part overview links with the dates of the heading around them.
 
     Output: key, part_number, overview_url, issued, updated, title_hint; the
-    first link per (key, part_number) in document order wins.
+    first link per (key, part_number) in document order wins.  A heading counts if it
+    is one of the link's three nearest ancestors (see :func:`markup.ancestor_links`).
     """
-    blocks = guide.select(key, base_col, F.posexplode(
-        F.regexp_extract_all(visible(html), F.lit(HEADING_OR_ANCHOR_RE), 1)).alias("bpos", "blk"))
-    is_heading = F.col("blk").rlike(r"(?i)^<h[2-4]")
-    heading_txt = F.when(is_heading, tag_text("blk"))
-    links = blocks.select(key, base_col, "bpos", heading_txt.alias("htxt"),
-                          F.posexplode(anchors("blk")).alias("lpos", "a"))
-    href = urls.strip_query_fragment(href_of("a"))
-    num = F.regexp_extract(href, PART_LINK_RE, 1)
-    parts = links.where(href.rlike(PART_LINK_RE)).select(
-        key, "bpos", "lpos",
-        num.try_cast("int").alias("part_number"),
-        urls.resolve(href, F.col(base_col)).alias("overview_url"),
+    links = markup.ancestor_links(
+        guide, [key, base_col], html, lambda tag: urls.strip_query_fragment(href_of(tag)),
+        lambda href: href.rlike(PART_LINK_RE))
+    parts = links.select(key, "pos", "href", base_col, "anchor", tag_text("heading").alias("htxt"))
+    parts = parts.select(
+        key, "pos",
+        F.regexp_extract("href", PART_LINK_RE, 1).try_cast("int").alias("part_number"),
+        urls.resolve(F.col("href"), F.col(base_col)).alias("overview_url"),
         blank_to_null(F.regexp_extract("htxt", "(?U)" + ISSUANCE_RE, 1)).alias("issued"),
         blank_to_null(F.regexp_extract("htxt", "(?U)" + UPDATE_RE, 1)).alias("updated"),
-        tag_text("a").alias("title_hint"))
+        tag_text("anchor").alias("title_hint"))
     parts = parts.where(F.col("part_number").isNotNull())
-    return first_per(parts, [key, "part_number"], ["bpos", "lpos"]).drop("bpos", "lpos")
+    return first_per(parts, [key, "part_number"], ["pos"]).drop("pos")
 
 
 def link_manifest(links: DataFrame, base: Column, key: str = "page_id",
@@ -148,22 +142,6 @@ def top_links(links: DataFrame, key: str = "page_id", n: int = 5) -> DataFrame:
     return links.where(F.col("pos") < n)
 
 
-# HTML -> main text: drop non-content blocks, then tags, entities, whitespace.
-DROP_BLOCKS = (r"(?is)<script\b.*?</script>", r"(?is)<style\b.*?</style>",
-               r"(?is)<nav\b.*?</nav>", r"(?is)<footer\b.*?</footer>",
-               r"(?is)<head\b.*?</head>", r"(?s)<!--.*?-->",
-               r'(?is)<div class="ad">.*?</div>')
-
-
 def clean_text(html) -> Column:
-    """Main text of a page: boilerplate blocks removed, block tags -> newline,
-    other tags -> nothing, entities decoded, blank runs collapsed."""
-    t = _c(html)
-    for p in DROP_BLOCKS:
-        t = F.regexp_replace(t, p, " ")
-    t = F.regexp_replace(t, r"(?i)<br\s*/?>|</?(p|div|h[1-6]|li|tr|article|section)\b[^>]*>", "\n")
-    t = F.regexp_replace(t, r"<[^>]*>", "")
-    t = decode_entities(t)
-    t = F.regexp_replace(t, r"[ \t]+", " ")
-    t = F.regexp_replace(t, r" ?\n[ \n]*", "\n")
-    return strip(t)
+    """Main text of a page, links kept with their targets (H21, see :func:`markup.main_text`)."""
+    return markup.main_text(html, href_of, decode_entities)

@@ -9,6 +9,7 @@ from ..functions import fields, urls
 from ..operators import links as L
 from ..operators import manifest as M
 from ..session import table
+from . import markup_sql as MS
 from . import sqlfrag as S
 from .registry import query
 
@@ -82,10 +83,16 @@ def pdf_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 GUIDE_PART = "/far-overhaul/far-part-deviation-guide/far-overhaul-part-"
 
 
+# what stands around a Part link, by page: the heading itself, a third ancestor, a fourth, an unclosed heading, an
+# unclosed list item around it
+_AROUND = (("<h3>", "</h3>"), ("<h2><span><b>", "</b></span></h2>"), ("<h4><i><span><b>", "</b></span></i></h4>"),
+           ("<h3>", ""), ("<ul><li>x<li><h3><em>", "</em></h3></ul>"))
+
+
 def guide_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each page turned into a guide page: an h3 heading holding a Part link
+    """Each page turned into a guide page: a heading holding a Part link
     (number from the page id), the page title as anchor text and dated status
-    lines, followed by the page's own HTML."""
+    lines, followed by the page's own HTML.  The heading's shape goes by the page id."""
     p = table(spark, sf_dir, "pages", "page_id", "url", "html")
     title = F.regexp_extract("html", r"(?is)<h1[^>]*>(.*?)</h1>", 1)
     issued = F.date_format(F.date_add(F.lit("2025-01-01").cast("date"),
@@ -94,52 +101,41 @@ def guide_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(" UPDATE: "), F.date_format(F.date_add(F.lit("2025-06-01").cast("date"),
                                                      (F.col("page_id") % 90).cast("int")),
                                           "MMMM d, yyyy"))).otherwise(F.lit(""))
-    head = F.concat(F.lit('<h3><a href="'), F.lit(GUIDE_PART), (F.col("page_id") % 60).cast("string"),
-                    F.lit('?x=1">'), title, F.lit("</a> Issuance Date: "), issued, updated,
-                    F.lit("</h3>"))
+    shape = (F.col("page_id") % len(_AROUND) + 1).cast("int")
+    before, after = (F.element_at(F.array(*[F.lit(x[i]) for x in _AROUND]), shape) for i in (0, 1))
+    head = F.concat(before, F.lit('<a href="'), F.lit(GUIDE_PART), (F.col("page_id") % 60).cast("string"),
+                    F.lit('?x=1">'), title, F.lit("</a> Issuance Date: "), issued, updated, after)
     return p.select("page_id", urls.site_root(F.col("url")).alias("base"),
                     F.concat(head, F.col("html")).alias("html"))
 
 
+_AROUND_SQL = ["[" + ", ".join(S.q(x[i]) for x in _AROUND) + f"][page_id % {len(_AROUND)} + 1]" for i in (0, 1)]
 GUIDE_SQL = f"""
 SELECT page_id, {S.site_root('url')} AS base,
-  '<h3><a href="{GUIDE_PART}' || CAST(page_id % 60 AS VARCHAR) || '?x=1">'
+  {_AROUND_SQL[0]} || '<a href="{GUIDE_PART}' || CAST(page_id % 60 AS VARCHAR) || '?x=1">'
   || regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)
   || '</a> Issuance Date: ' || strftime(DATE '2025-01-01' + CAST(page_id % 365 AS INTEGER), '%B %-d, %Y')
   || CASE WHEN page_id % 3 = 0 THEN ' UPDATE: ' || strftime(DATE '2025-06-01' + CAST(page_id % 90 AS INTEGER), '%B %-d, %Y') ELSE '' END
-  || '</h3>' || html AS html
+  || {_AROUND_SQL[1]} || html AS html
 FROM pages
 """
+_PART_HREF = f"split_part(split_part({S.href_of('tag')}, '?', 1), '#', 1)"
 
 
 @query("heading_dates", f"""
-WITH g AS ({GUIDE_SQL}),
-b AS (
-  SELECT page_id, base, regexp_extract_all({S.visible('html')}, {S.q(L.HEADING_OR_ANCHOR_RE)}, 1) AS blks FROM g
-), be AS (
-  SELECT page_id, base, i AS bpos, blks[i] AS blk FROM (
-    SELECT *, unnest(generate_series(1, len(blks))) AS i FROM b)
-), bl AS (
-  SELECT page_id, base, bpos,
-    CASE WHEN regexp_matches(blk, '(?i)^<h[2-4]') THEN {S.tag_text('blk')} END AS htxt,
-    {S.anchors('blk')} AS anchors
-  FROM be
-), le AS (
-  SELECT page_id, base, bpos, htxt, j AS lpos,
-         split_part(split_part({S.href_of('anchors[j]')}, '?', 1), '#', 1) AS href, anchors[j] AS inn
-  FROM (SELECT *, unnest(generate_series(1, len(anchors))) AS j FROM bl)
-), p AS (
-  SELECT page_id, bpos, lpos,
-    TRY_CAST(regexp_extract(href, {S.q(L.PART_LINK_RE)}, 1) AS INTEGER) AS part_number,
+WITH l AS ({MS.ancestor_links(f"({GUIDE_SQL}) g", "page_id, base", "html", _PART_HREF, f"regexp_matches(href, {S.q(L.PART_LINK_RE)})")}),
+t AS (SELECT *, {S.tag_text('heading')} AS htxt FROM l),
+p AS (
+  SELECT page_id, pos, TRY_CAST(regexp_extract(href, {S.q(L.PART_LINK_RE)}, 1) AS INTEGER) AS part_number,
     CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href ELSE base || href END AS overview_url,
     nullif(regexp_extract(htxt, {S.q(L.ISSUANCE_RE)}, 1), '') AS issued,
     nullif(regexp_extract(htxt, {S.q(L.UPDATE_RE)}, 1), '') AS updated,
-    {S.tag_text('inn')} AS title_hint
-  FROM le WHERE regexp_matches(href, {S.q(L.PART_LINK_RE)})
+    {S.tag_text('anchor')} AS title_hint
+  FROM t
 )
 SELECT page_id, part_number, overview_url, issued, updated, title_hint FROM p
 WHERE part_number IS NOT NULL
-QUALIFY row_number() OVER (PARTITION BY page_id, part_number ORDER BY bpos, lpos) = 1
+QUALIFY row_number() OVER (PARTITION BY page_id, part_number ORDER BY pos) = 1
 """)
 def heading_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.part_headings(guide_pages(spark, sf_dir))
@@ -284,27 +280,17 @@ def manifest_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.profile(d, ["lang"])
 
 
-def _clean_sql(x: str) -> str:
-    for p in L.DROP_BLOCKS:
-        x = f"regexp_replace({x}, {S.q(p)}, ' ', 'g')"
-    x = (f"regexp_replace({x}, {S.q(r'(?i)<br\s*/?>|</?(p|div|h[1-6]|li|tr|article|section)\b[^>]*>')}, "
-         f"chr(10), 'g')")
-    x = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
-    x = S.decode_entities(x)
-    x = f"regexp_replace({x}, '[ \t]+', ' ', 'g')"
-    x = f"regexp_replace({x}, {S.q(' ?' + chr(10) + '[ ' + chr(10) + ']*')}, chr(10), 'g')"
-    return S.strip(x)
+CLEAN_SQL = MS.main_text("pages")
 
 
-@query("html_clean_text", f"SELECT page_id, {_clean_sql('html')} AS clean_text FROM pages")
+@query("html_clean_text", CLEAN_SQL)
 def html_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages", "page_id", "html")
     return p.select("page_id", L.clean_text(F.col("html")).alias("clean_text"))
 
 
 @query("page_gate", f"""
-SELECT page_id, length(clean) AS chars FROM (SELECT page_id, {_clean_sql('html')} AS clean FROM pages)
-WHERE length(clean) >= 500
+SELECT page_id, length(clean_text) AS chars FROM ({CLEAN_SQL}) WHERE length(clean_text) >= 500
 """)
 def page_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with enough clean text for extraction."""
