@@ -46,28 +46,43 @@ def site_root(url) -> Column:
     return F.regexp_extract(_c(url), r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
 
 
+def without_dots(path) -> Column:
+    """A path without its ``.`` and ``..`` segments: a stack folded over the segments, ``..`` takes the last off."""
+    segments = F.split(_c(path), "/")
+    stack = F.aggregate(
+        segments, F.array().cast("array<string>"),
+        lambda kept, s: F.when(s == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0))))
+        .when(s == ".", kept).otherwise(F.concat(kept, F.array(s))))
+    # a directory keeps its slash at the end, and nothing climbs above the root
+    last = F.when(F.element_at(segments, -1).isin(".", ".."), F.concat(stack, F.array(F.lit("")))).otherwise(stack)
+    return F.concat(F.lit("/"), F.regexp_replace(F.array_join(last, "/"), "^/", ""))
+
+
+DOTS_RE = r"(?:^|/)\.\.?(?:/|$)"
+
+
 def resolve(href, base) -> Column:
-    """Resolve ``href`` against ``base`` for the link shapes seen on pages.
+    """``href`` as an absolute URL, seen from the page ``base`` (H5).
 
-    absolute (``scheme:``) -> as is; ``//host/x`` -> base scheme; ``/x`` -> base
-    root + path; ``?q`` / ``#f`` -> base + suffix; otherwise relative to the
-    base's directory.
+    ``scheme:`` and ``//host`` links keep their path as it is; ``?q`` and ``#f`` replace that part of the base;
+    every other path, taken from the base's directory unless it starts with ``/``, loses its dot segments, and
+    one from a directory also empty segments.  An empty link is the base itself.
     """
     h, b = _c(href), _c(base)
     scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    base_nofrag = F.substring_index(b, "#", 1)
-    base_noquery = F.substring_index(base_nofrag, "?", 1)
-    base_dir = F.regexp_extract(base_noquery, r"^(.*/)", 1)
-    root = site_root(b)
+    root, page = site_root(b), F.regexp_extract(b, r"^[^?#]*", 0)
+    path, tail = F.regexp_extract(h, r"^[^?#]*", 0), F.regexp_extract(h, r"[?#].*$", 0)
+    folder = F.regexp_extract(F.substring(page, F.length(root) + 1, F.length(page)), r"^.*/", 0)
+    joined = F.regexp_replace(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path), "//+", "/")
+    rooted = F.when(path.rlike(DOTS_RE), without_dots(path)).otherwise(path)
+    relative = F.when(joined.rlike(DOTS_RE), without_dots(joined)).otherwise(joined)
     return (F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
             .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-            .when(h.startswith("/"), F.concat(root, h))
-            .when(h == "", base_nofrag)
-            .when(h.startswith("?"), F.concat(base_noquery, h))
-            .when(h.startswith("#"), F.concat(base_nofrag, h))
-            .when(base_dir == F.concat(root, F.lit("/")), F.concat(base_dir, h))
-            .when(base_dir != "", F.concat(base_dir, h))
-            .otherwise(F.concat(root, F.lit("/"), h)))
+            .when(h.startswith("/"), F.concat(root, rooted, tail))
+            .when(h == "", b)
+            .when(h.startswith("?"), F.concat(page, h))
+            .when(h.startswith("#"), F.concat(F.substring_index(b, "#", 1), h))
+            .otherwise(F.concat(root, relative, tail)))
 
 
 def host(url) -> Column:
@@ -76,6 +91,33 @@ def host(url) -> Column:
     return F.when(hst != "", hst)
 
 
+def suffix_keys(host_) -> Column:
+    """array of structs (key, labels, exception) of the suffix rules that a host could match.
+
+    For every number of last labels: the labels themselves, the wildcard rule that they match,
+    and the exception from it.  ``labels``: how many labels a public suffix by that rule has.
+    """
+    parts = F.split(_c(host_), r"\.")
+    n = F.size(parts)
+
+    def last(k: Column) -> Column:
+        return F.array_join(F.slice(parts, n - k + 1, k), ".")
+
+    def of(k: Column) -> Column:
+        return F.array(F.struct(last(k).alias("key"), k.alias("labels"), F.lit(False).alias("exception")),
+                       F.struct(F.concat(F.lit("*."), last(k - 1)).alias("key"), k.alias("labels"), F.lit(False).alias("exception")),
+                       F.struct(F.concat(F.lit("!"), last(k)).alias("key"), (k - 1).alias("labels"), F.lit(True).alias("exception")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(1), n), of))
+
+
+def last_labels(host_, n) -> Column:
+    """The last ``n`` labels of a host."""
+    parts = F.split(_c(host_), r"\.")
+    return F.array_join(F.slice(parts, F.size(parts) - n + 1, n), ".")
+
+
 def registered_domain(url) -> Column:
-    """Last two labels of the host (approximation: no public-suffix list)."""
+    """Last two labels of the host: the registered domain where every public suffix has one label.
+    :func:`quire.operators.crawl.registered_domains` takes a table of suffix rules."""
     return F.regexp_extract(host(url), r"([^.]+\.[^.]+)$", 1)

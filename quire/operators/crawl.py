@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.urls import registered_domain
+from ..functions import urls
 from ..session import ensure_checkpoint_dir, materialize
 
 # Domains the hit merge always drops.
@@ -29,14 +29,33 @@ def frontier_union(hits: DataFrame, url: str = "url",
     return g.select(url, *[F.col(f"_o.{c}").alias(c) for c in order])
 
 
-def domain_filter(df: DataFrame, blocked, url: str = "url") -> DataFrame:
-    """Drop URLs whose registered domain is blocked.
+def registered_domains(urls_: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
+    """``urls_`` with ``domain``: the public suffix of the host and one label more.
+
+    ``rules`` (rule): public suffixes as ``com``, ``co.uk``, ``*.ck`` (any one label) and ``!www.ck`` (an exception from a
+    wildcard).  An exception wins, else the rule with most labels.  ``domain`` is NULL for a host
+    that no rule matches (an IP address, a bare name) or that is a public suffix itself.
+    Distinct hosts are matched once, each on its few possible rules, by an equi join.
+    """
+    named = urls_.withColumn("host", urls.host(F.col(url)))
+    hosts = named.select("host").where(F.col("host").isNotNull()).distinct()
+    keys = hosts.select("host", F.explode(urls.suffix_keys("host")).alias("k")).select("host", "k.*")
+    known = rules.select(F.col("rule").alias("key")).distinct()
+    best = keys.join(known, "key").groupBy("host").agg(F.max(F.struct("exception", "labels")).alias("best"))
+    n = F.size(F.split("host", r"\."))
+    domains = best.where(n > F.col("best.labels")).select("host", urls.last_labels("host", F.col("best.labels") + 1).alias("domain"))
+    return named.join(domains, "host", "left").drop("host")
+
+
+def domain_filter(df: DataFrame, blocked, url: str = "url", rules: DataFrame | None = None) -> DataFrame:
+    """Drop URLs whose registered domain is blocked (B9); adds ``domain``.
 
     ``blocked`` is a list of domains (compiled into an IN list) or a
     DataFrame ``(domain)`` joined with a left-anti join (planner picks
-    broadcast by its size statistics).
+    broadcast by its size statistics).  ``rules``: public suffixes (see
+    :func:`registered_domains`); without them a suffix has one label.
     """
-    d = df.withColumn("domain", registered_domain(F.col(url)))
+    d = registered_domains(df, rules, url) if rules is not None else df.withColumn("domain", urls.registered_domain(F.col(url)))
     if isinstance(blocked, DataFrame):
         return d.join(blocked.select(F.col(blocked.columns[0]).alias("domain")), "domain", "left_anti")
     return d.where(F.col("domain").isNull() | ~F.col("domain").isin(*blocked))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import crawl as C
 from ..session import table
+from . import sqlfrag as S
 from .registry import query
 
 BLOCKED = ("example.net",)
@@ -39,18 +40,32 @@ def frontier_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.frontier_union(engine_hits(spark, sf_dir))
 
 
+# public suffixes of one label and two, a wildcard and an exception from it
+SUFFIX_RULES = ("com", "net", "org", "example.com", "*.example.org", "!thertion.example.org")
+_RULES_SQL = "(SELECT unnest([" + ", ".join(S.q(r) for r in SUFFIX_RULES) + "]) AS rule)"
+
+
 @query("domain_filter", f"""
 WITH u AS ({UNION_SQL}),
 d AS (
-  SELECT url, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^@/?#]*@)?([^:/?#]*)', 1)), '') AS host
+  SELECT url, string_split(nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^@/?#]*@)?([^:/?#]*)', 1)), ''), '.') AS labels
   FROM u
+), r AS (
+  SELECT string_split(ltrim(rule, '!'), '.') AS labels, starts_with(rule, '!') AS exception FROM {_RULES_SQL}
+), m AS (
+  SELECT d.url, max({{'exception': r.exception, 'n': len(r.labels) - r.exception::INT}}) AS best FROM d JOIN r
+    ON len(d.labels) >= len(r.labels) AND len(list_filter(r.labels, lambda x, i: x <> '*' AND x <> d.labels[len(d.labels) - len(r.labels) + i])) = 0
+  GROUP BY d.url
+), g AS (
+  SELECT d.url, CASE WHEN len(d.labels) > m.best.n THEN array_to_string(list_slice(d.labels, len(d.labels) - m.best.n, len(d.labels)), '.') END AS domain
+  FROM d LEFT JOIN m ON m.url = d.url
 )
-SELECT url, regexp_extract(host, '([^.]+\\.[^.]+)$', 1) AS domain FROM d
-WHERE host IS NULL OR regexp_extract(host, '([^.]+\\.[^.]+)$', 1) NOT IN ('example.net')
+SELECT url, domain FROM g WHERE domain IS NULL OR domain NOT IN ('example.net')
 """)
 def domain_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = C.frontier_union(engine_hits(spark, sf_dir))
-    return C.domain_filter(u, list(BLOCKED)).select("url", "domain")
+    rules = spark.range(1).select(F.explode(F.array(*[F.lit(r) for r in SUFFIX_RULES])).alias("rule"))
+    return C.domain_filter(u, list(BLOCKED), rules=rules).select("url", "domain")
 
 
 @query("relevance_gate", """

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fields
-from ..functions.urls import safe_filename, site_root
+from ..functions.urls import safe_filename
 from ..functions.dates import with_normalized_date
 from ..operators import extract as X
 from ..operators import links as L
@@ -18,7 +18,7 @@ from ..streaming import incremental as INC
 from . import sqlfrag as S
 from .dates import NORMALIZED_SQL
 from .extract import DOC_TEXT_SQL, synth_doc_text
-from .links import DOC_LINK_RE, MANIFEST_SQL
+from .links import DOC_LINK_RE, MANIFEST_SQL, WRITTEN_EXPR
 from .registry import query
 
 
@@ -61,8 +61,9 @@ def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_documents(pages: DataFrame) -> DataFrame:
-    links = L.extract_links(pages, keep=("url",))
-    return L.link_manifest(links, site_root(F.col("url")), pattern=DOC_LINK_RE)
+    """Document links of landed pages, written in the ways of the manifest query."""
+    links = L.extract_links(pages, keep=("url",)).withColumn("href", F.expr(WRITTEN_EXPR))
+    return L.link_manifest(links, F.col("url"), pattern=DOC_LINK_RE)
 
 
 def discover_batch(pages: DataFrame) -> DataFrame:

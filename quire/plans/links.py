@@ -44,23 +44,28 @@ def top_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 DOC_LINK_RE = r"(?i)/t[a-z]+$"
 
 
+# the same links written in other ways, by their place: from the page's folder, through another folder, as they are
+WRITTEN_EXPR = """
+CASE pos % 4 WHEN 1 THEN concat('..', href) WHEN 2 THEN concat('./x/../../', substring(href, 2)) WHEN 3 THEN concat('/a/./b/../..', href) ELSE href END
+"""
+_WRITTEN_SQL = """
+CASE pos % 4 WHEN 1 THEN '..' || href WHEN 2 THEN './x/../../' || substr(href, 2) WHEN 3 THEN '/a/./b/../..' || href ELSE href END
+"""
+
+
 def _manifest_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = page_links(spark, sf_dir, "url")
-    return L.link_manifest(links, urls.site_root(F.col("url")), pattern=DOC_LINK_RE)
+    links = page_links(spark, sf_dir, "url").withColumn("href", F.expr(WRITTEN_EXPR))
+    return L.link_manifest(links, F.col("url"), pattern=DOC_LINK_RE)
 
 
 MANIFEST_SQL = f"""
 WITH l AS (
-  SELECT page_id, url, pos, {S.strip_query('href')} AS href FROM ({LINKS_SQL})
+  SELECT page_id, url, pos, {S.strip_query('href')} AS href FROM (SELECT page_id, url, pos, {_WRITTEN_SQL} AS href FROM ({LINKS_SQL}))
 ), f AS (
   SELECT * FROM l WHERE regexp_matches(href, {S.q(DOC_LINK_RE)})
   QUALIFY row_number() OVER (PARTITION BY page_id, href ORDER BY pos) = 1
 ), r AS (
-  SELECT page_id, pos,
-    CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
-         ELSE {S.site_root('url')} || href END AS pdf_url,
-    {S.basename('href')} AS filename
-  FROM f
+  SELECT page_id, pos, {S.resolve('href', 'url')} AS pdf_url, {S.basename('href')} AS filename FROM f
 )
 SELECT page_id, pos, pdf_url, filename, {S.agency_label('filename')} AS agency,
        {S.is_dod('filename')} AS is_dod, {S.parts_from_filename('filename')} AS part_numbers

@@ -109,3 +109,25 @@ def anchors(x: str) -> str:
 
 def href_of(x: str) -> str:
     return decode_entities(" || ".join(f"regexp_extract({x}, {q(L.HREF_RE)}, {i})" for i in (1, 2, 3)))
+
+
+def without_dots(x: str) -> str:
+    """A path without dot segments: a stack folded by ``list_reduce``."""
+    parts = f"string_split({x}, '/')"
+    none = "CAST([] AS VARCHAR[])"
+    stack = (f"list_reduce(list_prepend({{'s': '', 'kept': {none}}}, list_transform({parts}, lambda s: {{'s': s, 'kept': {none}}})), "
+             f"lambda a, c: {{'s': '', 'kept': CASE WHEN c.s = '..' THEN list_slice(a.kept, 1, greatest(len(a.kept) - 1, 0)) "
+             f"WHEN c.s = '.' THEN a.kept ELSE list_append(a.kept, c.s) END}}).kept")
+    last = f"CASE WHEN {parts}[-1] IN ('.', '..') THEN list_append({stack}, '') ELSE {stack} END"
+    return f"('/' || regexp_replace(array_to_string({last}, '/'), '^/', ''))"
+
+
+def resolve(href: str, base: str) -> str:
+    root, page = site_root(base), f"regexp_extract({base}, '^[^?#]*', 0)"
+    path, tail = f"regexp_extract({href}, '^[^?#]*', 0)", f"regexp_extract({href}, '[?#].*$', 0)"
+    folder = f"coalesce(nullif(regexp_extract(substr({page}, length({root}) + 1), '^.*/', 0), ''), '/')"
+    return (f"CASE WHEN regexp_matches({href}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN {href} "
+            f"WHEN starts_with({href}, '//') THEN regexp_extract({base}, '^[A-Za-z][A-Za-z0-9+.-]*:', 0) || {href} "
+            f"WHEN starts_with({href}, '/') THEN {root} || {without_dots(path)} || {tail} WHEN {href} = '' THEN {base} "
+            f"WHEN starts_with({href}, '?') THEN {page} || {href} WHEN starts_with({href}, '#') THEN split_part({base}, '#', 1) || {href} "
+            f"ELSE {root} || {without_dots(f"regexp_replace({folder} || {path}, '//+', '/', 'g')")} || {tail} END")
