@@ -116,9 +116,17 @@ def link_manifest(links: DataFrame, base: Column, key: str = "page_id",
     ``links`` comes from :func:`extract_links` (needs ``key, pos, href`` and the
     columns used in ``base``).
     """
+    return document_links(links, base, key, pattern, first=True)
+
+
+def document_links(links: DataFrame, base: Column, key: str = "page_id", pattern: str = PDF_LINK_RE,
+                   first: bool = False) -> DataFrame:
+    """:func:`link_manifest` with every occurrence of a link (or the ``first`` per page and href); without a window, so
+    ``links`` may be a stream."""
     l1 = links.withColumn("href", urls.strip_query(F.col("href")))
     l1 = l1.where(F.col("href").rlike(pattern))
-    l1 = first_per(l1, [key, "href"], ["pos"])
+    if first:
+        l1 = first_per(l1, [key, "href"], ["pos"])
     fname = urls.basename(F.col("href"))
     return l1.select(
         key, "pos",

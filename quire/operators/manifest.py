@@ -79,6 +79,13 @@ def not_yet_landed(manifest: DataFrame, listings: list[DataFrame],
     return m.join(landed(listings, min_bytes), "name", "left_anti")
 
 
+def mark_landed(manifest: DataFrame, listings: list[DataFrame], min_bytes: int = 1024) -> DataFrame:
+    """Manifest rows with ``landed``: whether the URL's safe file name is in any listing."""
+    m = manifest.withColumn("name", urls.safe_filename(F.col("pdf_url")))
+    there = landed(listings, min_bytes).withColumn("landed", F.lit(True))
+    return m.join(there, "name", "left").withColumn("landed", F.coalesce("landed", F.lit(False))).drop("name")
+
+
 def missing_originals(work: DataFrame, listing: DataFrame) -> DataFrame:
     """Work rows whose original file name (hash prefix stripped from the listed
     names) is absent; no size test (C4)."""

@@ -151,29 +151,79 @@ WITH RECURSIVE l AS (
 ), e AS (SELECT src, dst FROM d WHERE pos < 5),
 g AS (SELECT node FROM ({SCORED_SQL}) WHERE keep AND score >= 0.4),
 b(node, depth) AS (
-  SELECT 's' || CAST(s_suppkey AS VARCHAR), 0 FROM supplier WHERE s_suppkey % 10 = 1
+  SELECT 's' || CAST(s_suppkey AS VARCHAR), 0 FROM supplier
   UNION
   SELECT e.dst, b.depth + 1 FROM b JOIN g ON g.node = b.node JOIN e ON e.src = b.node WHERE b.depth < 2
 )
 SELECT node, CAST(min(depth) AS INTEGER) AS depth FROM b GROUP BY node
 """)
 def gated_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two rounds from every tenth supplier: only nodes past the relevance gate are
+    """Two rounds from all suppliers: only nodes past the relevance gate are
     expanded, along the first five links of each."""
+    seeds = table(spark, sf_dir, "supplier", "s_suppkey").select((F.col("s_suppkey") * 2).alias("node"))
+    r = C.frontier_rounds(spark, C.first_links(page_edges(spark, sf_dir)), seeds, max_depth=2, scored=scored_nodes(spark, sf_dir))
+    return r.select(node_name(F.col("node")).alias("node"), "depth")
+
+
+def page_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links (src, pos, dst) of the supplier-part graph, the other nodes of each in key order."""
     li = table(spark, sf_dir, "lineitem", "l_suppkey", "l_partkey").distinct()
     out = [(("l_suppkey", 0), ("l_partkey", 1)), (("l_partkey", 1), ("l_suppkey", 0))]
     links = None
     for (a, odd_a), (b, odd_b) in out:
         place = F.row_number().over(Window.partitionBy(a).orderBy(b)) - 1
-        side = li.select(a, b, place.alias("pos")).where(F.col("pos") < 5).select(
+        side = li.select(a, b, place.alias("pos")).where(F.col("pos") < C.FOLLOWED_LINKS).select(
             (F.col(a) * 2 + odd_a).alias("src"), (F.col(b) * 2 + odd_b).alias("dst"), "pos")
         links = side if links is None else links.unionByName(side)
+    return links
+
+
+def scored_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the pages: suppliers by balance and key, parts by size and key."""
     s = table(spark, sf_dir, "supplier", "s_suppkey", "s_acctbal")
     p = table(spark, sf_dir, "part", "p_partkey", "p_size")
-    scored = s.select((F.col("s_suppkey") * 2).alias("node"), (F.col("s_acctbal") > 0).alias("keep"),
-                      (F.col("s_suppkey") % 100 / 100).alias("score")).unionByName(
+    return s.select((F.col("s_suppkey") * 2).alias("node"), (F.col("s_acctbal") > 0).alias("keep"),
+                    (F.col("s_suppkey") % 100 / 100).alias("score")).unionByName(
         p.select((F.col("p_partkey") * 2 + 1).alias("node"), (F.col("p_size") > 10).alias("keep"),
                  (F.col("p_partkey") % 100 / 100).alias("score")))
-    seeds = s.where(F.col("s_suppkey") % 10 == 1).select((F.col("s_suppkey") * 2).alias("node"))
-    r = C.frontier_rounds(spark, C.first_links(links), seeds, max_depth=2, scored=scored)
-    return r.select(node_name(F.col("node")).alias("node"), "depth")
+
+
+# one row a batch: what waits, what was seen, what was collected, as lists; links and scores by node number
+@query("crawl_queue", f"""
+WITH RECURSIVE l AS (
+  SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem
+), e AS (
+  SELECT s * 2 AS src, p * 2 + 1 AS dst, row_number() OVER (PARTITION BY s ORDER BY p) AS pos FROM l
+  UNION ALL SELECT p * 2 + 1, s * 2, row_number() OVER (PARTITION BY p ORDER BY s) FROM l
+), a AS (
+  SELECT src AS node, list(dst ORDER BY pos) AS links FROM e WHERE pos <= 5 GROUP BY src
+), c AS (
+  SELECT s_suppkey * 2 AS node, s_acctbal > 0 AS keep, s_suppkey % 100 AS pct FROM supplier
+  UNION ALL SELECT p_partkey * 2 + 1, p_size > 10, p_partkey % 100 FROM part
+), x AS (
+  SELECT list(coalesce(links, []) ORDER BY i) AS links, list(CASE WHEN c.node IS NULL THEN 'failed' WHEN keep AND pct >= 40 THEN 'done' ELSE 'low_relevance' END ORDER BY i) AS status,
+         list(coalesce(pct, 0) ORDER BY i) AS pcts
+  FROM (SELECT unnest(range(greatest((SELECT max(node) FROM c), (SELECT max(greatest(src, dst)) FROM e)) + 1)) AS i) LEFT JOIN c ON c.node = i LEFT JOIN a ON a.node = i
+), st AS (
+  SELECT -1 AS b, 0 AS base, (SELECT list(s_suppkey * 2 ORDER BY s_suppkey) FROM supplier) AS waiting, CAST([] AS BIGINT[]) AS seen,
+         CAST([] AS BIGINT[]) AS taken, CAST([] AS BIGINT[]) AS fresh, 0 AS n, 0 AS total, CAST(NULL AS VARCHAR) AS stop
+  UNION ALL
+  SELECT b, base, waiting, seen, taken, fresh, n, total,
+    CASE WHEN n >= (SELECT count(*) FROM supplier) THEN 'target' WHEN n > 20 AND total / (100.0 * n) < 0.35 THEN 'low relevance' WHEN len(waiting) = 0 THEN 'empty' END AS stop
+  FROM (SELECT b + 1 AS b, base, list_concat(rest, list_filter(new, lambda v, i: list_position(new, v) = i AND NOT list_contains(rest, v))) AS waiting,
+      list_concat(seen, fresh) AS seen, taken, fresh, n + len(good) AS n, total + coalesce(list_sum(list_transform(good, lambda v: pcts[v + 1])), 0) AS total
+    FROM (SELECT *, flatten(list_transform(good, lambda v: links[v + 1])) AS new
+      FROM (SELECT *, list_filter(fresh, lambda v: status[v + 1] = 'done') AS good
+        FROM (SELECT b, base + len(taken) AS base, seen, n, total, list_slice(waiting, 1, 20) AS taken, list_slice(waiting, 21, len(waiting)) AS rest,
+            list_filter(list_slice(waiting, 1, 20), lambda v: NOT list_contains(seen, v)) AS fresh, links, status, pcts FROM st, x WHERE stop IS NULL) t1) t2) t3) t4
+)
+SELECT base + i - 1 AS slot, CASE WHEN taken[i] % 2 = 0 THEN 's' ELSE 'p' END || CAST(taken[i] // 2 AS VARCHAR) AS node, CAST(b AS BIGINT) AS batch,
+       CASE WHEN list_contains(fresh, taken[i]) THEN (SELECT status FROM x)[taken[i] + 1] ELSE 'seen' END AS status, (SELECT max(stop) FROM st) AS stop_reason
+FROM (SELECT *, unnest(range(1, len(taken) + 1)) AS i FROM st WHERE b >= 0)
+""")
+def crawl_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A crawl from all suppliers in batches of 20 places, until as many nodes as there are suppliers are collected."""
+    suppliers = table(spark, sf_dir, "supplier", "s_suppkey")
+    seeds = suppliers.select((F.col("s_suppkey") * 2).alias("node"), F.col("s_suppkey").alias("ord"))
+    r = C.crawl_queue(seeds, page_edges(spark, sf_dir), scored_nodes(spark, sf_dir), target=suppliers.count())
+    return r.select("slot", node_name(F.col("node")).alias("node"), "batch", "status", "stop_reason")

@@ -51,8 +51,8 @@ def pdf_url() -> F.Column:
     return F.concat(F.lit("https://docs.example.org/"), F.col("source"), F.lit("/"), F.expr(_FILENAME_EXPR)).alias("pdf_url")
 
 
-def synth_doc_text(d: DataFrame) -> DataFrame:
-    return d.select("doc_id", "lang", "source", F.expr(_DOC_TEXT_EXPR).alias("text"),
+def synth_doc_text(d: DataFrame, *keep: str) -> DataFrame:
+    return d.select(*keep, "doc_id", "lang", "source", F.expr(_DOC_TEXT_EXPR).alias("text"),
                     F.expr(_FILENAME_EXPR).alias("filename"), pdf_url())
 
 

@@ -40,35 +40,63 @@ def extract_batch_with(model: DataFrame | None):
     return lambda docs: extract_batch(docs, model)
 
 
-@query("incremental_extract", NORMALIZED_SQL.format(raw=f"""
+# A second version of the French documents arrives later, with another date
+_LATER = "Effective Date: December 24, 2026 "
+VERSIONS_SQL = f"""
+SELECT *, 1 AS version FROM ({DOC_TEXT_SQL})
+UNION ALL SELECT * REPLACE ('{_LATER}' || text AS text), 2 FROM ({DOC_TEXT_SQL}) WHERE lang = 'fr'
+"""
+
+
+def land_versions(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Both versions of the documents as landed files, by language."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    later = docs.where("lang = 'fr'").withColumn("text", F.concat(F.lit(_LATER), F.col("text"))).withColumn("version", F.lit(2))
+    docs.withColumn("version", F.lit(1)).unionByName(later).write.partitionBy("version", "lang").parquet(folder)
+
+
+def extract_versions(docs: DataFrame) -> DataFrame:
+    """``extract_batch`` with the version of each row."""
+    d = synth_doc_text(docs, "version").withColumn("agency", fields.agency_label("filename"))
+    m = X.merge_fields(d.select("pdf_url", "agency", "filename", "text", "doc_id", "version"), None, take_model_date=False,
+                       carry=("doc_id", "version"), title_fallback_when_blank=True, drop_dod=False)
+    return with_normalized_date(m.drop("scope", "filename"))
+
+
+EXTRACT_SQL = f"""
 SELECT id, agency, deviation_number, title, effective_date, link FROM (
   SELECT {S.agency_label('filename')} || '|' || coalesce(nullif(rx_num, ''), nullif(filename, ''), 'None') AS id,
          {S.agency_label('filename')} AS agency, rx_num AS deviation_number,
          replace(replace(filename, '.pdf', ''), '_', ' ') AS title, rx_date AS effective_date,
-         pdf_url AS link, doc_id
+         pdf_url AS link, doc_id, version
   FROM (SELECT *, {S.first_match('text', fields.EFFECTIVE_PATTERNS)} AS rx_date,
                {S.first_match('text', fields.DEVIATION_NUM_PATTERNS, 'filename')} AS rx_num
-        FROM ({DOC_TEXT_SQL}) WHERE length(text) >= 200)
-  QUALIFY row_number() OVER (PARTITION BY id ORDER BY doc_id DESC) = 1
+        FROM ({VERSIONS_SQL}) WHERE length(text) >= 200)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY version DESC, doc_id DESC) = 1
 )
-"""))
+"""
+
+
+def run_extraction(spark: SparkSession, landing: str, root: str, ckpt: str):
+    """The extraction stream over what has landed, a third of the files in a batch."""
+    landed = spark.read.parquet(landing)
+    return INC.run_keyed(spark, landing, landed.schema, extract_versions, ["id"], ["version", "doc_id"], root, ckpt,
+                         max(1, len(landed.inputFiles()) // 3), {"written": F.count(F.lit(1))})
+
+
+@query("incremental_extract", NORMALIZED_SQL.format(raw=EXTRACT_SQL))
 def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
-    root, ckpt = INC.scratch(spark, "deviations"), INC.scratch(spark, "stream")
-    # a glob, because a table may be one file or a folder of files
-    INC.run_available(spark, f"{sf_dir}/documents.parque[t]", docs.schema, extract_batch, root, ckpt)
-    return INC.read_state(spark, root, ["id"], ["doc_id"]).drop("doc_id")
+    """Deviations of documents that arrive over three batches or more, some in a later version."""
+    landing, root, ckpt = (INC.scratch(spark, n) for n in ("landed", "deviations", "stream"))
+    land_versions(spark, sf_dir, landing)
+    run_extraction(spark, landing, root, ckpt)
+    return INC.read_keyed(spark, root, ["id"]).drop("doc_id", "version")
 
 
-def page_documents(pages: DataFrame) -> DataFrame:
+def page_documents(pages: DataFrame, first: bool = True) -> DataFrame:
     """Document links of landed pages, written in the ways of the manifest query."""
     links = L.extract_links(pages, keep=("url",)).withColumn("href", F.expr(WRITTEN_EXPR))
-    return L.link_manifest(links, F.col("url"), pattern=DOC_LINK_RE)
-
-
-def discover_batch(pages: DataFrame) -> DataFrame:
-    """Document links of one batch of landed pages."""
-    return page_documents(pages).select("pdf_url", "agency", "filename", "is_dod", "part_numbers", "page_id", "pos")
+    return L.document_links(links, F.col("url"), pattern=DOC_LINK_RE, first=first)
 
 
 def _download_results(urls_: DataFrame) -> DataFrame:
@@ -95,19 +123,39 @@ FROM o
 """
 
 
-@query("incremental_discover", DISCOVER_SQL)
-def incremental_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The run's records (J1): links of the pages whose file has not landed yet, with
-    the outcome of their download (files linked from every third page have landed)."""
+RECORD = ("pdf_url", "agency", "filename", "is_dod", "part_numbers", "landed", "error", "saved_path")
+
+
+def discovered() -> dict[str, F.Column]:
+    """The counts of a run's manifest, as aggregates over its records."""
+    return {"total_pdfs_on_guide": F.count(F.lit(1)), "new_pdfs_count": F.count_if(~F.col("landed")), "downloaded_count": F.count("saved_path"),
+            "failed_count": F.count_if(F.col("error").isNotNull() & F.col("saved_path").isNull())}
+
+
+def run_discovery(spark: SparkSession, sf_dir: str, root: str, ckpt: str):
+    """The discovery stream over the landed pages (J1): every link once, whether its file has landed, and else the outcome of
+    its download (files linked from every third page have landed).  Returns the run's counts."""
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
-    root, ckpt = INC.scratch(spark, "manifest"), INC.scratch(spark, "stream")
-    INC.run_available(spark, f"{sf_dir}/pages.parque[t]", pages.schema, discover_batch, root, ckpt)
-    state = INC.read_state(spark, root, ["pdf_url"], ["page_id", "pos"])
     landed = (page_documents(pages.where(F.col("page_id") % 3 == 0))
               .select(safe_filename(F.col("pdf_url")).alias("name"), F.lit(5000).alias("length")))
-    new = M.not_yet_landed(state, [landed])
-    tried = M.attach_results(new, _download_results(new.select("pdf_url")))
-    return tried.select("pdf_url", "agency", "filename", "is_dod", "part_numbers", "error", "saved_path")
+
+    def records(found: DataFrame) -> DataFrame:
+        flagged = M.mark_landed(found, [landed])
+        tried = M.attach_results(flagged, _download_results(flagged.where(~F.col("landed")).select("pdf_url")))
+        outcome = {c: F.when(~F.col("landed"), F.col(c)).alias(c) for c in ("error", "saved_path")}
+        return tried.select(*[outcome.get(c, F.col(c)) for c in RECORD])
+
+    # a glob, because a table may be one file or a folder of files
+    return INC.run_distinct(spark, f"{sf_dir}/pages.parque[t]", pages.schema, lambda p: page_documents(p, first=False).drop("page_id", "pos"),
+                            ["pdf_url"], records, root, ckpt, metrics=discovered())
+
+
+@query("incremental_discover", DISCOVER_SQL)
+def incremental_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run's records (J1): links whose file has not landed yet, with the outcome of their download."""
+    root, ckpt = INC.scratch(spark, "manifest"), INC.scratch(spark, "stream")
+    run_discovery(spark, sf_dir, root, ckpt)
+    return spark.read.parquet(root).where(~F.col("landed")).select(*[c for c in RECORD if c != "landed"])
 
 
 @query("discover_summary", f"""
@@ -119,7 +167,37 @@ FROM a LEFT JOIN r ON a.pdf_url = r.pdf_url
 """)
 def discover_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts of one run's manifest (D5): links found, new ones, saved, failed."""
-    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
-    found = page_documents(pages).select("pdf_url").distinct()
-    records = incremental_discover(spark, sf_dir).select("pdf_url", "saved_path", "error", F.lit(True).alias("new"))
-    return R.discovery_counts(found.join(records, "pdf_url", "left"))
+    root, ckpt = INC.scratch(spark, "manifest"), INC.scratch(spark, "stream")
+    run_discovery(spark, sf_dir, root, ckpt)
+    records = spark.read.parquet(root).withColumn("new", F.when(~F.col("landed"), True))
+    return R.discovery_counts(records)
+
+
+def pull_run(spark: SparkSession, sf_dir: str, folders: dict[str, str]) -> list[tuple[str, bool, int]]:
+    """One scheduled run (J3): discovery, extraction only if something was downloaded, dates of what is there then.
+
+    (step, whether it started, its count) of the three steps.  ``folders``: the landed documents, and where the streams write
+    and keep their progress; a later run goes on from them."""
+    pulled = run_discovery(spark, sf_dir, folders["manifest"], folders["manifest_progress"])
+    INC.begin(extract_versions(spark.read.parquet(folders["landing"])), folders["deviations"])
+    extracted = INC.gated(pulled, "downloaded_count", lambda: run_extraction(
+        spark, folders["landing"], folders["deviations"], folders["deviations_progress"]))
+    rows = INC.read_keyed(spark, folders["deviations"], ["id"]).agg(F.count(F.lit(1)), F.count("effective_date_iso")).first()
+    return [("pull", True, pulled["downloaded_count"]), ("extract", extracted is not None, 0 if extracted is None else rows[0]),
+            ("normalize", True, rows[1])]
+
+
+@query("pull_gate", f"""
+WITH d AS ({DISCOVER_SQL}), n AS ({NORMALIZED_SQL.format(raw=EXTRACT_SQL)})
+SELECT 1 AS run, 'pull' AS step, true AS started, (SELECT count(saved_path) FROM d) AS n
+UNION ALL SELECT 1, 'extract', true, (SELECT count(*) FROM n)
+UNION ALL SELECT unnest([1, 2]), 'normalize', true, (SELECT count(effective_date_iso) FROM n)
+UNION ALL SELECT 2, 'pull', true, 0 UNION ALL SELECT 2, 'extract', false, 0
+""")
+def pull_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two scheduled runs (J3, D10): the second finds nothing new, so its extraction does not start."""
+    names = ("landing", "manifest", "manifest_progress", "deviations", "deviations_progress")
+    folders = {n: INC.scratch(spark, n) for n in names}
+    land_versions(spark, sf_dir, folders["landing"])
+    rows = [(run, *r) for run in (1, 2) for r in pull_run(spark, sf_dir, folders)]
+    return spark.createDataFrame(rows, "run int, step string, started boolean, n long")

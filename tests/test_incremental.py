@@ -82,3 +82,64 @@ def test_stream_with_model_answers(spark):
     assert any(t.startswith("Deviation ") for t in titles)      # model titles
     assert any(t.startswith("src") for t in titles)             # file-name fallback
     assert all(t for t in titles)
+
+
+VERSIONED = "id string, seq int, v string"
+
+
+def arrive(spark, path, rows):
+    spark.createDataFrame(rows, VERSIONED).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_keyed_state_over_restarts(spark):
+    """Versions in any order; a batch writes only the keys that its files touch, and a restart goes on from the store."""
+    src, root, ckpt = folders(spark, "k-src", "k-root", "k-ckpt")
+    schema = spark.createDataFrame([], VERSIONED).schema
+    go = lambda: INC.run_keyed(spark, src, schema, lambda df: df, ["id"], ["seq"], root, ckpt, 1, {"n": F.count("id")})
+    arrive(spark, src, [("a", 1, "a1"), ("b", 5, "b5"), ("a", 3, "a3")])
+    assert dict(go()) == {"batches": 1, "n": 2}
+    arrive(spark, src, [("b", 2, "old"), ("c", 1, "c1")])  # an older version arrives late
+    arrive(spark, src, [("a", 4, "a4"), (None, 1, "none")])
+    counts = go()
+    assert counts["batches"] == 2 and counts["n"] == 3
+    assert rows(spark.read.parquet(root).where("batch > 0").select("id").where("id = 'b'")) == [("b",)]
+    last = spark.read.parquet(root)
+    assert {r["id"] for r in last.where(F.col("batch") == last.agg(F.max("batch")).first()[0]).collect()} == {"a", None}
+    want = {("a", 4, "a4"), ("b", 5, "b5"), ("c", 1, "c1"), (None, 1, "none")}
+    assert {tuple(r) for r in INC.read_keyed(spark, root, ["id"]).select("id", "seq", "v").collect()} == want
+    assert dict(go()) == {"batches": 0, "n": 0}
+
+
+def test_distinct_keys_over_restarts(spark):
+    src, root, ckpt = folders(spark, "d-src", "d-root", "d-ckpt")
+    schema = spark.createDataFrame([], VERSIONED).schema
+    go = lambda: INC.run_distinct(spark, src, schema, lambda df: df.select("id", "v"), ["id"],
+                                  lambda df: df.withColumn("size", F.length("v")), root, ckpt, 1, {"n": F.count("id")})
+    arrive(spark, src, [("a", 1, "xx"), ("a", 2, "xx"), ("b", 1, "y")])
+    assert go()["n"] == 2
+    arrive(spark, src, [("a", 9, "xx"), ("c", 1, "zzz")])
+    assert go()["n"] == 1
+    assert rows(spark.read.parquet(root).select("id", "v", "size")) == [("a", "xx", 2), ("b", "y", 1), ("c", "zzz", 3)]
+
+
+def test_nothing_downloaded_starts_nothing(spark, monkeypatch):
+    """All files have landed: the extraction step is never called."""
+    names = ("landing", "manifest", "manifest_progress", "deviations", "deviations_progress")
+    where = dict(zip(names, folders(spark, *names)))
+    P.land_versions(spark, SF_SMALL, where["landing"])
+    monkeypatch.setattr(P, "_download_results", lambda urls_: urls_.select(
+        "pdf_url", F.lit(404).alias("status"), F.lit(0).alias("size"), F.lit(None).cast("string").alias("exception")))
+    monkeypatch.setattr(P, "run_extraction", lambda *a: pytest.fail("started"))
+    assert P.pull_run(spark, SF_SMALL, where) == [("pull", True, 0), ("extract", False, 0), ("normalize", True, 0)]
+    monkeypatch.undo()
+    assert INC.gated({"n": 0}, "n", lambda: pytest.fail("started")) is None and INC.gated({"n": 1}, "n", lambda: 5) == 5
+
+
+def test_versions_arrive_in_three_batches(spark):
+    landing, root, ckpt = folders(spark, "v-landing", "v-root", "v-ckpt")
+    P.land_versions(spark, SF_SMALL, landing)
+    counts = P.run_extraction(spark, landing, root, ckpt)
+    state = INC.read_keyed(spark, root, ["id"])
+    assert counts["batches"] >= 3 and counts["written"] >= state.count()
+    whole = last_per_key(P.extract_versions(spark.read.parquet(landing)), ["id"], ["version", "doc_id"])
+    assert rows(state.select(*whole.columns)) == rows(whole) and state.where("version = 2").count() > 0

@@ -1,5 +1,7 @@
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import crawl as C
@@ -105,3 +107,69 @@ def test_rounds_to_exhaustion_and_gate(spark):
     scored = spark.createDataFrame([(1, True, 0.5), (2, True, 0.4), (3, False, 0.9)], "node long, keep boolean, score double")
     got = sorted(r["node"] for r in C.frontier_rounds(spark, edges, seeds, scored=scored).collect())
     assert got == [1, 2, 3]  # 3 is reached but not expanded
+
+
+def plain_queue(seeds, links, scores, target, batch, threshold, max_depth):
+    """The crawl one batch after the other; (slot, node, batch, depth, status) and why it stopped."""
+    waiting, seen, out, got, total, slot, number = list(dict.fromkeys(seeds)), set(), [], 0, 0.0, 0, 0
+    depth = {n: 0 for n in waiting}
+    while True:
+        if not waiting:
+            return out, "empty"
+        taken, waiting, new = waiting[:batch], waiting[batch:], []
+        fresh = [n for n in taken if n not in seen]
+        for n in taken:
+            if n not in fresh:
+                status = "seen"
+            elif n not in scores:
+                status = "failed"
+            else:
+                keep, score = scores[n]
+                status = "done" if keep and score >= threshold else "low_relevance"
+            if status == "done":
+                got, total = got + 1, total + scores[n][1]
+                if max_depth is None or depth[n] < max_depth:
+                    new += [(x, depth[n] + 1) for x in links.get(n, [])[:5]]
+            out.append((slot, n, number, depth[n], status))
+            slot += 1
+        seen |= set(fresh)
+        for x, d in new:
+            if x not in waiting:
+                waiting.append(x)
+                depth[x] = d
+        number += 1
+        if got >= target:
+            return out, "target"
+        if got > 20 and total / got < 0.35:
+            return out, "low relevance"
+
+
+@pytest.mark.parametrize("nodes,batch,target,threshold,max_depth,stop", [
+    (60, 4, 10_000, 0.4, None, "empty"), (200, 7, 40, 0.4, None, "target"), (200, 5, 500, 0.0, None, "low relevance"),
+    (120, 20, 500, 0.4, 2, "empty"), (30, 1, 500, 0.4, None, "empty")])
+def test_crawl_queue_equals_batch_after_batch(spark, nodes, batch, target, threshold, max_depth, stop):
+    rng = random.Random(nodes + batch)
+    links = {n: [rng.randrange(nodes) for _ in range(rng.choice([0, 2, 9]))] for n in range(nodes)}
+    top = 0.4 if stop == "low relevance" else 1.0
+    scores = {n: (rng.random() < 0.9, round(rng.random() * top, 2)) for n in range(nodes) if rng.random() < 0.95}
+    seeds = [rng.randrange(nodes) for _ in range(6 if batch == 4 else nodes // 6)]
+    seeds += seeds[:2]
+    want, reason = plain_queue(seeds, links, scores, target, batch, threshold, max_depth)
+    assert reason == stop
+    frame = C.crawl_queue(
+        spark.createDataFrame(list(zip(seeds, range(len(seeds)))), "node long, ord long"),
+        spark.createDataFrame([(a, i, b) for a, bs in links.items() for i, b in enumerate(bs)], "src long, pos long, dst long"),
+        spark.createDataFrame([(n, k, s) for n, (k, s) in scores.items()], "node long, keep boolean, score double"),
+        target, batch=batch, threshold=threshold, max_depth=max_depth)
+    rows = frame.collect()
+    assert {r.stop_reason for r in rows} == {reason}
+    assert sorted((r.slot, r.node, r.batch, r.depth, r.status) for r in rows) == want
+    if nodes == 120:
+        assert any(r.status == "seen" for r in rows)
+
+
+def test_crawl_queue_without_seeds(spark):
+    none = spark.createDataFrame([], "node long, ord long")
+    links = spark.createDataFrame([], "src long, pos long, dst long")
+    scored = spark.createDataFrame([], "node long, keep boolean, score double")
+    assert C.crawl_queue(none, links, scored, 5).count() == 0
