@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import crawl, dates, extract, incremental, links, manifest, reports, sections, store  # noqa: F401
+from . import answers, crawl, dates, extract, incremental, links, manifest, reports, sections, store  # noqa: F401
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
