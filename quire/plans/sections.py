@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import paged as PG
 from ..operators import sections as SEC
 from ..session import table
 from . import sqlfrag as S
@@ -113,3 +114,36 @@ def dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clause_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = SEC.segment(clause_docs(spark, sf_dir), keep=("doc_id",), first_only=True)
     return SEC.clause_fields(s)
+
+
+# the clause text with the title of every third heading on the line below its number, and its pages of three lines
+_PAGED_TEXT_EXPR = """array_join(transform(split(text, '\\n', -1), (x, i) -> CASE WHEN i % 12 = 0 THEN regexp_replace(x, '^([0-9.-]+) ', '$1\n') ELSE x END), '\n')"""
+_PAGES_EXPR = """transform(sequence(0, (size(lines) - 1) div 3), p -> array_join(slice(lines, p * 3 + 1, 3), '\n'))"""
+PAGED_TEXT_SQL = f"""
+SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x, i:
+  CASE WHEN (i - 1) % 12 = 0 THEN regexp_replace(x, '^([0-9.-]+) ', '\\1' || chr(10)) ELSE x END), chr(10)) AS text
+FROM ({CLAUSE_DOCS_SQL})
+"""
+
+
+def clause_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clause documents as pages of three lines: headings straddle pages."""
+    d = clause_docs(spark, sf_dir).select("doc_id", F.expr(_PAGED_TEXT_EXPR).alias("text"))
+    lines = d.where(F.col("text").isNotNull()).select("doc_id", F.split("text", "\n", -1).alias("lines"))
+    return lines.select("doc_id", F.posexplode(F.expr(_PAGES_EXPR)).alias("page_no", "text"))
+
+
+@query("section_pages", f"""
+WITH d AS ({PAGED_TEXT_SQL}),
+sp AS (SELECT doc_id, {_SPLIT} AS secs FROM d),
+e AS (SELECT doc_id, unnest(list_transform(secs, lambda sec, j: {{'pos': j - 1, 'section': sec}})) AS z FROM sp)
+SELECT doc_id, z.pos AS pos, {S.rx('z.section', '^(52\\.\\d+-\\d+)', 1)} AS number,
+       {S.strip(S.rx('z.section', SEC.SECTION_RE, 2))} AS title, length(z.section) AS section_chars
+FROM e
+""")
+def section_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections of documents that arrive as pages, found without joining a document's pages."""
+    chunks = PG.segment_pages(clause_pages(spark, sf_dir))
+    g = chunks.groupBy("doc_id", "pos").agg(F.max("number").alias("number"), F.max("title").alias("title"),
+                                            F.sum(F.length("chunk")).alias("section_chars"))
+    return g.select("doc_id", "pos", "number", "title", "section_chars")
