@@ -77,3 +77,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bits_of(values: DataFrame, column: str, size: int) -> bytes:
+    """A filter of ``size`` bits (a power of two, 2^18 at least): the bit of the CRC-32 of each string in ``column`` is set.
+
+    Its size is fixed whatever the table, so it may go to every task: a value whose bit is not set is not in
+    the table.  The more values, the more others pass it.
+    """
+    place = F.crc32(F.col(column)) % size + 1
+    rows = (values.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect())
+    out = bytearray(size // 8)
+    for r in rows:
+        out[(r.bucket - 1) * len(r.bits):r.bucket * len(r.bits)] = r.bits
+    return bytes(out)

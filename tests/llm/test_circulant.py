@@ -148,3 +148,13 @@ def test_many_near_copies(spark, copies):
     rows = [(i, edited(rng, base, 1)) for i in range(copies)] + [(copies + i, " ".join(base)) for i in range(copies)]
     got = found(circulant.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), shingle=4))
     assert {c for _, _, c, _ in got} == {0} and sum(k for *_, k in got) == 1
+
+
+def test_filter_of_names(spark):
+    import zlib
+
+    from quire.llm.common import bits_of
+
+    names = [f"{i}é" for i in range(3000)] + [""]
+    bits = bits_of(spark.createDataFrame([(x,) for x in names], "name string"), "name", 1 << 20)
+    assert {i * 8 + j for i, b in enumerate(bits) if b for j in range(8) if b >> j & 1} == {zlib.crc32(x.encode()) % (1 << 20) for x in names}

@@ -83,7 +83,7 @@ def test_query_equals_brute_force(spark):
 
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     want = plain(plain_words(rows))
-    assert result(QUERIES["op11_spelling_variants"](spark, SF)) == want and sum(v[0] is not None for v in want.values()) > 10
+    assert result(QUERIES["op11_spelling_variants"](spark, SF)) == want and sum(v[0] is not None for v in want.values()) >= 5
 
 
 def test_empty_table_and_long_text(spark):
