@@ -73,6 +73,10 @@ AGENCY_MAP = (
     ("DEPT_OF_DEFENSE", "DoD"),
 )
 UNKNOWN_AGENCY = "Unknown"
+
+# from the first place where a pattern of the group above can begin to the end of the text
+EFFECTIVE_BEGIN = r"(?Uis)effective.*"
+DEVIATION_BEGIN = r"(?Uis)(?:class\s+deviation|cd[\s#:]*[a-z]{2,}-\d|deviation).*"
 DOD_TOKENS = ("DOD", "DEPT_OF_DEFENSE", "DEPARTMENT_OF_DEFENSE", "DEFENSE")
 DOD_MODEL_AGENCIES = ("DOD", "DEPARTMENT OF DEFENSE")
 
@@ -80,34 +84,34 @@ PARTS_LIST_RE = r"(?i)Parts?[-_]([0-9_\-andAND]+)\.pdf"
 PART_SINGLE_RE = r"(?i)Part[-_](\d+)"
 
 
-def first_match(text, patterns, fallback=None) -> Column:
+def first_match(text, patterns, fallback=None, begin: str | None = None) -> Column:
     """Group 1 of the first pattern (in list order) that matches anywhere, stripped.
 
-    White space, digits and word characters are Unicode's: a no-break space counts."""
+    White space, digits and word characters are Unicode's: a no-break space counts.  ``begin`` finds the first place
+    where any of the patterns can begin, and the rest of the text; the patterns then pass over that rest alone, so a
+    text without such a place is read once."""
     if isinstance(text, str) and (fallback is None or isinstance(fallback, str)):
         # one SQL expression for a named column: a single JVM call
         strip_re = _sql_str(r"(?U)^\s+|\s+$")
-        hits = [f"nullif(regexp_replace(regexp_extract(`{text}`, {_sql_str("(?U)" + p)}, 1), {strip_re}, ''), '')"
-                for p in patterns]
-        if fallback is not None:
-            hits.append(f"`{fallback}`")
-        return F.expr("coalesce(" + ", ".join(hits) + ")")
-    t = _c(text)
-    hits = [blank_to_null(strip(F.regexp_extract(t, "(?U)" + p, 1))) for p in patterns]
-    if fallback is not None:
-        hits.append(_c(fallback))
-    return F.coalesce(*hits)
+        hits = ", ".join(f"nullif(regexp_replace(regexp_extract(x, {_sql_str('(?U)' + p)}, 1), {strip_re}, ''), '')" for p in patterns)
+        rest = f"`{text}`" if begin is None else f"regexp_extract(`{text}`, {_sql_str(begin)}, 0)"
+        found = f"get(transform(array({rest}), x -> coalesce({hits})), 0)"
+        return F.expr(found if fallback is None else f"coalesce({found}, `{fallback}`)")
+    t = _c(text) if begin is None else F.regexp_extract(_c(text), begin, 0)
+    found = F.get(F.transform(F.array(t), lambda x: F.coalesce(
+        *[blank_to_null(strip(F.regexp_extract(x, "(?U)" + p, 1))) for p in patterns])), F.lit(0))
+    return found if fallback is None else F.coalesce(found, _c(fallback))
 
 
 def effective_date(text) -> Column:
-    return first_match(text, EFFECTIVE_PATTERNS)
+    return first_match(text, EFFECTIVE_PATTERNS, begin=EFFECTIVE_BEGIN)
 
 
 def deviation_number(text, fallback_filename=None) -> Column:
     if isinstance(text, str) and (fallback_filename is None or isinstance(fallback_filename, str)):
-        return first_match(text, DEVIATION_NUM_PATTERNS, fallback_filename)
+        return first_match(text, DEVIATION_NUM_PATTERNS, fallback_filename, DEVIATION_BEGIN)
     fb = fallback_filename if fallback_filename is not None else F.lit(None).cast("string")
-    return first_match(text, DEVIATION_NUM_PATTERNS, fb)
+    return first_match(text, DEVIATION_NUM_PATTERNS, fb, DEVIATION_BEGIN)
 
 
 def _norm_name(fname) -> Column:

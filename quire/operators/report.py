@@ -128,10 +128,12 @@ def global_rank(df: DataFrame, order: list[Column], key: list[str], name: str =
     sorted and written once (so partition numbers are stable), and a row's rank is
     its partition's offset plus its place in the partition.  The offsets are
     one row per partition, so their running sum is small and they are broadcast.
-    The ranks are then joined back to the rows by key.
+    The ranks are then joined back to the rows by key.  ``df`` is computed once and written: what the
+    sort samples and sorts are two or three columns of that table.
     """
-    from ..session import materialize
+    from ..session import materialize, written
 
+    df = written(df, "ranked")
     keys = materialize(df.orderBy(*order).select(*key, F.spark_partition_id().alias("_pid"),
                                                  F.monotonically_increasing_id().alias("_mid")))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -76,16 +76,18 @@ def clause_fields(sections: DataFrame, kind_window: int = KIND_WINDOW,
 
     The prescribing phrase counts within a section's first ``kind_window``
     characters and the revision date within its first ``date_window``."""
-    s = F.col("section")
-    body_to_marker = F.regexp_extract(s, r"(?s)^.*?" + END_MARKER_RE.replace("(?i)", "(?i:") + ")", 0)
-    end_word = F.regexp_extract(s, END_MARKER_RE, 1)
+    s, marker = F.col("section"), F.col("_marker")
+    # the section is searched once for its first end marker; the body ends where that text stands first
+    marked = sections.withColumn("_marker", F.regexp_extract("section", END_MARKER_RE, 0))
+    end_word = F.regexp_extract(marker, END_MARKER_RE, 1)
     kind_word = F.regexp_extract(F.substring(s, 1, kind_window), KIND_RE, 1)
     kind = (F.when(kind_word != "", capitalize(kind_word))
             .when(end_word == "solicitation provision", F.lit("Provision"))
             .when(end_word != "", capitalize(end_word))
             .otherwise(F.lit("Unknown")))
-    full = strip(F.when(body_to_marker != "", body_to_marker).otherwise(s))
+    body = F.substring(s, F.lit(1), F.instr(s, marker) + F.length(marker) - 1)
+    full = strip(F.when(marker != "", body).otherwise(s))
     eff = blank_to_null(F.regexp_extract(F.substring(s, 1, date_window), DATE_RE, 1))
-    return sections.select(*[c for c in sections.columns if c != "section"],
-                           kind.alias("kind"), eff.alias("effective_date"),
-                           full.alias("full_text"))
+    return marked.select(*[c for c in sections.columns if c != "section"],
+                         kind.alias("kind"), eff.alias("effective_date"),
+                         full.alias("full_text"))

@@ -43,6 +43,23 @@ def insert_if_absent(current: DataFrame, new: DataFrame, keys: list[str]) -> Dat
     return current.unionByName(fresh, allowMissingColumns=True)
 
 
+def absent_rows(current: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``new`` whose key ``current`` lacks: what an insert-if-absent appends."""
+    return new.join(current.select(*keys), keys, "left_anti").select(*new.columns)
+
+
+def append_table(rows: DataFrame, path: str) -> DataFrame:
+    """Append rows to the table at ``path`` and read it."""
+    rows.write.mode("append").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def refresh_table(rows: DataFrame, path: str) -> DataFrame:
+    """Replace the table at ``path`` by ``rows``, which do not come from it, and read it."""
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def keyed_update(current: DataFrame, updates: DataFrame, keys: list[str],
                  set_cols: list[str]) -> DataFrame:
     """``UPDATE t SET cols = u.cols WHERE t.key = u.key`` (A16): matched rows

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import fields, urls
 from ..operators import links as L
 from ..operators import manifest as M
+from ..operators import store as ST
 from ..session import table
+from ..streaming.incremental import scratch
 from . import markup_sql as MS
 from . import sqlfrag as S
 from .registry import query
@@ -73,18 +75,30 @@ FROM r
 """
 
 
-@query("pdf_manifest", f"""
+PART_PDFS_SQL = f"""
 SELECT DISTINCT pdf_url, agency, filename,
        unnest(CASE WHEN len(part_numbers) > 0 THEN part_numbers ELSE [-1] END) AS part_number,
        is_dod
 FROM ({MANIFEST_SQL})
-""")
+"""
+
+
+@query("pdf_manifest", PART_PDFS_SQL)
 def pdf_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full-refresh manifest keyed by (pdf_url, part_number)."""
     m = L.explode_parts(_manifest_links(spark, sf_dir))
     return M.manifest_rows(m)
 
 
+@query("manifest_refresh", PART_PDFS_SQL)
+def manifest_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest table of an earlier run (pages of other sites) is replaced by today's and read again."""
+    path = scratch(spark, "part-pdfs")
+    rows = pdf_manifest(spark, sf_dir)
+    ST.append_table(rows.withColumn("pdf_url", F.concat(F.lit("https://old.example.org/"), F.col("filename"))), path)
+    return ST.refresh_table(rows, path)
+
+
 GUIDE_PART = "/far-overhaul/far-part-deviation-guide/far-overhaul-part-"
 
 
@@ -158,17 +172,22 @@ def safe_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
                     sf.alias("safe_filename"), urls.original_from_safe(sf).alias("original_filename"))
 
 
+# a file name per document: an agency key or another word by its length, in upper or lower case, then its source and id
+_NAME_WORDS = tuple(k for k, _ in fields.AGENCY_MAP) + ("DEFENSE", "mystery", "Dept-of Defense")
+_AGENCY_NAME_EXPR = ("concat(CASE WHEN doc_id % 2 = 0 THEN {word} ELSE lower({word}) END, '_Class_Deviation_', source, '_', lang, '_', CAST(doc_id AS {string}), '.pdf')")
+_DOC_NAME_EXPR = _AGENCY_NAME_EXPR.format(string="STRING", word="element_at(array(" + ", ".join(S.q(w) for w in _NAME_WORDS)
+                                          + f"), CAST(n_chars % {len(_NAME_WORDS)} + 1 AS INT))")
+
+
 def doc_filenames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file name per document from its source and its text."""
-    d = table(spark, sf_dir, "documents", "doc_id", "source", "lang", "text")
-    name = F.concat(F.col("source"), F.lit("_"),
-                    F.regexp_replace("text", r"[^A-Za-z0-9]+", "_"), F.lit(".pdf"))
-    return d.select("doc_id", "lang", name.alias("filename"))
+    """A file name per document from its length, source, language and id."""
+    d = table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars")
+    return d.select("doc_id", "lang", F.expr(_DOC_NAME_EXPR).alias("filename"))
 
 
-DOC_NAMES_SQL = """
-SELECT doc_id, lang,
-  source || '_' || regexp_replace(text, '[^A-Za-z0-9]+', '_', 'g') || '.pdf' AS filename
+DOC_NAMES_SQL = f"""
+SELECT doc_id, lang, {_AGENCY_NAME_EXPR.format(string="VARCHAR", word="[" + ", ".join(S.q(w) for w in _NAME_WORDS)
+                                               + f"][n_chars % {len(_NAME_WORDS)} + 1]")} AS filename
 FROM documents
 """
 
@@ -263,10 +282,13 @@ FROM ({EXPLODED_SQL})
 GROUP BY filename
 """)
 def part_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ex = L.explode_parts(lineitem_parts(spark, sf_dir))
-    return M.part_list(ex, "filename", ["l_orderkey", "l_linenumber"],
-                       ["agency", "is_dod"]).withColumnRenamed("l_orderkey", "first_orderkey") \
-        .withColumnRenamed("l_linenumber", "first_linenumber")
+    """One row per file name: its first line item first, then what the name says, worked out once a name."""
+    order = ["l_orderkey", "l_linenumber"]
+    first = lineitem_names(spark, sf_dir).groupBy("filename").agg(F.min(F.struct(*order)).alias("f")).select("filename", "f.*")
+    named = first.select("*", fields.agency_label("filename").alias("agency"), fields.is_dod("filename").alias("is_dod"),
+                         fields.parts_from_filename("filename").alias("part_numbers"))
+    return M.part_list(L.explode_parts(named), "filename", order, ["agency", "is_dod"]) \
+        .withColumnsRenamed({"l_orderkey": "first_orderkey", "l_linenumber": "first_linenumber"})
 
 
 @query("manifest_profile", f"""

@@ -51,6 +51,15 @@ def listings(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
             files.where(F.col("toxic") == 1).select("name", "length")]
 
 
+def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two listings as one, from a single join: a file in both directories is listed twice."""
+    m = doc_manifest(spark, sf_dir)
+    lab = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    times = F.when(F.col("quality") == 1, 1).otherwise(0) + F.when(F.col("toxic") == 1, 1).otherwise(0)
+    return m.join(lab, "doc_id").select(urls.safe_filename(F.col("pdf_url")).alias("name"), F.col("n_chars").alias("length"),
+                                        F.explode(F.array_repeat(F.lit(0), times)).alias("_i")).drop("_i")
+
+
 LISTINGS_SQL = f"""
 SELECT {S.safe_filename('m.pdf_url')} AS name, m.n_chars AS length, l.quality, l.toxic
 FROM ({DOC_MANIFEST_SQL}) m JOIN labels l USING (doc_id)
@@ -88,8 +97,7 @@ SELECT * FROM w WHERE filename NOT IN (SELECT filename FROM o)
 """)
 def retry_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = M.worklist(doc_manifest(spark, sf_dir))
-    a, b = listings(spark, sf_dir)
-    return M.missing_originals(w, a.unionByName(b))
+    return M.missing_originals(w, landed_files(spark, sf_dir))
 
 
 RETRY_SQL = f"""
@@ -121,8 +129,7 @@ FROM m FULL OUTER JOIN d ON m.k = d.k
 def sync_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = doc_manifest(spark, sf_dir).where(F.col("lang").isin("en", "fr")).select(
         urls.safe_filename(F.col("pdf_url")).alias("on_disk_filename"))
-    a, b = listings(spark, sf_dir)
-    return M.sync_report(m, a.unionByName(b))
+    return M.sync_report(m, landed_files(spark, sf_dir))
 
 
 def _existing_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,8 +202,7 @@ SELECT l.name AS on_disk_filename,
 FROM l LEFT JOIN e ON l.name = e.on_disk_filename LEFT JOIN d ON l.name = d.on_disk_filename
 """)
 def manifest_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a, b = listings(spark, sf_dir)
-    return M.rebuild(a.unionByName(b), _existing_csv(spark, sf_dir), _db_meta(spark, sf_dir))
+    return M.rebuild(landed_files(spark, sf_dir), _existing_csv(spark, sf_dir), _db_meta(spark, sf_dir))
 
 
 @query("sync_kept", f"""
@@ -205,8 +211,7 @@ SELECT * FROM ({EXISTING_SQL}) WHERE on_disk_filename IN (
 """)
 def sync_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest rows that a sync writes back."""
-    a, b = listings(spark, sf_dir)
-    return M.kept_rows(_existing_csv(spark, sf_dir), a.unionByName(b))
+    return M.kept_rows(_existing_csv(spark, sf_dir), landed_files(spark, sf_dir))
 
 
 @query("part_worklist", f"""
@@ -416,3 +421,26 @@ def download_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = M.not_yet_landed(m, listings(spark, sf_dir)).select("doc_id", "pdf_url", "filename", "is_dod")
     plan = M.download_plan(new, ["doc_id"], DOWNLOAD_CAP)
     return plan.select("pdf_url", "filename", "is_dod", "ordinal", "action")
+
+
+@query("landed_listing", f"""
+WITH s AS (SELECT DISTINCT 'https://docs.example.org/' || source || '.pdf' AS pdf_url, source FROM documents),
+f AS (SELECT DISTINCT d.source FROM documents d JOIN labels l USING (doc_id) WHERE quality = 1 OR toxic = 1)
+SELECT pdf_url, source AS filename, pdf_url IN (SELECT 'https://docs.example.org/' || source || '.pdf' FROM f) AS landed FROM s
+""")
+def landed_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landing folders are written, one object per source in each, listed by file metadata and matched."""
+    from ..sources import files
+    from ..streaming.incremental import scratch
+
+    url = F.concat(F.lit("https://docs.example.org/"), F.col("source"), F.lit(".pdf"))
+    d = table(spark, sf_dir, "documents", "doc_id", "source")
+    lab = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    named = d.join(lab, "doc_id").select("doc_id", urls.safe_filename(url).alias("name"), "quality", "toxic")
+    folders = []
+    for flag in ("quality", "toxic"):
+        folders.append(scratch(spark, f"landed-{flag}"))
+        named.where(F.col(flag) == 1).select("doc_id", "name").write.partitionBy("name").parquet(folders[-1])
+    listed = files.list_files(spark, folders, "*.parquet", by_folder=True)
+    manifest = d.select(url.alias("pdf_url"), F.col("source").alias("filename")).distinct()
+    return M.mark_landed(manifest, [listed], min_bytes=0)

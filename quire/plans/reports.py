@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..operators import report as R
 from ..operators import sections as SEC
 from ..session import table
+from ..sources import files
+from ..streaming.incremental import scratch
 from .dates import DATE_NORMALIZE_SQL, normalized_orders
 from .registry import query
 from .sections import _fields_sql, _sections_sql, clause_docs
@@ -70,24 +72,41 @@ SELECT 'run-' || strftime(CAST(ts AS DATE), '%Y%m%d') AS started_utc, 'u' || CAS
 FROM events
 """)
 def run_manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run manifests written as JSON, one document per run with its records nested, and the
-    records read back (A6, A10, I4)."""
-    from ..sources import files
-    from ..streaming.incremental import scratch
+    """Run manifests written as a document per run beside the records by run, and the records read back."""
+    runs, records = _written_runs(spark, sf_dir)
+    return records.join(runs.select("run_id"), "run_id").select(F.col("run_id").alias("started_utc"), "pdf_url", "saved_path", "error")
 
+
+def _written_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A run a day of events, written and read: runs and records."""
     run = F.concat(F.lit("run-"), F.date_format("run_day", "yyyyMMdd"))
     r = run_records(spark, sf_dir, "event_id").withColumn("run_id", run)
     records = r.select("run_id", F.concat(F.lit("u"), F.col("event_id").cast("string")).alias("pdf_url"),
                        F.lit("f").alias("filename"), F.lit("a").alias("agency"), F.lit(False).alias("is_dod"),
                        F.array(F.lit(1)).alias("part_numbers"), "saved_path", "error")
-    summary = records.groupBy("run_id").agg(F.count("*").cast("int").alias("new_pdfs_count")).withColumn("started_utc", F.col("run_id"))
+    summary = R.run_summary(r, ["run_id"]).drop("has_real_failure").withColumn("guide_url", F.lit("https://docs.example.org/guide"))
     path = scratch(spark, "run-manifests")
-    files.write_run_manifest(summary, records, path)
-    back = spark.read.schema(files.RUN_MANIFEST_SCHEMA).json(path)
-    return files.run_records(back).select("started_utc", "pdf_url", "saved_path", "error")
+    files.write_runs(summary, records, path)
+    return files.read_runs(spark, path), files.read_records(spark, path)
+
+
+@query("latest_run", """
+WITH e AS (
+  SELECT CAST(ts AS DATE) AS day, ts, event_id, event_type,
+    CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 'pdfs/' || CAST(event_id AS VARCHAR) END AS saved_path FROM events
+), l AS (SELECT max(day) AS day FROM e)
+SELECT 'run-' || strftime(day, '%Y%m%d') AS run_id, strftime(min(ts) OVER (), '%Y%m%dT%H%M%SZ') AS started_utc,
+  CAST(count(*) OVER () AS INTEGER) AS new_pdfs_count, CAST(count(saved_path) OVER () AS INTEGER) AS downloaded_count, 'u' || CAST(event_id AS VARCHAR) AS pdf_url, saved_path
+FROM e JOIN l USING (day)
+""")
+def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest run with new files and its records (the "latest" pointer, A10)."""
+    runs, records = _written_runs(spark, sf_dir)
+    newest = files.latest_run(runs)
+    return records.join(newest, "run_id").select("run_id", "started_utc", "new_pdfs_count", "downloaded_count", "pdf_url", "saved_path")
 
 
-WIDTH_CAPS = {"c_custkey": 16, "c_name": 60, "c_nationkey": 12, "c_mktsegment": 18}
+WIDTH_CAPS = {"c_custkey": 16, "c_name": 60, "c_nationkey": 12, "c_acctbal": 14, "c_mktsegment": 18}
 
 
 @query("column_width_profile", " UNION ALL ".join(

@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import store
-from ..session import table
+from ..session import table, written
+from ..streaming.incremental import scratch
 from .registry import query
 
 CUTOVER = "2024-01-15"
@@ -36,13 +37,17 @@ UNION ALL
 SELECT * FROM new WHERE key NOT IN (SELECT key FROM cur)
 """)
 def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A written table takes the rows whose key it lacks (A14), by an append."""
     c = table(spark, sf_dir, "customer", "c_custkey", "c_acctbal").where(F.col("c_acctbal") > 0)
     cur = c.select(F.col("c_custkey").alias("key"), F.lit("existing").alias("status"),
                    F.lit("customer").alias("origin"))
     o = table(spark, sf_dir, "orders", "o_custkey").distinct()
     new = o.select(F.col("o_custkey").alias("key"), F.lit("pending").alias("status"),
                    F.lit("orders").alias("origin"))
-    return store.insert_if_absent(cur, new, ["key"])
+    path = scratch(spark, "urls")
+    current = store.append_table(cur, path)
+    # the absent keys are found before the append changes the table that they are looked up in
+    return store.append_table(written(store.absent_rows(current, new, ["key"]), "absent"), path)
 
 
 @query("status_update", """
@@ -82,18 +87,16 @@ STAMP = "2026-01-31 06:30:00"
 
 @query("schema_evolution", f"""
 WITH u AS (
-  SELECT event_id, user_id, event_type, CAST(NULL AS DOUBLE) AS value, 0 AS seq FROM events WHERE event_id % 2 = 0
-  UNION ALL
-  SELECT event_id, user_id, event_type, value, 1 FROM events WHERE event_id % 3 = 0
+  SELECT user_id, ts, event_id, event_type, CASE WHEN ts >= TIMESTAMP '{CUTOVER}' THEN value END AS value FROM events
 )
-SELECT event_id, user_id, event_type, value, TIMESTAMP '{STAMP}' AS scraped_at FROM u
-QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY seq DESC) = 1
+SELECT user_id, ts, event_id, event_type, value, TIMESTAMP '{STAMP}' AS scraped_at FROM u
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """)
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table without ``value`` takes rows that have it (A17); all rows get the stamp of
-    the write (A18)."""
-    e = table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value")
-    old = e.where(F.col("event_id") % 2 == 0).drop("value").withColumn("seq", F.lit(0))
-    new = e.where(F.col("event_id") % 3 == 0).withColumn("seq", F.lit(1))
-    state = store.upsert(store.conform(old, new.schema), new, ["event_id"], ["seq"])
-    return store.stamp(state.drop("seq"), "scraped_at", STAMP)
+    """A table that knew no ``value`` before the cut-over takes the rows that have it (A17); all rows get the
+    stamp of the write (A18)."""
+    e = table(spark, sf_dir, "events", "user_id", "ts", "event_id", "event_type", "value")
+    at = F.lit(CUTOVER).cast("timestamp_ntz")
+    old, new = e.where(F.col("ts") < at).drop("value"), e.where(F.col("ts") >= at)
+    state = store.upsert(store.conform(old, new.schema), new, ["user_id"], ["ts", "event_id"])
+    return store.stamp(state, "scraped_at", STAMP)

@@ -39,14 +39,19 @@ PAGE_TEXT_SCHEMA = T.StructType([
 ])
 
 
-def list_files(spark: SparkSession, directory: str, glob: str = "*.pdf") -> DataFrame:
-    """``(name, length, path)`` of the files under ``directory`` (A3).
+def list_files(spark: SparkSession, directory, glob: str = "*.pdf", by_folder: bool = False) -> DataFrame:
+    """``(name, length, path)`` of the files under ``directory`` or a list of directories.
 
-    Only metadata columns are selected, so file contents are never read.
+    Only metadata columns are selected, so file contents are never read.  ``by_folder``: objects that are folders of
+    files, as a partitioned write leaves them (``name=<value>``): one row per object with its files' total size.
     """
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-          .option("recursiveFileLookup", "false").load(directory))
-    return df.select(F.substring_index("path", "/", -1).alias("name"), "length", "path")
+          .option("recursiveFileLookup", str(by_folder).lower()).load(directory))
+    if not by_folder:
+        return df.select(F.substring_index("path", "/", -1).alias("name"), "length", "path")
+    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+    files = df.select(F.url_decode(F.regexp_extract(folder, r"([^/=]*)$", 1)).alias("name"), "length", folder.alias("path"))
+    return files.groupBy("name", "path").agg(F.sum("length").alias("length")).select("name", "length", "path")
 
 
 # quotes inside a quoted field are doubled, and a field may hold line breaks
@@ -83,18 +88,47 @@ def run_records(manifests: DataFrame) -> DataFrame:
     return manifests.select("started_utc", F.inline("new_pdfs"))
 
 
+#: Records that one nested run document may hold.
+NESTED_RECORDS = 100_000
+
+
 def write_run_manifest(summary: DataFrame, records: DataFrame, path: str) -> None:
     """Write run summaries with their records nested, one JSON document per
     run (A10).  ``summary`` has the run columns plus ``run_id``; ``records``
-    has ``run_id`` plus the record columns.  Records are nested per run by a
-    keyed aggregate, so each run's list is built in one task of the shuffle
-    (a run's records are bounded by one guide page)."""
+    has ``run_id`` plus the record columns.  A run's records meet in one row, so a run of more than
+    NESTED_RECORDS is an error; :func:`write_runs` takes runs of any size."""
+    most = records.groupBy("run_id").count().agg(F.max("count")).first()[0] or 0
+    if most > NESTED_RECORDS:
+        raise ValueError(f"a run has {most} records; write_runs keeps them beside its document")
     nested = records.groupBy("run_id").agg(
         F.collect_list(F.struct(*[f.name for f in RECORD_SCHEMA.fields])).alias("new_pdfs"))
     out = summary.join(nested, "run_id", "left")
     out.write.mode("overwrite").json(path)
 
 
+RUN_SCHEMA = T.StructType([f for f in RUN_MANIFEST_SCHEMA.fields if f.name != "new_pdfs"])
+
+
+def write_runs(summary: DataFrame, records: DataFrame, path: str) -> None:
+    """Run manifests of any size (A10): a document per run below ``runs``, and its records as JSON rows below ``records``, both
+    by ``run_id``.  No run's records meet in one task."""
+    doc = F.to_json(F.struct(*[c for c in summary.columns if c != "run_id"]), {"pretty": "true"})
+    summary.select("run_id", doc.alias("value")).write.mode("overwrite").partitionBy("run_id").text(f"{path}/runs")
+    records.select("run_id", *[f.name for f in RECORD_SCHEMA.fields]).write.mode("overwrite").partitionBy("run_id").json(f"{path}/records")
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The documents of :func:`write_runs`, each of several lines: run_id and the run columns."""
+    schema = T.StructType([*RUN_SCHEMA.fields, T.StructField("run_id", T.StringType())])
+    return spark.read.schema(schema).option("multiLine", True).json(f"{path}/runs")
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of :func:`write_runs`: run_id and the record columns; a filter on run_id reads that run alone."""
+    schema = T.StructType([*RECORD_SCHEMA.fields, T.StructField("run_id", T.StringType())])
+    return spark.read.schema(schema).json(f"{path}/records")
+
+
 def read_landed_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed fetch results ``(url, html, error)`` (A1)."""
     return spark.read.schema(LANDED_PAGE_SCHEMA).parquet(path)

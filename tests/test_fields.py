@@ -96,3 +96,20 @@ def test_no_break_spaces_in_fields(spark):
     assert df.select(fields.effective_date("t")).first()[0] == "May 3, 2024"
     assert df.select(fields.deviation_number("t")).first()[0] == "25-07"
     assert df.select(fields.deviation_number(F.col("t"))).first()[0] == "25-07"
+
+
+def test_patterns_on_the_rest_of_a_text_equal_patterns_on_all_of_it(spark):
+    """Passing over the text from the first key word on finds the same."""
+    import random
+    rng = random.Random(3)
+    words = ["effective", "EFFECTIVE", "effectıve", "date", ":", "on", "May 4, 2025", "5/6/2025", "2025-01-02", "Class", "CLAſS", "Deviation", "deviation notice", "CD", "cd#ab-2024-1",
+             "CD-DHS-2024-07A", "(Number 2024-1)", "No. A-1", " ", "\n", "2023-5", "x", "abcd-1", "classdeviation"]
+    texts = [rng.choice(["", " ", "\U0001f600 "]).join(rng.choices(words, k=rng.randint(0, 9))) + " ".join(rng.choices(words, k=6)) for _ in range(2000)] + [None, ""]
+    df = spark.createDataFrame([(i, t, "f.pdf") for i, t in enumerate(texts)], "id int, text string, filename string").repartition(4)
+    got = df.select("id", fields.effective_date("text").alias("a"), fields.deviation_number("text", "filename").alias("b"),
+                    fields.effective_date(F.col("text")).alias("c"), fields.deviation_number(F.col("text"), F.col("filename")).alias("d"),
+                    fields.first_match("text", fields.EFFECTIVE_PATTERNS).alias("wa"),
+                    fields.first_match("text", fields.DEVIATION_NUM_PATTERNS, "filename").alias("wb")).collect()
+    assert sum(r.wa is not None for r in got) > 200 and sum(r.wb != "f.pdf" for r in got) > 200
+    for r in got:
+        assert (r.a, r.b, r.c, r.d) == (r.wa, r.wb, r.wa, r.wb), texts[r.id]

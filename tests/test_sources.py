@@ -3,6 +3,8 @@ import glob
 import json
 import os
 
+import pytest
+
 from quire.operators import manifest as M
 from quire.sources import files as FS
 
@@ -126,3 +128,35 @@ def test_landed_pages_and_page_text(spark, scratch):
     text.write.parquet(scratch + "/text")
     t = FS.read_page_text(spark, scratch + "/text")
     assert X.assemble_text(t, "doc", "page_no", "page_text").first()["page_text"] == "one\ntwo"
+
+
+def test_objects_of_partitioned_folders_are_listed(spark, scratch):
+    rows = spark.createDataFrame([(1, "a b%_x.pdf"), (2, "a b%_x.pdf"), (3, "c.pdf")], "id int, name string").repartition(2)
+    for f in ("one", "two"):
+        (rows if f == "one" else rows.where("id = 3")).write.partitionBy("name").parquet(f"{scratch}/{f}")
+    listed = FS.list_files(spark, [f"{scratch}/one", f"{scratch}/two"], "*.parquet", by_folder=True).collect()
+    assert sorted((r.name, r.path.split("/")[-2]) for r in listed) == [("a b%_x.pdf", "one"), ("c.pdf", "one"), ("c.pdf", "two")]
+    assert all(r.length > 0 for r in listed)
+
+
+def test_runs_of_any_size(spark, scratch):
+    records = spark.createDataFrame([("r1", "u1", "f", "a", False, [1, 2], "p/1", None), ("r1", "u2", "f", "a", True, [], None, "skipped: DoD"),
+                                     ("r2", "u3", 'q"\n', "a", False, None, None, "status 404")],
+                                    "run_id string, pdf_url string, filename string, agency string, is_dod boolean, part_numbers array<int>, saved_path string, error string")
+    summary = spark.createDataFrame([("r1", "20250101T000000Z", "g", 2), ("r2", "20250102T000000Z", "g", 1), ("r3", "20250103T000000Z", "g", 0)],
+                                    "run_id string, started_utc string, guide_url string, new_pdfs_count int")
+    FS.write_runs(summary, records, scratch + "/runs")
+    runs, back = FS.read_runs(spark, scratch + "/runs"), FS.read_records(spark, scratch + "/runs")
+    text = spark.read.text(scratch + "/runs/runs").where("run_id = 'r1'").collect()
+    assert len(text) > 3  # a document of several lines
+    assert sorted((r.run_id, r.started_utc, r.new_pdfs_count) for r in runs.collect()) == sorted((r.run_id, r.started_utc, r.new_pdfs_count) for r in summary.collect())
+    assert sorted(map(str, back.select(*records.columns).collect())) == sorted(map(str, records.collect()))
+    assert FS.latest_run(runs).first().run_id == "r2"  # r3 found nothing
+
+
+def test_nested_runs_have_a_bound(spark, scratch, monkeypatch):
+    monkeypatch.setattr(FS, "NESTED_RECORDS", 1)
+    records = spark.createDataFrame([("r", "u", "f", "a", False, [1], None, None)] * 2,
+                                    "run_id string, pdf_url string, filename string, agency string, is_dod boolean, part_numbers array<int>, saved_path string, error string")
+    with pytest.raises(ValueError, match="write_runs"):
+        FS.write_run_manifest(records.select("run_id").distinct(), records, scratch + "/nested")

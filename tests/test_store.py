@@ -153,3 +153,15 @@ def test_validate_counts_observed(spark):
     out = X.validate(df, "r", {"k": "int"}, observation=obs)
     assert [r["id"] for r in out.collect()] == [1]
     assert obs.get == {"accepted": 1, "rejected": 2}
+
+
+def test_append_and_refresh_a_table(spark, scratch):
+    path = scratch + "/t"
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    new = spark.createDataFrame([(2, "x"), (3, "c"), (None, "n")], "k int, v string")
+    current = store.append_table(old, path)
+    fresh = store.absent_rows(current, new, ["k"])
+    rows = sorted(map(str, fresh.collect()))
+    assert sorted(r.v for r in store.append_table(spark.createDataFrame(fresh.collect(), fresh.schema), path).collect()) == ["a", "b", "c", "n"]
+    assert len(rows) == 2 and sorted(r.v for r in store.refresh_table(new, path).collect()) == ["c", "n", "x"]
+    assert store.refresh_table(new.limit(0), path).count() == 0
