@@ -42,6 +42,26 @@ def top_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.top_links(page_links(spark, sf_dir), n=5).select("page_id", "pos", "href")
 
 
+@query("landed_pages", f"""
+WITH l AS ({LINKS_SQL}), p AS (SELECT page_id, url, page_id % 9 = 4 AS failed FROM pages)
+SELECT p.url, p.failed, count(l.pos) AS links, min(l.href) AS first_href
+FROM p LEFT JOIN l ON l.page_id = p.page_id AND NOT p.failed GROUP BY p.page_id, p.url, p.failed
+""")
+def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetch results landed by one job and read by the next (A1): the links of those that have a page."""
+    from ..sources import files
+
+    p = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    failed = F.col("page_id") % 9 == 4
+    path = scratch(spark, "landed-pages")
+    fetched = p.select("url", F.when(~failed, F.col("html")).alias("html"), F.when(failed, F.lit("status 404")).alias("error"))
+    fetched.write.parquet(path)
+    back = files.read_landed_pages(spark, path)
+    links = L.anchors(L.visible("html"))
+    return back.select("url", F.col("error").isNotNull().alias("failed"), F.coalesce(F.size(links), F.lit(0)).cast("bigint").alias("links"),
+                       F.array_min(F.transform(links, L.href_of)).alias("first_href"))
+
+
 # Stand-in for the PDF-upload pattern: nav links whose path is /t + letters.
 DOC_LINK_RE = r"(?i)/t[a-z]+$"
 

@@ -142,8 +142,14 @@ SELECT doc_id, z.pos AS pos, {S.rx('z.section', '^(52\\.\\d+-\\d+)', 1)} AS numb
 FROM e
 """)
 def section_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sections of documents that arrive as pages, found without joining a document's pages."""
-    chunks = PG.segment_pages(clause_pages(spark, sf_dir))
+    """Sections of documents that land as page texts (A4), found without joining a document's pages."""
+    from ..sources import files
+    from ..streaming.incremental import scratch
+
+    path = scratch(spark, "page-text")
+    clause_pages(spark, sf_dir).select(F.col("doc_id").cast("string").alias("doc"), "page_no", F.col("text").alias("page_text")).write.parquet(path)
+    landed = files.read_page_text(spark, path).select(F.col("doc").cast("bigint").alias("doc_id"), "page_no", F.col("page_text").alias("text"))
+    chunks = PG.segment_pages(landed)
     g = chunks.groupBy("doc_id", "pos").agg(F.max("number").alias("number"), F.max("title").alias("title"),
                                             F.sum(F.length("chunk")).alias("section_chars"))
     return g.select("doc_id", "pos", "number", "title", "section_chars")
