@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..session import materialize
-from .common import inputs, slices, unused
+from .common import bits_of, inputs, slices, unused
 
 #: Kinds of protected entities, in the order in which spans of one start are listed, and of terms.
 KINDS, TERMS = ("email", "ip", "card", "phone"), ("generalise", "remove")
@@ -211,34 +211,37 @@ def disclosing(found: DataFrame, counts: DataFrame, n_docs: int, threshold: floa
     return materialize(kept), entities_.select("entity", F.col("cls").alias("e")), terms.select("term", F.col("cls").alias("t"))
 
 
-def term_filter(terms: DataFrame) -> bytes:
+def term_filter(terms: DataFrame, column: str = "term") -> bytes:
     """A bit for the hash of each ``term`` of a table; FILTER_BITS in all, so its size is fixed."""
-    place = F.crc32("term") % FILTER_BITS + 1
-    rows = (terms.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect())
-    out = bytearray(FILTER_BITS // 8)
-    for r in rows:
-        out[(r.bucket - 1) * len(r.bits):r.bucket * len(r.bits)] = r.bits
-    return bytes(out)
+    return bits_of(terms, column, FILTER_BITS)
 
 
-def occurrences(rows: DataFrame, bits: bytes) -> DataFrame:
-    """(key, term, start, end) of every word outside entities whose term the filter may hold; ``rows``: key and text."""
+def _holds(bits: bytes, value: str) -> int:
+    at = zlib.crc32(value.encode()) % FILTER_BITS
+    return bits[at >> 3] >> (at & 7) & 1
+
+
+def occurrences(rows: DataFrame, anywhere: bytes, own: bytes, keys: bytes) -> DataFrame:
+    """(key, term, start, end) of words outside entities whose term a filter may hold; ``rows``: key and text.
+
+    ``anywhere``: filter of terms to look for in all rows; ``own``: in those whose key the filter ``keys`` may hold.
+    """
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {}
+        known = {}  # by word: 1 to look for anywhere, 2 in rows of their own
+
+        def of(word: str) -> int:
+            return (_holds(anywhere, t) | _holds(own, t) << 1) if (t := term(word)) else 0
+
         for batch in batches:
-            for keys, texts in zip(slices(batch.column(0)), slices(batch.column(1))):
+            for names, texts in zip(slices(batch.column(0)), slices(batch.column(1))):
                 out = [], [], [], []
-                for key, text in zip(keys, texts):
-                    words = set(text.split())
+                for key, text in zip(names, texts):
+                    words, wanted = set(text.split()), 3 if _holds(keys, key) else 1
                     for w in words:
                         if w not in known:
-                            t = term(w)
-                            at = zlib.crc32(t.encode()) % FILTER_BITS
-                            known[w] = bool(t) and bits[at >> 3] >> (at & 7) & 1
-                    if any(map(known.__getitem__, words)):
-                        hit = {term(w) for w in words if known[w]}
+                            known[w] = of(w)
+                    if hit := {term(w) for w in words if known[w] & wanted}:
                         for t, start, end in free_terms(text, entities(text)):
                             if t in hit:
                                 for column, value in zip(out, (key, t, start, end)):
@@ -270,13 +273,12 @@ def find(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE
     pairs, entity_of, term_of = disclosing(found.select(F.col("text_key").alias("key"), "base", "terms"), term_counts(rows),
                                            found.count(), generalise)
     held = found.select("key", F.explode(_entities()).alias("entity")).join(entity_of, "entity").select("key", "e").distinct()
-    own = (held.join(pairs, "e").groupBy("key", "t").agg(F.max("disclosure").alias("own")).join(term_of, "t")
-           .select("key", "term", "own"))
+    own = materialize(held.join(pairs, "e").groupBy("key", "t").agg(F.max("disclosure").alias("own")).join(term_of, "t")
+                      .select("key", "term", "own"))
     told = pairs.filter(F.lit(everywhere) & (F.col("points") >= POINTS)).groupBy("t").agg(F.max("disclosure").alias("any"))
     told = materialize(told.join(term_of, "t").select("term", "any"))
     kind = F.when(F.col("disclosure") >= remove, TERMS[1]).otherwise(TERMS[0])
-    words = materialize(pairs.select("t").distinct().join(term_of, "t").select("term"))
-    terms = (occurrences(rows.select(row_key("doc_id", "text").alias("key"), "text"), term_filter(words))
+    terms = (occurrences(rows.select(row_key("doc_id", "text").alias("key"), "text"), term_filter(told), term_filter(own), term_filter(own, "key"))
              .join(told, "term", "left").join(own, ["key", "term"], "left")
              .select("key", "start", "end", F.greatest("own", "any").alias("disclosure")).filter("disclosure is not null")
              .groupBy("key", "start", "end").agg(F.max("disclosure").alias("disclosure"))
