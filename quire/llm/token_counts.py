@@ -7,11 +7,13 @@ taken on normalised content: white space is folded where the tokenizer ignores i
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -29,22 +31,29 @@ def version_of(tokenizer: str) -> str:
         return hashlib.sha256(file.read()).hexdigest()
 
 
-def folded(text: Column) -> Column:
+def special_strings(tokenizer: str) -> list[str]:
+    """The strings of the special tokens that a tokenizer file adds."""
+    with open(tokenizer, encoding="utf-8") as file:
+        return [x["content"] for x in json.load(file).get("added_tokens", [])]
+
+
+def folded(text: Column, specials: list[str]) -> Column:
     """Runs of white space as one space, for tokenizers that drop white space.
 
-    Texts that may hold the string of a special token (``<|``) keep theirs.
+    Texts that hold the string of a special token keep theirs.
     """
-    return F.when(text.contains("<|"), text).otherwise(F.regexp_replace(text, r"[ \t\n\x0B\f\r]+", " "))
+    plain = F.regexp_replace(text, r"[ \t\n\x0B\f\r]+", " ")
+    return F.when(reduce(or_, [text.contains(x) for x in specials]), text).otherwise(plain) if specials else plain
+
+
+def begin(spark: SparkSession, path: str) -> None:
+    """The folder of the cache, by an append of no row: what is there stays."""
+    spark.createDataFrame([], CACHE).write.mode("append").parquet(path)
 
 
 def stored(spark: SparkSession, path: str, version: str) -> DataFrame:
-    """(digest, n_tokens) of the cache at ``path`` for one tokenizer version; none if it is new."""
-    try:
-        rows = spark.read.schema(CACHE).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        rows = spark.createDataFrame([], CACHE)
+    """(digest, n_tokens) of the cache at ``path`` for one tokenizer version."""
+    rows = spark.read.schema(CACHE).parquet(path)
     # two jobs may have appended the same digest
     return rows.filter(F.col("version") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
@@ -61,9 +70,10 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, fold
     """
     spark, version = docs.sparkSession, version_of(tokenizer)
     cache = cache or f"{ensure_checkpoint_dir(spark)}/token-counts-{uuid.uuid4().hex}"
+    begin(spark, cache)
     rows = inputs(docs, id_col, text_col)
     text = F.col("text")
-    digest = F.unhex(F.sha2(folded(text) if fold_space else text, 256))
+    digest = F.unhex(F.sha2(folded(text, special_strings(tokenizer)) if fold_space else text, 256))
     keyed = materialize(rows.select("doc_id", digest.alias("digest"), F.octet_length("text").cast("long").alias("n_bytes")))
     misses = (keyed.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
               .join(stored(spark, cache, version), "digest", "left_anti"))
