@@ -176,6 +176,7 @@ def crawl_queue(seeds: DataFrame, links: DataFrame, scored: DataFrame, target: i
     spark = seeds.sparkSession
     ensure_checkpoint_dir(spark)
     gated = scored.select("node", gate(F.col("keep"), F.col("score"), threshold).alias("passed"), F.col("score").cast("decimal(18,6)").alias("score"))
+    followed = materialize(links.where(F.col("pos") < follow).select("src", "pos", F.col("dst").alias("node")))
     first = seeds.groupBy("node").agg(F.min("ord").alias("ord"))
     waiting = materialize(_numbered(first, ["ord", "node"], 0).select("slot", "node", F.lit(0).alias("depth")))
     begin, end, number = 0, waiting.count(), 0  # places [begin, end) wait; batches begin with this number
@@ -197,21 +198,20 @@ def crawl_queue(seeds: DataFrame, links: DataFrame, scored: DataFrame, target: i
         sums = settled.where("status = 'done'").groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("total"))
         running = _running(sums, collected, total).withColumn("reason", _reason(F.col("collected"), F.col("sum"), target))
         # the last batch of the round, or the first after which the crawl stops; batches that collect nothing change nothing
-        hit = running.where("reason is not null").agg(F.min(F.struct("batch", "reason")).alias("x")).first()["x"]
+        hit, state = running.agg(F.min(F.when(F.col("reason").isNotNull(), F.struct("batch", "reason"))),
+                                 F.max(F.struct("batch", "collected", "sum"))).first()
         if hit is not None:
             reason = hit["reason"]
             done.append(settled.where(F.col("batch") <= hit["batch"]).drop("score"))
             break
         done.append(settled.drop("score"))
-        state = running.agg(F.max(F.struct("batch", "collected", "sum")).alias("x")).first()["x"]
         if state is not None:
             collected, total = state["collected"], state["sum"]
         pages = settled.where("status = 'done'")
         if max_depth is not None:
             pages = pages.where(F.col("depth") < max_depth)
         found = (pages.select(F.col("node").alias("src"), F.col("slot").alias("parent"), F.col("batch").alias("from_batch"), (F.col("depth") + 1).alias("depth"))
-                 .join(links.where(F.col("pos") < follow), "src")
-                 .select(F.col("dst").alias("node"), "parent", "pos", "from_batch", "depth"))
+                 .join(followed, "src").select("node", "parent", "pos", "from_batch", "depth"))
         later = waiting.where(F.col("slot") >= begin + take)
         out = settled.select("node", F.col("batch").alias("own_batch"))
         new = (found.join(later.select("node"), "node", "left_anti").join(out, "node", "left")

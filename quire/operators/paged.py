@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import _c, strip
+from ..session import written
 from .sections import SECTION_RE
 
 #: Pages that one window sees.
@@ -123,7 +124,8 @@ def segment_pages(pages: DataFrame, doc: str = "doc_id", page_no: str = "page_no
     left out.  Equal to splitting the joined text at once (tested).
     """
     p = pages.where(F.col(text).isNotNull()).select(doc, page_no, text)
-    states = page_states(page_facts(p, doc, page_no, text), doc, page_no)
+    # written, because several windows and groups read them; the texts are searched once for it
+    states = page_states(written(page_facts(p, doc, page_no, text), "page-facts"), doc, page_no)
     # after the last page no line feed follows
     last = p.groupBy(doc).agg(F.max(page_no).alias("_last"))
     rows = p.join(states, [doc, page_no]).join(last, doc)

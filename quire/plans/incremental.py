@@ -81,7 +81,7 @@ def run_extraction(spark: SparkSession, landing: str, root: str, ckpt: str):
     """The extraction stream over what has landed, a third of the files in a batch."""
     landed = spark.read.parquet(landing)
     return INC.run_keyed(spark, landing, landed.schema, extract_versions, ["id"], ["version", "doc_id"], root, ckpt,
-                         max(1, len(landed.inputFiles()) // 3), {"written": F.count(F.lit(1))})
+                         max(1, -(-len(landed.inputFiles()) // 3)), {"written": F.count(F.lit(1))})
 
 
 @query("incremental_extract", NORMALIZED_SQL.format(raw=EXTRACT_SQL))

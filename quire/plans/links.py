@@ -343,9 +343,10 @@ def page_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with enough clean text for extraction."""
     from ..operators import extract as X
 
-    clean = html_clean_text(spark, sf_dir)
-    return X.text_gate(clean, "clean_text", X.MIN_PAGE_CHARS).select(
-        "page_id", F.length("clean_text").cast("bigint").alias("chars"))
+    p = table(spark, sf_dir, "pages", "page_id", "html")
+    # a filter on the length and its column would each make the text; a generator of none or one row makes it once
+    chars = F.filter(F.array(F.length(L.clean_text(F.col("html")))), lambda n: n >= X.MIN_PAGE_CHARS)
+    return p.select("page_id", F.explode(chars).cast("bigint").alias("chars"))
 
 
 @query("fetch_outcomes", """
