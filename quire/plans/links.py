@@ -344,9 +344,10 @@ def page_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import extract as X
 
     p = table(spark, sf_dir, "pages", "page_id", "html")
-    # a filter on the length and its column would each make the text; a generator of none or one row makes it once
-    chars = F.filter(F.array(F.length(L.clean_text(F.col("html")))), lambda n: n >= X.MIN_PAGE_CHARS)
-    return p.select("page_id", F.explode(chars).cast("bigint").alias("chars"))
+    # a filter on the length and its column would each make the text; a generator's output is made once
+    chars = F.explode_outer(F.array(F.length(L.clean_text(F.col("html")))))
+    long = p.select("page_id", chars.alias("chars")).where(F.col("chars") >= X.MIN_PAGE_CHARS)
+    return long.select("page_id", F.col("chars").cast("bigint").alias("chars"))
 
 
 @query("fetch_outcomes", """

@@ -82,3 +82,23 @@ def test_keyed_picks_are_partial_aggregates(spark, name):
     assert "Window" not in plan.replace("WindowGroupLimit", "")
     # partial (map-side) + final aggregate; struct buffers plan as SortAggregate
     assert len(re.findall(r"(HashAggregate|SortAggregate|ObjectHashAggregate)", plan)) >= 2
+
+
+def test_paged_sections_gather_no_document(spark):
+    """Windows go over runs of pages or one row a run, and nothing collects a document's pages."""
+    from quire.operators import paged
+    from quire.plans.sections import clause_pages
+
+    plan = plan_of(paged.segment_pages(clause_pages(spark, SF_SMALL)))
+    assert "collect_list" not in plan and "SinglePartition" not in plan
+    for line in plan.splitlines():
+        if "Window " in line and "page_no" in line:
+            assert "run#" in line, line
+
+
+def test_main_text_is_made_once(spark):
+    """The gate on the length of a page's text does not make the text a second time for the column."""
+    from quire.plans import links
+
+    plan = plan_of(links.page_gate(spark, SF_SMALL))
+    assert plan.count("<noscript") == 1
