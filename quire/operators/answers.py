@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Words that count as a flag, lower case.
+#: Words that count as a flag, lower case (fixed values).
 TRUE_WORDS, FALSE_WORDS = ("true", "t", "yes", "y", "on", "1"), ("false", "f", "no", "n", "off", "0")
 FAULT = "struct<path:string,reason:string>"
 
@@ -60,7 +60,7 @@ class Record:
         return "struct<" + ",".join(f"{n}:{s.type}" for n, s in self.fields) + ">"
 
 
-# ---- the five answers of the corpus run ----
+# The fields of the five answers of the corpus run, in the order in which faults are looked for.
 PAGE = Record((("title", Text()), ("author", Text(True)), ("published", Text(True)), ("body", Text()),
                ("topics", ListOf(Text())), ("follow_links", ListOf(Text(), default=True))))
 CLAUSE = Record((("number", Text()), ("title", Text()), ("kind", Text()), ("effective_date", Text(True)), ("full_text", Text())))

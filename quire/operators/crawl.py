@@ -19,6 +19,7 @@ SKIP_DOMAINS = ("facebook.com", "twitter.com", "x.com", "pinterest.com", "instag
 KEEP_THRESHOLD = 0.4
 MIN_PAGES_FOR_STOP = 20
 STOP_AVG_RELEVANCE = 0.35
+# pages that the queue hands out at a time, and links that a page appends
 BATCH_PAGES = 20
 FOLLOWED_LINKS = 5
 
