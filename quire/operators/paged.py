@@ -79,7 +79,7 @@ def page_facts(pages: DataFrame, doc: str, page_no: str, text: str) -> DataFrame
 
 
 def page_states(facts: DataFrame, doc: str, page_no: str) -> DataFrame:
-    """Every page with what reaches it from others: doc, page_no, taken (0 unless a title is taken), pending (the number that
+    """Every page with what reaches it from others: doc, page_no, taken (0 unless a title is taken), more (whether a page follows), pending (the number that
     ends the page as the start of a section, or NULL), its title, and ``first``: how many sections begin before the page."""
     after0, after1 = F.col("tail0") != "", F.coalesce(F.col("tail1"), F.col("tail0")) != ""
     const = F.when(~F.col("blank") & (after0 == after1), after0)
@@ -87,7 +87,7 @@ def page_states(facts: DataFrame, doc: str, page_no: str) -> DataFrame:
     opens = F.when(~F.col("blank"), F.struct((F.col("taken") > 0).alias("opens"), "title"))
     rows = _before(rows.withColumn("_opens", opens), [doc, "run"], page_no, "_const", "_flip", "_f")
     ahead = Window.partitionBy(doc, "run").orderBy(page_no).rowsBetween(1, Window.unboundedFollowing)
-    rows = rows.withColumn("_next", F.first("_opens", ignorenulls=True).over(ahead))
+    rows = rows.withColumn("_next", F.first("_opens", ignorenulls=True).over(ahead)).withColumn("_more", F.count(page_no).over(ahead) > 0)
     # one row a run: the function of the whole run, and the first page in it that is not blank
     end = F.max(F.struct(page_no, F.struct((F.col("_const").isNotNull() | F.col("_f.known")).alias("known"),
                                           F.coalesce("_const", F.col("_f.bit") != (F.col("_flip") == 1)).alias("bit"),
@@ -97,7 +97,8 @@ def page_states(facts: DataFrame, doc: str, page_no: str) -> DataFrame:
                        F.when(F.col("_e.f.odd"), 1).otherwise(0).alias("_flip"), F.col("_o._opens").alias("_opens"))
     runs = _before(runs, [doc], "run", "_const", "_flip", "_g")
     later = Window.partitionBy(doc).orderBy("run").rowsBetween(1, Window.unboundedFollowing)
-    runs = runs.select(doc, "run", _applied(F.col("_g"), F.lit(False)).alias("_in"), F.first("_opens", ignorenulls=True).over(later).alias("_later"))
+    runs = runs.select(doc, "run", _applied(F.col("_g"), F.lit(False)).alias("_in"), F.first("_opens", ignorenulls=True).over(later).alias("_later"),
+                       (F.count("run").over(later) > 0).alias("_after"))
     rows = rows.join(runs, [doc, "run"])
     carried = _applied(F.col("_f"), F.col("_in"))
     used = ~F.col("blank") & carried & (F.col("taken") > 0)
@@ -105,14 +106,14 @@ def page_states(facts: DataFrame, doc: str, page_no: str) -> DataFrame:
     tail = F.when(F.col("_used"), F.col("tail1")).otherwise(F.col("tail0"))
     confirmed = (tail != "") & ~F.col("blank") & F.coalesce(F.col("_next.opens"), F.lit(False))
     rows = rows.select(doc, page_no, "run", F.when(F.col("_used"), F.col("taken")).otherwise(0).alias("taken"),
-                       F.when(confirmed, tail).alias("pending"), F.when(confirmed, F.col("_next.title")).alias("pending_title"),
+                       (F.col("_more") | F.col("_after")).alias("more"), F.when(confirmed, tail).alias("pending"), F.when(confirmed, F.col("_next.title")).alias("pending_title"),
                        (F.when(F.col("_used"), F.col("own1")).otherwise(F.col("own0")) + confirmed.cast("int")).alias("_n"))
     counts = rows.groupBy(doc, "run").agg(F.sum("_n").alias("_n"))
     earlier = Window.partitionBy(doc).orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(doc, "run", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
     inside = Window.partitionBy(doc, "run").orderBy(page_no).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_own", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    return rows.join(counts, [doc, "run"]).select(doc, page_no, "taken", "pending", "pending_title", (F.col("_base") + F.col("_own")).alias("first"))
+    return rows.join(counts, [doc, "run"]).select(doc, page_no, "taken", "more", "pending", "pending_title", (F.col("_base") + F.col("_own")).alias("first"))
 
 
 def segment_pages(pages: DataFrame, doc: str = "doc_id", page_no: str = "page_no", text: str = "text") -> DataFrame:
@@ -126,13 +127,11 @@ def segment_pages(pages: DataFrame, doc: str = "doc_id", page_no: str = "page_no
     p = pages.where(F.col(text).isNotNull()).select(doc, page_no, text)
     # written, because several windows and groups read them; the texts are searched once for it
     states = page_states(written(page_facts(p, doc, page_no, text), "page-facts"), doc, page_no)
-    # after the last page no line feed follows
-    last = p.groupBy(doc).agg(F.max(page_no).alias("_last"))
-    rows = p.join(states, [doc, page_no]).join(last, doc)
+    rows = p.join(states, [doc, page_no])
     t = F.translate(F.col(text), _OPEN + _CLOSE + _GUARD, "")
     rest = F.when(F.col("taken") > 0, F.concat(F.lit(_GUARD), F.substring(t, F.col("taken") + 1, F.length(t)))).otherwise(t)
     marked = rows.select(doc, page_no, "pending", "pending_title", "first", F.substring(t, F.lit(1), F.col("taken")).alias("_prefix"), _scan(rest).alias("_s"),
-                         F.when(F.col(page_no) < F.col("_last"), "\n").otherwise("").alias("_feed"))
+                         F.when(F.col("more"), "\n").otherwise("").alias("_feed"))
     cut = F.when(F.col("pending").isNotNull(), F.regexp_replace("_s", _TAIL, _OPEN + "$0")).otherwise(F.col("_s"))
     whole = F.concat("_prefix", F.translate(cut, _CLOSE + _GUARD, ""), "_feed")
     pieces = marked.select(doc, page_no, "pending", "pending_title", "first", F.split(whole, _OPEN).alias("_p"))
