@@ -17,6 +17,14 @@ def strip(x) -> Column:
     return F.regexp_replace(_c(x), r"(?U)^\s+|\s+$", "")
 
 
+def without(x, chars: str) -> Column:
+    """The text without these characters; a search for each, which costs little where there is none."""
+    c = _c(x)
+    for ch in chars:
+        c = F.replace(c, F.lit(ch), F.lit(""))
+    return c
+
+
 def capitalize(x) -> Column:
     """Python ``str.capitalize()``: first char upper, rest lower (not initcap)."""
     c = _c(x)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fields, urls
-from ..functions.text import _c, blank_to_null, strip
+from ..functions.text import _c, blank_to_null, strip, without
 from . import markup
 
 # Fixed values that must equal the reference's patterns.
@@ -62,7 +62,7 @@ def anchors(html) -> Column:
     """array<string> of the anchors with an href in document order: start tag and
     content.  The page is marked once before every start tag and cut there, so an anchor
     without an end tag ends where the next one starts."""
-    marked = F.regexp_replace(F.translate(_c(html), SENTINEL, ""), ANCHOR_TAG_RE, SENTINEL + "$1")
+    marked = F.regexp_replace(without(html, SENTINEL), ANCHOR_TAG_RE, SENTINEL + "$1")
     pieces = F.slice(F.split(marked, SENTINEL), 2, 1 << 30)
     return F.transform(F.filter(pieces, lambda a: a.rlike(HREF_RE)),
                        lambda a: F.regexp_replace(a, AFTER_ANCHOR_RE, ""))

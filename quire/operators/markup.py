@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import _c
+from ..functions.text import _c, without
 
 MARK, TARGET, LABEL, END = "\u0001", "\u0002", "\u0003", "\u0004"
 # comments and elements whose content no reader sees
@@ -84,7 +84,7 @@ def ancestor_links(pages: DataFrame, keep: list[str], html: str, href: Column, w
     supplied by the standard's rules, an end tag closes what is open inside its element, and what
     nothing closes ends with the page.
     """
-    seen = F.translate(F.regexp_replace(_c(html), UNSEEN_RE, ""), MARK, "")
+    seen = without(F.regexp_replace(_c(html), UNSEEN_RE, ""), MARK)
     parts = pages.select(*keep, F.split(F.regexp_replace(seen, TAG_RE, MARK + "$1"), MARK).alias("parts"))
     named = parts.select(*keep, "parts", F.transform("parts", lambda x, i: F.struct(
         i.alias("at"), x.startswith("/").alias("closes"), F.lower(F.regexp_extract(x, r"^/?([A-Za-z0-9]*)", 1)).alias("name"),
@@ -168,7 +168,7 @@ def main_blocks(html, href, decode) -> Column:
     its neighbours once; words in zone 0 and in links count nothing.  ``href`` gives the target from a start
     tag, ``decode`` replaces entities.
     """
-    seen = F.translate(F.regexp_replace(_c(html), UNSEEN_RE, " "), MARK + TARGET + LABEL + END, "")
+    seen = without(F.regexp_replace(_c(html), UNSEEN_RE, " "), MARK + TARGET + LABEL + END)
     # the start tag of a link becomes its target between two marks, its end tag a third mark
     cut = F.split(F.regexp_replace(seen, r"(?i)<a(\s[^>]*)>", MARK + "$1" + MARK), MARK)
     pieces = F.transform(cut, lambda x, i: F.when(i % 2 == 0, x).otherwise(
@@ -183,7 +183,7 @@ def main_blocks(html, href, decode) -> Column:
     def scored(blocks: Column) -> Column:
         weight = lambda b: F.coalesce(F.when(b["zone"] > 0, b["words"]), F.lit(0))
         return F.transform(blocks, lambda b, i: F.struct(
-            F.translate(F.regexp_replace(b["body"], LINK_RE, "[$2]($1)"), TARGET + LABEL + END, "").alias("text"),
+            without(F.regexp_replace(b["body"], LINK_RE, "[$2]($1)"), TARGET + LABEL + END).alias("text"),
             b["words"].alias("words"), b["linked"].alias("linked"), b["zone"].alias("zone"),
             (2 * weight(b) + weight(F.get(blocks, i - 1)) + weight(F.get(blocks, i + 1))).alias("score")))
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import _c, strip
+from ..functions.text import strip, without
 from ..session import written
 from .sections import SECTION_RE
 
@@ -66,7 +66,7 @@ def page_facts(pages: DataFrame, doc: str, page_no: str, text: str) -> DataFrame
     takes.  ``tail0``, ``own0``: the number pending at its end and its own headings if none was pending before;
     ``tail1``, ``own1``: if the beginning was taken as a title.
     """
-    t = F.translate(_c(text), _OPEN + _CLOSE + _GUARD, "")
+    t = without(text, _OPEN + _CLOSE + _GUARD)
     opening = pages.select(doc, page_no, t.alias("_t"), F.regexp_extract(F.concat(F.lit("0\n"), t), _TITLE, 0).alias("_begin"))
     taken = F.greatest(F.length("_begin") - 2, F.lit(0))
     scanned = opening.select(doc, page_no, taken.alias("taken"), F.regexp_extract("_begin", _TITLE, 1).alias("title"),
@@ -128,12 +128,13 @@ def segment_pages(pages: DataFrame, doc: str = "doc_id", page_no: str = "page_no
     # written, because several windows and groups read them; the texts are searched once for it
     states = page_states(written(page_facts(p, doc, page_no, text), "page-facts"), doc, page_no)
     rows = p.join(states, [doc, page_no])
-    t = F.translate(F.col(text), _OPEN + _CLOSE + _GUARD, "")
+    rows = rows.withColumn("_t", without(text, _OPEN + _CLOSE + _GUARD))
+    t = F.col("_t")
     rest = F.when(F.col("taken") > 0, F.concat(F.lit(_GUARD), F.substring(t, F.col("taken") + 1, F.length(t)))).otherwise(t)
     marked = rows.select(doc, page_no, "pending", "pending_title", "first", F.substring(t, F.lit(1), F.col("taken")).alias("_prefix"), _scan(rest).alias("_s"),
                          F.when(F.col("more"), "\n").otherwise("").alias("_feed"))
     cut = F.when(F.col("pending").isNotNull(), F.regexp_replace("_s", _TAIL, _OPEN + "$0")).otherwise(F.col("_s"))
-    whole = F.concat("_prefix", F.translate(cut, _CLOSE + _GUARD, ""), "_feed")
+    whole = F.concat("_prefix", without(cut, _CLOSE + _GUARD), "_feed")
     pieces = marked.select(doc, page_no, "pending", "pending_title", "first", F.split(whole, _OPEN).alias("_p"))
     out = pieces.select(doc, page_no, "pending", "pending_title", "first", F.size("_p").alias("_n"), F.posexplode("_p").alias("_i", "chunk"))
     straddles = F.col("pending").isNotNull() & (F.col("_i") == F.col("_n") - 1)

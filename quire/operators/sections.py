@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import _c, blank_to_null, capitalize, strip
+from ..functions.text import blank_to_null, capitalize, strip, without
 
 # Fixed values that must equal the reference's patterns.
 SECTION_RE = r"^(52\.\d+-\d+)\s+([^.\n]+?)\."
@@ -33,7 +33,7 @@ def split_sections(text) -> Column:
 
     The sentinel character itself is removed from the text first, so it can
     only stand before headings."""
-    clean = F.translate(_c(text), SENTINEL, "")
+    clean = without(text, SENTINEL)
     marked = F.regexp_replace(clean, "(?md)" + SECTION_RE, SENTINEL + "$0")
     parts = F.split(marked, SENTINEL)
     return F.slice(parts, 2, 1 << 30)
