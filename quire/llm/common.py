@@ -66,9 +66,14 @@ def lookup(rows: DataFrame, values: DataFrame, key: str, n: str, how: str = "inn
     they are; only the other rows are shuffled.  Both arguments should be written tables: they are read twice.
     """
     limit = max(rows.count() // HOT_KEYS, 1)
-    hot = F.broadcast(values.filter(F.col(n) > limit).drop(n))
-    rest = rows.join(hot.select(key), key, "left_anti").join(values.filter(F.col(n) <= limit).drop(n), key, how)
-    return rows.join(hot, key).select(rest.columns).unionAll(rest)
+    hot, none = F.broadcast(values.filter(F.col(n) > limit).drop(n)), F.col(key).isNull()
+    named = rows.filter(~none)
+    rest = named.join(hot.select(key), key, "left_anti").join(values.filter(F.col(n) <= limit).drop(n), key, how)
+    out = named.join(hot, key).select(rest.columns).unionAll(rest)
+    if how == "left":  # rows without a key match nothing, however many they are
+        out = out.unionAll(rows.filter(none).select([F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                                                     for f in rest.schema]))
+    return out
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

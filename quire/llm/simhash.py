@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..session import materialize
-from .common import inputs, slices, unused
+from .common import inputs, lookup, slices, unused
 
 BITS = 64
 #: Most distinct fingerprints that one task compares with each other.
@@ -175,15 +175,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
     """
     rows = inputs(docs, id_col, text_col)
     rows = materialize(rows.select("doc_id", fingerprint(F.col("text"), shingle).alias("fp")))
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     roots = components(covering_links(nodes, max_bits))
     member = roots.unionAll(roots.select("root", "root").distinct().toDF("node", "root"))
     named = member.join(nodes, member.node == nodes.fp).select("node", "root", "least")
     best = named.groupBy("root").agg(F.min("least").alias("best"))
     linked = named.join(best, "root").select(F.col("node").alias("fp"), "best")
-    label = nodes.join(linked, "fp", "left").select("fp", F.coalesce("best", "least").alias("component_id"))
-    # written, so that the join reads it as it is and a fingerprint with very many rows can be split
-    return rows.join(materialize(label), "fp").select("doc_id", "fp", "component_id")
+    label = nodes.join(linked, "fp", "left").select("fp", "n", F.coalesce("best", "least").alias("component_id"))
+    return lookup(rows, materialize(label), "fp", "n").select("doc_id", "fp", "component_id")
 
 
 def unique(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
