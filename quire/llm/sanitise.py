@@ -38,7 +38,7 @@ CHANCE = 0.01
 #: Share of a term's documents that must hold the entity for the term to be marked where the entity is not.
 POINTS = 0.8
 #: Distinct terms that a task counts before it passes the counts on.
-COUNTED = 500_000
+COUNTED = 200_000
 #: Bits of the filter that tasks look words up in: 2 MB, however many terms are disclosing.
 FILTER_BITS = 1 << 24
 
