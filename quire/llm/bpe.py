@@ -56,47 +56,68 @@ def decoded(ids: bytes, table: dict[int, bytes]) -> bytes:
     return b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def offsets(ids: bytes, table: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """First character of each token and the one after its last, in code points.
+@lru_cache(maxsize=2)
+def token_lengths(path: str) -> np.ndarray:
+    """How many bytes each id stands for, by id."""
+    table = byte_table(path)
+    out = np.zeros(max(table) + 1, np.int64)
+    out[list(table)] = list(map(len, table.values()))
+    return out
+
+
+def spans(ids: bytes, data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First character of each token and the one after its last, in code points; ``data``: the decoded bytes.
 
     A token that holds only some of a character's bytes counts as holding the character.
     """
-    tokens_ = [table[i] for i in np.frombuffer(ids, "<u4").tolist()]
-    ends = np.cumsum([len(t) for t in tokens_], dtype=np.int64)
-    if not len(ends):
-        return ends, ends
-    begins = np.frombuffer(b"".join(tokens_), np.uint8) & 0xC0 != 0x80
-    character = np.cumsum(begins) - 1  # of each byte
-    return character[np.concatenate(([0], ends[:-1]))], character[ends - 1] + 1
+    own = lengths[np.frombuffer(ids, "<u4")]
+    ends = np.cumsum(own)
+    if data.isascii():
+        return ends - own, ends
+    character = np.cumsum(np.frombuffer(data, np.uint8) & 0xC0 != 0x80) - 1  # of each byte
+    return character[ends - own], character[ends - 1] + 1
+
+
+def offsets(ids: bytes, table: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``spans`` of ids by a byte table."""
+    lengths = np.zeros(max(table) + 1, np.int64)
+    lengths[list(table)] = list(map(len, table.values()))
+    return spans(ids, decoded(ids, table), lengths)
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, with_offsets: bool = False, with_bytes: bool = False,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+           packed: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids) for every row of ``docs``; ids are binary, little-endian unsigned 32-bit.
 
     ``ranks``: path of a rank file; ``pattern`` splits the text, and each match is merged alone.
     Without special tokens: their strings are ordinary text.  ``with_offsets`` adds ``starts``
-    and ``ends``, each token's code points; ``with_bytes`` adds ``bytes``, decoded from the ids
+    and ``ends``, each token's code points (``packed``: instead ``offsets``, all starts and then all ends, binary like the ids); ``with_bytes`` adds ``bytes``, decoded from the ids
     by the same worker.  A null text counts as empty and has no ids.  Repeated rows stay; null
     ids of documents stay null.
     """
     rows = inputs(docs, id_col, text_col)
-    more = {"starts": pa.list_(pa.int64()), "ends": pa.list_(pa.int64())} if with_offsets else {}
+    more = {} if not with_offsets else {"offsets": pa.binary()} if packed else {"starts": pa.list_(pa.int64()), "ends": pa.list_(pa.int64())}
     more |= {"bytes": pa.binary()} if with_bytes else {}
 
-    @arrow_udf("struct<ids:binary" + ",starts:array<long>,ends:array<long>" * with_offsets + ",bytes:binary" * with_bytes + ">")
+    shown = "" if not with_offsets else ",offsets:binary" if packed else ",starts:array<long>,ends:array<long>"
+
+    @arrow_udf("struct<ids:binary" + shown + ",bytes:binary" * with_bytes + ">")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode_texts, table = encoder(ranks, pattern).ids, byte_table(ranks)
+        encode_texts, table, lengths = encoder(ranks, pattern).ids, byte_table(ranks), token_lengths(ranks)
         for batch in batches:
             parts = []
             for part in slices(batch):  # into Arrow by and by, which is smaller than Python's objects
                 ids = encode_texts(part)
                 columns = {"ids": pa.array(ids, pa.binary())}
+                data = [decoded(x, table) for x in ids] if with_offsets or with_bytes else []
                 if with_offsets:
-                    spans = [offsets(x, table) for x in ids]
-                    columns |= {"starts": pa.array([s for s, _ in spans], more["starts"]), "ends": pa.array([e for _, e in spans], more["ends"])}
+                    found = [spans(x, d, lengths) for x, d in zip(ids, data)]
+                    if packed:
+                        columns["offsets"] = pa.array([np.concatenate(both).astype("<u4").tobytes() for both in found], pa.binary())
+                    else:
+                        columns |= {"starts": pa.array([s for s, _ in found], more["starts"]), "ends": pa.array([e for _, e in found], more["ends"])}
                 if with_bytes:
-                    columns["bytes"] = pa.array([decoded(x, table) for x in ids], pa.binary())
+                    columns["bytes"] = pa.array(data, pa.binary())
                 parts.append(pa.StructArray.from_arrays(list(columns.values()), list(columns)))
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct({"ids": pa.binary()} | more))
 

@@ -96,7 +96,8 @@ def test_encoding_query(spark, ranks):
         ids = ranks.encode_ordinary(r.text or "")
         want.add((r.doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
                   hashlib.sha256((r.text or "").encode()).hexdigest()))
-    assert {tuple(r) for r in QUERIES["op10_byte_bpe"](spark, SF).collect()} == want
+    got = QUERIES["op10_byte_bpe"](spark, SF).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    assert {tuple(r) for r in got.collect()} == want
 
 
 def odd_rows(spark):
@@ -228,3 +229,27 @@ def test_long_white_space(spark):
     encoded = {r.doc_id: bytes(r.ids) for r in bpe.encode(docs, RANKS, public_tokenizers.PATTERN).collect()}
     assert {i: len(x) for i, x in encoded.items()} == {i: len(x) for i, x in enumerate(want)}
     assert token_counts.token_counts(docs, WORDS, fold_space=True).count() == 4
+
+
+def test_offsets_of_the_query(spark, ranks):
+    """Every document's offsets, token by token: where its bytes begin and end among the text's characters."""
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    got = {r.doc_id: r.offsets_sha256 for r in QUERIES["op10_byte_bpe"](spark, SF).collect()}
+    table = bpe.byte_table(RANKS)
+    for r in rows:
+        text = r.text or ""
+        place = [i for i, c in enumerate(text) for _ in c.encode()]  # character of each byte
+        starts, ends, at = [], [], 0
+        for i in ranks.encode_ordinary(text):
+            starts.append(place[at])
+            at += len(table[i])
+            ends.append(place[at - 1] + 1)
+        assert got[r.doc_id] == hashlib.sha256(np.array(starts, "<u4").tobytes() + np.array(ends, "<u4").tobytes()).hexdigest()
+
+
+def test_folding_keeps_texts_with_special_strings(spark):
+    specials = token_counts.special_strings(WORDS)
+    assert "<|endoftext|>" in specials
+    df = spark.createDataFrame([("a <|  b",), ("a  <|endoftext|>  b",), ("a \n\tb",)], "text string")
+    assert [r[0] for r in df.select(token_counts.folded(F.col("text"), specials)).collect()] == ["a <| b", "a  <|endoftext|>  b", "a b"]
+    assert df.select(token_counts.folded(F.col("text"), [])).first()[0] == "a <| b"
