@@ -8,6 +8,7 @@ they are joined.
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -57,65 +58,88 @@ def decoded(ids: bytes, table: dict[int, bytes]) -> bytes:
 
 
 @lru_cache(maxsize=2)
-def token_lengths(path: str) -> np.ndarray:
-    """How many bytes each id stands for, by id."""
-    table = byte_table(path)
-    out = np.zeros(max(table) + 1, np.int64)
-    out[list(table)] = list(map(len, table.values()))
-    return out
+def flat_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens' bytes behind each other; where each id's begin; how many they are."""
+    return _flat(byte_table(path))
 
 
-def spans(ids: bytes, data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First character of each token and the one after its last, in code points; ``data``: the decoded bytes.
+def _flat(table: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    lengths = np.zeros(max(table) + 1, np.int64)
+    lengths[list(table)] = list(map(len, table.values()))
+    tokens_ = [table.get(i, b"") for i in range(len(lengths))]
+    return np.frombuffer(b"".join(tokens_), np.uint8), np.cumsum(lengths) - lengths, lengths
+
+
+#: Tokens whose bytes are looked up in one step.
+LOOKED_UP = 1 << 14
+
 
-    A token that holds only some of a character's bytes counts as holding the character.
+def decoded_with_spans(ids: list[bytes], flat: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[list[bytes], list[np.ndarray], list[np.ndarray]]:
+    """For each document's ids: the decoded bytes, the first character of each token, and the one after its last.
+
+    Characters are code points.  A token that holds only some of a character's bytes counts as holding the character.
     """
-    own = lengths[np.frombuffer(ids, "<u4")]
-    ends = np.cumsum(own)
-    if data.isascii():
-        return ends - own, ends
-    character = np.cumsum(np.frombuffer(data, np.uint8) & 0xC0 != 0x80) - 1  # of each byte
-    return character[ends - own], character[ends - 1] + 1
+    table, first, lengths = flat
+    numbers = np.frombuffer(b"".join(ids), "<u4")
+    parts, begins, ends, characters = [], [np.empty(0, np.int64)], [np.empty(0, np.int64)], 0
+    for at in range(0, len(numbers), LOOKED_UP):
+        part = numbers[at:at + LOOKED_UP]
+        own = lengths[part]
+        last = np.cumsum(own)
+        data = table[np.arange(last[-1]) + np.repeat(first[part] - (last - own), own)]
+        character = characters - 1 + np.cumsum(data & 0xC0 != 0x80)
+        parts.append(data.tobytes())
+        begins.append(character[last - own])
+        ends.append(character[last - 1] + 1)
+        characters = int(character[-1]) + 1
+    whole, begin, end = b"".join(parts), np.concatenate(begins), np.concatenate(ends)
+    counts = np.array([len(x) // 4 for x in ids], np.int64)
+    places = np.concatenate(([0], np.cumsum(counts)))
+    bytes_before = np.concatenate(([0], np.cumsum(lengths[numbers])))[places] if len(numbers) else np.zeros(len(ids) + 1, np.int64)
+    own_first = np.repeat(begin[np.minimum(places[:-1], max(len(begin) - 1, 0))] if len(begin) else np.zeros(len(ids), np.int64), counts)
+    begin, end = begin - own_first, end - own_first
+    cut = lambda x: [x[a:b] for a, b in zip(places[:-1], places[1:])]
+    return [whole[a:b] for a, b in zip(bytes_before[:-1], bytes_before[1:])], cut(begin), cut(end)
 
 
 def offsets(ids: bytes, table: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """``spans`` of ids by a byte table."""
-    lengths = np.zeros(max(table) + 1, np.int64)
-    lengths[list(table)] = list(map(len, table.values()))
-    return spans(ids, decoded(ids, table), lengths)
+    """First character of each token and the one after its last, in code points (see ``decoded_with_spans``)."""
+    _, begin, end = decoded_with_spans([ids], _flat(table))
+    return begin[0], end[0]
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, with_offsets: bool = False, with_bytes: bool = False,
-           packed: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+           offset_digest: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids) for every row of ``docs``; ids are binary, little-endian unsigned 32-bit.
 
     ``ranks``: path of a rank file; ``pattern`` splits the text, and each match is merged alone.
     Without special tokens: their strings are ordinary text.  ``with_offsets`` adds ``starts``
-    and ``ends``, each token's code points (``packed``: instead ``offsets``, all starts and then all ends, binary like the ids); ``with_bytes`` adds ``bytes``, decoded from the ids
+    and ``ends``, each token's code points; ``offset_digest`` adds ``offsets_sha256``, lowercase hex of the SHA-256 of all starts and
+    then all ends as unsigned 32-bit numbers, taken by the worker because offsets are twice as large as ids; ``with_bytes`` adds ``bytes``, decoded from the ids
     by the same worker.  A null text counts as empty and has no ids.  Repeated rows stay; null
     ids of documents stay null.
     """
     rows = inputs(docs, id_col, text_col)
-    more = {} if not with_offsets else {"offsets": pa.binary()} if packed else {"starts": pa.list_(pa.int64()), "ends": pa.list_(pa.int64())}
+    more = {"starts": pa.list_(pa.int64()), "ends": pa.list_(pa.int64())} if with_offsets else {}
+    more |= {"offsets_sha256": pa.string()} if offset_digest else {}
     more |= {"bytes": pa.binary()} if with_bytes else {}
+    shown = ",starts:array<long>,ends:array<long>" * with_offsets + ",offsets_sha256:string" * offset_digest + ",bytes:binary" * with_bytes
 
-    shown = "" if not with_offsets else ",offsets:binary" if packed else ",starts:array<long>,ends:array<long>"
-
-    @arrow_udf("struct<ids:binary" + shown + ",bytes:binary" * with_bytes + ">")
+    @arrow_udf("struct<ids:binary" + shown + ">")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode_texts, table, lengths = encoder(ranks, pattern).ids, byte_table(ranks), token_lengths(ranks)
+        encode_texts, flat = encoder(ranks, pattern).ids, flat_table(ranks)
         for batch in batches:
             parts = []
             for part in slices(batch):  # into Arrow by and by, which is smaller than Python's objects
                 ids = encode_texts(part)
                 columns = {"ids": pa.array(ids, pa.binary())}
-                data = [decoded(x, table) for x in ids] if with_offsets or with_bytes else []
+                if more:
+                    data, begin, end = decoded_with_spans(ids, flat)
                 if with_offsets:
-                    found = [spans(x, d, lengths) for x, d in zip(ids, data)]
-                    if packed:
-                        columns["offsets"] = pa.array([np.concatenate(both).astype("<u4").tobytes() for both in found], pa.binary())
-                    else:
-                        columns |= {"starts": pa.array([s for s, _ in found], more["starts"]), "ends": pa.array([e for _, e in found], more["ends"])}
+                    columns |= {"starts": pa.array(begin, more["starts"]), "ends": pa.array(end, more["ends"])}
+                if offset_digest:
+                    columns["offsets_sha256"] = pa.array([hashlib.sha256(a.astype("<u4").tobytes() + b.astype("<u4").tobytes()).hexdigest()
+                                                          for a, b in zip(begin, end)], pa.string())
                 if with_bytes:
                     columns["bytes"] = pa.array(data, pa.binary())
                 parts.append(pa.StructArray.from_arrays(list(columns.values()), list(columns)))
