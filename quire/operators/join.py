@@ -79,14 +79,17 @@ def glob_match_join(rows: DataFrame, files: DataFrame, id_col: str = "id",
           .select(name_col, F.explode(candidate_agencies(name, AGENCY_KEY)).alias("_akey"))
           .join(r.select("_akey").distinct(), "_akey", "left_semi"))
     # key: (agency, rarest gram of the number among the files of that agency); '' without a number
-    fg = fa.select("_akey", name_col, F.explode(F.concat(F.array(F.lit("")), substrings(name, k))).alias("_gram"))
-    freq = fg.groupBy("_akey", "_gram").agg(F.count(F.lit(1)).alias("_freq"))
     rg = r.select("_akey", "_dev").distinct().select("_akey", "_dev", F.explode(
         F.when(F.col("_dev") == "", F.array(F.lit(""))).otherwise(grams_of(F.col("_dev"), k))).alias("_gram"))
+    # a name has about k grams a character: only those that some row asks for go on
+    fg = (fa.select("_akey", name_col, F.explode(F.concat(F.array(F.lit("")), substrings(name, k))).alias("_gram"))
+          .join(rg.select("_akey", "_gram").distinct(), ["_akey", "_gram"], "left_semi"))
+    freq = fg.groupBy("_akey", "_gram").agg(F.count(F.lit(1)).alias("_freq"))
     # a gram that no file of the agency contains rules the row out (inner join drops it)
     best = (rg.join(freq, ["_akey", "_gram"]).groupBy("_akey", "_dev")
             .agg(F.min(F.struct("_freq", "_gram")).alias("_b"))
             .select("_akey", "_dev", F.col("_b._gram").alias("_gram")))
-    found = (r.join(best, ["_akey", "_dev"]).join(fg, ["_akey", "_gram"])
+    # Spark's estimate of names does not grow by explode, so it would send all their grams to every machine
+    found = (r.join(best, ["_akey", "_dev"]).join(fg.hint("merge"), ["_akey", "_gram"])
              .where(F.like(name, F.col("_pat"))).select(*rows.columns, name_col).distinct())
-    return found.join(files, name_col).select(*out_cols).distinct()
+    return found.join(files.hint("merge"), name_col).select(*out_cols).distinct()

@@ -102,3 +102,24 @@ def test_main_text_is_made_once(spark):
 
     plan = plan_of(links.page_gate(spark, SF_SMALL))
     assert plan.count("<noscript") == 1
+
+
+def broadcast_sides(plan):
+    """The lines of each broadcast's subtree."""
+    lines = plan.splitlines()
+    at = [len(x) - len(x.lstrip(" :+-*(0123456789)")) for x in lines]
+    out = []
+    for i, x in enumerate(lines):
+        if "BroadcastExchange" in x:
+            j = i + 1
+            while j < len(lines) and at[j] > at[i]:
+                j += 1
+            out.append("\n".join(lines[i:j]))
+    return out
+
+
+def test_pattern_join_broadcasts_no_file_names(spark):
+    """The names of all files and their grams go by key; what is sent to every machine comes from the rows."""
+    sides = broadcast_sides(plan_of(entry.queries()["pattern_join"](spark, SF_SMALL)))
+    names = [x for x in sides if "_Deviation_" in x and "partial_count" not in x]  # counts are one row a gram asked for
+    assert sides and not names, names[0]
