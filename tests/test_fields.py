@@ -113,3 +113,15 @@ def test_patterns_on_the_rest_of_a_text_equal_patterns_on_all_of_it(spark):
     assert sum(r.wa is not None for r in got) > 200 and sum(r.wb != "f.pdf" for r in got) > 200
     for r in got:
         assert (r.a, r.b, r.c, r.d) == (r.wa, r.wb, r.wa, r.wb), texts[r.id]
+
+
+def test_manifest_profile_reads_whole_texts(spark, scratch):
+    """An agency far behind the start of a text tells in the profile; a null text has a row and no agency."""
+    from quire.plans.links import manifest_profile
+
+    far = "plain words " * 3000
+    spark.createDataFrame([(1, far + "NASA", "a", "en", 5), (2, far + "Defense", "a", "en", 5), (3, far, "a", "en", 5), (4, None, "a", "en", 5),
+                           (5, far + "peace-corps", "a", None, 5)],
+                          "doc_id long, text string, source string, lang string, n_chars long").write.parquet(f"{scratch}/documents.parquet")
+    got = {r["lang"]: tuple(r)[1:] for r in manifest_profile(spark, scratch).collect()}
+    assert got == {"en": (4, 2, "NASA, Unknown"), None: (1, 1, "Peace Corps")}
