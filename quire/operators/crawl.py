@@ -97,11 +97,12 @@ def frontier_rounds(spark: SparkSession, edges: DataFrame, seeds: DataFrame,
     most one round.  It ends when a level is empty, or after ``max_depth`` levels.
     With ``scored`` (node, keep, score) only nodes that pass the relevance gate
     are expanded, and with ``target`` the stop test of B16 runs on one aggregate
-    row per round.  Hub nodes are left to adaptive skew-join handling.
+    row per round.  Hub nodes are left to adaptive skew-join handling.  Edges may repeat: a node is expanded
+    once, and what a round finds is made distinct, so the edge table is written as it comes.
     Output: node, depth (smallest depth at which the node was reached).
     """
     ensure_checkpoint_dir(spark)
-    links = materialize(edges.select("src", "dst").distinct())
+    links = materialize(edges.select("src", "dst"))
     levels = [materialize(seeds.select("node", F.lit(0).alias("depth")).distinct())]
     passed = scored.where(gate(F.col("keep"), F.col("score"))) if scored is not None else None
     while max_depth is None or len(levels) <= max_depth:

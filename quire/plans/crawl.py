@@ -11,6 +11,8 @@ from . import sqlfrag as S
 from .registry import query
 
 BLOCKED = ("example.net",)
+# least number of tasks that tell supplier-part pairs apart
+PAIR_PARTS = 200
 
 
 def engine_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,11 +103,14 @@ def relevance_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def supplier_part_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Undirected supplier-part graph of all line items as directed edges over
     numeric node ids (supplier k -> 2k, part k -> 2k + 1): pairs are
-    deduplicated on two longs before doubling."""
+    deduplicated on two longs before doubling.  Each task holds a part of PAIR_PARTS of the pairs at most;
+    adaptive execution would join parts up to one for each core."""
     li = table(spark, sf_dir, "lineitem", "l_suppkey", "l_partkey")
-    pairs = li.select((F.col("l_suppkey") * 2).alias("s"), (F.col("l_partkey") * 2 + 1).alias("p")).distinct()
-    return pairs.select(F.col("s").alias("src"), F.col("p").alias("dst")).unionByName(
-        pairs.select(F.col("p").alias("src"), F.col("s").alias("dst")))
+    parts = max(PAIR_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pairs = (li.select((F.col("l_suppkey") * 2).alias("s"), (F.col("l_partkey") * 2 + 1).alias("p"))
+             .repartition(parts, "s", "p").distinct())
+    return pairs.select(F.explode(F.array(F.struct(F.col("s").alias("src"), F.col("p").alias("dst")),
+                                          F.struct(F.col("p").alias("src"), F.col("s").alias("dst")))).alias("e")).select("e.*")
 
 
 def node_name(node) -> F.Column:

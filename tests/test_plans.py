@@ -123,3 +123,15 @@ def test_pattern_join_broadcasts_no_file_names(spark):
     sides = broadcast_sides(plan_of(entry.queries()["pattern_join"](spark, SF_SMALL)))
     names = [x for x in sides if "_Deviation_" in x and "partial_count" not in x]  # counts are one row a gram asked for
     assert sides and not names, names[0]
+
+
+def test_supplier_part_edges_in_many_tasks(spark):
+    """Pairs are told apart in a fixed number of tasks at least, once, before they are doubled."""
+    from quire.plans import crawl
+
+    edges = crawl.supplier_part_edges(spark, SF_SMALL)
+    plan = plan_of(edges)
+    assert f"{crawl.PAIR_PARTS}), REPARTITION_BY_NUM" in plan and "Union" not in plan and plan.count("Exchange") == 1
+    rows = [tuple(r) for r in edges.collect()]
+    pairs = {(r["l_suppkey"] * 2, r["l_partkey"] * 2 + 1) for r in table(spark, SF_SMALL, "lineitem", "l_suppkey", "l_partkey").collect()}
+    assert sorted(rows) == sorted(pairs | {(b, a) for a, b in pairs})
