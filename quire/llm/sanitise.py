@@ -38,7 +38,7 @@ CHANCE = 0.01
 #: Share of a term's documents that must hold the entity for the term to be marked where the entity is not.
 POINTS = 0.8
 #: Distinct terms that a task counts before it passes the counts on.
-COUNTED = 200_000
+COUNTED = 50_000
 #: Bits of the filter that tasks look words up in: 2 MB, however many terms are disclosing.
 FILTER_BITS = 1 << 24
 
@@ -121,13 +121,15 @@ def detect(text: Column) -> Column:
     @arrow_udf("struct<base:array<struct<kind:string,start:long,end:long,value:string>>,terms:array<string>>")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            out = []
+            done = [pa.array([], _FOUND)]
             for part in slices(batch):
+                out = []
                 for x in part:
                     found = entities(x or "")
                     out.append({"base": [dict(zip(("kind", "start", "end", "value"), f)) for f in found],
                                 "terms": sorted({t for t, _, _ in free_terms(x, found)}) if found else []})
-            yield pa.array(out, _FOUND)
+                done.append(pa.array(out, _FOUND))
+            yield pa.concat_arrays(done)
 
     return of.asNondeterministic()(text)
 
@@ -329,8 +331,9 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     @arrow_udf("string")
     def replace(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for text, found_ in texts:
-            yield pa.array([t if t is None or not s else sanitised(t, [(x["start"], x["end"], x["kind"]) for x in s])
-                            for t, s in zip(text.to_pylist(), found_.to_pylist())], pa.string())
+            yield pa.concat_arrays([pa.array([], pa.string())] + [
+                pa.array([t if t is None or not s else sanitised(t, [(x["start"], x["end"], x["kind"]) for x in s])
+                          for t, s in zip(*part)], pa.string()) for part in zip(slices(text), slices(found_))])
 
     return (docs.withColumn(key, row_key(id_col, text_col)).join(spans, key, "left")
             .withColumn(text_col, replace(text_col, marked)).select(docs.columns))

@@ -137,7 +137,7 @@ def word_features(word: bytes) -> tuple[int, int, int]:
 class Features:
     """Features of texts; remembers those of up to ``most`` distinct words."""
 
-    def __init__(self, most: int = 200_000):
+    def __init__(self, most: int = 50_000):
         self.most, self.known, self.table = most, {}, np.empty((0, 3), np.int64)
 
     def of(self, texts: list[str]) -> np.ndarray:

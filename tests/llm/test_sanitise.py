@@ -238,3 +238,21 @@ def test_clashing_names(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, _key long, SPANS string, key string")
     got = sanitise.sanitise(docs)
     assert got.columns == docs.columns and tuple(got.first()) == (1, "a b [EMAIL]", 7, "s", "k")
+
+
+def test_batches_longer_than_a_slice(spark):
+    """Entities and texts keep their rows when a batch is worked off in slices, with null texts among them."""
+    rows = [(i, None if i % 7 == 3 else f"write to u{i}@example.org now") for i in range(1300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = dict(map(tuple, sanitise.sanitise(docs).collect()))
+    assert got == {i: t and "write to [EMAIL] now" for i, t in rows}
+    found = docs.select("doc_id", sanitise.detect(docs["text"]).alias("d")).collect()
+    assert {r.doc_id: [x.value for x in r.d.base] for r in found} == {i: [f"u{i}@example.org"] if t else [] for i, t in rows}
+
+
+def test_few_terms_are_held(spark):
+    """A task passes its counts on before it holds 60,000 terms; the counts are those of all rows."""
+    assert sanitise.COUNTED <= 60_000
+    rows = spark.createDataFrame([(" ".join(f"w{i}x" for i in range(at, at + 3000)) + " often",) for at in range(0, 90_000, 3000)], "text string").coalesce(1)
+    got = {r.term: r.n_t for r in sanitise.term_counts(rows).collect()}
+    assert len(got) == 90_001 and got["often"] == 30 and set(got.values()) == {1, 30}

@@ -197,3 +197,13 @@ def test_scores_of_all_documents_equal_brute_force(spark):
         f = features(t)
         want = 1 / (1 + math.exp(-(f @ w[:-1] + w[-1]))) if f.any() else 0.0
         assert abs(got[i] - want) < 1e-6, i
+
+
+def test_scorer_remembers_few_words():
+    """What a task remembers of the words it has seen stays under 60,000, and a text gets the same row after words were forgotten."""
+    known, text = weak_labels.Features(), "Some words, and SOME more more."
+    before = known.of([text])
+    for at in range(0, 120_000, 10_000):
+        known.of([" ".join(f"w{i}" for i in range(at, at + 10_000))])
+        assert len(known.known) < 61_000
+    assert (known.of([text]) == before).all()
